@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import constants as C
-from ..functions.exprs import channel_class, lit_date
+from ..functions.exprs import channel_class, date_key, lit_date
 from .model import Model
 
 
@@ -44,9 +44,9 @@ def q01_overview(m: Model) -> DataFrame:
     stocked-out pairs; one row per day, empty days zero-filled.
 
     The inventory fact holds exactly one row per (pair, day) and its keys are
-    one-to-one with the pair, so counting rows equals the distinct count of the
-    composite key; counting rows keeps the dense grain inside the partial
-    aggregate instead of shuffling it for a distinct.
+    one-to-one with the pair, so the distinct count of the composite key per
+    day is the number of pairs whose interval covers the day: computed by the
+    interval sweep, without producing the dense pair x day rows.
     """
     sales = (m.fact_sales.groupBy("order_date_key")
              .agg(F.sum("net_revenue_amount").alias("net_revenue_amount"),
@@ -55,9 +55,9 @@ def q01_overview(m: Model) -> DataFrame:
                   completed_orders().alias("completed_orders")))
     rets = (m.fact_returns.groupBy("return_date_key")
             .agg(F.sum("returned_quantity").alias("returned_units")))
-    inv = (m.fact_inventory_daily.groupBy("snapshot_date_key")
-           .agg(F.count(F.lit(1)).alias("active_skus"),
-                F.count(F.when(F.col("quantity_on_hand") <= 0, 1)).alias("stockout_skus")))
+    inv = m.inventory_levels().select(
+        date_key("balance_date").alias("snapshot_date_key"),
+        F.col("active_pairs").alias("active_skus"), F.col("stockout_pairs").alias("stockout_skus"))
     ds = date_spine(m)
     j = (ds.join(sales, ds.date_key == sales.order_date_key, "left")
          .join(rets, ds.date_key == rets.return_date_key, "left")
@@ -125,8 +125,8 @@ def q04_ltv_cac_by_channel(m: Model) -> DataFrame:
 
 
 def q05_dso(m: Model) -> DataFrame:
-    ar = (m.fact_ar_aging_daily.groupBy("snapshot_date_key")
-          .agg(F.sum("open_balance_amount").alias("daily_total_ar")))
+    ar = m.ar_balance_levels().select(date_key("snapshot_date").alias("snapshot_date_key"),
+                                      F.col("open_balance_amount").alias("daily_total_ar"))
     credit = (m.fact_sales.filter(F.col("payment_terms_code") != C.DEFAULT_PAYMENT_TERMS)
               .groupBy("order_date_key")
               .agg(F.sum("net_revenue_amount").alias("credit_net_revenue_amount")))

@@ -17,6 +17,7 @@ from ..functions import constants as C
 from ..functions.exprs import (MONEY, RATE, composite, date_key, holiday_flag, lit_date,
                                round_money, strict_greatest, strict_least, surrogate_key)
 from ..operators.core import explode_days, lookup_key, with_member
+from ..operators.intervals import daily_levels
 from ..sources.domain import RawTables
 from . import staging as S
 
@@ -390,6 +391,17 @@ class Model:
             F.when(on_day, F.col("units_received_qty")).otherwise(zero).alias("units_received_qty"),
             "warehouse_id", "product_id")
 
+    def inventory_levels(self, by: tuple[str, ...] = ()) -> DataFrame:
+        """Per (by, day): active pairs, stocked-out pairs (on hand <= 0) and
+        total on hand, from the intervals (no dense pair x day rows)."""
+        iv = self.inventory_intervals
+        return daily_levels(
+            iv, by, "valid_from", "valid_to",
+            {"active_pairs": F.lit(1).cast("bigint"),
+             "stockout_pairs": F.when(F.col("quantity_on_hand") <= 0, 1).otherwise(0).cast("bigint"),
+             "quantity_on_hand": F.col("quantity_on_hand").cast("bigint")},
+            self.sim_start, self.sim_end, day="balance_date")
+
     # -- receivables chain ---------------------------------------------------
 
     @cached_property
@@ -397,16 +409,32 @@ class Model:
         """Invoice x day from the invoice date to payment (or the end), guarded:
         an invoice dated after the end yields no rows."""
         inv = self.stg("stg_ar_invoices")
-        end = lit_date(self.sim_end)
-        if self.keep_partial_payments:
-            stop = F.when(F.col("invoice_status") == "Partially Paid", end) \
-                .otherwise(F.least(F.coalesce("payment_date", end), end))
-        else:
-            stop = F.least(F.coalesce("payment_date", end), end)
-        bounded = inv.withColumn("window_start", F.col("invoice_date")).withColumn("window_end", stop)
+        bounded = inv.withColumn("window_start", F.col("invoice_date")).withColumn("window_end", self._ar_stop())
         return explode_days(bounded, "window_start", "window_end", "snapshot_date") \
             .drop("window_start", "window_end")
 
+    def _ar_stop(self) -> F.Column:
+        end = lit_date(self.sim_end)
+        stop = F.least(F.coalesce("payment_date", end), end)
+        if self.keep_partial_payments:
+            stop = F.when(F.col("invoice_status") == "Partially Paid", end).otherwise(stop)
+        return stop
+
+    def ar_balance_levels(self, by: tuple[str, ...] = ()) -> DataFrame:
+        """Per (by, day): total open balance, from two intervals per invoice
+        (full amount before the payment day, the unpaid rest from it on)."""
+        inv = self.stg("stg_ar_invoices").withColumn("__stop", self._ar_stop())
+        before = inv.select(*by, F.col("invoice_date").alias("__from"),
+                            F.when(F.col("payment_date").isNull(), F.col("__stop"))
+                            .otherwise(F.least("__stop", F.date_sub("payment_date", 1))).alias("__to"),
+                            F.col("invoice_amount").alias("__bal"))
+        after = inv.filter(F.col("payment_date").isNotNull()).select(
+            *by, F.greatest("invoice_date", "payment_date").alias("__from"), F.col("__stop").alias("__to"),
+            (F.col("invoice_amount") - F.col("amount_paid")).cast(MONEY).alias("__bal"))
+        return daily_levels(before.unionByName(after), by, "__from", "__to",
+                            {"open_balance_amount": F.col("__bal")},
+                            self.sim_start, self.sim_end, day="snapshot_date")
+
     @cached_property
     def fact_ar_aging_daily(self) -> DataFrame:
         s = self.ar_spine
