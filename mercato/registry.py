@@ -307,3 +307,6 @@ LEFT JOIN (SELECT dc.acquisition_campaign_key AS campaign_key, count(DISTINCT dc
            FROM dim_customer dc LEFT JOIN customer_ltv cl ON dc.customer_key = cl.customer_key
            WHERE dc.customer_id <> 'UNKNOWN' GROUP BY 1) cc ON dcamp.campaign_key = cc.campaign_key
 WHERE dcamp.campaign_id <> 'NO_CAMPAIGN'""", tags=("dashboard",)))
+
+
+from . import registry_kpis  # noqa: E402,F401  (registers the KPI and mart queries)
