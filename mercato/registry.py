@@ -310,3 +310,4 @@ WHERE dcamp.campaign_id <> 'NO_CAMPAIGN'""", tags=("dashboard",)))
 
 
 from . import registry_kpis  # noqa: E402,F401  (registers the KPI and mart queries)
+from . import registry_quality  # noqa: E402,F401  (registers the data-quality queries)
