@@ -101,7 +101,7 @@ FROM events WHERE event_type = 'purchase' GROUP BY 1, 2""", tags=("streaming",))
 register("stream_sales_15min_append", Query(_stream(S.tumbling_sales_15min_append), f"""
 SELECT window_start, purchases FROM (
   SELECT {_bucket(900)} AS window_start, count(*) AS purchases FROM events WHERE event_type = 'purchase' GROUP BY 1)
-WHERE window_start + INTERVAL 15 MINUTE <= (SELECT max(ts) FROM events) - INTERVAL 1 HOUR""",
+WHERE window_start + INTERVAL 15 MINUTE <= (SELECT max(ts) FROM events WHERE event_type = 'purchase') - INTERVAL 1 HOUR""",
     tags=("streaming",)))
 
 register("stream_stock_view_4h", Query(_stream(S.stock_view_4h), f"""
