@@ -30,7 +30,10 @@ def lookup_key(fact: DataFrame, dim: DataFrame, fact_col: str, dim_col: str,
     ``spark.sql.autoBroadcastJoinThreshold`` (and re-checked at runtime by AQE),
     falling back to a shuffle join when the dimension is large.
     """
-    d = dim.select(F.col(dim_col).alias("__nk"), F.col(key_col).alias("__sk"))
+    # Grouping by the natural key makes the dimension side provably unique:
+    # the lookup can never fan the fact out, and Catalyst drops the whole join
+    # from plans that never read the looked-up key.
+    d = dim.groupBy(F.col(dim_col).alias("__nk")).agg(F.max(key_col).alias("__sk"))
     if bounded:
         d = F.broadcast(d)
     out = fact.join(d, fact[fact_col] == d["__nk"], "left")
@@ -99,3 +102,9 @@ def latest_by(df: DataFrame, keys: Sequence[str], order: Sequence[str],
     a partial aggregate, no sort of the group, no window)."""
     ordering = F.struct(*[F.col(o) for o in order])
     return df.groupBy(*keys).agg(*[F.max_by(F.col(v), ordering).alias(v) for v in values])
+
+
+def unique_by(df: DataFrame, key: str, cols: Sequence[str]) -> DataFrame:
+    """One row per ``key`` (deterministic ``max`` of each column), so a left
+    join on ``key`` cannot fan out and is removable when unused."""
+    return df.groupBy(key).agg(*[F.max(c).alias(c) for c in cols])

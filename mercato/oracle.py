@@ -37,6 +37,11 @@ def skey(expr: str) -> str:
     return f"('0x' || substr(md5(CAST({expr} AS VARCHAR)), 1, 15))::BIGINT"
 
 
+def daykey(h: str, d: str) -> str:
+    """Entity hash with the day offset in its low 14 bits."""
+    return f"(({h}) & CAST(-16384 AS BIGINT)) | CAST(date_diff('day', {_d(C.CALENDAR_START)}, {d}) AS BIGINT)"
+
+
 def dkey(expr: str) -> str:
     return f"CAST(strftime(CAST({expr} AS DATE), '%Y%m%d') AS BIGINT)"
 
@@ -541,7 +546,7 @@ SELECT warehouse_id, product_id, CAST(movement_date AS DATE) AS movement_day,
 FROM running_totals GROUP BY 1, 2, 3"""
 
 CTE["fact_inventory_daily"] = f"""
-SELECT {skey("f.warehouse_id || '|' || f.product_id || '|' || CAST(f.balance_date AS VARCHAR)")} AS inventory_fact_key,
+SELECT {daykey(skey("f.warehouse_id || '|' || f.product_id"), 'f.balance_date')} AS inventory_fact_key,
        {dkey('f.balance_date')} AS snapshot_date_key,
        coalesce(dp.product_key, -1) AS product_key, coalesce(dw.warehouse_key, -1) AS warehouse_key,
        f.balance_date,
@@ -578,7 +583,7 @@ FROM stg_ar_invoices i
 JOIN dim_date d ON d.full_date BETWEEN i.invoice_date AND least(coalesce(i.payment_date, {SIM_END}), {SIM_END})"""
 
 CTE["fact_ar_aging_daily"] = f"""
-SELECT {skey("s.invoice_id || '-' || CAST(s.snapshot_date AS VARCHAR)")} AS ar_snapshot_key,
+SELECT {daykey(skey('s.invoice_id'), 's.snapshot_date')} AS ar_snapshot_key,
        {dkey('s.snapshot_date')} AS snapshot_date_key, coalesce(dc.customer_key, -1) AS customer_key,
        s.invoice_id AS invoice_number, s.payment_terms_code, s.invoice_amount,
        CAST(CASE WHEN s.payment_date IS NULL OR s.snapshot_date < s.payment_date THEN s.invoice_amount

@@ -14,9 +14,9 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import constants as C
-from ..functions.exprs import (MONEY, RATE, composite, date_key, holiday_flag, lit_date,
+from ..functions.exprs import (MONEY, RATE, composite, date_key, day_key, holiday_flag, lit_date,
                                round_money, strict_greatest, strict_least, surrogate_key)
-from ..operators.core import explode_days, lookup_key, with_member
+from ..operators.core import explode_days, lookup_key, unique_by, with_member
 from ..operators.intervals import daily_levels
 from ..sources.domain import RawTables
 from . import staging as S
@@ -159,8 +159,9 @@ class Model:
         o = self.stg("stg_orders").select(
             "order_id", "customer_id", F.to_date("order_date").alias("order_date"),
             "sales_channel", "payment_method", F.col("order_status").alias("fulfillment_status"))
-        inv = self.stg("stg_ar_invoices").select("order_id", "payment_terms_code")
-        prod = self.dim_product.select("product_id", "product_key", "msrp_sgd", "base_cost_sgd")
+        # At most one invoice per order: the lookup side is unique by order.
+        inv = unique_by(self.stg("stg_ar_invoices"), "order_id", ["payment_terms_code"])
+        prod = unique_by(self.dim_product, "product_id", ["product_key", "msrp_sgd", "base_cost_sgd"])
         w_line = Window.partitionBy("order_id").orderBy("order_item_id")
         j = (oi.join(o, "order_id")
              .join(inv, "order_id", "left")
@@ -194,8 +195,8 @@ class Model:
         r = self.stg("stg_returns")
         o = self.stg("stg_orders").select("order_id", "customer_id",
                                           F.col("order_date").alias("original_order_date"))
-        oi = self.stg("stg_order_items").select("order_item_id", F.col("net_sales").alias("_net"),
-                                                F.col("quantity").alias("_qty"))
+        oi = unique_by(self.stg("stg_order_items"), "order_item_id", ["net_sales", "quantity"]) \
+            .select("order_item_id", F.col("net_sales").alias("_net"), F.col("quantity").alias("_qty"))
         refund = F.try_divide(F.col("returned_quantity") * F.col("_net"), F.col("_qty").cast("decimal(10,0)"))
         j = (r.join(o, "order_id").join(oi, "order_item_id", "left")
              .withColumn("_refund", refund))
@@ -221,7 +222,7 @@ class Model:
     @cached_property
     def fact_purchase_orders(self) -> DataFrame:
         po = self.stg("stg_purchase_orders")
-        prod = self.dim_product.select("product_id", "product_key", "base_cost_sgd")
+        prod = unique_by(self.dim_product, "product_id", ["product_key", "base_cost_sgd"])
         j = po.join(prod, "product_id", "left")
         j = lookup_key(j, self.dim_supplier, "supplier_id", "supplier_id", "supplier_key", "supplier_key")
         j = lookup_key(j, self.dim_warehouse, "warehouse_id", "warehouse_id", "warehouse_key",
@@ -348,7 +349,8 @@ class Model:
                            "warehouse_key", "warehouse_key", bounded=True)
         off = self.balance_offset.select("warehouse_id", "product_id", "opening_balance_offset")
         pairs = pairs.join(off, ["warehouse_id", "product_id"], "left").withColumn(
-            "opening_balance_offset", F.coalesce("opening_balance_offset", F.lit(0).cast("bigint")))
+            "opening_balance_offset", F.coalesce("opening_balance_offset", F.lit(0).cast("bigint"))) \
+            .withColumn("pair_hash", surrogate_key(composite("warehouse_id", "product_id")))
         md = self.movement_days
         w = Window.partitionBy("warehouse_id", "product_id").orderBy("day")
         changes = (md.withColumn("day_end_cumulative",
@@ -367,7 +369,7 @@ class Model:
         lo = F.greatest(F.coalesce("day", F.col("window_start")), F.col("window_start"))
         hi = F.least(F.coalesce(F.date_sub("next_day", 1), F.col("window_end")), F.col("window_end"))
         return (steps.join(pairs, ["warehouse_id", "product_id"])
-                .select("warehouse_id", "product_id", "product_key", "warehouse_key", "day",
+                .select("warehouse_id", "product_id", "product_key", "warehouse_key", "pair_hash", "day",
                         lo.alias("valid_from"), hi.alias("valid_to"),
                         (F.col("opening_balance_offset") + F.col("day_end_cumulative"))
                         .alias("quantity_on_hand"),
@@ -381,8 +383,7 @@ class Model:
         on_day = F.col("balance_date") == F.col("day")
         zero = F.lit(0).cast("bigint")
         return iv.select(
-            surrogate_key(composite("warehouse_id", "product_id", F.col("balance_date").cast("string")))
-            .alias("inventory_fact_key"),
+            day_key("pair_hash", "balance_date").alias("inventory_fact_key"),
             date_key("balance_date").alias("snapshot_date_key"),
             "product_key", "warehouse_key", "balance_date",
             F.col("quantity_on_hand").cast("bigint").alias("quantity_on_hand"),
@@ -409,7 +410,8 @@ class Model:
         """Invoice x day from the invoice date to payment (or the end), guarded:
         an invoice dated after the end yields no rows."""
         inv = self.stg("stg_ar_invoices")
-        bounded = inv.withColumn("window_start", F.col("invoice_date")).withColumn("window_end", self._ar_stop())
+        bounded = (inv.withColumn("window_start", F.col("invoice_date")).withColumn("window_end", self._ar_stop())
+                   .withColumn("invoice_hash", surrogate_key("invoice_id")))
         return explode_days(bounded, "window_start", "window_end", "snapshot_date") \
             .drop("window_start", "window_end")
 
@@ -449,8 +451,7 @@ class Model:
         zero = F.lit(0).cast(MONEY)
         bucket = lambda cond: F.when(cond, F.col("open_balance_amount")).otherwise(zero)
         return s.select(
-            surrogate_key(composite("invoice_id", F.col("snapshot_date").cast("string"), sep="-"))
-            .alias("ar_snapshot_key"),
+            day_key("invoice_hash", "snapshot_date").alias("ar_snapshot_key"),
             date_key("snapshot_date").alias("snapshot_date_key"), "customer_key",
             F.col("invoice_id").alias("invoice_number"), "payment_terms_code", "invoice_amount",
             "open_balance_amount", "days_outstanding",

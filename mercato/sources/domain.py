@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 from ..functions import constants as C
 from ..functions.exprs import MONEY, RATE, lit_date, map_values, round_money
 from ..operators.asof import asof_join
-from ..operators.core import avg_percent_rank, tier
+from ..operators.core import avg_percent_rank, tier, unique_by
 from .tables import read_table
 
 
@@ -82,7 +82,8 @@ class RawTables:
                                        "l_returnflag", "l_linestatus", "l_shipdate")
         o = self.t("orders").select("o_orderkey", "o_orderdate", "o_orderstatus", "o_orderpriority")
         return (li.join(o, F.col("l_orderkey") == F.col("o_orderkey"))
-                .join(self.supplier_warehouse, F.col("l_suppkey") == F.col("s_suppkey"), "left")
+                .join(unique_by(self.supplier_warehouse, "s_suppkey", ["warehouse_id"]),
+                      F.col("l_suppkey") == F.col("s_suppkey"), "left")
                 .withColumn("sales_channel", map_values("o_orderpriority", C.PRIORITY_CHANNEL))
                 .withColumn("gross_sales", F.col("l_extendedprice").cast(MONEY))
                 .withColumn("discount_amount",
@@ -230,7 +231,7 @@ class RawTables:
     def orders(self) -> DataFrame:
         o = self.t("orders")
         methods = F.array(*[F.lit(m) for m in C.PAYMENT_METHODS])
-        return (o.join(self.order_fulfilment, "o_orderkey", "left")
+        return (o.join(unique_by(self.order_fulfilment, "o_orderkey", ["fulfillment_wh"]), "o_orderkey", "left")
                 .select(_id("ORD-%08d", "o_orderkey").alias("order_id"),
                         _id("CUST-%06d", "o_custkey").alias("customer_id"),
                         F.col("o_orderdate").alias("order_date"),
