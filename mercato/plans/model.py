@@ -8,6 +8,8 @@ scans up. Tables are cached per ``Model`` instance as plan objects, not data.
 from __future__ import annotations
 
 import datetime as dt
+import functools
+import os
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -22,6 +24,22 @@ from ..sources.domain import RawTables
 from . import staging as S
 
 
+MARTS = ("dim_product", "dim_supplier", "dim_warehouse", "dim_campaign", "dim_customer",
+         "fact_sales", "fact_returns", "fact_purchase_orders", "fact_marketing_spend",
+         "movement_days", "inventory_intervals")
+
+
+def mart(fn):
+    """A model table that is written once as a parquet table (when the model
+    materialises) and read back by every consumer: the dbt 'table'
+    materialisation. It also cuts the lineage, so a lost executor recomputes
+    from the table, not from the raw files."""
+    @functools.wraps(fn)
+    def get(self):
+        return self._persist(fn.__name__, fn(self))
+    return cached_property(get)
+
+
 def dim_date_frame(spark: SparkSession, start: dt.date = C.CALENDAR_START,
                    end: dt.date = C.CALENDAR_END) -> DataFrame:
     """Calendar dimension generated from a date range (no table behind it)."""
@@ -51,14 +69,31 @@ class Model:
     def __init__(self, spark: SparkSession, sf_dir: str | None = None,
                  raw: RawTables | None = None, as_of: dt.date = C.AS_OF,
                  sim_start: dt.date = C.SIM_START, sim_end: dt.date = C.SIM_END,
-                 keep_partial_payments: bool = False):
+                 keep_partial_payments: bool = False, materialize: bool = False):
         self.spark = spark
+        self.materialize = materialize
+        self._store: str | None = None
         self.raw = raw if raw is not None else RawTables(spark, sf_dir)
         self.as_of = as_of
         self.sim_start = sim_start
         self.sim_end = sim_end
         self.keep_partial_payments = keep_partial_payments
 
+    def _persist(self, name: str, df: DataFrame) -> DataFrame:
+        if not self.materialize:
+            return df
+        if self._store is None:
+            from ..sources.ingest import scratch_dir
+            self._store = scratch_dir(self.spark, "marts")
+        path = os.path.join(self._store, name)
+        df.write.mode("overwrite").parquet(path)
+        return self.spark.read.parquet(path)
+
+    def build(self) -> None:
+        """Materialise every mart (in dependency order)."""
+        for name in MARTS:
+            getattr(self, name)
+
     # -- staging -------------------------------------------------------------
 
     def stg(self, name: str) -> DataFrame:
@@ -73,7 +108,7 @@ class Model:
     def dim_date(self) -> DataFrame:
         return dim_date_frame(self.spark)
 
-    @cached_property
+    @mart
     def dim_product(self) -> DataFrame:
         p = self.stg("stg_products")
         real = p.select(surrogate_key("product_id").alias("product_key"), "product_id", "sku_code",
@@ -87,7 +122,7 @@ class Model:
             "brand_name": "Unknown", "lifecycle_status": "Unknown",
             "is_currently_sellable": False})
 
-    @cached_property
+    @mart
     def dim_supplier(self) -> DataFrame:
         s = self.stg("stg_suppliers")
         real = s.select(surrogate_key("supplier_id").alias("supplier_key"), "supplier_id",
@@ -100,7 +135,7 @@ class Model:
             "category_specialty": "Unknown", "supplier_country": "Unknown",
             "supplier_currency": "Unknown"})
 
-    @cached_property
+    @mart
     def dim_warehouse(self) -> DataFrame:
         w = self.stg("stg_warehouses")
         real = w.select(surrogate_key("warehouse_id").alias("warehouse_key"), "warehouse_id",
@@ -111,7 +146,7 @@ class Model:
             "warehouse_code": C.UNKNOWN_ID, "warehouse_name": "Unknown Warehouse",
             "warehouse_type": "Unknown", "warehouse_country": "Unknown"})
 
-    @cached_property
+    @mart
     def dim_campaign(self) -> DataFrame:
         """Campaign grain derived from spend; attributes constant per campaign
         are taken with ``min`` (deterministic ``any_value``)."""
@@ -129,7 +164,7 @@ class Model:
             "campaign_name": "No Campaign (Organic/Unpaid Channel)",
             "marketing_platform": "N/A", "acquisition_channel_name": "N/A"})
 
-    @cached_property
+    @mart
     def dim_customer(self) -> DataFrame:
         c = self.stg("stg_customers")
         aa = self.stg("stg_acquisition_attribution")
@@ -151,7 +186,7 @@ class Model:
 
     # -- transaction facts ---------------------------------------------------
 
-    @cached_property
+    @mart
     def fact_sales(self) -> DataFrame:
         """Line grain. Inner join line -> header, at most one invoice per order
         (left join on the unique invoice key), COGS at the current unit cost."""
@@ -188,7 +223,7 @@ class Model:
             (F.col("quantity") * F.col("base_cost_sgd")).cast(MONEY).alias("cogs_amount"),
             "order_date")
 
-    @cached_property
+    @mart
     def fact_returns(self) -> DataFrame:
         """Refund = returned qty x net/qty (NULL-safe), rounded to cents; a 10%
         restocking fee only for Customer Remorse, on the unrounded refund."""
@@ -219,7 +254,7 @@ class Model:
             fee.alias("restocking_fee_amount"),
             F.to_date("return_date").alias("return_date"))
 
-    @cached_property
+    @mart
     def fact_purchase_orders(self) -> DataFrame:
         po = self.stg("stg_purchase_orders")
         prod = unique_by(self.dim_product, "product_id", ["product_key", "base_cost_sgd"])
@@ -246,7 +281,7 @@ class Model:
             F.to_date("order_date").alias("po_date"),
             F.to_date("expected_receipt_date").alias("expected_date"))
 
-    @cached_property
+    @mart
     def fact_marketing_spend(self) -> DataFrame:
         s = self.stg("stg_marketing_spend")
         j = lookup_key(s, self.dim_campaign, "campaign_id", "campaign_id", "campaign_key",
@@ -262,7 +297,7 @@ class Model:
 
     # -- inventory chain -----------------------------------------------------
 
-    @cached_property
+    @mart
     def movement_days(self) -> DataFrame:
         """(warehouse, product, day) pre-aggregate of the ledger: net change and
         sold / returned / received units. Partial aggregation happens before the
@@ -336,7 +371,7 @@ class Model:
         return explode_days(self.spine_pairs, "window_start", "window_end", "balance_date") \
             .select("warehouse_id", "product_id", "balance_date")
 
-    @cached_property
+    @mart
     def inventory_intervals(self) -> DataFrame:
         """Piecewise-constant on-hand per pair: one row per change day (plus an
         opening row) valid until the next change day, clipped to the window.
