@@ -622,3 +622,48 @@ def margin_filtered(m: Model, filters: dict | None = None) -> DataFrame:
             .agg(F.sum("net_revenue_amount").cast(DBL).alias("net_revenue_amount"),
                  F.sum("cogs_amount").cast(DBL).alias("cogs_amount")))
 
+
+
+# -- specified without source data: fixture-tested functions --------------------------
+
+def manufacturing_kpis(batches: DataFrame) -> DataFrame:
+    """Per (supplier, product): defect rate, QA pass rate, unit batch cost and
+    data completeness. ``batches``: batch_id, supplier_id, product_id,
+    units_produced, units_defective, qa_passed (bool), batch_cost."""
+    fields = ["units_produced", "units_defective", "qa_passed", "batch_cost"]
+    complete = F.lit(True)
+    for c in fields:
+        complete = complete & F.col(c).isNotNull()
+    agg = batches.groupBy("supplier_id", "product_id").agg(
+        F.count(F.lit(1)).alias("batches"), F.sum("units_produced").alias("units_produced"),
+        F.sum("units_defective").alias("units_defective"),
+        F.count(F.when(F.col("qa_passed"), 1)).alias("qa_passed_batches"),
+        F.count(F.when(F.col("qa_passed").isNotNull(), 1)).alias("qa_checked_batches"),
+        F.sum("batch_cost").alias("batch_cost"), F.count(F.when(complete, 1)).alias("complete_batches"))
+    return agg.select(
+        "supplier_id", "product_id", "batches",
+        _ratio("units_defective", "units_produced").alias("defect_rate"),
+        _ratio("qa_passed_batches", "qa_checked_batches").alias("qa_pass_rate"),
+        _ratio("batch_cost", "units_produced").alias("unit_batch_cost"),
+        _ratio("complete_batches", "batches").alias("data_completeness"))
+
+
+# Variance status bands (absolute variance %).
+VARIANCE_BANDS = [(0.02, "Reconciled"), (0.05, "Review")]
+VARIANCE_ELSE = "Investigate"
+
+
+def source_variance(a: DataFrame, b: DataFrame, keys: Sequence[str], measure: str) -> DataFrame:
+    """Variance between two sources of one measure (e.g. marketplace
+    preliminary vs reconciled revenue, platform-reported vs first-party
+    conversions): full outer join on the keys, missing side = 0."""
+    j = (a.select(*keys, F.col(measure).alias("source_a"))
+         .join(b.select(*keys, F.col(measure).alias("source_b")), list(keys), "full_outer"))
+    sa = F.coalesce(F.col("source_a").cast(DBL), F.lit(0.0))
+    sb = F.coalesce(F.col("source_b").cast(DBL), F.lit(0.0))
+    pct = F.try_divide(sb - sa, F.when(sa != 0, sa))
+    expr = F.when(pct.isNull(), F.when(sb == sa, "Reconciled").otherwise(VARIANCE_ELSE))
+    for hi, label in VARIANCE_BANDS:
+        expr = expr.when(F.abs(pct) <= hi, label)
+    return j.select(*keys, sa.alias("source_a"), sb.alias("source_b"), (sb - sa).alias("variance"),
+                    pct.alias("variance_pct"), expr.otherwise(VARIANCE_ELSE).alias("variance_status"))

@@ -150,7 +150,7 @@ def cleaned_customers(df: DataFrame) -> DataFrame:
 
 
 def cleaned_products(df: DataFrame) -> DataFrame:
-    return df.select("product_id", F.upper(F.trim("sku")).alias("sku_code"),
+    return df.select("product_id", F.upper(F.trim("sku_code")).alias("sku_code"),
                      F.round(F.col("msrp_sgd").cast("decimal(18,2)"), 2).alias("msrp_sgd"))
 
 

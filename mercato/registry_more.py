@@ -135,3 +135,30 @@ QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC)
     big=("tier_code",), tags=("streaming",)))
 
 
+
+# -- dictionary cleaning rules and PII masking --------------------------------------------
+
+from .plans import staging as ST  # noqa: E402
+
+register("stg_customers_cleaned", Query(lambda m: ST.cleaned_customers(m.stg("stg_customers")), """
+SELECT customer_id,
+       upper(substr(trim(first_name), 1, 1)) || lower(substr(trim(first_name), 2)) AS first_name,
+       upper(substr(trim(last_name), 1, 1)) || lower(substr(trim(last_name), 2)) AS last_name,
+       coalesce(loyalty_tier, 'Bronze') AS loyalty_tier,
+       regexp_matches(customer_id, '^CUST-[0-9]+$') AS customer_id_valid
+FROM stg_customers""", tags=("staging",)))
+
+register("stg_products_cleaned", Query(lambda m: ST.cleaned_products(m.stg("stg_products")), """
+SELECT product_id, upper(trim(sku_code)) AS sku_code, CAST(round(msrp_sgd, 2) AS DOUBLE) AS msrp_sgd
+FROM stg_products""", tags=("staging",)))
+
+
+def _mask(x: str, digit: str = "n") -> str:
+    return (f"regexp_replace(regexp_replace(regexp_replace({x}, '[A-Z]', 'X', 'g'), '[a-z]', 'x', 'g'), "
+            f"'[0-9]', '{digit}', 'g')")
+
+
+register("pii_masked_customers", Query(lambda m: ST.mask_customers(m.stg("stg_customers")), f"""
+SELECT customer_id, {_mask('first_name')} AS first_name, {_mask('last_name')} AS last_name,
+       sha256(email_address) AS email_hash, {_mask('phone_number', '#')} AS phone_number, customer_country
+FROM stg_customers""", tags=("staging",)))
