@@ -139,3 +139,23 @@ def cdc_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
                  F.get_json_object("props", "$.k").cast("int").alias("tier_code")))
     out = _run(e, "cdc", "append", _upsert_latest)
     return spark.read.parquet(out).select("user_id", _ntz("ts").alias("changed_at"), "event_id", "tier_code")
+
+
+def late_rows_report(spark: SparkSession, events_dir: str, glob: str = "*.parquet",
+                     delay: str = WATERMARK) -> tuple[DataFrame, int]:
+    """Append-mode 15-minute totals over the files of ``events_dir`` (one file
+    per micro-batch), returning the emitted windows and the number of rows the
+    watermark dropped as too late (late refunds and cancellations)."""
+    schema = spark.read.parquet(events_dir).schema
+    e = (spark.readStream.schema(schema).option("pathGlobFilter", glob).option("maxFilesPerTrigger", 1)
+         .parquet(events_dir).withColumn("ts", F.col("ts").cast("timestamp")).withWatermark("ts", delay))
+    agg = e.groupBy(F.window("ts", "15 minutes")).agg(F.count(F.lit(1)).alias("events"))
+    root = scratch_dir(spark, "stream-late")
+    out, ckpt = os.path.join(root, "out"), os.path.join(root, "checkpoint")
+    q = (agg.writeStream.option("checkpointLocation", ckpt).trigger(availableNow=True)
+         .outputMode("append").format("parquet").option("path", out).start())
+    q.awaitTermination()
+    dropped = sum(op.get("numRowsDroppedByWatermark", 0)
+                  for p in q.recentProgress for op in p.get("stateOperators", []))
+    windows = spark.read.parquet(out).select(_ntz("window.start").alias("window_start"), "events")
+    return windows, dropped
