@@ -21,11 +21,13 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .ranking import running_within
+
 
 def asof_join(left: DataFrame, right: DataFrame, by: Sequence[str],
               left_time: str, right_time: str, values: Sequence[str],
               tie: Sequence[str] = (), max_broadcast_rows: int = 200_000,
-              force: str | None = None) -> DataFrame:
+              force: str | None = None, max_group_rows: int = 2_000_000) -> DataFrame:
     """Left rows plus ``values`` of the matched right row (NULL when none)."""
     by = list(by)
     plan = force
@@ -34,7 +36,7 @@ def asof_join(left: DataFrame, right: DataFrame, by: Sequence[str],
         plan = "broadcast" if n <= max_broadcast_rows else "bucketed"
     if plan == "broadcast":
         return _asof_broadcast(left, right, by, left_time, right_time, values, tie)
-    return _asof_bucketed(left, right, by, left_time, right_time, values, tie)
+    return _asof_bucketed(left, right, by, left_time, right_time, values, tie, max_group_rows)
 
 
 def _cand_struct(right_time: str, tie: Sequence[str], values: Sequence[str]):
@@ -59,7 +61,7 @@ def _asof_broadcast(left, right, by, left_time, right_time, values, tie):
     return out.drop("__cands", "__hit")
 
 
-def _asof_bucketed(left, right, by, left_time, right_time, values, tie):
+def _asof_bucketed(left, right, by, left_time, right_time, values, tie, max_group_rows=2_000_000):
     bucket = lambda c: F.trunc(F.col(c).cast("date"), "MM")
     r = (right.filter(F.col(right_time).isNotNull())
          .select(*by, bucket(right_time).alias("__b"),
@@ -81,9 +83,10 @@ def _asof_bucketed(left, right, by, left_time, right_time, values, tie):
                        for c in lcols],
                      "__b",
                      F.col("__c")["__t"].alias("__t"), F.lit(0).alias("__side"), "__c")
-    w_in = (Window.partitionBy(*by, "__b").orderBy("__t", "__side")
-            .rowsBetween(Window.unboundedPreceding, 0))
-    both = lside.unionByName(rside).withColumn("__in", F.max("__c").over(w_in))
+    # Running max of the right rows inside each (key, month); a hot bucket is
+    # processed in ordered slices (running_within), not in one task.
+    both = running_within(lside.unionByName(rside), [*by, "__b"], ["__t", "__side"],
+                          maxes={"__in": "__c"}, max_group_rows=max_group_rows)
     hits = (both.filter(F.col("__side") == 1)
             .join(carry, [*by, "__b"], "left")
             .withColumn("__hit", F.greatest("__in", "__carry")))

@@ -604,11 +604,13 @@ def frequency_tables(m: Model) -> DataFrame:
     return out.select("attribute", "value", F.col("count").cast("bigint").alias("n"))
 
 
-def order_products(m: Model) -> DataFrame:
-    """Products per order as a sorted set (bounded by the order's lines)."""
+def order_warehouses(m: Model) -> DataFrame:
+    """Warehouses that fulfil each order, as a sorted set. The set is bounded
+    by the warehouse dimension whatever the size of the order (a per-order set
+    of products would not be: one order may hold a third of all lines)."""
     oi = m.stg("stg_order_items")
     return oi.groupBy("order_id").agg(
-        F.array_join(F.array_sort(F.collect_set("product_id")), "|").alias("products"),
+        F.array_join(F.array_sort(F.collect_set("warehouse_id")), "|").alias("warehouses"),
         F.count(F.lit(1)).alias("lines"))
 
 

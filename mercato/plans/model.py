@@ -20,6 +20,7 @@ from ..functions.exprs import (MONEY, RATE, composite, date_key, day_key, holida
                                round_money, strict_greatest, strict_least, surrogate_key)
 from ..operators.core import explode_days, lookup_key, unique_by, with_member
 from ..operators.intervals import daily_levels
+from ..operators.ranking import running_within
 from ..sources.domain import RawTables
 from . import staging as S
 
@@ -197,11 +198,11 @@ class Model:
         # At most one invoice per order: the lookup side is unique by order.
         inv = unique_by(self.stg("stg_ar_invoices"), "order_id", ["payment_terms_code"])
         prod = unique_by(self.dim_product, "product_id", ["product_key", "msrp_sgd", "base_cost_sgd"])
-        w_line = Window.partitionBy("order_id").orderBy("order_item_id")
-        j = (oi.join(o, "order_id")
-             .join(inv, "order_id", "left")
-             .withColumn("line_item_number", F.row_number().over(w_line))
-             .join(prod, "product_id", "left"))
+        j = oi.join(o, "order_id").join(inv, "order_id", "left")
+        # Line numbers per order; an order with a huge number of lines is
+        # numbered in ordered slices instead of one task.
+        j = running_within(j, ["order_id"], ["order_item_id"], rank="line_item_number")
+        j = j.join(prod, "product_id", "left")
         j = lookup_key(j, self.dim_customer, "customer_id", "customer_id", "customer_key", "customer_key")
         j = lookup_key(j, self.dim_warehouse, "warehouse_id", "warehouse_id", "warehouse_key",
                        "warehouse_key", bounded=True)
@@ -314,25 +315,13 @@ class Model:
     @cached_property
     def running_totals(self) -> DataFrame:
         """Cumulative quantity per (warehouse, product) ordered by (time, id).
-
-        = cumulative up to the previous day (window over pair-days) + running
-        sum inside the day (window over one pair-day). Equal to one window over
-        the whole pair, without sorting a hot pair in one task.
-        """
-        m = self.stg("stg_inventory_movements").withColumn("day", F.to_date("movement_date"))
-        w_days = (Window.partitionBy("warehouse_id", "product_id").orderBy("day")
-                  .rowsBetween(Window.unboundedPreceding, -1))
-        before = self.movement_days.select(
-            "warehouse_id", "product_id", "day",
-            F.coalesce(F.sum("day_qty").over(w_days), F.lit(0)).alias("before_day"))
-        w_in = (Window.partitionBy("warehouse_id", "product_id", "day")
-                .orderBy("movement_date", "movement_id")
-                .rowsBetween(Window.unboundedPreceding, 0))
-        return (m.join(before, ["warehouse_id", "product_id", "day"])
-                .withColumn("cumulative_qty_change",
-                            (F.col("before_day") + F.sum("quantity").over(w_in)).cast("bigint"))
-                .select("movement_id", "movement_date", "movement_type", "warehouse_id",
-                        "product_id", "quantity", "cumulative_qty_change"))
+        A pair holding a large share of the ledger is summed in ordered slices
+        with carried-in offsets (``running_within``), never in one task."""
+        m = self.stg("stg_inventory_movements")
+        r = running_within(m, ["warehouse_id", "product_id"], ["movement_date", "movement_id"],
+                           sums={"cumulative_qty_change": "quantity"})
+        return r.select("movement_id", "movement_date", "movement_type", "warehouse_id", "product_id",
+                        "quantity", F.col("cumulative_qty_change").cast("bigint").alias("cumulative_qty_change"))
 
     @cached_property
     def balance_offset(self) -> DataFrame:

@@ -376,8 +376,8 @@ UNION ALL SELECT 'invoice_status', invoice_status, count(*) FROM stg_ar_invoices
 UNION ALL SELECT 'movement_type', movement_type, count(*) FROM stg_inventory_movements GROUP BY 2
 UNION ALL SELECT 'lifecycle_status', lifecycle_status, count(*) FROM stg_products GROUP BY 2""")
 
-kpi("order_products", K.order_products, """
-SELECT order_id, array_to_string(list_sort(list_distinct(list(product_id))), '|') AS products, count(*) AS lines
+kpi("order_warehouses", K.order_warehouses, """
+SELECT order_id, array_to_string(list_sort(list_distinct(list(warehouse_id))), '|') AS warehouses, count(*) AS lines
 FROM stg_order_items GROUP BY 1""")
 
 _MARKETPLACES = ["Shopee", "Lazada"]

@@ -128,3 +128,41 @@ def test_daily_levels_matches_dense(spark):
             want[(k, d)] = (n + 1, t + m)
             d += dt.timedelta(days=1)
     assert got == want
+
+
+def test_row_number_within_hot_group_matches_window(spark):
+    from pyspark.sql import Window
+    from mercato.operators.ranking import row_number_within
+    rows = [("hot", f"i{i:05d}") for i in range(3000)] + [(f"k{j}", f"i{i:05d}") for j in range(50) for i in range(7)]
+    df = spark.createDataFrame(rows, "k string, o string").repartition(7)
+    got = {(r.k, r.o): r.rn for r in row_number_within(df, "k", ["o"], "rn", max_group_rows=100).collect()}
+    want = {(r.k, r.o): r.rn for r in df.withColumn(
+        "rn", F.row_number().over(Window.partitionBy("k").orderBy("o"))).collect()}
+    assert got == want and len(got) == 3350
+
+
+def test_running_within_hot_pair_sums(spark):
+    from pyspark.sql import Window
+    from mercato.operators.ranking import running_within
+    rnd = random.Random(11)
+    rows = [("w1", "p1", i, rnd.randint(-5, 9)) for i in range(2500)] + \
+           [("w1", f"p{j}", i, rnd.randint(-5, 9)) for j in range(2, 30) for i in range(5)]
+    df = spark.createDataFrame(rows, "w string, p string, t int, q int").repartition(5)
+    got = {(r.w, r.p, r.t): (r.rk, r.cum) for r in running_within(
+        df, ["w", "p"], ["t"], rank="rk", sums={"cum": "q"}, max_group_rows=50).collect()}
+    w = Window.partitionBy("w", "p").orderBy("t")
+    want = {(r.w, r.p, r.t): (r.rk, r.cum) for r in df.select(
+        "w", "p", "t", F.row_number().over(w).alias("rk"),
+        F.sum("q").over(w.rowsBetween(Window.unboundedPreceding, 0)).alias("cum")).collect()}
+    assert got == want
+
+
+def test_asof_bucketed_hot_bucket_matches_brute_force(spark):
+    rnd = random.Random(5)
+    base = D(2024, 1, 1)
+    right = [(f"C{i:02d}", "a", base + dt.timedelta(days=rnd.randint(0, 25))) for i in range(12)]
+    left = [(i, "a", base + dt.timedelta(days=rnd.randint(0, 27))) for i in range(600)]
+    ldf = spark.createDataFrame(left, "id int, ch string, t date")
+    rdf = spark.createDataFrame(right, "cid string, ch string, s date")
+    got = asof_join(ldf, rdf, ["ch"], "t", "s", ["cid"], tie=["cid"], force="bucketed", max_group_rows=40)
+    assert {r.id: r.cid for r in got.collect()} == _asof_brute(left, right)

@@ -10,14 +10,14 @@ TS = dt.datetime
 SCHEMA = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
 
 
-def _batches_dir(spark, batches):
+def _batches_dir(spark, batches, names=None):
     """One parquet file per micro-batch, ordered by modification time."""
     flat = tempfile.mkdtemp(prefix="mercato-late-")
     for i, rows in enumerate(batches):
         sub = tempfile.mkdtemp(prefix="mercato-late-src-")
         spark.createDataFrame(rows, SCHEMA).coalesce(1).write.mode("overwrite").parquet(os.path.join(sub, "o"))
         src = [f for f in os.listdir(os.path.join(sub, "o")) if f.endswith(".parquet")][0]
-        dst = os.path.join(flat, f"part-{i}.parquet")
+        dst = os.path.join(flat, names[i] if names else f"part-{i}.parquet")
         os.link(os.path.join(sub, "o", src), dst)
         os.utime(dst, (1_700_000_000 + i * 100,) * 2)
     return flat
@@ -42,8 +42,7 @@ def test_dedup_within_watermark_and_cdc_latest(spark):
             (1, TS(2024, 1, 1, 10, 0), 7, "signup", 1.0, '{"k": 3}'),     # repeated delivery
             (2, TS(2024, 1, 2, 9, 0), 7, "signup", 1.0, '{"k": 5}'),      # later change wins
             (3, TS(2024, 1, 2, 9, 0), 8, "signup", 1.0, '{"k": 9}')]
-    flat = _batches_dir(spark, [rows])
-    os.rename(os.path.join(flat, "part-0.parquet"), os.path.join(flat, "events.parquet"))
+    flat = _batches_dir(spark, [rows], names=["events.parquet"])
     ids = sorted(r.event_id for r in dedup_events(spark, flat).collect())
     assert ids == [1, 2, 3]
     latest = {r.user_id: (r.event_id, r.tier_code) for r in cdc_upsert(spark, flat).collect()}
