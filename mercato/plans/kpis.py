@@ -314,13 +314,13 @@ def ar_accounts_top15(m: Model, n: int = 15) -> DataFrame:
 
 
 def ar_aging_mix_monthly(m: Model) -> DataFrame:
-    """Aging-bucket mix by month: average daily amount per bucket (from the
-    dense fact, whose rows are produced and aggregated in one stage)."""
-    f = m.fact_ar_aging_daily.filter(_period(m, "snapshot_date"))
-    b = ["aging_bucket_0_30_amount", "aging_bucket_31_60_amount", "aging_bucket_61_90_amount",
-         "aging_bucket_90_plus_amount"]
-    return (f.groupBy(F.trunc("snapshot_date", "MM").alias("report_month"))
-            .agg(*[F.sum(c).cast(DBL).alias(c) for c in b], F.count_distinct("snapshot_date").alias("days")))
+    """Aging-bucket mix by month: daily bucket amounts summed over the month,
+    and the days with open invoices (sweep over bucket-cut balance pieces)."""
+    lv = m.ar_bucket_levels()
+    b = [name for name, _, _ in m.AGING_BUCKETS]
+    return (lv.filter(F.col("open_rows") > 0)
+            .groupBy(F.trunc("snapshot_date", "MM").alias("report_month"))
+            .agg(*[F.sum(c).cast(DBL).alias(c) for c in b], F.count(F.lit(1)).alias("days")))
 
 
 def ar_monthly_by_customer(m: Model) -> DataFrame:

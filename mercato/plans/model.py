@@ -446,18 +446,46 @@ class Model:
             stop = F.when(F.col("invoice_status") == "Partially Paid", end).otherwise(stop)
         return stop
 
-    def ar_balance_levels(self, by: tuple[str, ...] = ()) -> DataFrame:
-        """Per (by, day): total open balance, from two intervals per invoice
-        (full amount before the payment day, the unpaid rest from it on)."""
+    def ar_balance_pieces(self, by: tuple[str, ...] = ()) -> DataFrame:
+        """Per invoice, the piecewise-constant open balance: the full amount
+        before the payment day, the unpaid rest from it on (``__from``,
+        ``__to``, ``__bal``, plus ``invoice_date``)."""
         inv = self.stg("stg_ar_invoices").withColumn("__stop", self._ar_stop())
-        before = inv.select(*by, F.col("invoice_date").alias("__from"),
+        before = inv.select(*by, "invoice_date", F.col("invoice_date").alias("__from"),
                             F.when(F.col("payment_date").isNull(), F.col("__stop"))
                             .otherwise(F.least("__stop", F.date_sub("payment_date", 1))).alias("__to"),
                             F.col("invoice_amount").alias("__bal"))
         after = inv.filter(F.col("payment_date").isNotNull()).select(
-            *by, F.greatest("invoice_date", "payment_date").alias("__from"), F.col("__stop").alias("__to"),
+            *by, "invoice_date", F.greatest("invoice_date", "payment_date").alias("__from"),
+            F.col("__stop").alias("__to"),
             (F.col("invoice_amount") - F.col("amount_paid")).cast(MONEY).alias("__bal"))
-        return daily_levels(before.unionByName(after), by, "__from", "__to",
+        return before.unionByName(after)
+
+    # Aging buckets by days since the invoice date (inclusive).
+    AGING_BUCKETS = (("aging_bucket_0_30_amount", 0, 30), ("aging_bucket_31_60_amount", 31, 60),
+                     ("aging_bucket_61_90_amount", 61, 90), ("aging_bucket_90_plus_amount", 91, None))
+
+    def ar_bucket_levels(self, by: tuple[str, ...] = ()) -> DataFrame:
+        """Per (by, day): open balance in each aging bucket and the number of
+        open invoice rows, from the balance pieces cut at the bucket edges
+        (at most 8 intervals per invoice, no invoice x day rows)."""
+        pieces = self.ar_balance_pieces(by)
+        parts = []
+        for name, lo, hi in self.AGING_BUCKETS:
+            frm = F.greatest(F.col("__from"), F.date_add("invoice_date", lo))
+            to = F.col("__to") if hi is None else F.least(F.col("__to"), F.date_add("invoice_date", hi))
+            parts.append(F.struct(F.lit(name).alias("__bucket"), frm.alias("__bf"), to.alias("__bt")))
+        cut = pieces.select(*by, "__bal", F.explode(F.array(*parts)).alias("__p")).select(*by, "__bal", "__p.*")
+        measures = {name: F.when(F.col("__bucket") == name, F.col("__bal")).otherwise(F.lit(0).cast(MONEY))
+                    for name, _, _ in self.AGING_BUCKETS}
+        measures["open_rows"] = F.lit(1).cast("bigint")
+        return daily_levels(cut, by, "__bf", "__bt", measures, self.sim_start, self.sim_end, day="snapshot_date")
+
+    def ar_balance_levels(self, by: tuple[str, ...] = ()) -> DataFrame:
+        """Per (by, day): total open balance, from two intervals per invoice
+        (full amount before the payment day, the unpaid rest from it on)."""
+        pieces = self.ar_balance_pieces(by)
+        return daily_levels(pieces, by, "__from", "__to",
                             {"open_balance_amount": F.col("__bal")},
                             self.sim_start, self.sim_end, day="snapshot_date")
 

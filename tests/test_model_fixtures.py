@@ -166,3 +166,16 @@ def test_attribution_rules(spark):
             cust, camps, ["channel"], "customer_since", "start_date", ["campaign_id"], tie=["campaign_id"],
             force=plan).collect()}
         assert got == {"A": "CMP-001", "B": None, "C": None, "D": "CMP-009", "E": None}, plan
+
+
+def test_ar_bucket_sweep_equals_dense(spark):
+    m = ar_model(spark)
+    names = [n for n, _, _ in m.AGING_BUCKETS]
+    dense = {}
+    for r in m.fact_ar_aging_daily.collect():
+        acc = dense.setdefault(r.snapshot_date, [0] * (len(names) + 1))
+        for i, n in enumerate(names):
+            acc[i] += getattr(r, n)
+        acc[-1] += 1
+    lv = {r.snapshot_date: [getattr(r, n) for n in names] + [r.open_rows] for r in m.ar_bucket_levels().collect()}
+    assert lv == dense
