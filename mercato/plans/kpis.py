@@ -669,3 +669,71 @@ def source_variance(a: DataFrame, b: DataFrame, keys: Sequence[str], measure: st
         expr = expr.when(F.abs(pct) <= hi, label)
     return j.select(*keys, sa.alias("source_a"), sb.alias("source_b"), (sb - sa).alias("variance"),
                     pct.alias("variance_pct"), expr.otherwise(VARIANCE_ELSE).alias("variance_status"))
+
+
+# -- further specified checks and KPIs ------------------------------------------------
+
+def sold_outside_lifecycle(m: Model) -> DataFrame:
+    """Temporal validity: lines ordered before the product's launch or after
+    its discontinuation (open end = far future)."""
+    dp = m.dim_product.select("product_key", "launch_date", "discontinued_date")
+    j = m.fact_sales.select("product_key", "order_date").join(dp, "product_key", "left")
+    end = F.coalesce(F.col("discontinued_date"), F.lit("9999-12-31").cast("date"))
+    return j.agg(F.count(F.when(F.col("order_date") < F.col("launch_date"), 1)).alias("lines_before_launch"),
+                 F.count(F.when(F.col("order_date") > end, 1)).alias("lines_after_discontinued"),
+                 F.count(F.lit(1)).alias("total_lines"))
+
+
+def stockout_with_inbound(m: Model) -> DataFrame:
+    """Pairs at zero (or below) on their last day with stock in transit."""
+    iv = m.inventory_intervals.filter(F.col("valid_from") <= F.col("valid_to"))
+    last = iv.groupBy("warehouse_id", "product_id").agg(
+        F.max("valid_to").alias("last_day"), F.max_by("quantity_on_hand", "valid_to").alias("quantity_on_hand"))
+    inbound = (m.stg("stg_purchase_orders").filter(F.col("po_status") == "In Transit")
+               .groupBy("warehouse_id", "product_id").agg(F.sum("quantity_ordered").alias("in_transit_qty")))
+    return (last.filter(F.col("quantity_on_hand") <= 0).join(inbound, ["warehouse_id", "product_id"])
+            .select("warehouse_id", "product_id", "last_day", F.col("quantity_on_hand").cast("bigint"),
+                    F.col("in_transit_qty").cast("bigint")))
+
+
+def campaign_constancy(m: Model) -> DataFrame:
+    """``any_value`` is only safe when the attribute is constant per campaign."""
+    ms = m.stg("stg_marketing_spend")
+    per = ms.groupBy("campaign_id").agg(F.count_distinct("campaign_name").alias("names"),
+                                        F.count_distinct("channel").alias("channels"),
+                                        F.count_distinct("platform").alias("platforms"))
+    varying = (F.col("names") > 1) | (F.col("channels") > 1) | (F.col("platforms") > 1)
+    return per.agg(F.count(F.lit(1)).alias("campaigns"), F.count(F.when(varying, 1)).alias("non_constant_campaigns"))
+
+
+def inventory_valuation_daily(m: Model) -> DataFrame:
+    """Warehouse x day: pairs, units and value on hand (current unit cost)."""
+    iv = m.inventory_intervals.join(m.dim_product.select("product_id", "base_cost_sgd"), "product_id")
+    lv = daily_levels(iv, ["warehouse_id"], "valid_from", "valid_to",
+                      {"active_pairs": F.lit(1).cast("bigint"),
+                       "quantity_on_hand": F.col("quantity_on_hand").cast("bigint"),
+                       "inventory_value": (F.col("quantity_on_hand") * F.col("base_cost_sgd")).cast("decimal(28,2)")},
+                      m.sim_start, m.sim_end, day="balance_date")
+    return lv.select("warehouse_id", "balance_date", "active_pairs", "quantity_on_hand",
+                     F.col("inventory_value").cast(DBL).alias("inventory_value"))
+
+
+def orders_per_customer_by_channel(m: Model) -> DataFrame:
+    dc = m.dim_customer.select("customer_key", "acquisition_channel")
+    fs = m.fact_sales.filter(F.col("fulfillment_status") != "Cancelled")
+    agg = (fs.join(dc, "customer_key").groupBy("acquisition_channel", "sales_channel_code")
+           .agg(F.count_distinct("order_number").alias("orders"),
+                F.count_distinct("customer_key").alias("customers")))
+    return agg.withColumn("orders_per_customer", _ratio("orders", "customers"))
+
+
+def inventory_delta_check(m: Model) -> DataFrame:
+    """Day-over-day change of on-hand equals the day's received + returned -
+    sold, at every change day inside a pair's window."""
+    iv = m.inventory_intervals.filter(F.col("valid_from") <= F.col("valid_to"))
+    w = Window.partitionBy("warehouse_id", "product_id").orderBy("valid_from")
+    j = iv.withColumn("__prev", F.lag("quantity_on_hand").over(w))
+    change = F.col("day").isNotNull() & (F.col("day") == F.col("valid_from")) & F.col("__prev").isNotNull()
+    flows = F.col("units_received_qty") + F.col("units_returned_qty") - F.col("units_sold_qty")
+    bad = change & ((F.col("quantity_on_hand") - F.col("__prev")) != flows)
+    return j.agg(F.count(F.when(bad, 1)).alias("mismatches"))

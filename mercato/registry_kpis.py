@@ -389,3 +389,44 @@ JOIN dim_customer dc ON fs.customer_key = dc.customer_key
 WHERE fs.order_date {P} AND dp.product_id <> 'UNKNOWN'
   AND fs.sales_channel_code IN ({', '.join(f"'{c}'" for c in _MARKETPLACES)})
 GROUP BY 1, 2""")
+
+kpi("dq_sold_outside_lifecycle", K.sold_outside_lifecycle, """
+SELECT count(*) FILTER (WHERE fs.order_date < dp.launch_date) AS lines_before_launch,
+       count(*) FILTER (WHERE fs.order_date > coalesce(dp.discontinued_date, DATE '9999-12-31')) AS lines_after_discontinued,
+       count(*) AS total_lines
+FROM fact_sales fs LEFT JOIN dim_product dp ON fs.product_key = dp.product_key""")
+
+kpi("kpi_stockout_with_inbound", K.stockout_with_inbound, """
+SELECT l.warehouse_id, l.product_id, l.balance_date AS last_day, l.quantity_on_hand,
+       CAST(p.q AS BIGINT) AS in_transit_qty
+FROM (SELECT warehouse_id, product_id, balance_date, quantity_on_hand FROM fact_inventory_daily
+      QUALIFY row_number() OVER (PARTITION BY warehouse_id, product_id ORDER BY balance_date DESC) = 1) l
+JOIN (SELECT warehouse_id, product_id, sum(quantity_ordered) AS q FROM stg_purchase_orders
+      WHERE po_status = 'In Transit' GROUP BY 1, 2) p ON l.warehouse_id = p.warehouse_id AND l.product_id = p.product_id
+WHERE l.quantity_on_hand <= 0""", big=("quantity_on_hand",))
+
+kpi("dq_campaign_constancy", K.campaign_constancy, """
+SELECT count(*) AS campaigns,
+       count(*) FILTER (WHERE names > 1 OR channels > 1 OR platforms > 1) AS non_constant_campaigns
+FROM (SELECT campaign_id, count(DISTINCT campaign_name) AS names, count(DISTINCT channel) AS channels,
+             count(DISTINCT platform) AS platforms FROM stg_marketing_spend GROUP BY 1)""")
+
+kpi("kpi_inventory_valuation_daily", K.inventory_valuation_daily, """
+SELECT f.warehouse_id, f.balance_date, count(*) AS active_pairs, CAST(sum(f.quantity_on_hand) AS BIGINT) AS quantity_on_hand,
+       CAST(sum(f.quantity_on_hand * dp.base_cost_sgd) AS DOUBLE) AS inventory_value
+FROM fact_inventory_daily f JOIN dim_product dp ON f.product_id = dp.product_id GROUP BY 1, 2""")
+
+kpi("kpi_orders_per_customer_by_channel", K.orders_per_customer_by_channel, """
+SELECT dc.acquisition_channel, fs.sales_channel_code, count(DISTINCT fs.order_number) AS orders,
+       count(DISTINCT fs.customer_key) AS customers,
+       CAST(count(DISTINCT fs.order_number) AS DOUBLE) / CAST(nullif(count(DISTINCT fs.customer_key), 0) AS DOUBLE)
+           AS orders_per_customer
+FROM fact_sales fs JOIN dim_customer dc ON fs.customer_key = dc.customer_key
+WHERE fs.fulfillment_status <> 'Cancelled' GROUP BY 1, 2""")
+
+kpi("dq_inventory_delta_check", K.inventory_delta_check, """
+SELECT count(*) FILTER (WHERE prev IS NOT NULL
+                        AND quantity_on_hand - prev <> units_received_qty + units_returned_qty - units_sold_qty)
+           AS mismatches
+FROM (SELECT *, lag(quantity_on_hand) OVER (PARTITION BY warehouse_id, product_id ORDER BY balance_date) AS prev
+      FROM fact_inventory_daily)""")
