@@ -74,7 +74,7 @@ class Model:
         self.spark = spark
         self.materialize = materialize
         self._store: str | None = None
-        self.raw = raw if raw is not None else RawTables(spark, sf_dir)
+        self.raw = raw if raw is not None else RawTables(spark, sf_dir, materialize=materialize)
         self.as_of = as_of
         self.sim_start = sim_start
         self.sim_end = sim_end
@@ -91,7 +91,9 @@ class Model:
         return self.spark.read.parquet(path)
 
     def build(self) -> None:
-        """Materialise every mart (in dependency order)."""
+        """Materialise the landing tables, then every mart (dependency order)."""
+        for name in getattr(self.raw, "RAW_TABLES", ()):
+            self.raw.raw(name)
         for name in MARTS:
             getattr(self, name)
 

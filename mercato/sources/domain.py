@@ -31,6 +31,8 @@ Mapping (SURVEY §7.1):
 
 from __future__ import annotations
 
+import functools
+import os
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -43,6 +45,15 @@ from ..operators.core import avg_percent_rank, tier, unique_by
 from .tables import read_table
 
 
+def landing(fn):
+    """A landing table: written once as parquet when the adapter materialises
+    (the raw tables of the warehouse exist as files), read back by every user."""
+    @functools.wraps(fn)
+    def get(self):
+        return self._persist(fn.__name__, fn(self))
+    return cached_property(get)
+
+
 def _id(fmt: str, *cols) -> F.Column:
     return F.format_string(fmt, *[F.col(c) if isinstance(c, str) else c for c in cols])
 
@@ -57,9 +68,21 @@ def line_id(prefix: str) -> F.Column:
 class RawTables:
     """Lazily derived landing tables for one scale-factor directory."""
 
-    def __init__(self, spark: SparkSession, sf_dir: str):
+    def __init__(self, spark: SparkSession, sf_dir: str, materialize: bool = False):
         self.spark = spark
         self.sf_dir = sf_dir
+        self.materialize = materialize
+        self._store: str | None = None
+
+    def _persist(self, name: str, df: DataFrame) -> DataFrame:
+        if not self.materialize:
+            return df
+        if self._store is None:
+            from .ingest import scratch_dir
+            self._store = scratch_dir(self.spark, "landing")
+        path = os.path.join(self._store, name)
+        df.write.mode("overwrite").parquet(path)
+        return self.spark.read.parquet(path)
 
     def t(self, name: str) -> DataFrame:
         return read_table(self.spark, self.sf_dir, name)
@@ -74,7 +97,7 @@ class RawTables:
                 .join(F.broadcast(n), F.col("s_nationkey") == F.col("n_nationkey"))
                 .select("s_suppkey", _id("WH-%02d", "n_regionkey").alias("warehouse_id")))
 
-    @cached_property
+    @landing
     def lines(self) -> DataFrame:
         """lineitem joined to its order header (channel, status, date)."""
         li = self.t("lineitem").select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber",
@@ -110,7 +133,7 @@ class RawTables:
 
     # -- the 15 landing tables -----------------------------------------------
 
-    @cached_property
+    @landing
     def suppliers(self) -> DataFrame:
         n = self.t("nation").select("n_nationkey", "n_name")
         s = self.t("supplier")
@@ -129,7 +152,7 @@ class RawTables:
                         (F.col("s_acctbal") > 5000).alias("preferred_supplier"),
                         lit_date(C.CALENDAR_START).alias("created_at")))
 
-    @cached_property
+    @landing
     def products(self) -> DataFrame:
         p = self.t("part")
         st = self.part_stats
@@ -159,7 +182,7 @@ class RawTables:
                         F.lit(14).alias("lead_time_days"),
                         (F.col("p_size") * 20).cast("int").alias("reorder_quantity")))
 
-    @cached_property
+    @landing
     def warehouses(self) -> DataFrame:
         n = self.t("nation")
         r = self.t("region")
@@ -180,7 +203,7 @@ class RawTables:
                         F.concat(F.lit("["), F.array_join("served", ", "), F.lit("]"))
                          .alias("serves_countries")))
 
-    @cached_property
+    @landing
     def customers(self) -> DataFrame:
         c = self.t("customer")
         n = self.t("nation").select("n_nationkey", "n_name")
@@ -227,7 +250,7 @@ class RawTables:
                 .select("o_orderkey", F.col("serving_wh").alias("fulfillment_wh"),
                         F.col("n_name").alias("customer_country")))
 
-    @cached_property
+    @landing
     def orders(self) -> DataFrame:
         o = self.t("orders")
         methods = F.array(*[F.lit(m) for m in C.PAYMENT_METHODS])
@@ -241,7 +264,7 @@ class RawTables:
                         map_values("o_orderstatus", C.ORDER_STATUS).alias("order_status"),
                         F.col("fulfillment_wh").alias("fulfillment_warehouse_id")))
 
-    @cached_property
+    @landing
     def order_items(self) -> DataFrame:
         li = self.lines
         qty = F.col("l_quantity").cast("int")
@@ -258,7 +281,7 @@ class RawTables:
             F.col("tax_amount"),
             round_money(F.col("net_sales") * commission).alias("commission_amount"))
 
-    @cached_property
+    @landing
     def shipments(self) -> DataFrame:
         li = self.lines.filter(F.col("o_orderstatus") != "P")
         per_order = li.groupBy("l_orderkey", "o_orderstatus", "o_orderpriority").agg(
@@ -284,7 +307,7 @@ class RawTables:
                         round_money(F.col("units").cast(MONEY) * F.lit("0.25").cast(RATE))
                         .alias("shipping_cost")))
 
-    @cached_property
+    @landing
     def returns(self) -> DataFrame:
         li = self.lines.filter(F.col("l_returnflag") == "R")
         reasons = F.array(*[F.lit(r) for r in C.RETURN_REASONS])
@@ -303,7 +326,7 @@ class RawTables:
             F.element_at(disp, ((F.col("l_linenumber") - 1) % len(C.DISPOSITIONS) + 1).cast("int"))
              .alias("disposition"))
 
-    @cached_property
+    @landing
     def purchase_orders(self) -> DataFrame:
         li = self.lines.filter(F.col("l_linestatus") == "O")
         qty = F.col("l_quantity").cast("int")
@@ -326,13 +349,13 @@ class RawTables:
         tiers = self.demand_tiers.select("product_id", "demand_tier")
         return base.join(tiers, "product_id", "left").select(*base.columns, "demand_tier")
 
-    @cached_property
+    @landing
     def assignment(self) -> DataFrame:
         """(warehouse, product) pairs stocked: every pair that ever had a line."""
         return (self.lines.select("warehouse_id", _id("PRD-%06d", "l_partkey").alias("product_id"))
                 .filter(F.col("warehouse_id").isNotNull()).distinct())
 
-    @cached_property
+    @landing
     def inventory_snapshot(self) -> DataFrame:
         pairs = self.assignment
         p = self.products.select("product_id", "launch_date", "reorder_point", "base_cost_sgd")
@@ -352,7 +375,7 @@ class RawTables:
                         F.greatest(F.lit(2 * C.SAFETY_STOCK), F.col("reorder_point")).alias("reorder_point"),
                         (on_hand * F.col("base_cost_sgd")).cast(MONEY).alias("inventory_value")))
 
-    @cached_property
+    @landing
     def inventory_movements(self) -> DataFrame:
         li = self.lines
         pid = _id("PRD-%06d", "l_partkey")
@@ -377,7 +400,7 @@ class RawTables:
             F.col("purchase_order_id").alias("reference_id"))
         return sales.unionByName(rets).unionByName(pos)
 
-    @cached_property
+    @landing
     def marketing_spend(self) -> DataFrame:
         e = self.t("events").filter(F.col("event_type").isin("view", "click"))
         k = F.get_json_object("props", "$.k").cast("int")
@@ -409,7 +432,7 @@ class RawTables:
             round_money(F.try_divide(F.col("spend_sgd"), F.col("clicks").cast(MONEY)))
              .alias("cost_per_click_sgd"))
 
-    @cached_property
+    @landing
     def acquisition_attribution(self) -> DataFrame:
         """First touch: latest campaign on the customer's channel that started
         on or before sign-up; ties -> greater campaign id; none -> NULL."""
@@ -421,7 +444,7 @@ class RawTables:
                         right_time="start_date", values=["campaign_id"], tie=["campaign_id"])
         return hit.select("customer_id", F.col("campaign_id").alias("acquisition_campaign_id"))
 
-    @cached_property
+    @landing
     def ar_invoices(self) -> DataFrame:
         li = self.lines.filter(F.col("o_orderstatus") != "P")
         totals = li.groupBy("l_orderkey").agg(
