@@ -197,6 +197,9 @@ class Model:
         o = self.stg("stg_orders").select(
             "order_id", "customer_id", F.to_date("order_date").alias("order_date"),
             "sales_channel", "payment_method", F.col("order_status").alias("fulfillment_status"))
+        # The customer is a header attribute: resolve its key at order grain,
+        # before the header meets its lines (a shuffle of orders, not of lines).
+        o = lookup_key(o, self.dim_customer, "customer_id", "customer_id", "customer_key", "customer_key")
         # At most one invoice per order: the lookup side is unique by order.
         inv = unique_by(self.stg("stg_ar_invoices"), "order_id", ["payment_terms_code"])
         prod = unique_by(self.dim_product, "product_id", ["product_key", "msrp_sgd", "base_cost_sgd"])
@@ -205,7 +208,6 @@ class Model:
         # numbered in ordered slices instead of one task.
         j = running_within(j, ["order_id"], ["order_item_id"], rank="line_item_number")
         j = j.join(prod, "product_id", "left")
-        j = lookup_key(j, self.dim_customer, "customer_id", "customer_id", "customer_key", "customer_key")
         j = lookup_key(j, self.dim_warehouse, "warehouse_id", "warehouse_id", "warehouse_key",
                        "warehouse_key", bounded=True)
         return j.select(
@@ -233,12 +235,12 @@ class Model:
         r = self.stg("stg_returns")
         o = self.stg("stg_orders").select("order_id", "customer_id",
                                           F.col("order_date").alias("original_order_date"))
+        o = lookup_key(o, self.dim_customer, "customer_id", "customer_id", "customer_key", "customer_key")
         oi = unique_by(self.stg("stg_order_items"), "order_item_id", ["net_sales", "quantity"]) \
             .select("order_item_id", F.col("net_sales").alias("_net"), F.col("quantity").alias("_qty"))
         refund = F.try_divide(F.col("returned_quantity") * F.col("_net"), F.col("_qty").cast("decimal(10,0)"))
         j = (r.join(o, "order_id").join(oi, "order_item_id", "left")
              .withColumn("_refund", refund))
-        j = lookup_key(j, self.dim_customer, "customer_id", "customer_id", "customer_key", "customer_key")
         j = lookup_key(j, self.dim_product, "product_id", "product_id", "product_key", "product_key")
         j = lookup_key(j, self.dim_warehouse, "warehouse_id", "warehouse_id", "warehouse_key",
                        "warehouse_key", bounded=True)
