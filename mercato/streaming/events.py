@@ -25,9 +25,9 @@ from ..sources.ingest import scratch_dir
 WATERMARK = "1 hour"
 
 
-def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    schema = spark.read.parquet(os.path.join(sf_dir, "events.parquet")).schema
-    s = (spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet")
+def event_stream(spark: SparkSession, sf_dir: str, glob: str = "events.parquet") -> DataFrame:
+    schema = spark.read.option("pathGlobFilter", glob).parquet(sf_dir).schema
+    s = (spark.readStream.schema(schema).option("pathGlobFilter", glob)
          .option("maxFilesPerTrigger", 1).parquet(sf_dir))
     # Event-time operators need TIMESTAMP (the file holds TIMESTAMP_NTZ).
     return s.withColumn("ts", F.col("ts").cast("timestamp"))
@@ -112,29 +112,40 @@ def dedup_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(out).select("event_id", "user_id", "event_type", _ntz("ts").alias("ts"), "value")
 
 
+CDC_BUCKETS = 64
+
+
+def _latest(df: DataFrame) -> DataFrame:
+    order = F.struct("ts", "event_id")
+    return (df.groupBy("bucket", "user_id")
+            .agg(F.max_by(F.struct("ts", "event_id", "tier_code"), order).alias("r"))
+            .select("bucket", "user_id", "r.ts", "r.event_id", "r.tier_code"))
+
+
 def _upsert_latest(batch: DataFrame, _id: int, out: str) -> None:
     """Merge a micro-batch of profile changes into the target: latest change
-    per key wins (by time, then id)."""
-    latest = batch.groupBy("user_id").agg(
-        F.max_by(F.struct("ts", "event_id", "tier_code"), F.struct("ts", "event_id")).alias("r"))
-    latest = latest.select("user_id", "r.ts", "r.event_id", "r.tier_code")
+    per key wins (by time, then id). The target is partitioned by a hash bucket
+    of the key; only the buckets the batch touches are read, merged and
+    rewritten (dynamic partition overwrite), so a batch costs its own size, not
+    the size of the whole table."""
     spark = batch.sparkSession
+    changes = _latest(batch.withColumn("bucket", F.pmod(F.xxhash64("user_id"), F.lit(CDC_BUCKETS))))
+    touched = changes.select("bucket").distinct()          # <= CDC_BUCKETS rows
     try:
-        current = spark.read.parquet(out)
-        merged = current.unionByName(latest).groupBy("user_id").agg(
-            F.max_by(F.struct("ts", "event_id", "tier_code"), F.struct("ts", "event_id")).alias("r")) \
-            .select("user_id", "r.ts", "r.event_id", "r.tier_code")
-        # Materialise (reliable checkpoint) before replacing the folder we read from.
+        current = spark.read.parquet(out).join(F.broadcast(touched), "bucket", "left_semi")
+        merged = _latest(current.select(*changes.columns).unionByName(changes))
+        # Materialise (reliable checkpoint) before replacing the files we read from.
         merged = merged.checkpoint(eager=True)
     except AnalysisException:  # first batch: no target yet
-        merged = latest
-    merged.write.mode("overwrite").parquet(out)
+        merged = changes
+    (merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("bucket").parquet(out))
 
 
-def cdc_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+def cdc_upsert(spark: SparkSession, sf_dir: str, glob: str = "events.parquet") -> DataFrame:
     """CDC of a customer attribute: sign-up events carry a profile code; the
     target keeps the latest code per user."""
-    e = (event_stream(spark, sf_dir).filter(F.col("event_type") == "signup")
+    e = (event_stream(spark, sf_dir, glob).filter(F.col("event_type") == "signup")
          .select("user_id", "ts", "event_id",
                  F.get_json_object("props", "$.k").cast("int").alias("tier_code")))
     out = _run(e, "cdc", "append", _upsert_latest)

@@ -47,3 +47,15 @@ def test_dedup_within_watermark_and_cdc_latest(spark):
     assert ids == [1, 2, 3]
     latest = {r.user_id: (r.event_id, r.tier_code) for r in cdc_upsert(spark, flat).collect()}
     assert latest == {7: (2, 5), 8: (3, 9)}
+
+
+def test_cdc_upsert_merges_across_batches(spark):
+    from mercato.streaming.events import cdc_upsert
+    b1 = [(1, TS(2024, 1, 1, 10, 0), 7, "signup", 1.0, '{"k": 3}'),
+          (2, TS(2024, 1, 3, 10, 0), 8, "signup", 1.0, '{"k": 4}')]
+    b2 = [(3, TS(2024, 1, 5, 9, 0), 7, "signup", 1.0, '{"k": 6}'),      # newer: replaces
+          (4, TS(2024, 1, 2, 9, 0), 8, "signup", 1.0, '{"k": 1}'),      # older: ignored
+          (5, TS(2024, 1, 4, 9, 0), 9, "signup", 1.0, '{"k": 2}')]      # new key
+    flat = _batches_dir(spark, [b1, b2], names=["e1.parquet", "e2.parquet"])
+    latest = {r.user_id: (r.event_id, r.tier_code) for r in cdc_upsert(spark, flat, glob="e*.parquet").collect()}
+    assert latest == {7: (3, 6), 8: (2, 4), 9: (5, 2)}
