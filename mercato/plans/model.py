@@ -30,15 +30,19 @@ MARTS = ("dim_product", "dim_supplier", "dim_warehouse", "dim_campaign", "dim_cu
          "movement_days", "inventory_intervals")
 
 
-def mart(fn):
+def mart(fn=None, *, cluster: tuple[str, ...] = ()):
     """A model table that is written once as a parquet table (when the model
     materialises) and read back by every consumer: the dbt 'table'
     materialisation. It also cuts the lineage, so a lost executor recomputes
-    from the table, not from the raw files."""
-    @functools.wraps(fn)
-    def get(self):
-        return self._persist(fn.__name__, fn(self))
-    return cached_property(get)
+    from the table, not from the raw files. ``cluster``: columns the files are
+    range-partitioned and sorted by, so min/max statistics let filters on them
+    skip row groups (e.g. a reporting period on a date)."""
+    def wrap(f):
+        @functools.wraps(f)
+        def get(self):
+            return self._persist(f.__name__, f(self), cluster)
+        return cached_property(get)
+    return wrap(fn) if fn is not None else wrap
 
 
 def dim_date_frame(spark: SparkSession, start: dt.date = C.CALENDAR_START,
@@ -80,9 +84,12 @@ class Model:
         self.sim_end = sim_end
         self.keep_partial_payments = keep_partial_payments
 
-    def _persist(self, name: str, df: DataFrame) -> DataFrame:
+    def _persist(self, name: str, df: DataFrame, cluster: tuple[str, ...] = ()) -> DataFrame:
         if not self.materialize:
             return df
+        if cluster:
+            n = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+            df = df.repartitionByRange(n, *cluster).sortWithinPartitions(*cluster)
         if self._store is None:
             from ..sources.ingest import scratch_dir
             self._store = scratch_dir(self.spark, "marts")
@@ -189,7 +196,7 @@ class Model:
 
     # -- transaction facts ---------------------------------------------------
 
-    @mart
+    @mart(cluster=("order_date",))
     def fact_sales(self) -> DataFrame:
         """Line grain. Inner join line -> header, at most one invoice per order
         (left join on the unique invoice key), COGS at the current unit cost."""
@@ -228,7 +235,7 @@ class Model:
             (F.col("quantity") * F.col("base_cost_sgd")).cast(MONEY).alias("cogs_amount"),
             "order_date")
 
-    @mart
+    @mart(cluster=("return_date",))
     def fact_returns(self) -> DataFrame:
         """Refund = returned qty x net/qty (NULL-safe), rounded to cents; a 10%
         restocking fee only for Customer Remorse, on the unrounded refund."""
