@@ -737,3 +737,21 @@ def inventory_delta_check(m: Model) -> DataFrame:
     flows = F.col("units_received_qty") + F.col("units_returned_qty") - F.col("units_sold_qty")
     bad = change & ((F.col("quantity_on_hand") - F.col("__prev")) != flows)
     return j.agg(F.count(F.when(bad, 1)).alias("mismatches"))
+
+
+def assignment_rule(m: Model) -> DataFrame:
+    """Deterministic part of the warehouse-product assignment: High and Very
+    High demand products are stocked in every warehouse (Returns Centers carry
+    nothing). The warehouse list is one bounded array (a scalar subquery over
+    the warehouse dimension) that each such product explodes: no join, no
+    cross product. Compared with the pairs that actually sold."""
+    wh = (m.dim_warehouse.filter((F.col("warehouse_id") != C.UNKNOWN_ID)
+                                 & (F.col("warehouse_type") != "Returns Center"))
+          .agg(F.array_sort(F.collect_list("warehouse_id"))).scalar())
+    tiers = reorder_quantities(m).filter(F.col("demand_tier").isin("High", "Very High"))
+    rule = tiers.select("product_id", F.explode(wh).alias("warehouse_id")).withColumn("rule_assigned", F.lit(True))
+    sold = m.stg("stg_warehouse_product_assignment").withColumn("has_sales", F.lit(True))
+    j = rule.join(sold, ["warehouse_id", "product_id"], "full_outer")
+    return j.select("warehouse_id", "product_id",
+                    F.coalesce("rule_assigned", F.lit(False)).alias("rule_assigned"),
+                    F.coalesce("has_sales", F.lit(False)).alias("has_sales"))

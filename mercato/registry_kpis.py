@@ -430,3 +430,13 @@ SELECT count(*) FILTER (WHERE prev IS NOT NULL
            AS mismatches
 FROM (SELECT *, lag(quantity_on_hand) OVER (PARTITION BY warehouse_id, product_id ORDER BY balance_date) AS prev
       FROM fact_inventory_daily)""")
+
+kpi("assignment_rule", K.assignment_rule, """
+SELECT coalesce(r.warehouse_id, s.warehouse_id) AS warehouse_id, coalesce(r.product_id, s.product_id) AS product_id,
+       r.product_id IS NOT NULL AS rule_assigned, s.product_id IS NOT NULL AS has_sales
+FROM (SELECT w.warehouse_id, t.product_id
+      FROM demand_tiers t CROSS JOIN dim_warehouse w
+      WHERE t.demand_tier IN ('High', 'Very High') AND w.warehouse_id <> 'UNKNOWN'
+        AND w.warehouse_type <> 'Returns Center') r
+FULL OUTER JOIN stg_warehouse_product_assignment s
+  ON r.warehouse_id = s.warehouse_id AND r.product_id = s.product_id""")
