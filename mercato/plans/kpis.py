@@ -755,3 +755,13 @@ def assignment_rule(m: Model) -> DataFrame:
     return j.select("warehouse_id", "product_id",
                     F.coalesce("rule_assigned", F.lit(False)).alias("rule_assigned"),
                     F.coalesce("has_sales", F.lit(False)).alias("has_sales"))
+
+
+def stockout_heatmap(m: Model) -> DataFrame:
+    """Warehouse x category heat map of stocked-out pair-days (pivot over the
+    categories present; their number is bounded by the product dimension's
+    category list)."""
+    iv = _interval_days(m).filter(F.col("quantity_on_hand") <= 0)
+    cat = m.dim_product.select("product_id", "category_name")
+    return (iv.join(cat, "product_id").groupBy("warehouse_id").pivot("category_name")
+            .agg(F.sum("__days").cast("bigint")))

@@ -440,3 +440,9 @@ FROM (SELECT w.warehouse_id, t.product_id
         AND w.warehouse_type <> 'Returns Center') r
 FULL OUTER JOIN stg_warehouse_product_assignment s
   ON r.warehouse_id = s.warehouse_id AND r.product_id = s.product_id""")
+
+kpi("kpi_stockout_heatmap", K.stockout_heatmap, """
+SELECT * FROM (PIVOT (SELECT f.warehouse_id, dp.category_name, CAST(1 AS BIGINT) AS d
+                      FROM fact_inventory_daily f JOIN dim_product dp ON f.product_id = dp.product_id
+                      WHERE f.quantity_on_hand <= 0)
+               ON category_name USING CAST(sum(d) AS BIGINT) GROUP BY warehouse_id)""")
