@@ -77,3 +77,33 @@ def one_current_version(m: Model) -> DataFrame:
     per = h.groupBy("customer_id").agg(F.count(F.when(F.col("is_current"), 1)).alias("current_versions"))
     return per.agg(F.count(F.lit(1)).alias("customers"),
                    F.count(F.when(F.col("current_versions") != 1, 1)).alias("violations"))
+
+
+def product_lifecycle_history(m: Model) -> DataFrame:
+    """Type-2 history of the product lifecycle: 'New Launch' from the launch
+    date, 'Active' one year later, 'Discontinued' from the discontinuation
+    date (a change on or before an earlier one replaces it)."""
+    p = m.dim_product.filter(F.col("product_id") != "UNKNOWN").filter(F.col("launch_date").isNotNull())
+    obs = p.select("product_id", F.explode(F.array(
+        F.struct(F.col("launch_date").alias("d"), F.lit(0).alias("o"), F.lit("New Launch").alias("s")),
+        F.struct(F.date_add("launch_date", 365).alias("d"), F.lit(1).alias("o"), F.lit("Active").alias("s")),
+        F.struct(F.col("discontinued_date").alias("d"), F.lit(2).alias("o"), F.lit("Discontinued").alias("s"))))
+        .alias("e")).select("product_id", "e.*").filter(F.col("d").isNotNull())
+    # A later stage that starts on or before an earlier stage's start wins it.
+    obs = (obs.withColumn("__later_min", F.min("d").over(
+        Window.partitionBy("product_id").orderBy(F.desc("o")).rowsBetween(Window.unboundedPreceding, -1)))
+        .filter(F.col("__later_min").isNull() | (F.col("d") < F.col("__later_min"))))
+    v = scd2_versions(obs.select("product_id", F.col("d").alias("change_date"),
+                                 F.col("s").alias("lifecycle_status")),
+                      "product_id", "change_date", ["lifecycle_status"])
+    return v.select("product_id", "lifecycle_status", "valid_from", "valid_to", "is_current", "version_number")
+
+
+def sales_by_lifecycle_at_order(m: Model) -> DataFrame:
+    h = product_lifecycle_history(m).select("product_id", "lifecycle_status", "valid_from", "valid_to")
+    dp = m.dim_product.select("product_key", "product_id")
+    fs = m.fact_sales.join(dp, "product_key")
+    j = fs.join(h, (fs.product_id == h.product_id) & fs.order_date.between(h.valid_from, h.valid_to), "left")
+    return (j.groupBy(F.coalesce("lifecycle_status", F.lit("Before Launch")).alias("lifecycle_status_at_order"))
+            .agg(F.count(F.lit(1)).alias("lines"),
+                 F.sum("net_revenue_amount").cast("double").alias("net_revenue_amount")))

@@ -162,3 +162,14 @@ register("pii_masked_customers", Query(lambda m: ST.mask_customers(m.stg("stg_cu
 SELECT customer_id, {_mask('first_name')} AS first_name, {_mask('last_name')} AS last_name,
        sha256(email_address) AS email_hash, {_mask('phone_number', '#')} AS phone_number, customer_country
 FROM stg_customers""", tags=("staging",)))
+
+register("scd2_product_lifecycle_history", Query(scd.product_lifecycle_history,
+                                                 "SELECT * FROM product_lifecycle_history",
+                                                 big=("version_number",), tags=("scd",)))
+register("scd2_sales_by_lifecycle_at_order", Query(scd.sales_by_lifecycle_at_order, """
+SELECT coalesce(h.lifecycle_status, 'Before Launch') AS lifecycle_status_at_order, count(*) AS lines,
+       CAST(sum(fs.net_revenue_amount) AS DOUBLE) AS net_revenue_amount
+FROM fact_sales fs JOIN dim_product dp ON fs.product_key = dp.product_key
+LEFT JOIN product_lifecycle_history h ON dp.product_id = h.product_id
+     AND fs.order_date BETWEEN h.valid_from AND h.valid_to
+GROUP BY 1""", tags=("scd",)))
