@@ -10,6 +10,7 @@ from __future__ import annotations
 import datetime as dt
 import functools
 import os
+import threading
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -29,6 +30,18 @@ MARTS = ("dim_product", "dim_supplier", "dim_warehouse", "dim_campaign", "dim_cu
          "fact_sales", "fact_returns", "fact_purchase_orders", "fact_marketing_spend",
          "movement_days", "inventory_intervals")
 
+# Build waves: every table depends only on tables of earlier waves, so the
+# tables of one wave can be written concurrently (no table is built twice).
+BUILD_WAVES = (
+    ("raw", ("lines", "suppliers", "products", "warehouses", "customers", "marketing_spend")),
+    ("raw", ("orders", "order_items", "shipments", "returns", "purchase_orders", "assignment",
+             "acquisition_attribution", "ar_invoices")),
+    ("raw", ("inventory_snapshot", "inventory_movements")),
+    ("mart", ("dim_product", "dim_supplier", "dim_warehouse", "dim_campaign")),
+    ("mart", ("dim_customer", "movement_days", "fact_marketing_spend", "fact_purchase_orders")),
+    ("mart", ("fact_sales", "fact_returns", "inventory_intervals")),
+)
+
 
 def mart(fn=None, *, cluster: tuple[str, ...] = ()):
     """A model table that is written once as a parquet table (when the model
@@ -78,6 +91,7 @@ class Model:
         self.spark = spark
         self.materialize = materialize
         self._store: str | None = None
+        self._store_lock = threading.Lock()
         self.raw = raw if raw is not None else RawTables(spark, sf_dir, materialize=materialize)
         self.as_of = as_of
         self.sim_start = sim_start
@@ -90,19 +104,24 @@ class Model:
         if cluster:
             n = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
             df = df.repartitionByRange(n, *cluster).sortWithinPartitions(*cluster)
-        if self._store is None:
-            from ..sources.ingest import scratch_dir
-            self._store = scratch_dir(self.spark, "marts")
+        with self._store_lock:
+            if self._store is None:
+                from ..sources.ingest import scratch_dir
+                self._store = scratch_dir(self.spark, "marts")
         path = os.path.join(self._store, name)
         df.write.mode("overwrite").parquet(path)
         return self.spark.read.parquet(path)
 
-    def build(self) -> None:
-        """Materialise the landing tables, then every mart (dependency order)."""
-        for name in getattr(self.raw, "RAW_TABLES", ()):
-            self.raw.raw(name)
-        for name in MARTS:
-            getattr(self, name)
+    def build(self, threads: int = 4) -> None:
+        """Materialise the landing tables, then every mart, wave by wave with
+        up to ``threads`` tables written at once (like a model runner with
+        4 threads): concurrent jobs fill the cluster while small stages of
+        one table would leave it idle."""
+        from concurrent.futures import ThreadPoolExecutor
+        with ThreadPoolExecutor(max_workers=max(1, threads)) as pool:
+            for layer, names in BUILD_WAVES:
+                owner = self.raw if layer == "raw" else self
+                list(pool.map(lambda n, o=owner: getattr(o, n), names))
 
     # -- staging -------------------------------------------------------------
 

@@ -33,6 +33,7 @@ from __future__ import annotations
 
 import functools
 import os
+import threading
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -73,13 +74,15 @@ class RawTables:
         self.sf_dir = sf_dir
         self.materialize = materialize
         self._store: str | None = None
+        self._store_lock = threading.Lock()
 
     def _persist(self, name: str, df: DataFrame) -> DataFrame:
         if not self.materialize:
             return df
-        if self._store is None:
-            from .ingest import scratch_dir
-            self._store = scratch_dir(self.spark, "landing")
+        with self._store_lock:
+            if self._store is None:
+                from .ingest import scratch_dir
+                self._store = scratch_dir(self.spark, "landing")
         path = os.path.join(self._store, name)
         df.write.mode("overwrite").parquet(path)
         return self.spark.read.parquet(path)
