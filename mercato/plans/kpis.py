@@ -650,7 +650,7 @@ def manufacturing_kpis(batches: DataFrame) -> DataFrame:
         _ratio("complete_batches", "batches").alias("data_completeness"))
 
 
-# Variance status bands (absolute variance %).
+# Chosen values (not from the reference): variance status bands (absolute %).
 VARIANCE_BANDS = [(0.02, "Reconciled"), (0.05, "Review")]
 VARIANCE_ELSE = "Investigate"
 

@@ -14,7 +14,8 @@ from pyspark.sql import functions as F
 from ..functions.exprs import MONEY, composite, surrogate_key
 from .model import Model
 
-# Yearly net spend thresholds of the loyalty tiers.
+# Chosen values (not from the reference): yearly net spend thresholds of the
+# loyalty tiers used to derive a tier history from the sales data.
 TIER_THRESHOLDS = [("400000.00", "Platinum"), ("250000.00", "Gold"), ("100000.00", "Silver")]
 TIER_ELSE = "Bronze"
 OPEN_END = "9999-12-31"

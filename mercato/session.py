@@ -60,3 +60,23 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     spark.conf.set("spark.checkpoint.dir", path)
     spark.sparkContext.setCheckpointDir(path)
     return path
+
+
+def cluster_conf(input_bytes: int, target_partition_bytes: int = 256 << 20,
+                 max_partitions: int = 200_000) -> dict[str, str]:
+    """Settings for a cluster run over ``input_bytes`` of parquet: enough
+    shuffle partitions that each holds about ``target_partition_bytes`` (so
+    sorts and hash aggregates fit in executor memory instead of spilling),
+    AQE to coalesce the small ones and split skewed ones at run time."""
+    parts = max(200, min(max_partitions, input_bytes // target_partition_bytes))
+    return {
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.files.maxPartitionBytes": str(256 << 20),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(512 << 20),
+        "spark.sql.autoBroadcastJoinThreshold": str(64 << 20),
+    }
