@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import os
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -40,47 +41,47 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
             .csv(path))
 
 
-def load_tables(spark: SparkSession, sources: dict[str, tuple[str, T.StructType]], target: str) -> DataFrame:
-    """CSV folders -> parquet tables (full replace). Returns the load audit:
-    table, status, rows. Missing inputs get status 'missing' and no rows."""
-    audit = []
-    for table, (path, schema) in sources.items():
-        try:
-            df = read_csv(spark, path, schema)
-        except AnalysisException:          # path not found: skip with a notice
-            audit.append((table, "missing", None))
-            continue
-        df.write.mode("overwrite").parquet(os.path.join(target, table))
-        audit.append((table, "loaded", None))
-    parts = []
-    for table, status, _ in audit:
-        if status == "loaded":
-            parts.append(spark.read.parquet(os.path.join(target, table))
-                         .agg(F.count(F.lit(1)).alias("rows"))
-                         .select(F.lit(table).alias("table_name"), F.lit(status).alias("status"), "rows"))
-        else:
-            parts.append(spark.range(1).select(F.lit(table).alias("table_name"), F.lit(status).alias("status"),
-                                               F.lit(None).cast("bigint").alias("rows")))
+def _load_one(spark: SparkSession, table: str, path: str, schema: T.StructType, target: str) -> DataFrame:
+    try:
+        df = read_csv(spark, path, schema)
+    except AnalysisException:          # path not found: skip with a notice
+        return spark.range(1).select(F.lit(table).alias("table_name"), F.lit("missing").alias("status"),
+                                     F.lit(None).cast("bigint").alias("rows"))
+    out = os.path.join(target, table)
+    df.write.mode("overwrite").parquet(out)
+    return (spark.read.parquet(out).agg(F.count(F.lit(1)).alias("rows"))
+            .select(F.lit(table).alias("table_name"), F.lit("loaded").alias("status"), "rows"))
+
+
+def load_tables(spark: SparkSession, sources: dict[str, tuple[str, T.StructType]], target: str,
+                threads: int = 4) -> DataFrame:
+    """CSV folders -> parquet tables (full replace), up to ``threads`` tables
+    at once. Returns the load audit: table, status, rows. Missing inputs get
+    status 'missing' and no rows."""
+    with ThreadPoolExecutor(max_workers=max(1, threads)) as pool:
+        parts = list(pool.map(lambda kv: _load_one(spark, kv[0], kv[1][0], kv[1][1], target), sources.items()))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
     return out
 
 
-def round_trip_landing(raw, names: Sequence[str]) -> DataFrame:
+def round_trip_landing(raw, names: Sequence[str], threads: int = 4) -> DataFrame:
     """Write each landing table as CSV, load it back through the explicit
-    schema into parquet, and return the audit."""
+    schema into parquet, and return the audit (tables in parallel)."""
     spark = raw.spark
     root = scratch_dir(spark, "landing")
-    sources = {}
-    for name in names:
-        df = raw.raw(name)
-        path = os.path.join(root, "csv", name)
-        write_csv(df, path)
-        sources[name] = (path, df.schema)
+    frames = {name: raw.raw(name) for name in names}   # plans only; shared inputs built once
+
+    def sink(name: str) -> None:
+        write_csv(frames[name], os.path.join(root, "csv", name))
+
+    with ThreadPoolExecutor(max_workers=max(1, threads)) as pool:
+        list(pool.map(sink, names))
+    sources = {name: (os.path.join(root, "csv", name), frames[name].schema) for name in names}
     sources["missing_example"] = (os.path.join(root, "csv", "does_not_exist"),
                                   T.StructType([T.StructField("x", T.StringType())]))
-    return load_tables(spark, sources, os.path.join(root, "parquet"))
+    return load_tables(spark, sources, os.path.join(root, "parquet"), threads)
 
 
 def write_partitioned_by_month(df: DataFrame, date_col: str, path: str) -> None:
