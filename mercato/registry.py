@@ -169,14 +169,13 @@ SELECT ds.report_date,
 FROM date_spine ds
 LEFT JOIN (SELECT order_date_key, sum(net_revenue_amount) AS net, sum(cogs_amount) AS cogs,
                   sum(quantity_ordered) AS units,
-                  count(DISTINCT CASE WHEN fulfillment_status <> 'Cancelled' THEN order_number END) AS completed
+                  count(DISTINCT order_number) FILTER (WHERE fulfillment_status <> 'Cancelled') AS completed
            FROM fact_sales GROUP BY 1) s ON ds.date_key = s.order_date_key
 LEFT JOIN (SELECT return_date_key, sum(returned_quantity) AS units FROM fact_returns GROUP BY 1) r
        ON ds.date_key = r.return_date_key
 LEFT JOIN (SELECT snapshot_date_key,
-                  count(DISTINCT CAST(product_key AS VARCHAR) || '-' || CAST(warehouse_key AS VARCHAR)) AS active,
-                  count(DISTINCT CASE WHEN quantity_on_hand <= 0
-                        THEN CAST(product_key AS VARCHAR) || '-' || CAST(warehouse_key AS VARCHAR) END) AS stockout
+                  count(DISTINCT (product_key, warehouse_key)) AS active,
+                  count(DISTINCT (product_key, warehouse_key)) FILTER (WHERE quantity_on_hand <= 0) AS stockout
            FROM fact_inventory_daily GROUP BY 1) i ON ds.date_key = i.snapshot_date_key""",
     big=("sold_units", "completed_orders", "returned_units", "active_skus", "stockout_skus"),
     tags=("dashboard",)))
@@ -184,7 +183,7 @@ LEFT JOIN (SELECT snapshot_date_key,
 register("q02_revenue_by_channel", Query(D.q02_revenue_by_channel, f"""
 SELECT dd.full_date AS report_date, fs.sales_channel_code,
        CAST(sum(fs.net_revenue_amount) AS DOUBLE) AS net_revenue_amount,
-       count(DISTINCT CASE WHEN fs.fulfillment_status <> 'Cancelled' THEN fs.order_number END) AS completed_orders
+       count(DISTINCT fs.order_number) FILTER (WHERE fs.fulfillment_status <> 'Cancelled') AS completed_orders
 FROM fact_sales fs JOIN dim_date dd ON fs.order_date_key = dd.date_key
 WHERE dd.full_date {_PERIOD} GROUP BY 1, 2""", tags=("dashboard",)))
 
@@ -256,7 +255,7 @@ register("q09_aov_return_by_class", Query(D.q09_aov_return_by_class, f"""
 SELECT s.channel_class, CAST(s.net AS DOUBLE) AS net_revenue_amount, CAST(s.units AS BIGINT) AS sold_units,
        s.completed_orders, CAST(coalesce(r.units, 0) AS BIGINT) AS returned_units
 FROM (SELECT oc.channel_class, sum(fs.net_revenue_amount) AS net, sum(fs.quantity_ordered) AS units,
-             count(DISTINCT CASE WHEN fs.fulfillment_status <> 'Cancelled' THEN fs.order_number END) AS completed_orders
+             count(DISTINCT fs.order_number) FILTER (WHERE fs.fulfillment_status <> 'Cancelled') AS completed_orders
       FROM fact_sales fs JOIN dim_date dd ON fs.order_date_key = dd.date_key
       JOIN order_channel oc ON fs.order_number = oc.order_id
       WHERE dd.full_date {_PERIOD} GROUP BY 1) s

@@ -39,7 +39,7 @@ FULL OUTER JOIN (SELECT {month('return_date')} AS m, sum(refunded_amount) AS ref
 kpi("kpi_aov_monthly", K.aov_monthly, f"""
 SELECT {month('order_date')} AS report_month, sales_channel_code,
        CAST(sum(net_revenue_amount) AS DOUBLE) AS net_revenue_amount,
-       count(DISTINCT CASE WHEN fulfillment_status <> 'Cancelled' THEN order_number END) AS completed_orders,
+       count(DISTINCT order_number) FILTER (WHERE fulfillment_status <> 'Cancelled') AS completed_orders,
        CAST(sum(net_revenue_amount) AS DOUBLE) / CAST(nullif(completed_orders, 0) AS DOUBLE) AS average_order_value
 FROM fact_sales WHERE order_date {P} GROUP BY 1, 2""")
 
@@ -132,7 +132,7 @@ _FIRST = """(SELECT customer_id, min(CAST(order_date AS DATE)) AS first_od
 kpi("kpi_first_purchase_monthly", K.first_purchase_monthly, f"""
 SELECT {month('o.od')} AS report_month, o.sales_channel, count(*) AS orders,
        count(*) FILTER (WHERE o.od = f.first_od) AS first_purchase_orders,
-       count(DISTINCT CASE WHEN o.od = f.first_od THEN o.customer_id END) AS new_customers
+       count(DISTINCT o.customer_id) FILTER (WHERE o.od = f.first_od) AS new_customers
 FROM {_ORD} o JOIN {_FIRST} f ON o.customer_id = f.customer_id
 WHERE o.od {P} GROUP BY 1, 2""")
 
@@ -323,7 +323,7 @@ SELECT coalesce(s.d, r.d) AS report_date, coalesce(s.ch, r.ch) AS sales_channel_
        CAST(coalesce(r.units, 0) AS BIGINT) AS returned_units
 FROM (SELECT order_date AS d, sales_channel_code AS ch, sum(net_revenue_amount) AS rev, sum(cogs_amount) AS cogs,
              sum(quantity_ordered) AS units,
-             count(DISTINCT CASE WHEN fulfillment_status <> 'Cancelled' THEN order_number END) AS co
+             count(DISTINCT order_number) FILTER (WHERE fulfillment_status <> 'Cancelled') AS co
       FROM fact_sales WHERE order_date {P} GROUP BY 1, 2) s
 FULL OUTER JOIN (SELECT fr.return_date AS d, oc.ch, sum(fr.returned_quantity) AS units
                  FROM fact_returns fr
