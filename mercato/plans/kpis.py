@@ -765,3 +765,43 @@ def stockout_heatmap(m: Model) -> DataFrame:
     cat = m.dim_product.select("product_id", "category_name")
     return (iv.join(cat, "product_id").groupBy("warehouse_id").pivot("category_name")
             .agg(F.sum("__days").cast("bigint")))
+
+
+def sales_by_acquisition_daily(m: Model) -> DataFrame:
+    """Sales summary by date x the customer's acquisition channel."""
+    fs = m.fact_sales.filter(_period(m, "order_date"))
+    dc = m.dim_customer.select("customer_key", "acquisition_channel")
+    return (fs.join(dc, "customer_key")
+            .groupBy(F.col("order_date").alias("report_date"), "acquisition_channel")
+            .agg(F.sum("net_revenue_amount").cast(DBL).alias("net_revenue_amount"),
+                 F.count_distinct(F.when(F.col("fulfillment_status") != "Cancelled", F.col("order_number")))
+                 .alias("completed_orders")))
+
+
+def marketing_ltv_monthly(m: Model) -> DataFrame:
+    """Marketing summary: sign-up month x acquisition channel with spend, new
+    customers, their lifetime value, CAC and LTV:CAC (components summed first,
+    divided last)."""
+    from .dashboards import customer_ltv
+    camp = m.dim_campaign.filter(F.col("campaign_id") != C.NO_CAMPAIGN_ID) \
+        .select("campaign_key", "acquisition_channel_name")
+    cust = m.dim_customer.filter(F.col("customer_id") != C.UNKNOWN_ID)
+    new = (cust.join(F.broadcast(camp), cust.acquisition_campaign_key == camp.campaign_key)
+           .join(customer_ltv(m), "customer_key", "left")
+           .groupBy(F.trunc("customer_since", "MM").alias("report_month"), "acquisition_channel_name")
+           .agg(F.count(F.lit(1)).alias("new_customers"),
+                F.sum(F.coalesce("ltv_amount", F.lit(0))).alias("ltv")))
+    spend = (m.fact_marketing_spend.join(F.broadcast(camp), "campaign_key")
+             .groupBy(F.trunc("spend_date", "MM").alias("report_month"), "acquisition_channel_name")
+             .agg(F.sum("spend_amount").alias("spend")))
+    j = spend.join(new, ["report_month", "acquisition_channel_name"], "full_outer")
+    s = F.coalesce(F.col("spend").cast(DBL), F.lit(0.0))
+    n = F.coalesce("new_customers", F.lit(0)).cast("bigint")
+    ltv = F.coalesce(F.col("ltv").cast(DBL), F.lit(0.0))
+    out = j.select("report_month", "acquisition_channel_name", s.alias("spend_amount"), n.alias("new_customers"),
+                   ltv.alias("total_ltv_amount"))
+    cac = F.try_divide(F.col("spend_amount"), F.when(F.col("new_customers") > 0, F.col("new_customers").cast(DBL)))
+    ltv_pc = F.try_divide(F.col("total_ltv_amount"),
+                          F.when(F.col("new_customers") > 0, F.col("new_customers").cast(DBL)))
+    return (out.withColumn("cac", cac).withColumn("ltv_per_customer", ltv_pc)
+            .withColumn("ltv_to_cac", F.try_divide(F.col("ltv_per_customer"), F.when(F.col("cac") != 0, F.col("cac")))))

@@ -446,3 +446,28 @@ SELECT * FROM (PIVOT (SELECT f.warehouse_id, dp.category_name, CAST(1 AS BIGINT)
                       FROM fact_inventory_daily f JOIN dim_product dp ON f.product_id = dp.product_id
                       WHERE f.quantity_on_hand <= 0)
                ON category_name USING CAST(sum(d) AS BIGINT) GROUP BY warehouse_id)""")
+
+kpi("mart_sales_by_acquisition_daily", K.sales_by_acquisition_daily, f"""
+SELECT fs.order_date AS report_date, dc.acquisition_channel, CAST(sum(fs.net_revenue_amount) AS DOUBLE) AS net_revenue_amount,
+       count(DISTINCT fs.order_number) FILTER (WHERE fs.fulfillment_status <> 'Cancelled') AS completed_orders
+FROM fact_sales fs JOIN dim_customer dc ON fs.customer_key = dc.customer_key
+WHERE fs.order_date {P} GROUP BY 1, 2""")
+
+kpi("mart_marketing_ltv_monthly", K.marketing_ltv_monthly, f"""
+SELECT *, ltv_per_customer / nullif(cac, 0.0) AS ltv_to_cac
+FROM (SELECT *, spend_amount / CAST(nullif(new_customers, 0) AS DOUBLE) AS cac,
+             total_ltv_amount / CAST(nullif(new_customers, 0) AS DOUBLE) AS ltv_per_customer
+      FROM (SELECT coalesce(s.m, n.m) AS report_month, coalesce(s.ch, n.ch) AS acquisition_channel_name,
+                   coalesce(CAST(s.spend AS DOUBLE), 0.0) AS spend_amount,
+                   CAST(coalesce(n.new, 0) AS BIGINT) AS new_customers,
+                   coalesce(CAST(n.ltv AS DOUBLE), 0.0) AS total_ltv_amount
+            FROM (SELECT {month('f.spend_date')} AS m, dc.acquisition_channel_name AS ch, sum(f.spend_amount) AS spend
+                  FROM fact_marketing_spend f JOIN dim_campaign dc ON f.campaign_key = dc.campaign_key
+                  WHERE dc.campaign_id <> 'NO_CAMPAIGN' GROUP BY 1, 2) s
+            FULL OUTER JOIN (SELECT {month('cu.customer_since')} AS m, dc.acquisition_channel_name AS ch, count(*) AS new,
+                                    sum(coalesce(cl.ltv_amount, 0)) AS ltv
+                             FROM dim_customer cu JOIN dim_campaign dc ON cu.acquisition_campaign_key = dc.campaign_key
+                             LEFT JOIN customer_ltv cl ON cu.customer_key = cl.customer_key
+                             WHERE cu.customer_id <> 'UNKNOWN' AND dc.campaign_id <> 'NO_CAMPAIGN'
+                             GROUP BY 1, 2) n
+              ON s.m = n.m AND s.ch = n.ch))""")
