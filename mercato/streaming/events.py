@@ -127,7 +127,8 @@ def _upsert_latest(batch: DataFrame, _id: int, out: str) -> None:
     per key wins (by time, then id). The target is partitioned by a hash bucket
     of the key; only the buckets the batch touches are read, merged and
     rewritten (dynamic partition overwrite), so a batch costs its own size, not
-    the size of the whole table."""
+    the size of the whole table. The merge is idempotent ("latest wins" is a
+    max), so a batch replayed after a failure gives the same target."""
     spark = batch.sparkSession
     changes = _latest(batch.withColumn("bucket", F.pmod(F.xxhash64("user_id"), F.lit(CDC_BUCKETS))))
     touched = changes.select("bucket").distinct()          # <= CDC_BUCKETS rows
