@@ -27,7 +27,8 @@ from .ranking import running_within
 def asof_join(left: DataFrame, right: DataFrame, by: Sequence[str],
               left_time: str, right_time: str, values: Sequence[str],
               tie: Sequence[str] = (), max_broadcast_rows: int = 200_000,
-              force: str | None = None, max_group_rows: int = 2_000_000) -> DataFrame:
+              force: str | None = None, max_group_rows: int = 2_000_000,
+              sample_fraction: float = 0.01) -> DataFrame:
     """Left rows plus ``values`` of the matched right row (NULL when none)."""
     by = list(by)
     plan = force
@@ -36,7 +37,8 @@ def asof_join(left: DataFrame, right: DataFrame, by: Sequence[str],
         plan = "broadcast" if n <= max_broadcast_rows else "bucketed"
     if plan == "broadcast":
         return _asof_broadcast(left, right, by, left_time, right_time, values, tie)
-    return _asof_bucketed(left, right, by, left_time, right_time, values, tie, max_group_rows)
+    return _asof_bucketed(left, right, by, left_time, right_time, values, tie, max_group_rows,
+                          sample_fraction)
 
 
 def _cand_struct(right_time: str, tie: Sequence[str], values: Sequence[str]):
@@ -61,7 +63,8 @@ def _asof_broadcast(left, right, by, left_time, right_time, values, tie):
     return out.drop("__cands", "__hit")
 
 
-def _asof_bucketed(left, right, by, left_time, right_time, values, tie, max_group_rows=2_000_000):
+def _asof_bucketed(left, right, by, left_time, right_time, values, tie, max_group_rows=2_000_000,
+                   sample_fraction=0.01):
     bucket = lambda c: F.trunc(F.col(c).cast("date"), "MM")
     r = (right.filter(F.col(right_time).isNotNull())
          .select(*by, bucket(right_time).alias("__b"),
@@ -86,7 +89,8 @@ def _asof_bucketed(left, right, by, left_time, right_time, values, tie, max_grou
     # Running max of the right rows inside each (key, month); a hot bucket is
     # processed in ordered slices (running_within), not in one task.
     both = running_within(lside.unionByName(rside), [*by, "__b"], ["__t", "__side"],
-                          maxes={"__in": "__c"}, max_group_rows=max_group_rows)
+                          maxes={"__in": "__c"}, max_group_rows=max_group_rows,
+                          sample_fraction=sample_fraction)
     hits = (both.filter(F.col("__side") == 1)
             .join(carry, [*by, "__b"], "left")
             .withColumn("__hit", F.greatest("__in", "__carry")))

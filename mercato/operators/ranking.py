@@ -2,9 +2,10 @@
 group is huge.
 
 ``row_number()`` / ``sum() OVER (PARTITION BY key ORDER BY ...)`` sorts a whole
-group in one task. Here the groups are first counted (a partial aggregate);
-groups above ``max_group_rows`` are hot, and there can be at most
-total/max_group_rows of them, so their key list is small enough to broadcast.
+group in one task. Here the groups are first counted on a sample (a partial aggregate); groups
+estimated above half of ``max_group_rows`` are hot, and there can be at most
+about 2 x total/max_group_rows of them, so their key list is small enough to
+broadcast.
 Normal groups use the plain window. Hot groups are range-partitioned on
 (key, order), which spreads one group over many tasks in order; each task
 numbers and sums its slice, and the counts and sums of the earlier slices (one
@@ -23,14 +24,21 @@ from pyspark.sql import functions as F
 def running_within(df: DataFrame, keys: Sequence[str], order: Sequence[str],
                    rank: str | None = None, sums: Mapping[str, str] | None = None,
                    maxes: Mapping[str, str] | None = None,
-                   max_group_rows: int = 2_000_000) -> DataFrame:
+                   max_group_rows: int = 2_000_000, sample_fraction: float = 0.01) -> DataFrame:
     """``df`` plus ``rank`` (1-based position in the group by ``order``) and,
     for each ``out: col`` of ``sums`` / ``maxes``, the running sum / max of
     ``col`` up to and including the row. ``order`` must be unique within a
-    group when ``rank`` is asked for."""
+    group when ``rank`` is asked for.
+
+    Hot groups are found on a seeded sample (``sample_fraction`` of the rows,
+    estimate > half the threshold): the detection only chooses the plan, and
+    both plans are exact, so a sample keeps the results exact while the
+    counting shuffle shrinks to the sample."""
     keys, sums, maxes = list(keys), dict(sums or {}), dict(maxes or {})
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
-    hot = counts.filter(F.col("__n") > max_group_rows).select(*keys)
+    src = df if sample_fraction >= 1.0 else df.sample(fraction=sample_fraction, seed=17)
+    counts = src.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
+    limit = max_group_rows if sample_fraction >= 1.0 else max_group_rows * sample_fraction / 2
+    hot = counts.filter(F.col("__n") > limit).select(*keys)
     if hot.limit(1).count() == 0:          # the common case: no hot group
         return _windowed(df, keys, order, rank, sums, maxes)
     cold = _windowed(df.join(F.broadcast(hot), keys, "left_anti"), keys, order, rank, sums, maxes)
@@ -38,8 +46,9 @@ def running_within(df: DataFrame, keys: Sequence[str], order: Sequence[str],
 
 
 def row_number_within(df: DataFrame, key: str, order: Sequence[str], out: str,
-                      max_group_rows: int = 2_000_000) -> DataFrame:
-    return running_within(df, [key], order, rank=out, max_group_rows=max_group_rows)
+                      max_group_rows: int = 2_000_000, sample_fraction: float = 0.01) -> DataFrame:
+    return running_within(df, [key], order, rank=out, max_group_rows=max_group_rows,
+                          sample_fraction=sample_fraction)
 
 
 def _windowed(df, keys, order, rank, sums, maxes, extra=()):

@@ -135,7 +135,7 @@ def test_row_number_within_hot_group_matches_window(spark):
     from mercato.operators.ranking import row_number_within
     rows = [("hot", f"i{i:05d}") for i in range(3000)] + [(f"k{j}", f"i{i:05d}") for j in range(50) for i in range(7)]
     df = spark.createDataFrame(rows, "k string, o string").repartition(7)
-    got = {(r.k, r.o): r.rn for r in row_number_within(df, "k", ["o"], "rn", max_group_rows=100).collect()}
+    got = {(r.k, r.o): r.rn for r in row_number_within(df, "k", ["o"], "rn", max_group_rows=100, sample_fraction=1.0).collect()}
     want = {(r.k, r.o): r.rn for r in df.withColumn(
         "rn", F.row_number().over(Window.partitionBy("k").orderBy("o"))).collect()}
     assert got == want and len(got) == 3350
@@ -149,7 +149,7 @@ def test_running_within_hot_pair_sums(spark):
            [("w1", f"p{j}", i, rnd.randint(-5, 9)) for j in range(2, 30) for i in range(5)]
     df = spark.createDataFrame(rows, "w string, p string, t int, q int").repartition(5)
     got = {(r.w, r.p, r.t): (r.rk, r.cum) for r in running_within(
-        df, ["w", "p"], ["t"], rank="rk", sums={"cum": "q"}, max_group_rows=50).collect()}
+        df, ["w", "p"], ["t"], rank="rk", sums={"cum": "q"}, max_group_rows=50, sample_fraction=1.0).collect()}
     w = Window.partitionBy("w", "p").orderBy("t")
     want = {(r.w, r.p, r.t): (r.rk, r.cum) for r in df.select(
         "w", "p", "t", F.row_number().over(w).alias("rk"),
@@ -164,5 +164,16 @@ def test_asof_bucketed_hot_bucket_matches_brute_force(spark):
     left = [(i, "a", base + dt.timedelta(days=rnd.randint(0, 27))) for i in range(600)]
     ldf = spark.createDataFrame(left, "id int, ch string, t date")
     rdf = spark.createDataFrame(right, "cid string, ch string, s date")
-    got = asof_join(ldf, rdf, ["ch"], "t", "s", ["cid"], tie=["cid"], force="bucketed", max_group_rows=40)
+    got = asof_join(ldf, rdf, ["ch"], "t", "s", ["cid"], tie=["cid"], force="bucketed", max_group_rows=40,
+                    sample_fraction=1.0)
     assert {r.id: r.cid for r in got.collect()} == _asof_brute(left, right)
+
+
+def test_sampled_hot_detection_finds_hot_group_and_stays_exact(spark):
+    from pyspark.sql import Window
+    from mercato.operators.ranking import running_within
+    rows = [("hot", i) for i in range(20000)] + [(f"k{j}", i) for j in range(200) for i in range(3)]
+    df = spark.createDataFrame(rows, "k string, o int")
+    got = running_within(df, ["k"], ["o"], rank="rn", max_group_rows=1000, sample_fraction=0.05)
+    want = df.withColumn("rn", F.row_number().over(Window.partitionBy("k").orderBy("o")))
+    assert got.exceptAll(want.select(*got.columns)).count() == 0 and got.count() == want.count()

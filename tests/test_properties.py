@@ -29,7 +29,8 @@ def test_asof_plans_equal_brute_force(spark, left, right):
     if not rrows:
         rdf = rdf.filter(F.lit(False))
     for plan in ("broadcast", "bucketed"):
-        got = asof_join(ldf, rdf, ["ch"], "t", "s", ["rid"], tie=["rid"], force=plan, max_group_rows=5)
+        got = asof_join(ldf, rdf, ["ch"], "t", "s", ["rid"], tie=["rid"], force=plan, max_group_rows=5,
+                         sample_fraction=1.0)
         assert {r.id: r.rid for r in got.collect()} == want, plan
 
 
