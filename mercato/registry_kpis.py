@@ -248,7 +248,8 @@ ORDER BY margin_erosion_amount DESC NULLS LAST, sku_code LIMIT 10""")
 kpi("kpi_shipping", K.shipping_analysis, """
 SELECT carrier, service_level, count(*) AS shipments, count(*) FILTER (WHERE is_cross_border) AS cross_border_shipments,
        CAST(sum(shipping_cost) AS DOUBLE) AS shipping_cost,
-       avg(date_diff('day', CAST(shipped_date AS DATE), CAST(delivered_date AS DATE))) AS avg_delivery_days,
+       CAST(sum(date_diff('day', CAST(shipped_date AS DATE), CAST(delivered_date AS DATE))) AS DOUBLE)
+           / CAST(nullif(count(delivered_date), 0) AS DOUBLE) AS avg_delivery_days,
        CAST(cross_border_shipments AS DOUBLE) / CAST(nullif(shipments, 0) AS DOUBLE) AS cross_border_share
 FROM stg_shipments GROUP BY 1, 2""")
 
@@ -278,7 +279,7 @@ ORDER BY stockout_days DESC, sku_code LIMIT 15""")
 
 kpi("kpi_sell_through", K.sell_through, """
 SELECT warehouse_id, product_id, CAST(sum(units_sold_qty) AS BIGINT) AS units_sold,
-       avg(quantity_on_hand) AS avg_on_hand,
+       CAST(sum(quantity_on_hand) AS DOUBLE) / CAST(count(*) AS DOUBLE) AS avg_on_hand,
        CAST(units_sold AS DOUBLE) / nullif(CAST(units_sold AS DOUBLE) + avg_on_hand, 0.0) AS sell_through_rate
 FROM fact_inventory_daily GROUP BY 1, 2""")
 

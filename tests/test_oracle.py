@@ -22,8 +22,10 @@ def con():
 
 
 def _norm(v):
+    # Doubles are compared bit for bit: both engines sum exact decimals and
+    # divide once, so any difference is a real one.
     if isinstance(v, float):
-        return "nan" if math.isnan(v) else round(v, 6)
+        return "nan" if math.isnan(v) else repr(v)
     if hasattr(v, "isoformat"):
         return v.isoformat()
     return v
