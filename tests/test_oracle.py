@@ -36,12 +36,19 @@ def _rows(cols, rows):
     return sorted((tuple(_norm(r[i]) for i in order) for r in rows), key=repr)
 
 
+TYPES = {"bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR", "date": "DATE",
+         "timestamp_ntz": "TIMESTAMP", "boolean": "BOOLEAN"}
+
+
 @pytest.mark.parametrize("name", sorted(ORACLE))
 def test_query_matches_oracle(spark, con, name):
     df = QUERIES[name](spark, SF_SMALL)
     cur = con.execute(ORACLE[name])
     ocols = [d[0] for d in cur.description]
     assert sorted(df.columns) == sorted(ocols)
+    otypes = {d[0]: str(d[1]) for d in cur.description}
+    for f in df.schema.fields:                      # same column types on both sides
+        assert TYPES.get(f.dataType.simpleString()) == otypes[f.name], (f.name, f.dataType, otypes[f.name])
     assert _rows(df.columns, [tuple(r) for r in df.collect()]) == _rows(ocols, cur.fetchall())
 
 
