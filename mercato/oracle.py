@@ -387,8 +387,13 @@ SELECT {dkey('d')} AS date_key, d AS full_date, dayofweek(d) + 1 AS day_of_week_
        quarter(d) AS calendar_quarter_number, year(d) AS calendar_year_number,
        year(d) AS fiscal_year_number, quarter(d) AS fiscal_quarter_number, month(d) AS fiscal_month_number,
        ({' OR '.join(f'(month(d) = {m} AND day(d) = {dd})' for m, dd in C.HOLIDAYS)}) AS holiday_flag
-FROM (SELECT CAST(range AS DATE) AS d
-      FROM range({_d(C.CALENDAR_START)}, {_d(C.CALENDAR_END)} + 1, INTERVAL 1 DAY))"""
+FROM (SELECT CAST(unnest(generate_series(CAST(date_trunc('year', lo) - INTERVAL 1 YEAR AS TIMESTAMP),
+                                          CAST(date_trunc('year', hi) + INTERVAL 1 YEAR - INTERVAL 1 DAY AS TIMESTAMP),
+                                          INTERVAL 1 DAY)) AS DATE) AS d
+      FROM (SELECT min(d) AS lo, max(d) AS hi
+            FROM (SELECT CAST(o_orderdate AS DATE) AS d FROM orders
+                  UNION ALL SELECT CAST(l_shipdate AS DATE) FROM lineitem
+                  UNION ALL SELECT CAST(ts AS DATE) FROM events)))"""
 
 CTE["dim_product"] = f"""
 SELECT {skey('product_id')} AS product_key, product_id, sku_code, product_name, category AS category_name,

@@ -26,7 +26,7 @@ from ..sources.domain import RawTables
 from . import staging as S
 
 
-MARTS = ("dim_product", "dim_supplier", "dim_warehouse", "dim_campaign", "dim_customer",
+MARTS = ("dim_date", "dim_product", "dim_supplier", "dim_warehouse", "dim_campaign", "dim_customer",
          "fact_sales", "fact_returns", "fact_purchase_orders", "fact_marketing_spend",
          "movement_days", "inventory_intervals")
 
@@ -37,7 +37,7 @@ BUILD_WAVES = (
     ("raw", ("orders", "order_items", "shipments", "returns", "purchase_orders", "assignment",
              "acquisition_attribution", "ar_invoices")),
     ("raw", ("inventory_snapshot", "inventory_movements")),
-    ("mart", ("dim_product", "dim_supplier", "dim_warehouse", "dim_campaign")),
+    ("mart", ("dim_date", "dim_product", "dim_supplier", "dim_warehouse", "dim_campaign")),
     ("mart", ("dim_customer", "movement_days", "fact_marketing_spend", "fact_purchase_orders")),
     ("mart", ("fact_sales", "fact_returns", "inventory_intervals")),
 )
@@ -60,10 +60,26 @@ def mart(fn=None, *, cluster: tuple[str, ...] = ()):
 
 def dim_date_frame(spark: SparkSession, start: dt.date = C.CALENDAR_START,
                    end: dt.date = C.CALENDAR_END) -> DataFrame:
-    """Calendar dimension generated from a date range (no table behind it)."""
+    """Calendar dimension over a fixed date range (used for fixtures)."""
     days = spark.range(1).select(
         F.explode(F.sequence(lit_date(start), lit_date(end), F.expr("INTERVAL 1 DAY")))
         .alias("full_date"))
+    return calendar_attributes(days)
+
+
+def data_calendar(dates: DataFrame) -> DataFrame:
+    """Calendar spanning whole years around the business dates in ``dates``
+    (column ``d``): from 1 January of the year before the earliest date to
+    31 December of the year of the latest. A partial min/max aggregate, then
+    one explode of a bounded range of days."""
+    b = dates.agg(F.min("d").alias("lo"), F.max("d").alias("hi"))
+    start = F.add_months(F.trunc("lo", "year"), -12)
+    end = F.date_sub(F.add_months(F.trunc("hi", "year"), 12), 1)
+    days = b.select(F.explode(F.sequence(start, end, F.expr("INTERVAL 1 DAY"))).alias("full_date"))
+    return calendar_attributes(days)
+
+
+def calendar_attributes(days: DataFrame) -> DataFrame:
     d = F.col("full_date")
     return days.select(
         date_key(d).alias("date_key"), d,
@@ -133,9 +149,17 @@ class Model:
 
     # -- dimensions ----------------------------------------------------------
 
-    @cached_property
+    @mart
     def dim_date(self) -> DataFrame:
-        return dim_date_frame(self.spark)
+        """Calendar over the years the data covers (orders, shipments and
+        events); fixtures without driver tables use the fixed range."""
+        if not hasattr(self.raw, "t"):
+            return dim_date_frame(self.spark)
+        t = self.raw.t
+        dates = (t("orders").select(F.to_date("o_orderdate").alias("d"))
+                 .unionByName(t("lineitem").select(F.to_date("l_shipdate").alias("d")))
+                 .unionByName(t("events").select(F.to_date("ts").alias("d"))))
+        return data_calendar(dates)
 
     @mart
     def dim_product(self) -> DataFrame:
