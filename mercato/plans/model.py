@@ -45,8 +45,8 @@ BUILD_WAVES = (
 
 def mart(fn=None, *, cluster: tuple[str, ...] = ()):
     """A model table that is written once as a parquet table (when the model
-    materialises) and read back by every consumer: the dbt 'table'
-    materialisation. It also cuts the lineage, so a lost executor recomputes
+    materialises) and read back by every consumer: a 'table'
+    materialisation of the model layer. It also cuts the lineage, so a lost executor recomputes
     from the table, not from the raw files. ``cluster``: columns the files are
     range-partitioned and sorted by, so min/max statistics let filters on them
     skip row groups (e.g. a reporting period on a date)."""
