@@ -65,6 +65,8 @@ def _windowed(df, keys, order, rank, sums, maxes, extra=()):
 
 
 def _sliced(h: DataFrame, keys, order, rank, sums, maxes) -> DataFrame:
+    from ..session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(h.sparkSession)          # the session's shared folder; set only if unset
     n = int(h.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     sliced = (h.repartitionByRange(n, *keys, *order).withColumn("__slice", F.spark_partition_id())
               .checkpoint(eager=True))
