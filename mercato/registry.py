@@ -173,10 +173,15 @@ LEFT JOIN (SELECT order_date_key, sum(net_revenue_amount) AS net, sum(cogs_amoun
            FROM fact_sales GROUP BY 1) s ON ds.date_key = s.order_date_key
 LEFT JOIN (SELECT return_date_key, sum(returned_quantity) AS units FROM fact_returns GROUP BY 1) r
        ON ds.date_key = r.return_date_key
-LEFT JOIN (SELECT snapshot_date_key,
-                  count(DISTINCT (product_key, warehouse_key)) AS active,
-                  count(DISTINCT (product_key, warehouse_key)) FILTER (WHERE quantity_on_hand <= 0) AS stockout
-           FROM fact_inventory_daily GROUP BY 1) i ON ds.date_key = i.snapshot_date_key""",
+LEFT JOIN (SELECT a.snapshot_date_key, a.active, coalesce(so.stockout, 0) AS stockout
+           FROM (SELECT snapshot_date_key, count(*) AS active
+                 FROM (SELECT DISTINCT snapshot_date_key, product_key, warehouse_key FROM fact_inventory_daily)
+                 GROUP BY 1) a
+           LEFT JOIN (SELECT snapshot_date_key, count(*) AS stockout
+                      FROM (SELECT DISTINCT snapshot_date_key, product_key, warehouse_key
+                            FROM fact_inventory_daily WHERE quantity_on_hand <= 0)
+                      GROUP BY 1) so ON a.snapshot_date_key = so.snapshot_date_key) i
+       ON ds.date_key = i.snapshot_date_key""",
     big=("sold_units", "completed_orders", "returned_units", "active_skus", "stockout_skus"),
     tags=("dashboard",)))
 
