@@ -36,7 +36,7 @@ def _rows(cols, rows):
     return sorted((tuple(_norm(r[i]) for i in order) for r in rows), key=repr)
 
 
-TYPES = {"bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR", "date": "DATE",
+TYPES = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR", "date": "DATE",
          "timestamp_ntz": "TIMESTAMP", "boolean": "BOOLEAN"}
 
 
