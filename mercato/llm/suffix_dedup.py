@@ -71,15 +71,18 @@ def powers() -> tuple[np.ndarray, np.ndarray]:
 
 
 class Hashes:
-    """Polynomial hashes of every substring of a buffer in constant time."""
+    """Polynomial hashes of every substring of a buffer in constant time.
+    ``place``: where each byte is in its own string, if the buffer holds
+    several; substrings lie within one."""
 
-    def __init__(self, data: np.ndarray):
+    def __init__(self, data: np.ndarray, place: np.ndarray | None = None):
         up, self.down = powers()
+        self.place = place
         self.prefix = np.zeros(len(data) + 1, np.uint64)
-        np.cumsum((data.astype(np.uint64) + np.uint64(1)) * up[:len(data)], out=self.prefix[1:])
+        np.cumsum((data.astype(np.uint64) + np.uint64(1)) * (up[:len(data)] if place is None else up[place[:-1]]), out=self.prefix[1:])
 
     def of(self, start, size):
-        return (self.prefix[start + size] - self.prefix[start]) * self.down[start]
+        return (self.prefix[start + size] - self.prefix[start]) * self.down[start if self.place is None else self.place[start]]
 
 
 def mixed(h: np.ndarray) -> np.ndarray:
@@ -174,7 +177,9 @@ class Contexts:
         self.size = np.array([len(c) for c in contexts], np.int64)
         self.start = np.cumsum(self.size) - self.size
         self.data = np.frombuffer(b"".join(contexts), np.uint8)
-        self.hashes = Hashes(self.data)
+        place = np.zeros(len(self.data) + 1, np.int32)
+        place[:-1] = np.arange(len(self.data)) - np.repeat(self.start, self.size)
+        self.hashes = Hashes(self.data, place)
         self.at, self.left, self.right = self.start + anchor, anchor, self.size - anchor
         new = np.flatnonzero(np.concatenate([[True], group[1:] != group[:-1]]))
         counts = np.diff(np.concatenate([new, [len(group)]]))
