@@ -53,7 +53,7 @@ def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of what is left, and proof that they decode to it."""
     prepare(spark)
     ranks, pattern = public_tokenizers.path(RANKS), public_tokenizers.PATTERN
-    return digests(byte_bpe.encode(docs.select("doc_id", "text"), ranks, pattern).select("doc_id", "ids"), ranks, pattern)
+    return digests(byte_bpe.round_trip(docs.select("doc_id", "text"), ranks, pattern))
 
 
 STAGES = [

@@ -33,8 +33,8 @@ from mercato.llm.common import Memo, by_batch
 #: Between "x" and " y": no match of the pattern spans this point.
 SAFE = re.compile(r"(?<=\S)(?= \S)")
 
-#: Entries of the piece memo of one Python worker (about 60 MB).
-MEMO_ENTRIES = 300_000
+#: Entries of the piece memo of one Python worker (about 30 MB).
+MEMO_ENTRIES = 100_000
 
 _CODECS: dict[tuple[str, str], Codec] = {}
 
@@ -66,25 +66,45 @@ def codec(rank_file: str, pattern: str) -> Codec:
     return _CODECS[rank_file, pattern]
 
 
-def _with(df: DataFrame, source: str, target: str, kind: T.DataType, arrow: pa.DataType, fn) -> DataFrame:
-    kept = [c for c in df.columns if c.lower() != target.lower() or c == source]
-    plain = df.select(*(f"`{c}`" for c in kept))
-    out = T.StructType([f for f in plain.schema.fields if f.name.lower() != target.lower()] + [T.StructField(target, kind)])
+def _with(df: DataFrame, source: str, made: list[tuple[str, T.DataType, pa.DataType]], fn) -> DataFrame:
+    """``df`` with the columns that ``fn`` makes of each batch of ``source``."""
+    names = {name.lower() for name, _, _ in made}
+    plain = df.select(*(f"`{c}`" for c in df.columns if c.lower() not in names or c == source))
+    kept = [f for f in plain.schema.fields if f.name.lower() not in names]
+    out = T.StructType(kept + [T.StructField(name, kind) for name, kind, _ in made])
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        made = pa.array(fn(batch.column(batch.schema.get_field_index(source))), arrow)
-        return pa.RecordBatch.from_arrays([batch.column(batch.schema.get_field_index(f.name)) for f in out.fields[:-1]] + [made], [f.name for f in out.fields])
+        at = {n: i for i, n in enumerate(batch.schema.names)}
+        columns = [pa.array(values, arrow) for values, (_, _, arrow) in zip(fn(batch.column(at[source]).to_pylist()), made, strict=True)]
+        return pa.RecordBatch.from_arrays([*(batch.column(at[f.name]) for f in kept), *columns], [f.name for f in out.fields])
 
     return plain.mapInArrow(by_batch(run), out)
 
 
+def _ids(name: str) -> tuple[str, T.DataType, pa.DataType]:
+    return name, T.ArrayType(T.IntegerType(), False), pa.list_(pa.int32())
+
+
+def _data(name: str) -> tuple[str, T.DataType, pa.DataType]:
+    return name, T.BinaryType(), pa.binary()
+
+
 def encode(df: DataFrame, rank_file: str, pattern: str, text: str = "text", ids: str = "ids") -> DataFrame:
     """``df`` with the token ids (array<int>) of each whole text."""
-    return _with(df, text, ids, T.ArrayType(T.IntegerType(), False), pa.list_(pa.int32()),
-                 lambda column: [codec(rank_file, pattern).encode(x or "") for x in column.to_pylist()])
+    return _with(df, text, [_ids(ids)], lambda texts: [[codec(rank_file, pattern).encode(x or "") for x in texts]])
 
 
 def decode(df: DataFrame, rank_file: str, pattern: str, ids: str = "ids", data: str = "decoded") -> DataFrame:
     """``df`` with the raw bytes that the ids stand for (null ids: empty)."""
-    return _with(df, ids, data, T.BinaryType(), pa.binary(),
-                 lambda column: [codec(rank_file, pattern).decode(x or []) for x in column.to_pylist()])
+    return _with(df, ids, [_data(data)], lambda rows: [[codec(rank_file, pattern).decode(x or []) for x in rows]])
+
+
+def round_trip(df: DataFrame, rank_file: str, pattern: str, text: str = "text", ids: str = "ids", data: str = "decoded") -> DataFrame:
+    """:func:`encode`, then :func:`decode` of its ids, in one pass."""
+
+    def both(texts: list) -> list[list]:
+        own = codec(rank_file, pattern)
+        encoded = [own.encode(x or "") for x in texts]
+        return [encoded, [own.decode(x) for x in encoded]]
+
+    return _with(df, text, [_ids(ids), _data(data)], both)

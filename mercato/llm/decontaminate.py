@@ -131,7 +131,7 @@ def document_windows(docs: DataFrame, doc_id: str, text: str, widths: list[int],
     array of keys, or None for all windows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memo, keys = Memo(read_word, 200_000), None if wanted is None else wanted.value
+        memo, keys = Memo(read_word, 60_000), None if wanted is None else wanted.value
         for batch in batches:
             for rid, name, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), utf8(batch.column(2)), strict=True):
                 value, kind = parse(data, memo)

@@ -28,12 +28,11 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepare(spark)
     ranks, pattern = public_tokenizers.path(RANKS), public_tokenizers.PATTERN
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return digests(byte_bpe.encode(docs, ranks, pattern).select("doc_id", "ids"), ranks, pattern)
+    return digests(byte_bpe.round_trip(table(spark, sf_dir, "documents").select("doc_id", "text"), ranks, pattern))
 
 
-def digests(encoded: DataFrame, ranks: str, pattern: str) -> DataFrame:
-    return byte_bpe.decode(encoded, ranks, pattern).select(
+def digests(coded: DataFrame) -> DataFrame:
+    return coded.select(
         "doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(F.concat_ws(",", F.col("ids").cast("array<string>")).cast("binary"), 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"))
 

@@ -56,6 +56,9 @@ PIECE = 1 << 20
 #: Contexts sorted at once (groups are never cut).
 CHUNK = 4096
 
+#: Bytes compared at once when matches are verified.
+COMPARED = 500_000
+
 BASE = 0x9E3779B97F4A7C15
 _POWERS: list[np.ndarray] = []
 
@@ -213,11 +216,14 @@ class Contexts:
 
     def same_bytes(self, x: np.ndarray, y: np.ndarray, size: np.ndarray) -> np.ndarray:
         """Whether data[x:x+size] and data[y:y+size] are equal (sizes above 0)."""
-        if not len(x):
-            return np.zeros(0, bool)
-        begin = np.cumsum(size) - size
-        step = np.arange(size.sum()) - np.repeat(begin, size)
-        return np.logical_and.reduceat(self.data[np.repeat(x, size) + step] == self.data[np.repeat(y, size) + step], begin)
+        out = np.zeros(len(x), bool)
+        for part in np.array_split(np.arange(len(x)), int(size.sum()) // COMPARED + 1) if len(x) else []:
+            if len(part):
+                many, a, b = size[part], x[part], y[part]
+                begin = np.cumsum(many) - many
+                step = np.arange(many.sum()) - np.repeat(begin, many)
+                out[part] = np.logical_and.reduceat(self.data[np.repeat(a, many) + step] == self.data[np.repeat(b, many) + step], begin)
+        return out
 
     def repeated(self) -> np.ndarray:
         """(context, from, to) rows whose union is every byte that a repeated
@@ -253,7 +259,7 @@ class Contexts:
                 left_open[index[w], a:b + 1] = False
             row, offset = np.nonzero(left_open)
             wanted = np.unique(np.stack([self.first[part[row]], offset], 1), axis=0)
-            for piece in np.array_split(wanted, max(1, int(self.count[wanted[:, 0]].sum()) // 500_000)) if len(wanted) else []:
+            for piece in np.array_split(wanted, max(1, int(self.count[wanted[:, 0]].sum()) // 200_000)) if len(wanted) else []:
                 found, bad = self.equal_windows(piece)
                 spans.append(found)
                 wrong |= bad

@@ -45,8 +45,8 @@ from mercato.llm.common import Memo, utf8, written
 #: Ids a segment holds at most, but for a last document that goes beyond.
 SEGMENT_TOKENS = 4_000_000
 
-#: Chunks that a worker remembers (about 80 MB).
-MEMO_ENTRIES = 300_000
+#: Chunks that a worker remembers (about 40 MB).
+MEMO_ENTRIES = 150_000
 
 SEGMENTS = ("part int, segment int, n_tokens long, doc_ids binary, doc_nulls binary, doc_tokens binary, "
             "ranked binary, control binary, data binary")

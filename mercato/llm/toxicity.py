@@ -85,45 +85,59 @@ def labelled(docs: DataFrame, labels: DataFrame, label: str, learn, limit: int)
     return docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id").select("text", F.col("_y").alias("y"))
 
 
-def bags(sample: DataFrame) -> list[tuple[int, np.ndarray, np.ndarray]]:
-    """Label, sentence sizes and word hashes of each sampled document."""
+def telling_words(sample: DataFrame, limit: int) -> tuple[np.ndarray, float]:
+    """The ``limit`` words that fall most unevenly on the two labels (squared
+    standard score of their documents' labels), and the share of label 1."""
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        memo, sizes, keys = Memo(word_key, 100_000), [], []
+        memo, found = Memo(word_key, 100_000), [set() for _ in range(batch.num_rows)]
+        for own, text in zip(found, utf8(batch.column(0)), strict=True):
+            own.update(memo[w] for w in text.lower().split())
+        y = np.repeat(np.array(batch.column(1).to_pylist(), np.int32), [len(f) for f in found])
+        return pa.RecordBatch.from_arrays([pa.array(y), pa.array([k for f in found for k in f], pa.int64())], ["y", "key"])
+
+    count, positive = sample.agg(F.count("y"), F.sum("y")).first()
+    if not count or positive in (0, count):
+        return np.zeros(0, np.uint32), (positive or 0) / max(1, count)
+    rate = positive / count
+    per = sample.mapInArrow(by_batch(run), "y int, key long").groupBy("key").agg(F.count("*").alias("n"), F.sum("y").alias("hits")).where(F.col("n") >= MIN_DOCUMENTS)
+    score = F.pow(F.col("hits") - F.col("n") * rate, 2) / (F.col("n") * (rate * (1 - rate)))
+    return np.sort(np.array([r.key for r in per.orderBy(score.desc(), "key").limit(limit).collect()], np.uint32)), rate
+
+
+def bags(sample: DataFrame, keys: np.ndarray) -> list[tuple[int, np.ndarray, np.ndarray]]:
+    """Label, known words of each sentence and their numbers, per sampled document."""
+    number = {int(k): i for i, k in enumerate(keys)}
+
+    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        memo, sizes, places = Memo(lambda w: number.get(word_key(w), -1), 100_000), [], []
         for text in utf8(batch.column(0)):
-            words = [[memo[w] for w in text[b:e].lower().split()] for b, e in sentences(text)]
+            words = [[i for i in map(memo.__getitem__, text[b:e].lower().split()) if i >= 0] for b, e in sentences(text)]
             sizes.append(np.array([len(w) for w in words], "<u4").tobytes())
-            keys.append(np.array([k for w in words for k in w], "<u4").tobytes())
-        return pa.RecordBatch.from_arrays([batch.column(1), pa.array(sizes, pa.binary()), pa.array(keys, pa.binary())], ["y", "sizes", "keys"])
+            places.append(np.array([k for w in words for k in w], "<u4").tobytes())
+        return pa.RecordBatch.from_arrays([batch.column(1), pa.array(sizes, pa.binary()), pa.array(places, pa.binary())], ["y", "sizes", "places"])
 
-    rows = sample.mapInArrow(by_batch(run), "y int, sizes binary, keys binary").collect()
-    return sorted((r.y, bytes(r["sizes"]), bytes(r["keys"])) for r in rows)
+    rows = sample.mapInArrow(by_batch(run), "y int, sizes binary, places binary").collect()
+    return [(y, np.frombuffer(s, "<u4"), np.frombuffer(p, "<u4")) for y, s, p in sorted((r.y, bytes(r["sizes"]), bytes(r["places"])) for r in rows) if s]
 
 
 def train(docs: DataFrame, labels: DataFrame, learn, label: str = "toxic", limit: int = SAMPLE) -> Model:
     """Fit on labelled documents; ``learn`` says which ids may be used."""
-    rows = [(y, np.frombuffer(s, "<u4"), np.frombuffer(k, "<u4")) for y, s, k in bags(labelled(docs, labels, label, learn, limit))]
-    rows = [r for r in rows if len(r[1])]
+    sample = labelled(docs, labels, label, learn, limit)
+    keys, rate = telling_words(sample, WORDS)
+    rows = bags(sample, keys) if 0 < rate < 1 else []
+    if not rows:
+        return Model(np.zeros(0, np.uint32), np.zeros(0), -50.0, 50.0 if rate == 1 else -50.0)
+    return fit(keys, rows)
+
+
+def fit(keys: np.ndarray, rows: list[tuple[int, np.ndarray, np.ndarray]]) -> Model:
     y = np.array([r[0] for r in rows], np.float64)
-    if not len(rows) or y.min() == y.max():
-        return Model(np.zeros(0, np.uint32), np.zeros(0), -50.0, 50.0 if len(rows) and y.min() == 1 else -50.0)
-    # words by how unevenly they fall on the two labels (squared standard score)
-    each = [np.unique(r[2]) for r in rows]
-    keys, at = np.unique(np.concatenate(each), return_inverse=True)
-    n = np.bincount(at)
-    hits = np.bincount(at, np.repeat(y, [len(e) for e in each]))
-    rate = y.mean()
-    telling = np.where(n >= MIN_DOCUMENTS, (hits - n * rate) ** 2 / (n * rate * (1 - rate)), -1)
-    best = np.argsort(-telling, kind="stable")[:WORDS]
-    keys = np.sort(keys[best[telling[best] > 0]])
-
-    words = np.concatenate([r[2] for r in rows])
+    rate = float(np.clip(y.mean(), 1e-6, 1 - 1e-6))
+    place = np.concatenate([r[2] for r in rows]).astype(np.int64)
     sizes = np.concatenate([r[1] for r in rows]).astype(np.int64)
     sentence = np.repeat(np.arange(len(sizes)), sizes)
     document = np.repeat(np.arange(len(rows)), [len(r[1]) for r in rows])
-    place = np.minimum(np.searchsorted(keys, words), max(0, len(keys) - 1))
-    known = keys[place] == words if len(keys) else np.zeros(len(words), bool)
-    place, sentence = place[known], sentence[known]
     x = np.zeros(len(keys) + 2)
     x[-2:] = np.log(rate / 2 / (1 - rate / 2)) - np.log(len(sizes) / len(rows)), np.log(rate / 2 / (1 - rate / 2))
     first, second = np.zeros_like(x), np.zeros_like(x)
