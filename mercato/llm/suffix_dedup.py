@@ -383,7 +383,8 @@ def remove_repeats(df: DataFrame, doc_id: str = "doc_id", text: str = "text", le
     others = [c for c in df.columns if c not in (text, "rid", "text", "kept", "removed", "at")]
     plain = df.select(row_key(doc_id, text).alias("rid"), F.coalesce(F.col(text), F.lit("")).alias("text"), *(f"`{c}`" for c in others))
     found = find_anchors(plain, length)
-    twice = found.groupBy("a").agg(F.count("*").alias("n"), F.min("c").alias("least"), F.max("c").alias("most")).where("n > 1")
+    # written, so that both sides of the join are plain exchanges and Spark may split a hot anchor
+    twice = written(found.groupBy("a").agg(F.count("*").alias("n"), F.min("c").alias("least"), F.max("c").alias("most")).where("n > 1"), "repeated")
     occurrences = written(found.join(twice, "a").select("rid", "pos", "first", "last", "a", (F.col("least") != F.col("most")).alias("unlike"), "n"), "anchors")
     rows = plain.repartition(parts, "rid")
     alike = occurrences.where("NOT unlike").select("rid", (F.col("pos") - F.col("first")).alias("begin"), (F.col("pos") - F.col("last") + length).alias("end"))

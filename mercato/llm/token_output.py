@@ -33,7 +33,9 @@ an empty one; other columns of the input are ignored.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
+from unicodedata import is_normalized
 
 import numpy as np
 import pyarrow as pa
@@ -52,27 +54,51 @@ SEGMENTS = ("part int, segment int, n_tokens long, doc_ids binary, doc_nulls bin
             "ranked binary, control binary, data binary")
 DOCUMENTS = "doc_id long, part int, segment int, in_segment long, n_tokens long, ids binary"
 
-_CODECS: dict[str, Memo] = {}
+_CODECS: dict[str, ChunkCodec] = {}
+
+#: Marks at the end of a chunk; the bars and brackets of special tokens are not among them.
+MARKS = re.compile(r"[.,;:!?%$#&*]+\Z")
 
 #: Byte lengths of the four values of each control byte.
 LENGTHS = np.array([[1 + (c >> s & 3) for s in (0, 2, 4, 6)] for c in range(256)], np.uint8)
 
 
-def chunk_codec(tokenizer_file: str) -> Memo:
-    """White-space chunk (bytes) -> its ids as a uint32 array."""
-    if tokenizer_file not in _CODECS:
+class ChunkCodec(Memo):
+    """White-space chunk (UTF-8 bytes) -> its ids as a uint32 array.
+
+    The library encodes whole chunks. Two cuts spare most of that work, as new
+    words are costly: ASCII marks after a letter or digit are always a piece of
+    their own for its splitter, so word and marks are looked up apart; and a
+    word of letters that its normaliser leaves as it is is one piece, so it
+    goes to the library's merge model directly.
+    """
+
+    def __init__(self, tokenizer_file: str):
         from tokenizers import Tokenizer
 
-        library = Tokenizer.from_file(tokenizer_file)
+        super().__init__(self.encode, MEMO_ENTRIES)
+        self.library = Tokenizer.from_file(tokenizer_file)
+        self.symbols = Memo(lambda c: self.library.pre_tokenizer.pre_tokenize_str(c)[0][0], 10_000)
+
+    def encode(self, chunk: bytes) -> np.ndarray:
+        word = chunk.decode()
+        if (marks := MARKS.search(word)) and marks.start() and word[marks.start() - 1].isalnum():
+            return np.concatenate([self[word[:marks.start()].encode()], self[marks[0].encode()]])
+        if word.isalpha() and word == word.lower() and is_normalized("NFC", word):
+            return np.array([t.id for t in self.library.model.tokenize("".join(map(self.symbols.__getitem__, word)))], np.uint32)
+        return np.array(self.library.encode(word, add_special_tokens=False).ids, np.uint32)
 
-        def encode(chunk: bytes) -> np.ndarray:
-            return np.array(library.encode(chunk.decode(), add_special_tokens=False).ids, np.uint32)
 
-        _CODECS[tokenizer_file] = Memo(encode, MEMO_ENTRIES)
+def chunk_codec(tokenizer_file: str) -> ChunkCodec:
+    """One codec per Python worker process."""
+    if tokenizer_file not in _CODECS:
+        _CODECS[tokenizer_file] = ChunkCodec(tokenizer_file)
     return _CODECS[tokenizer_file]
 
 
-def encode_text(memo: Memo, text: bytes, end_id: int) -> np.ndarray:
+def encode_text(memo: ChunkCodec, text: bytes, end_id: int) -> np.ndarray:
+    if b"<|" not in text:  # the tokenizer lowers letters, but knows its special tokens before that
+        text = text.lower()
     return np.concatenate([*map(memo.__getitem__, text.split()), np.array([end_id], np.uint32)])
 
 
