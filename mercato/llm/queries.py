@@ -92,11 +92,11 @@ QUERIES = {f.__name__: f for f in (
 ORACLES = {
     "op6_top_k": """
 WITH v AS (
-    SELECT vec_id, list_transform(embedding, x -> floor(256 * x::DOUBLE)::BIGINT) AS q
+    SELECT vec_id, [floor(256 * x::DOUBLE) for x in embedding] AS q
     FROM embeddings
-    WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+    WHERE vec_id IS NOT NULL AND len(embedding) > 0 AND len([x for x in embedding if x IS NULL OR NOT isfinite(x)]) = 0
 ), s AS (
-    SELECT a.vec_id AS query_id, b.vec_id, list_sum(list_transform(list_zip(a.q, b.q), z -> z[1] * z[2]))::BIGINT AS score
+    SELECT a.vec_id AS query_id, b.vec_id, list_dot_product(a.q, b.q)::BIGINT AS score
     FROM v a JOIN v b ON a.vec_id <> b.vec_id
     WHERE a.vec_id % 50 = 0
 ), r AS (
