@@ -76,15 +76,16 @@ def _sliced(h: DataFrame, keys, order, rank, sums, maxes) -> DataFrame:
         *[F.max(c).alias(f"__m_{name}") for name, c in maxes.items()])
     before = Window.partitionBy(*keys).orderBy("__slice").rowsBetween(Window.unboundedPreceding, -1)
     offsets = per.select("__slice", *keys, F.coalesce(F.sum("__c").over(before), F.lit(0)).alias("__off"),
-                         *[F.coalesce(F.sum(f"__s_{name}").over(before), F.lit(0)).alias(f"__o_{name}")
-                           for name in sums],
+                         *[F.sum(f"__s_{name}").over(before).alias(f"__o_{name}") for name in sums],
                          *[F.max(f"__m_{name}").over(before).alias(f"__p_{name}") for name in maxes])
     # offsets: one row per (slice, hot key) <= slices + hot keys: broadcast.
     out = local.join(F.broadcast(offsets), ["__slice", *keys])
     if rank:
         out = out.withColumn(rank, (F.col("__off") + F.col(rank)).cast("int"))
     for name in sums:
-        out = out.withColumn(name, F.col(f"__o_{name}") + F.col(name))
+        # NULL only while no earlier row has a value, as the plain window
+        carried, own = F.col(f"__o_{name}"), F.col(name)
+        out = out.withColumn(name, F.coalesce(carried + own, carried, own))
     for name in maxes:
         out = out.withColumn(name, F.greatest(F.col(f"__p_{name}"), F.col(name)))
     return out.drop("__slice", "__off", *[f"__o_{name}" for name in sums], *[f"__p_{name}" for name in maxes])

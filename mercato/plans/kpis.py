@@ -516,7 +516,8 @@ def executive_daily(m: Model) -> DataFrame:
         F.sum("quantity_ordered").alias("units"),
         F.count_distinct(F.when(F.col("fulfillment_status") != "Cancelled", F.col("order_number")))
         .alias("completed_orders"))
-    oc = fs.select(F.col("order_number").alias("order_id"), "sales_channel_code").distinct()
+    # a return's order may lie outside the period: its channel comes from all sales
+    oc = m.fact_sales.select(F.col("order_number").alias("order_id"), "sales_channel_code").distinct()
     fr = m.fact_returns.filter(_period(m, "return_date"))
     rets = (fr.join(oc, fr.order_number == oc.order_id)
             .groupBy(F.col("return_date").alias("report_date"), "sales_channel_code")
@@ -758,13 +759,12 @@ def assignment_rule(m: Model) -> DataFrame:
 
 
 def stockout_heatmap(m: Model) -> DataFrame:
-    """Warehouse x category heat map of stocked-out pair-days (pivot over the
-    categories present; their number is bounded by the product dimension's
-    category list)."""
+    """Warehouse x category heat map of stocked-out pair-days, one row a cell,
+    so its columns don't depend on the data."""
     iv = _interval_days(m).filter(F.col("quantity_on_hand") <= 0)
     cat = m.dim_product.select("product_id", "category_name")
-    return (iv.join(cat, "product_id").groupBy("warehouse_id").pivot("category_name")
-            .agg(F.sum("__days").cast("bigint")))
+    return (iv.join(cat, "product_id").groupBy("warehouse_id", "category_name")
+            .agg(F.sum("__days").cast("bigint").alias("stockout_days")))
 
 
 def sales_by_acquisition_daily(m: Model) -> DataFrame:

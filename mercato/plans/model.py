@@ -239,11 +239,13 @@ class Model:
 
     # -- transaction facts ---------------------------------------------------
 
-    @mart(cluster=("order_date",))
+    @mart(cluster=("order_date", "order_number"))
     def fact_sales(self) -> DataFrame:
         """Line grain. Inner join line -> header, at most one invoice per order
         (left join on the unique invoice key), COGS at the current unit cost."""
-        oi = self.stg("stg_order_items")
+        # Line numbers per order, taken before the joins (none of them splits an
+        # order); an order with a huge number of lines is numbered in slices.
+        oi = running_within(self.stg("stg_order_items"), ["order_id"], ["order_item_id"], rank="line_item_number")
         o = self.stg("stg_orders").select(
             "order_id", "customer_id", F.to_date("order_date").alias("order_date"),
             "sales_channel", "payment_method", F.col("order_status").alias("fulfillment_status"))
@@ -254,15 +256,12 @@ class Model:
         inv = unique_by(self.stg("stg_ar_invoices"), "order_id", ["payment_terms_code"])
         prod = unique_by(self.dim_product, "product_id", ["product_key", "msrp_sgd", "base_cost_sgd"])
         j = oi.join(o, "order_id").join(inv, "order_id", "left")
-        # Line numbers per order; an order with a huge number of lines is
-        # numbered in ordered slices instead of one task.
-        j = running_within(j, ["order_id"], ["order_item_id"], rank="line_item_number")
         j = j.join(prod, "product_id", "left")
         j = lookup_key(j, self.dim_warehouse, "warehouse_id", "warehouse_id", "warehouse_key",
                        "warehouse_key", bounded=True)
         return j.select(
             surrogate_key("order_item_id").alias("sales_fact_key"),
-            date_key("order_date").alias("order_date_key"),
+            F.coalesce(date_key("order_date"), F.lit(C.UNKNOWN_KEY).cast("bigint")).alias("order_date_key"),
             "customer_key",
             F.coalesce("product_key", F.lit(C.UNKNOWN_KEY).cast("bigint")).alias("product_key"),
             "warehouse_key",
@@ -278,7 +277,7 @@ class Model:
             (F.col("quantity") * F.col("base_cost_sgd")).cast(MONEY).alias("cogs_amount"),
             "order_date")
 
-    @mart(cluster=("return_date",))
+    @mart(cluster=("return_date", "order_number"))
     def fact_returns(self) -> DataFrame:
         """Refund = returned qty x net/qty (NULL-safe), rounded to cents; a 10%
         restocking fee only for Customer Remorse, on the unrounded refund."""
@@ -299,8 +298,8 @@ class Model:
                .otherwise(F.lit(0).cast(MONEY)))
         return j.select(
             surrogate_key("return_id").alias("return_fact_key"),
-            date_key(F.to_date("return_date")).alias("return_date_key"),
-            date_key(F.to_date("original_order_date")).alias("original_order_date_key"),
+            F.coalesce(date_key(F.to_date("return_date")), F.lit(C.UNKNOWN_KEY).cast("bigint")).alias("return_date_key"),
+            F.coalesce(date_key(F.to_date("original_order_date")), F.lit(C.UNKNOWN_KEY).cast("bigint")).alias("original_order_date_key"),
             "customer_key", "product_key", "warehouse_key",
             F.col("return_id").alias("return_authorization_number"),
             F.col("order_id").alias("order_number"), "disposition_code",

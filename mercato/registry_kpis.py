@@ -328,8 +328,7 @@ FROM (SELECT order_date AS d, sales_channel_code AS ch, sum(net_revenue_amount)
       FROM fact_sales WHERE order_date {P} GROUP BY 1, 2) s
 FULL OUTER JOIN (SELECT fr.return_date AS d, oc.ch, sum(fr.returned_quantity) AS units
                  FROM fact_returns fr
-                 JOIN (SELECT DISTINCT order_number, sales_channel_code AS ch FROM fact_sales
-                       WHERE order_date {P}) oc ON fr.order_number = oc.order_number
+                 JOIN (SELECT DISTINCT order_number, sales_channel_code AS ch FROM fact_sales) oc ON fr.order_number = oc.order_number
                  WHERE fr.return_date {P} GROUP BY 1, 2) r ON s.d = r.d AND s.ch = r.ch""")
 
 kpi("mart_sales_by_region_daily", K.sales_by_region_daily, f"""
@@ -443,10 +442,9 @@ FULL OUTER JOIN stg_warehouse_product_assignment s
   ON r.warehouse_id = s.warehouse_id AND r.product_id = s.product_id""")
 
 kpi("kpi_stockout_heatmap", K.stockout_heatmap, """
-SELECT * FROM (PIVOT (SELECT f.warehouse_id, dp.category_name, CAST(1 AS BIGINT) AS d
-                      FROM fact_inventory_daily f JOIN dim_product dp ON f.product_id = dp.product_id
-                      WHERE f.quantity_on_hand <= 0)
-               ON category_name USING CAST(sum(d) AS BIGINT) GROUP BY warehouse_id)""")
+SELECT f.warehouse_id, dp.category_name, count(*) AS stockout_days
+FROM fact_inventory_daily f JOIN dim_product dp ON f.product_id = dp.product_id
+WHERE f.quantity_on_hand <= 0 GROUP BY 1, 2""")
 
 kpi("mart_sales_by_acquisition_daily", K.sales_by_acquisition_daily, f"""
 SELECT fs.order_date AS report_date, dc.acquisition_channel, CAST(sum(fs.net_revenue_amount) AS DOUBLE) AS net_revenue_amount,

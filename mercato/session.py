@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -49,26 +50,27 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the cluster's shared checkpoint folder.
 
     On a cluster ``spark.checkpoint.dir`` names shared storage and is used as
-    is. Only when it is unset (local tests) do we point it at a fresh scratch
-    folder.
+    is. Only when it is unset on a local master (tests) do we point it at a
+    fresh scratch folder; on a cluster every executor would write its own disk.
     """
     current = spark.conf.get("spark.checkpoint.dir", None)
     if current:
         spark.sparkContext.setCheckpointDir(current)
         return current
+    if not re.match(r"local(\[|$)", spark.sparkContext.master):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     path = tempfile.mkdtemp(prefix="mercato-ckpt-")
     spark.conf.set("spark.checkpoint.dir", path)
     spark.sparkContext.setCheckpointDir(path)
     return path
 
 
-def cluster_conf(input_bytes: int, target_partition_bytes: int = 256 << 20,
-                 max_partitions: int = 200_000) -> dict[str, str]:
+def cluster_conf(input_bytes: int, target_partition_bytes: int = 256 << 20) -> dict[str, str]:
     """Settings for a cluster run over ``input_bytes`` of parquet: enough
     shuffle partitions that each holds about ``target_partition_bytes`` (so
     sorts and hash aggregates fit in executor memory instead of spilling),
     AQE to coalesce the small ones and split skewed ones at run time."""
-    parts = max(200, min(max_partitions, input_bytes // target_partition_bytes))
+    parts = max(200, input_bytes // target_partition_bytes)
     return {
         "spark.sql.shuffle.partitions": str(parts),
         "spark.sql.files.maxPartitionBytes": str(256 << 20),

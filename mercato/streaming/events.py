@@ -25,10 +25,16 @@ from ..sources.ingest import scratch_dir
 WATERMARK = "1 hour"
 
 
-def event_stream(spark: SparkSession, sf_dir: str, glob: str = "events.parquet") -> DataFrame:
-    schema = spark.read.option("pathGlobFilter", glob).parquet(sf_dir).schema
-    s = (spark.readStream.schema(schema).option("pathGlobFilter", glob)
-         .option("maxFilesPerTrigger", 1).parquet(sf_dir))
+def event_stream(spark: SparkSession, sf_dir: str, name: str = "events.parquet",
+                 files_per_trigger: int = 1000) -> DataFrame:
+    """The events table as a stream: one file of that name, or a folder of
+    part files, ``files_per_trigger`` of them a micro-batch."""
+    found = spark.read.parquet(f"{sf_dir}/{name}")
+    s = spark.readStream.schema(found.schema).option("maxFilesPerTrigger", files_per_trigger)
+    if all(f.endswith(f"/{name}") for f in found.inputFiles()):
+        s = s.option("pathGlobFilter", name).parquet(sf_dir)
+    else:
+        s = s.parquet(f"{sf_dir}/{name}")
     # Event-time operators need TIMESTAMP (the file holds TIMESTAMP_NTZ).
     return s.withColumn("ts", F.col("ts").cast("timestamp"))
 
@@ -164,9 +170,16 @@ def late_rows_report(spark: SparkSession, events_dir: str, glob: str = "*.parque
     agg = e.groupBy(F.window("ts", "15 minutes")).agg(F.count(F.lit(1)).alias("events"))
     root = scratch_dir(spark, "stream-late")
     out, ckpt = os.path.join(root, "out"), os.path.join(root, "checkpoint")
-    q = (agg.writeStream.option("checkpointLocation", ckpt).trigger(availableNow=True)
-         .outputMode("append").format("parquet").option("path", out).start())
-    q.awaitTermination()
+    # every batch's progress is kept, so the count below covers all of them
+    kept = "spark.sql.streaming.numRecentProgressUpdates"
+    usual = spark.conf.get(kept)
+    spark.conf.set(kept, "1000000")
+    try:
+        q = (agg.writeStream.option("checkpointLocation", ckpt).trigger(availableNow=True)
+             .outputMode("append").format("parquet").option("path", out).start())
+        q.awaitTermination()
+    finally:
+        spark.conf.set(kept, usual)
     dropped = sum(op.get("numRowsDroppedByWatermark", 0)
                   for p in q.recentProgress for op in p.get("stateOperators", []))
     windows = spark.read.parquet(out).select(_ntz("window.start").alias("window_start"), "events")
