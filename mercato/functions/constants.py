@@ -90,10 +90,14 @@ PRIORITY_TERMS = {
     "4-NOT SPECIFIED": "NET30",
     "5-LOW": "NET60",
 }
-# Marketing: campaign = k % N_CAMPAIGNS of the event props; a campaign is live
-# from day (1 + campaign) of the event month for FLIGHT_DAYS days.
-N_CAMPAIGNS = 20
-FLIGHT_DAYS = 10
+# Marketing: k of the event props picks the paid channel; a channel runs one
+# campaign after another, each for CAMPAIGN_DAYS days.
+CAMPAIGN_DAYS = 10
+# The events are dated this many years after the first orders; shifted back by
+# it, every contact (sign-up, view, click) lies on the clock of the orders.
+EVENT_YEARS_BACK = 29
+# Odd step between the keys of one entity's daily snapshot rows.
+DAY_STEP = 0x9E3779B97F
 
 # Time frame of the model.
 SIM_START = dt.date(1995, 1, 1)

@@ -27,16 +27,15 @@ def surrogate_key(c: str | Column) -> Column:
     return F.conv(F.substring(F.md5(col(c).cast("string")), 1, 15), 16, 10).cast("bigint")
 
 
-DAY_BITS = 14   # 16384 days > the calendar's span
-
-
 def day_key(entity_hash: str | Column, d: str | Column) -> Column:
-    """Key of an (entity, day) row of a periodic snapshot: the entity's
-    surrogate key with its low 14 bits replaced by the day's offset in the
-    calendar. The md5 is computed once per entity, not once per entity-day.
-    DuckDB twin: ``(h & -16384) | date_diff('day', DATE '<calendar start>', d)``."""
-    off = F.datediff(col(d), F.lit(C.CALENDAR_START).cast("date")).cast("bigint")
-    return col(entity_hash).bitwiseAND(F.lit(-(1 << DAY_BITS))).bitwiseOR(off)
+    """Key of an (entity, day) row of a periodic snapshot: the entity's 60-bit
+    surrogate key moved on by an odd step for each day since 1970, modulo 2^60.
+
+    The days of one entity never collide, keys of different entities are as
+    unlikely to as full hashes, any date has a key (never -1), and the md5 is
+    computed once per entity, not once per entity-day. NULL if either part is."""
+    days = F.datediff(col(d), F.lit("1970-01-01").cast("date")).cast("bigint")
+    return (col(entity_hash) + days * F.lit(C.DAY_STEP)).bitwiseAND(F.lit((1 << 60) - 1))
 
 
 def composite(*parts: str | Column, sep: str = "|") -> Column:

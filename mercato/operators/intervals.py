@@ -26,23 +26,22 @@ def daily_levels(df: DataFrame, by: Sequence[str], start: str | Column, end: str
                  measures: Mapping[str, Column], lo: dt.date, hi: dt.date,
                  day: str = "day") -> DataFrame:
     """Per (by, day) in [lo, hi]: sum of each measure over the intervals that
-    cover the day. Days covered by no interval are absent."""
+    cover the day. A day that intervals cover is present even if every sum is
+    0; days covered by no interval are absent."""
     by = list(by)
     names = list(measures)
     s, e = col(start), col(end)
     valid = df.filter(s.isNotNull() & e.isNotNull() & (s <= e))
-    opening = F.struct(s.alias("__d"), *[measures[n].alias(n) for n in names])
-    closing = F.struct(F.date_add(e, 1).alias("__d"), *[(-measures[n]).alias(n) for n in names])
+    opening = F.struct(s.alias("__d"), F.lit(1).alias("__n"), *[measures[n].alias(n) for n in names])
+    closing = F.struct(F.date_add(e, 1).alias("__d"), F.lit(-1).alias("__n"), *[(-measures[n]).alias(n) for n in names])
     ev = (valid.select(*by, F.explode(F.array(opening, closing)).alias("__e"))
           .select(*by, "__e.*"))
-    deltas = ev.groupBy(*by, "__d").agg(*[F.sum(n).alias(n) for n in names])
+    deltas = ev.groupBy(*by, "__d").agg(*[F.sum(n).alias(n) for n in ["__n", *names]])
     w = Window.partitionBy(*by).orderBy("__d")
     run = w.rowsBetween(Window.unboundedPreceding, 0)
-    levels = deltas.select(*by, "__d", *[F.sum(n).over(run).alias(n) for n in names],
+    levels = deltas.select(*by, "__d", *[F.sum(n).over(run).alias(n) for n in ["__n", *names]],
                            F.lead("__d").over(w).alias("__next"))
-    # After the last closing event every level is zero: nothing to emit.
-    levels = levels.filter(F.greatest(*[F.col(n) != 0 for n in names]) if len(names) > 1
-                           else F.col(names[0]) != 0)
+    levels = levels.filter(F.col("__n") > 0)
     lo_c, hi_c = lit_date(lo), lit_date(hi)
     frm = F.greatest(F.col("__d"), lo_c)
     to = F.least(F.coalesce(F.date_sub("__next", 1), hi_c), hi_c)

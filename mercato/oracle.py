@@ -38,8 +38,20 @@ def skey(expr: str) -> str:
 
 
 def daykey(h: str, d: str) -> str:
-    """Entity hash with the day offset in its low 14 bits."""
-    return f"(({h}) & CAST(-16384 AS BIGINT)) | CAST(date_diff('day', {_d(C.CALENDAR_START)}, {d}) AS BIGINT)"
+    """Entity hash moved on by an odd step a day, modulo 2^60."""
+    return (f"(({h}) + CAST(date_diff('day', DATE '1970-01-01', {d}) AS BIGINT) * {C.DAY_STEP}) "
+            f"& CAST({2 ** 60 - 1} AS BIGINT)")
+
+
+def member(dim: str, id_col: str, expr: str) -> str:
+    """Key of a natural id if the dimension holds it, else the unknown member."""
+    return (f"CASE WHEN {expr} IN (SELECT {id_col} FROM {dim} WHERE {id_col} <> 'UNKNOWN') "
+            f"THEN {skey(expr)} ELSE -1 END")
+
+
+def day_member(expr: str) -> str:
+    """Date key if the calendar holds the day, else the unknown member."""
+    return f"CASE WHEN {expr} IN (SELECT full_date FROM dim_date) THEN {dkey(expr)} ELSE -1 END"
 
 
 def dkey(expr: str) -> str:
@@ -68,6 +80,9 @@ CTE: dict[str, str] = {}
 
 # --- landing tables ---------------------------------------------------------
 
+CTE["contacts"] = f"""
+SELECT * REPLACE (ts - INTERVAL {C.EVENT_YEARS_BACK} YEAR AS ts) FROM events"""
+
 CTE["supplier_wh"] = """
 SELECT s_suppkey, printf('WH-%02d', n_regionkey) AS warehouse_id
 FROM supplier JOIN nation ON s_nationkey = n_nationkey"""
@@ -145,7 +160,7 @@ SELECT printf('CUST-%06d', c_custkey) AS customer_id,
        '  Customer.' || CAST(c_custkey AS VARCHAR) || '@Example.COM ' AS email,
        printf('+65-%08d', c_custkey) AS phone, n_name AS country, 'Unspecified' AS gender,
        {_d(C.CALENDAR_START)} - CAST(c_nationkey * 400 AS INTEGER) AS birth_date,
-       CAST(coalesce(fs.first_signup, fo.first_order) AS DATE) AS customer_since,
+       least(CAST(fs.first_signup AS DATE), CAST(fo.first_order AS DATE)) AS customer_since,
        CASE WHEN c_acctbal < 0 THEN NULL WHEN c_acctbal < 2500 THEN 'Bronze'
             WHEN c_acctbal < 5000 THEN 'Silver' WHEN c_acctbal < 7500 THEN 'Gold'
             ELSE 'Platinum' END AS loyalty_tier,
@@ -154,7 +169,7 @@ SELECT printf('CUST-%06d', c_custkey) AS customer_id,
 FROM customer LEFT JOIN nation ON c_nationkey = n_nationkey
 LEFT JOIN (SELECT o_custkey, min(o_orderdate) AS first_order FROM orders GROUP BY 1) fo
        ON c_custkey = fo.o_custkey
-LEFT JOIN (SELECT user_id, min(ts) AS first_signup FROM events WHERE event_type = 'signup'
+LEFT JOIN (SELECT user_id, min(ts) AS first_signup FROM contacts WHERE event_type = 'signup'
            GROUP BY 1) fs ON c_custkey = fs.user_id"""
 
 CTE["fulfil"] = r"""
@@ -256,24 +271,24 @@ SELECT 'MV-P-' || purchase_order_id, actual_receipt_date + INTERVAL 6 HOUR, '{C.
        warehouse_id, lines_product_id, quantity_received, 'PO', purchase_order_id
 FROM purchase_orders WHERE po_status = 'Received'"""
 
-_CH = _list(C.PAID_CHANNELS)
+_CH = f"{_list(C.PAID_CHANNELS)}[CAST(slot + 1 AS INTEGER)]"
 CTE["marketing_spend"] = f"""
-SELECT printf('MS-%03d-%s', campaign_no, strftime(date, '%Y%m%d')) AS marketing_spend_id, date,
-       printf('CMP-%03d', campaign_no) AS campaign_id,
-       printf('%s #%02d', {_CH}[campaign_no % {len(C.PAID_CHANNELS)} + 1], campaign_no) AS campaign_name,
-       {_CH}[campaign_no % {len(C.PAID_CHANNELS)} + 1] AS channel,
-       {_case(f"{_CH}[campaign_no % {len(C.PAID_CHANNELS)} + 1]", C.CHANNEL_PLATFORM)} AS platform,
+SELECT printf('MS-%06d-%s', campaign_no, strftime(date, '%Y%m%d')) AS marketing_spend_id, date,
+       printf('CMP-%06d', campaign_no) AS campaign_id, printf('%s #%06d', {_CH}, campaign_no) AS campaign_name,
+       {_CH} AS channel, {_case(_CH, C.CHANNEL_PLATFORM)} AS platform,
        spend_sgd, impressions, clicks,
        CAST(clicks AS DOUBLE) / CAST(nullif(impressions, 0) AS DOUBLE) AS click_through_rate,
        CASE WHEN clicks > 0 THEN {half_up_div(cents('spend_sgd'), 'clicks')} END AS cost_per_click_sgd
-FROM (SELECT CAST(ts AS DATE) AS date, CAST(json_extract_string(props, '$.k') AS INTEGER) % {C.N_CAMPAIGNS} AS campaign_no,
+FROM (SELECT date, slot,
+             CAST(date_diff('day', DATE '1970-01-01', date) // {C.CAMPAIGN_DAYS} * {len(C.PAID_CHANNELS)} + slot AS INTEGER)
+                 AS campaign_no,
              CAST(sum(CAST(value AS DECIMAL(18,2))) AS DECIMAL(18,2)) AS spend_sgd,
              CAST(count(*) FILTER (WHERE event_type = 'view') AS BIGINT) AS impressions,
              CAST(count(*) FILTER (WHERE event_type = 'click') AS BIGINT) AS clicks
-      FROM events WHERE event_type IN ('view', 'click')
-        AND dayofmonth(CAST(ts AS DATE)) BETWEEN CAST(json_extract_string(props, '$.k') AS INTEGER) % {C.N_CAMPAIGNS} + 1
-                                               AND CAST(json_extract_string(props, '$.k') AS INTEGER) % {C.N_CAMPAIGNS} + {C.FLIGHT_DAYS}
-      GROUP BY 1, 2)"""
+      FROM (SELECT CAST(ts AS DATE) AS date, event_type, value,
+                   coalesce(CAST(json_extract_string(props, '$.k') AS INTEGER), 0) % {len(C.PAID_CHANNELS)} AS slot
+            FROM contacts WHERE event_type IN ('view', 'click'))
+      GROUP BY 1, 2, 3)"""
 
 CTE["campaign_starts"] = """
 SELECT campaign_id, channel, min(date) AS start_date FROM marketing_spend GROUP BY 1, 2"""
@@ -393,7 +408,7 @@ FROM (SELECT CAST(unnest(generate_series(CAST(date_trunc('year', lo) - INTERVAL
       FROM (SELECT min(d) AS lo, max(d) AS hi
             FROM (SELECT CAST(o_orderdate AS DATE) AS d FROM orders
                   UNION ALL SELECT CAST(l_shipdate AS DATE) FROM lineitem
-                  UNION ALL SELECT CAST(ts AS DATE) FROM events)))"""
+                  UNION ALL SELECT CAST(ts AS DATE) FROM contacts)))"""
 
 CTE["dim_product"] = f"""
 SELECT {skey('product_id')} AS product_key, product_id, sku_code, product_name, category AS category_name,
@@ -441,69 +456,62 @@ SELECT -1, 'UNKNOWN', 'Unknown', 'Unknown', 'unknown@unknown.com', NULL, 'Unknow
 # --- facts ------------------------------------------------------------------
 
 CTE["fact_sales"] = f"""
-SELECT {skey('oi.order_item_id')} AS sales_fact_key,
-       coalesce(dd.date_key, -1) AS order_date_key,
-       coalesce(dc.customer_key, -1) AS customer_key,
-       coalesce(p.product_key, -1) AS product_key,
-       coalesce(dw.warehouse_key, -1) AS warehouse_key,
-       oi.order_id AS order_number,
-       row_number() OVER (PARTITION BY oi.order_id ORDER BY oi.order_item_id) AS line_item_number,
-       o.sales_channel AS sales_channel_code, o.payment_method, o.order_status AS fulfillment_status,
-       coalesce(ai.payment_terms_code, 'DUE_ON_RECEIPT') AS payment_terms_code,
-       oi.quantity AS quantity_ordered, p.msrp_sgd AS unit_list_price_amount,
-       oi.unit_price AS unit_selling_price_amount, oi.gross_sales AS gross_revenue_amount,
-       oi.discount_amount, oi.tax_amount, oi.net_sales AS net_revenue_amount, oi.commission_amount,
-       CAST(oi.quantity * p.base_cost_sgd AS DECIMAL(18,2)) AS cogs_amount,
-       CAST(o.order_date AS DATE) AS order_date
-FROM stg_order_items oi
-JOIN stg_orders o ON oi.order_id = o.order_id
-LEFT JOIN stg_ar_invoices ai ON oi.order_id = ai.order_id
-LEFT JOIN dim_product p ON oi.product_id = p.product_id
-LEFT JOIN dim_date dd ON CAST(o.order_date AS DATE) = dd.full_date
-LEFT JOIN dim_customer dc ON o.customer_id = dc.customer_id
-LEFT JOIN dim_warehouse dw ON oi.warehouse_id = dw.warehouse_id"""
+SELECT {skey('order_item_id')} AS sales_fact_key, {day_member('ordered_on')} AS order_date_key,
+       {member('dim_customer', 'customer_id', 'buyer')} AS customer_key,
+       {member('dim_product', 'product_id', 'product_id')} AS product_key,
+       {member('dim_warehouse', 'warehouse_id', 'warehouse_id')} AS warehouse_key,
+       order_id AS order_number, line_no AS line_item_number, sales_channel_code, payment_method,
+       fulfillment_status,
+       coalesce((SELECT max(t.payment_terms_code) FROM stg_ar_invoices t WHERE t.order_id = line.order_id),
+                'DUE_ON_RECEIPT') AS payment_terms_code,
+       quantity AS quantity_ordered, list_price AS unit_list_price_amount, unit_price AS unit_selling_price_amount,
+       gross_sales AS gross_revenue_amount, discount_amount, tax_amount, net_sales AS net_revenue_amount,
+       commission_amount, CAST(quantity * unit_cost AS DECIMAL(18,2)) AS cogs_amount, ordered_on AS order_date
+FROM (SELECT *, row_number() OVER (PARTITION BY order_id ORDER BY order_item_id) AS line_no
+      FROM stg_order_items) line
+JOIN (SELECT order_id, customer_id AS buyer, CAST(order_date AS DATE) AS ordered_on,
+             sales_channel AS sales_channel_code, payment_method, order_status AS fulfillment_status
+      FROM stg_orders) USING (order_id)
+LEFT JOIN (SELECT product_id, msrp_sgd AS list_price, base_cost_sgd AS unit_cost FROM stg_products) USING (product_id)"""
 
 CTE["fact_returns"] = f"""
-SELECT {skey('r.return_id')} AS return_fact_key,
-       coalesce(d1.date_key, -1) AS return_date_key, coalesce(d2.date_key, -1) AS original_order_date_key,
-       coalesce(dc.customer_key, -1) AS customer_key, coalesce(dp.product_key, -1) AS product_key,
-       coalesce(dw.warehouse_key, -1) AS warehouse_key,
-       r.return_id AS return_authorization_number, r.order_id AS order_number, r.disposition_code,
-       r.return_reason AS return_reason_code, r.returned_quantity,
-       CASE WHEN oi.quantity > 0 THEN {half_up_div('r.returned_quantity * ' + cents('oi.net_sales'), 'oi.quantity')}
-       END AS refunded_amount,
-       CASE WHEN r.return_reason = '{C.RESTOCKING_FEE_REASON}' THEN
-            CASE WHEN oi.quantity > 0 THEN {half_up_div('r.returned_quantity * ' + cents('oi.net_sales'), '10 * oi.quantity')} END
+WITH slip AS (
+  SELECT return_id, order_id, order_item_id, product_id, warehouse_id, returned_quantity, return_reason,
+         disposition_code, CAST(return_date AS DATE) AS back_on
+  FROM stg_returns),
+paid AS (
+  SELECT order_item_id, {cents('net_sales')} AS line_cents, quantity AS line_units
+  FROM stg_order_items WHERE quantity > 0)
+SELECT {skey('return_id')} AS return_fact_key, {day_member('back_on')} AS return_date_key,
+       {day_member('ordered_on')} AS original_order_date_key,
+       {member('dim_customer', 'customer_id', 'buyer')} AS customer_key,
+       {member('dim_product', 'product_id', 'product_id')} AS product_key,
+       {member('dim_warehouse', 'warehouse_id', 'warehouse_id')} AS warehouse_key,
+       return_id AS return_authorization_number, order_id AS order_number, disposition_code,
+       return_reason AS return_reason_code, returned_quantity,
+       {half_up_div('returned_quantity * line_cents', 'line_units')} AS refunded_amount,
+       CASE return_reason WHEN '{C.RESTOCKING_FEE_REASON}'
+            THEN {half_up_div('returned_quantity * line_cents', '10 * line_units')}
             ELSE CAST(0 AS DECIMAL(18,2)) END AS restocking_fee_amount,
-       CAST(r.return_date AS DATE) AS return_date
-FROM stg_returns r
-JOIN stg_orders o ON r.order_id = o.order_id
-LEFT JOIN stg_order_items oi ON r.order_item_id = oi.order_item_id
-LEFT JOIN dim_date d1 ON CAST(r.return_date AS DATE) = d1.full_date
-LEFT JOIN dim_date d2 ON CAST(o.order_date AS DATE) = d2.full_date
-LEFT JOIN dim_customer dc ON o.customer_id = dc.customer_id
-LEFT JOIN dim_product dp ON r.product_id = dp.product_id
-LEFT JOIN dim_warehouse dw ON r.warehouse_id = dw.warehouse_id"""
+       back_on AS return_date
+FROM (SELECT order_id, customer_id AS buyer, CAST(order_date AS DATE) AS ordered_on FROM stg_orders)
+JOIN slip USING (order_id) LEFT JOIN paid USING (order_item_id)"""
 
 CTE["fact_purchase_orders"] = f"""
-SELECT {skey('po.purchase_order_id')} AS purchase_order_fact_key,
-       coalesce(d1.date_key, -1) AS po_date_key, coalesce(d2.date_key, -1) AS expected_delivery_date_key,
-       coalesce(ds.supplier_key, -1) AS supplier_key, coalesce(p.product_key, -1) AS product_key,
-       coalesce(dw.warehouse_key, -1) AS destination_warehouse_key,
-       po.purchase_order_id AS po_number, po.po_status AS po_status_code, po.demand_tier,
-       po.quantity_ordered AS ordered_quantity, po.quantity_received AS received_quantity,
-       po.unit_cost_sgd AS unit_purchase_cost_amount, po.total_cost_sgd AS total_purchase_cost_amount,
-       po.expected_lead_time_days AS lead_time_days,
-       CAST((po.unit_cost_sgd - p.base_cost_sgd) * po.quantity_ordered AS DECIMAL(18,2))
-           AS purchase_price_variance_amount,
-       po.actual_receipt_date, CAST(po.order_date AS DATE) AS po_date,
-       CAST(po.expected_receipt_date AS DATE) AS expected_date
-FROM stg_purchase_orders po
-LEFT JOIN dim_product p ON po.product_id = p.product_id
-LEFT JOIN dim_date d1 ON CAST(po.order_date AS DATE) = d1.full_date
-LEFT JOIN dim_date d2 ON CAST(po.expected_receipt_date AS DATE) = d2.full_date
-LEFT JOIN dim_supplier ds ON po.supplier_id = ds.supplier_id
-LEFT JOIN dim_warehouse dw ON po.warehouse_id = dw.warehouse_id"""
+SELECT {skey('purchase_order_id')} AS purchase_order_fact_key, {day_member('placed_on')} AS po_date_key,
+       {day_member('due_on')} AS expected_delivery_date_key,
+       {member('dim_supplier', 'supplier_id', 'supplier_id')} AS supplier_key,
+       {member('dim_product', 'product_id', 'product_id')} AS product_key,
+       {member('dim_warehouse', 'warehouse_id', 'warehouse_id')} AS destination_warehouse_key,
+       purchase_order_id AS po_number, po_status AS po_status_code, demand_tier,
+       quantity_ordered AS ordered_quantity, quantity_received AS received_quantity,
+       unit_cost_sgd AS unit_purchase_cost_amount, total_cost_sgd AS total_purchase_cost_amount,
+       expected_lead_time_days AS lead_time_days,
+       CAST(quantity_ordered * (unit_cost_sgd - standard_cost) AS DECIMAL(18,2)) AS purchase_price_variance_amount,
+       actual_receipt_date, placed_on AS po_date, due_on AS expected_date
+FROM (SELECT *, CAST(order_date AS DATE) AS placed_on, CAST(expected_receipt_date AS DATE) AS due_on
+      FROM stg_purchase_orders)
+LEFT JOIN (SELECT product_id, base_cost_sgd AS standard_cost FROM stg_products) USING (product_id)"""
 
 CTE["fact_marketing_spend"] = f"""
 SELECT {skey("coalesce(s.marketing_spend_id, '-1')")} AS marketing_spend_key,
@@ -521,64 +529,49 @@ SELECT movement_id, movement_date, movement_type, warehouse_id, product_id, quan
                            ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cumulative_qty_change
 FROM stg_inventory_movements"""
 
+CTE["ledger_days"] = f"""
+SELECT warehouse_id, product_id, CAST(movement_date AS DATE) AS moved_on,
+       coalesce(-sum(quantity) FILTER (movement_type = '{C.MOVEMENT_SALE}'), 0) AS sold,
+       coalesce(sum(quantity) FILTER (movement_type = '{C.MOVEMENT_RETURN}'), 0) AS came_back,
+       coalesce(sum(quantity) FILTER (movement_type = '{C.MOVEMENT_PURCHASE}'), 0) AS delivered,
+       sum(sum(quantity)) OVER (PARTITION BY warehouse_id, product_id ORDER BY CAST(movement_date AS DATE)) AS level
+FROM stg_inventory_movements GROUP BY 1, 2, 3"""
+
 CTE["balance_offset"] = """
-SELECT warehouse_id, product_id, snapshot_date, snapshot_quantity_on_hand,
-       coalesce(cumulative_at_snapshot, 0) AS cumulative_at_snapshot,
-       snapshot_quantity_on_hand - coalesce(cumulative_at_snapshot, 0) AS opening_balance_offset
-FROM (SELECT s.warehouse_id, s.product_id, s.snapshot_date, s.quantity_on_hand AS snapshot_quantity_on_hand,
-             r.cumulative_qty_change AS cumulative_at_snapshot
-      FROM stg_inventory_snapshot s
-      LEFT JOIN running_totals r ON s.warehouse_id = r.warehouse_id AND s.product_id = r.product_id
-                                AND CAST(r.movement_date AS DATE) <= s.snapshot_date
-      QUALIFY row_number() OVER (PARTITION BY s.warehouse_id, s.product_id
-                                 ORDER BY r.movement_date DESC NULLS LAST, r.movement_id DESC NULLS LAST) = 1)"""
-
-CTE["inventory_spine"] = f"""
-SELECT a.warehouse_id, a.product_id, CAST(d.full_date AS DATE) AS balance_date
-FROM stg_warehouse_product_assignment a
-JOIN (SELECT product_id,
-             CASE WHEN launch_date IS NULL THEN NULL ELSE greatest(launch_date, {SIM_START}) END AS ws,
-             least(coalesce(discontinued_date, {SIM_END}), {SIM_END}) AS we
-      FROM dim_product WHERE product_id <> 'UNKNOWN') bp ON a.product_id = bp.product_id
-JOIN dim_date d ON d.full_date BETWEEN bp.ws AND bp.we"""
-
-CTE["daily_movement_summary"] = f"""
-SELECT warehouse_id, product_id, CAST(movement_date AS DATE) AS movement_day,
-       arg_max(cumulative_qty_change, (movement_date, movement_id)) AS day_end_cumulative,
-       sum(CASE WHEN movement_type = '{C.MOVEMENT_SALE}' THEN -quantity ELSE 0 END) AS units_sold_qty,
-       sum(CASE WHEN movement_type = '{C.MOVEMENT_RETURN}' THEN quantity ELSE 0 END) AS units_returned_qty,
-       sum(CASE WHEN movement_type = '{C.MOVEMENT_PURCHASE}' THEN quantity ELSE 0 END) AS units_received_qty
-FROM running_totals GROUP BY 1, 2, 3"""
+SELECT counted.warehouse_id, counted.product_id, snapshot_date, quantity_on_hand AS snapshot_quantity_on_hand,
+       coalesce(level, 0) AS cumulative_at_snapshot,
+       snapshot_quantity_on_hand - coalesce(level, 0) AS opening_balance_offset
+FROM stg_inventory_snapshot counted ASOF LEFT JOIN ledger_days moved
+  ON counted.warehouse_id = moved.warehouse_id AND counted.product_id = moved.product_id
+ AND counted.snapshot_date >= moved.moved_on"""
+
+CTE["stock_windows"] = f"""
+SELECT warehouse_id, product_id, greatest(launch_date, {SIM_START}) AS first_day,
+       least(discontinued_date, {SIM_END}) AS last_day
+FROM stg_warehouse_product_assignment JOIN stg_products USING (product_id) WHERE launch_date IS NOT NULL"""
+
+CTE["inventory_spine"] = """
+SELECT warehouse_id, product_id,
+       CAST(unnest(generate_series(first_day, last_day, INTERVAL 1 DAY)) AS DATE) AS balance_date
+FROM stock_windows"""
 
 CTE["fact_inventory_daily"] = f"""
-SELECT {daykey(skey("f.warehouse_id || '|' || f.product_id"), 'f.balance_date')} AS inventory_fact_key,
-       {dkey('f.balance_date')} AS snapshot_date_key,
-       coalesce(dp.product_key, -1) AS product_key, coalesce(dw.warehouse_key, -1) AS warehouse_key,
-       f.balance_date,
-       coalesce(o.opening_balance_offset, 0) + coalesce(f.cum_as_of_day, 0) AS quantity_on_hand,
-       f.units_sold_qty, f.units_returned_qty, f.units_received_qty, f.warehouse_id, f.product_id
-FROM (SELECT s.warehouse_id, s.product_id, s.balance_date,
-             coalesce(m.units_sold_qty, 0) AS units_sold_qty,
-             coalesce(m.units_returned_qty, 0) AS units_returned_qty,
-             coalesce(m.units_received_qty, 0) AS units_received_qty,
-             last_value(m.day_end_cumulative IGNORE NULLS) OVER (
-                 PARTITION BY s.warehouse_id, s.product_id ORDER BY s.balance_date
-                 ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cum_as_of_day_spine,
-             coalesce(cum_as_of_day_spine, prior.cum_before) AS cum_as_of_day
-      FROM inventory_spine s
-      LEFT JOIN daily_movement_summary m ON s.warehouse_id = m.warehouse_id AND s.product_id = m.product_id
-                                        AND s.balance_date = m.movement_day
-      LEFT JOIN (SELECT sp.warehouse_id, sp.product_id,
-                        max_by(m2.day_end_cumulative, m2.movement_day) AS cum_before
-                 FROM (SELECT warehouse_id, product_id, min(balance_date) AS first_day
-                       FROM inventory_spine GROUP BY 1, 2) sp
-                 JOIN daily_movement_summary m2 ON sp.warehouse_id = m2.warehouse_id
-                      AND sp.product_id = m2.product_id AND m2.movement_day < sp.first_day
-                 GROUP BY 1, 2) prior
-             ON s.warehouse_id = prior.warehouse_id AND s.product_id = prior.product_id) f
-LEFT JOIN balance_offset o ON f.warehouse_id = o.warehouse_id AND f.product_id = o.product_id
-LEFT JOIN dim_product dp ON f.product_id = dp.product_id
-LEFT JOIN dim_warehouse dw ON f.warehouse_id = dw.warehouse_id"""
+WITH steps AS (
+  SELECT warehouse_id, product_id, moved_on, sold, came_back, delivered, level
+  FROM ledger_days JOIN stock_windows USING (warehouse_id, product_id) WHERE moved_on >= first_day),
+held AS (
+  SELECT day.warehouse_id, day.product_id, balance_date, moved_on IS NOT DISTINCT FROM balance_date AS moved,
+         sold, came_back, delivered, coalesce(level, 0) AS level
+  FROM inventory_spine day ASOF LEFT JOIN steps
+    ON day.warehouse_id = steps.warehouse_id AND day.product_id = steps.product_id AND balance_date >= moved_on)
+SELECT {daykey(skey("warehouse_id || '|' || product_id"), 'balance_date')} AS inventory_fact_key,
+       {dkey('balance_date')} AS snapshot_date_key,
+       {member('dim_product', 'product_id', 'product_id')} AS product_key,
+       {member('dim_warehouse', 'warehouse_id', 'warehouse_id')} AS warehouse_key, balance_date,
+       coalesce(opening_balance_offset, 0) + level AS quantity_on_hand,
+       if(moved, sold, 0) AS units_sold_qty, if(moved, came_back, 0) AS units_returned_qty,
+       if(moved, delivered, 0) AS units_received_qty, warehouse_id, product_id
+FROM held LEFT JOIN balance_offset USING (warehouse_id, product_id)"""
 
 # --- receivables chain --------------------------------------------------------
 
@@ -644,17 +637,22 @@ WINDOW w AS (PARTITION BY product_id ORDER BY change_date)"""
 
 # --- dashboard helpers --------------------------------------------------------
 
-CTE["date_spine"] = f"""
+CTE["period_days"] = f"""
 SELECT full_date AS report_date, date_key FROM dim_date WHERE full_date BETWEEN {SIM_START} AND {SIM_END}"""
 
-CTE["customer_ltv"] = """
-SELECT customer_key, sum(net_revenue_amount) - sum(cogs_amount) AS ltv_amount
-FROM fact_sales WHERE customer_key <> -1 GROUP BY customer_key"""
+CTE["customer_profit"] = """
+SELECT customer_key, sum(net_revenue_amount) - sum(cogs_amount) AS profit
+FROM fact_sales GROUP BY ALL HAVING customer_key <> -1"""
 
-CHANNEL_CLASS_SQL = _case("sales_channel_code", C.CHANNEL_CLASS, f"'{C.CHANNEL_CLASS_DEFAULT}'")
+CTE["campaign_ledger"] = """
+SELECT campaign_key, sum(cost) AS cost, CAST(sum(people) AS BIGINT) AS people, sum(profit) AS profit
+FROM (SELECT campaign_key, spend_amount AS cost, 0 AS people, 0 AS profit FROM fact_marketing_spend
+      UNION ALL
+      SELECT acquisition_campaign_key, 0, 1, coalesce(profit, 0)
+      FROM dim_customer LEFT JOIN customer_profit USING (customer_key) WHERE customer_id <> 'UNKNOWN')
+GROUP BY campaign_key"""
 
-CTE["order_channel"] = f"""
-SELECT DISTINCT order_number AS order_id, {CHANNEL_CLASS_SQL} AS channel_class FROM fact_sales"""
+CHANNEL_CLASS_SQL = _case("sales_channel_code", C.CHANNEL_CLASS, f"'{C.CHANNEL_CLASS_DEFAULT}'")
 
 
 # --- resolution -------------------------------------------------------------

@@ -23,7 +23,7 @@ def _in_period(m: Model, c: str) -> F.Column:
     return F.col(c).between(lit_date(m.sim_start), lit_date(m.sim_end))
 
 
-def date_spine(m: Model) -> DataFrame:
+def period_days(m: Model) -> DataFrame:
     return (m.dim_date.filter(_in_period(m, "full_date"))
             .select(F.col("full_date").alias("report_date"), "date_key"))
 
@@ -32,7 +32,7 @@ def completed_orders() -> F.Column:
     return F.count_distinct(F.when(F.col("fulfillment_status") != "Cancelled", F.col("order_number")))
 
 
-def customer_ltv(m: Model) -> DataFrame:
+def customer_profit(m: Model) -> DataFrame:
     """LTV per customer = revenue - COGS, aggregated before any join."""
     return (m.fact_sales.filter(F.col("customer_key") != C.UNKNOWN_KEY)
             .groupBy("customer_key")
@@ -58,7 +58,7 @@ def q01_overview(m: Model) -> DataFrame:
     inv = m.inventory_levels().select(
         date_key("balance_date").alias("snapshot_date_key"),
         F.col("active_pairs").alias("active_skus"), F.col("stockout_pairs").alias("stockout_skus"))
-    ds = date_spine(m)
+    ds = period_days(m)
     j = (ds.join(sales, ds.date_key == sales.order_date_key, "left")
          .join(rets, ds.date_key == rets.return_date_key, "left")
          .join(inv, ds.date_key == inv.snapshot_date_key, "left"))
@@ -106,14 +106,14 @@ def q03_top10_skus(m: Model, n: int = 10) -> DataFrame:
 def q04_ltv_cac_by_channel(m: Model) -> DataFrame:
     camp = m.dim_campaign.filter(F.col("campaign_id") != C.NO_CAMPAIGN_ID)
     cust = m.dim_customer.filter(F.col("customer_id") != C.UNKNOWN_ID)
-    attributed = (cust.join(F.broadcast(camp), cust.acquisition_campaign_key == camp.campaign_key)
-                  .join(customer_ltv(m), "customer_key", "left")
+    attributed = (cust.join(camp, cust.acquisition_campaign_key == camp.campaign_key)
+                  .join(customer_profit(m), "customer_key", "left")
                   .select("customer_key", "acquisition_channel_name", "marketing_platform",
                           F.coalesce("ltv_amount", F.lit(0).cast("decimal(38,2)")).alias("ltv_amount")))
     ltv = (attributed.groupBy("acquisition_channel_name", "marketing_platform")
            .agg(F.count_distinct("customer_key").alias("attributed_customers"),
                 F.sum("ltv_amount").alias("total_ltv_amount")))
-    spend = (m.fact_marketing_spend.join(F.broadcast(camp), "campaign_key")
+    spend = (m.fact_marketing_spend.join(camp, "campaign_key")
              .groupBy("acquisition_channel_name", "marketing_platform")
              .agg(F.sum("spend_amount").alias("total_spend_amount")))
     return (ltv.join(spend, ["acquisition_channel_name", "marketing_platform"], "left")
@@ -130,7 +130,7 @@ def q05_dso(m: Model) -> DataFrame:
     credit = (m.fact_sales.filter(F.col("payment_terms_code") != C.DEFAULT_PAYMENT_TERMS)
               .groupBy("order_date_key")
               .agg(F.sum("net_revenue_amount").alias("credit_net_revenue_amount")))
-    ds = date_spine(m)
+    ds = period_days(m)
     return (ds.join(ar, ds.date_key == ar.snapshot_date_key, "left")
             .join(credit, ds.date_key == credit.order_date_key, "left")
             .select("report_date",
@@ -166,23 +166,16 @@ def q08_channel_class_mix(m: Model) -> DataFrame:
             .orderBy("report_month", "channel_class"))
 
 
-def order_channel(m: Model) -> DataFrame:
-    """One channel class per order (distinct first: no fan-out on the join)."""
-    return (m.fact_sales.select(F.col("order_number").alias("order_id"),
-                                channel_class("sales_channel_code").alias("channel_class"))
-            .distinct())
-
-
 def q09_aov_return_by_class(m: Model) -> DataFrame:
-    oc = order_channel(m)
-    fs = m.fact_sales.filter(_in_period(m, "order_date"))
-    sales = (fs.join(oc, fs.order_number == oc.order_id)
-             .groupBy("channel_class")
+    """Each sales row carries its channel; only returns look theirs up, by order."""
+    sales = (m.fact_sales.filter(_in_period(m, "order_date"))
+             .groupBy(channel_class("sales_channel_code").alias("channel_class"))
              .agg(F.sum("net_revenue_amount").alias("net_revenue_amount"),
                   F.sum("quantity_ordered").alias("sold_units"),
                   completed_orders().alias("completed_orders")))
-    fr = m.fact_returns.filter(_in_period(m, "return_date"))
-    rets = (fr.join(oc, fr.order_number == oc.order_id)
+    channels = m.stg("stg_orders").select(F.col("order_id").alias("order_number"),
+                                          channel_class("sales_channel").alias("channel_class"))
+    rets = (m.fact_returns.filter(_in_period(m, "return_date")).join(channels, "order_number")
             .groupBy("channel_class").agg(F.sum("returned_quantity").alias("returned_units")))
     return (sales.join(rets, "channel_class", "left")
             .select("channel_class", F.col("net_revenue_amount").cast("double").alias("net_revenue_amount"),
@@ -193,11 +186,11 @@ def q09_aov_return_by_class(m: Model) -> DataFrame:
 def q10_cac_trend(m: Model) -> DataFrame:
     camp = (m.dim_campaign.filter(F.col("campaign_id") != C.NO_CAMPAIGN_ID)
             .select("campaign_key", "acquisition_channel_name", "marketing_platform"))
-    spend = (m.fact_marketing_spend.join(F.broadcast(camp), "campaign_key")
+    spend = (m.fact_marketing_spend.join(camp, "campaign_key")
              .groupBy(F.trunc("spend_date", "MM").alias("report_month"), "acquisition_channel_name")
              .agg(F.sum("spend_amount").alias("spend_amount")))
     cust = m.dim_customer.filter(F.col("customer_id") != C.UNKNOWN_ID)
-    new = (cust.join(F.broadcast(camp), cust.acquisition_campaign_key == camp.campaign_key)
+    new = (cust.join(camp, cust.acquisition_campaign_key == camp.campaign_key)
            .groupBy(F.trunc("customer_since", "MM").alias("report_month"), "acquisition_channel_name")
            .agg(F.count_distinct("customer_key").alias("new_customers")))
     return (spend.join(new, ["report_month", "acquisition_channel_name"], "full_outer")
@@ -209,7 +202,7 @@ def q10_cac_trend(m: Model) -> DataFrame:
 
 def q11_ltv_by_cohort(m: Model) -> DataFrame:
     cust = m.dim_customer.filter(F.col("customer_id") != C.UNKNOWN_ID)
-    return (cust.join(customer_ltv(m), "customer_key", "left")
+    return (cust.join(customer_profit(m), "customer_key", "left")
             .groupBy(F.trunc("customer_since", "MM").alias("cohort_month"))
             .agg(F.count_distinct("customer_key").alias("customers"),
                  F.sum(F.coalesce("ltv_amount", F.lit(0))).cast("double").alias("total_ltv_amount"))
@@ -218,7 +211,7 @@ def q11_ltv_by_cohort(m: Model) -> DataFrame:
 
 def q12_campaign_triage(m: Model) -> DataFrame:
     cust = m.dim_customer.filter(F.col("customer_id") != C.UNKNOWN_ID)
-    per_campaign = (cust.join(customer_ltv(m), "customer_key", "left")
+    per_campaign = (cust.join(customer_profit(m), "customer_key", "left")
                     .groupBy(F.col("acquisition_campaign_key").alias("campaign_key"))
                     .agg(F.count_distinct("customer_key").alias("new_customers"),
                          F.sum(F.coalesce("ltv_amount", F.lit(0))).alias("total_ltv_amount")))

@@ -15,7 +15,7 @@ from ..functions import constants as C
 from ..functions.exprs import MONEY, lit_date, status_by_threshold
 from ..operators.core import avg_percent_rank, tier
 from ..operators.intervals import daily_levels
-from .dashboards import date_spine, q04_ltv_cac_by_channel
+from .dashboards import period_days, q04_ltv_cac_by_channel
 from .model import Model
 
 DBL = "double"
@@ -120,7 +120,7 @@ def finance_rollup(m: Model) -> DataFrame:
 
 def spend_by_channel_rollup(m: Model) -> DataFrame:
     camp = m.dim_campaign.select("campaign_key", "acquisition_channel_name")
-    return (m.fact_marketing_spend.join(F.broadcast(camp), "campaign_key")
+    return (m.fact_marketing_spend.join(camp, "campaign_key")
             .rollup("acquisition_channel_name")
             .agg(F.grouping_id().cast("bigint").alias("grouping_level"),
                  F.sum("spend_amount").cast(DBL).alias("spend_amount")))
@@ -173,9 +173,9 @@ def roas_by_channel(m: Model) -> DataFrame:
     cust = m.dim_customer.filter(F.col("customer_id") != C.UNKNOWN_ID) \
         .select("customer_key", F.col("acquisition_campaign_key").alias("campaign_key"))
     rev = (m.fact_sales.groupBy("customer_key").agg(F.sum("net_revenue_amount").alias("rev"))
-           .join(cust, "customer_key").join(F.broadcast(camp), "campaign_key")
+           .join(cust, "customer_key").join(camp, "campaign_key")
            .groupBy("acquisition_channel_name").agg(F.sum("rev").alias("attributed_revenue")))
-    spend = (m.fact_marketing_spend.join(F.broadcast(camp), "campaign_key")
+    spend = (m.fact_marketing_spend.join(camp, "campaign_key")
              .groupBy("acquisition_channel_name").agg(F.sum("spend_amount").alias("spend")))
     j = spend.join(rev, "acquisition_channel_name", "full_outer")
     r = F.coalesce(F.col("attributed_revenue").cast(DBL), F.lit(0.0))
@@ -231,12 +231,12 @@ def marketing_monthly(m: Model) -> DataFrame:
     """Month x platform: spend, impressions, clicks, CTR, CPC, new customers."""
     camp = m.dim_campaign.filter(F.col("campaign_id") != C.NO_CAMPAIGN_ID) \
         .select("campaign_key", "marketing_platform")
-    spend = (m.fact_marketing_spend.join(F.broadcast(camp), "campaign_key")
+    spend = (m.fact_marketing_spend.join(camp, "campaign_key")
              .groupBy(F.trunc("spend_date", "MM").alias("report_month"), "marketing_platform")
              .agg(F.sum("spend_amount").alias("spend"), F.sum("impressions_count").alias("impressions"),
                   F.sum("clicks_count").alias("clicks")))
     cust = m.dim_customer.filter(F.col("customer_id") != C.UNKNOWN_ID)
-    new = (cust.join(F.broadcast(camp), cust.acquisition_campaign_key == camp.campaign_key)
+    new = (cust.join(camp, cust.acquisition_campaign_key == camp.campaign_key)
            .groupBy(F.trunc("customer_since", "MM").alias("report_month"), "marketing_platform")
            .agg(F.count(F.lit(1)).alias("new_customers")))
     j = spend.join(new, ["report_month", "marketing_platform"], "full_outer")
@@ -267,7 +267,7 @@ def dso_monthly(m: Model) -> DataFrame:
     """DSO = average daily AR / (credit sales / days), per month (semi-additive:
     daily totals are averaged over the days, never summed over time). Sums stay
     exact decimals until the final division."""
-    ds = date_spine(m)
+    ds = period_days(m)
     ar = m.ar_balance_levels().select(F.col("snapshot_date").alias("report_date"), "open_balance_amount")
     credit = (m.fact_sales.filter(F.col("payment_terms_code") != C.DEFAULT_PAYMENT_TERMS)
               .groupBy(F.col("order_date").alias("report_date"))
@@ -314,13 +314,14 @@ def ar_accounts_top15(m: Model, n: int = 15) -> DataFrame:
 
 
 def ar_aging_mix_monthly(m: Model) -> DataFrame:
-    """Aging-bucket mix by month: daily bucket amounts summed over the month,
-    and the days with open invoices (sweep over bucket-cut balance pieces)."""
+    """Aging-bucket mix by month: average daily amount of each bucket over the
+    days with open invoices (balances don't add up over time)."""
     lv = m.ar_bucket_levels()
     b = [name for name, _, _ in m.AGING_BUCKETS]
     return (lv.filter(F.col("open_rows") > 0)
             .groupBy(F.trunc("snapshot_date", "MM").alias("report_month"))
-            .agg(*[F.sum(c).cast(DBL).alias(c) for c in b], F.count(F.lit(1)).alias("days")))
+            .agg(*[(F.sum(c).cast(DBL) / F.count(F.lit(1)).cast(DBL)).alias(f"avg_{c}") for c in b],
+                 F.count(F.lit(1)).alias("days")))
 
 
 def ar_monthly_by_customer(m: Model) -> DataFrame:
@@ -361,7 +362,7 @@ def returns_by_warehouse(m: Model) -> DataFrame:
     """Disposition mix (pivot) plus refunds and fees per warehouse."""
     fr = m.fact_returns
     dw = m.dim_warehouse.select("warehouse_key", "warehouse_id")
-    base = fr.join(F.broadcast(dw), "warehouse_key", "left")
+    base = fr.join(dw, "warehouse_key", "left")
     pv = base.groupBy("warehouse_id").pivot("disposition_code", C.DISPOSITIONS).agg(F.sum("returned_quantity"))
     money = base.groupBy("warehouse_id").agg(F.sum("refunded_amount").alias("refunds"),
                                              F.sum("restocking_fee_amount").alias("fees"))
@@ -496,7 +497,7 @@ def inventory_turnover_monthly(m: Model) -> DataFrame:
     avg_val = val.groupBy("warehouse_id", F.trunc("balance_date", "MM").alias("report_month")).agg(
         F.sum("inventory_value").alias("value_days"), F.count(F.lit(1)).alias("days"))
     dw = m.dim_warehouse.select("warehouse_key", "warehouse_id")
-    cogs = (m.fact_sales.filter(_period(m, "order_date")).join(F.broadcast(dw), "warehouse_key")
+    cogs = (m.fact_sales.filter(_period(m, "order_date")).join(dw, "warehouse_key")
             .groupBy("warehouse_id", F.trunc("order_date", "MM").alias("report_month"))
             .agg(F.sum("cogs_amount").alias("cogs")))
     j = avg_val.join(cogs, ["warehouse_id", "report_month"], "full_outer")
@@ -534,7 +535,7 @@ def executive_daily(m: Model) -> DataFrame:
 def sales_by_region_daily(m: Model) -> DataFrame:
     fs = m.fact_sales.filter(_period(m, "order_date"))
     dw = m.dim_warehouse.select("warehouse_key", "warehouse_region")
-    return (fs.join(F.broadcast(dw), "warehouse_key")
+    return (fs.join(dw, "warehouse_key")
             .groupBy(F.col("order_date").alias("report_date"), "sales_channel_code", "warehouse_region")
             .agg(F.sum("net_revenue_amount").cast(DBL).alias("net_revenue_amount"),
                  F.sum("quantity_ordered").cast("bigint").alias("sold_units")))
@@ -544,7 +545,7 @@ def po_summary(m: Model) -> DataFrame:
     po = m.fact_purchase_orders
     ds = m.dim_supplier.select("supplier_key", "supplier_id")
     dw = m.dim_warehouse.select(F.col("warehouse_key").alias("destination_warehouse_key"), "warehouse_id")
-    return (po.join(ds, "supplier_key", "left").join(F.broadcast(dw), "destination_warehouse_key", "left")
+    return (po.join(ds, "supplier_key", "left").join(dw, "destination_warehouse_key", "left")
             .groupBy("supplier_id", "warehouse_id")
             .agg(F.count(F.lit(1)).alias("po_count"),
                  F.sum("ordered_quantity").cast("bigint").alias("ordered_quantity"),
@@ -566,11 +567,11 @@ def spend_daily_by_campaign(m: Model) -> DataFrame:
     signed up that day attributed to the campaign."""
     camp = m.dim_campaign.filter(F.col("campaign_id") != C.NO_CAMPAIGN_ID) \
         .select("campaign_key", "campaign_id", "marketing_platform")
-    spend = (m.fact_marketing_spend.join(F.broadcast(camp), "campaign_key")
+    spend = (m.fact_marketing_spend.join(camp, "campaign_key")
              .groupBy(F.col("spend_date").alias("report_date"), "campaign_id", "marketing_platform")
              .agg(F.sum("spend_amount").alias("spend"), F.sum("clicks_count").alias("clicks")))
     cust = m.dim_customer.filter(F.col("customer_id") != C.UNKNOWN_ID)
-    new = (cust.join(F.broadcast(camp), cust.acquisition_campaign_key == camp.campaign_key)
+    new = (cust.join(camp, cust.acquisition_campaign_key == camp.campaign_key)
            .groupBy(F.col("customer_since").alias("report_date"), "campaign_id", "marketing_platform")
            .agg(F.count(F.lit(1)).alias("new_customers")))
     j = spend.join(new, ["report_date", "campaign_id", "marketing_platform"], "full_outer")
@@ -782,16 +783,16 @@ def marketing_ltv_monthly(m: Model) -> DataFrame:
     """Marketing summary: sign-up month x acquisition channel with spend, new
     customers, their lifetime value, CAC and LTV:CAC (components summed first,
     divided last)."""
-    from .dashboards import customer_ltv
+    from .dashboards import customer_profit
     camp = m.dim_campaign.filter(F.col("campaign_id") != C.NO_CAMPAIGN_ID) \
         .select("campaign_key", "acquisition_channel_name")
     cust = m.dim_customer.filter(F.col("customer_id") != C.UNKNOWN_ID)
-    new = (cust.join(F.broadcast(camp), cust.acquisition_campaign_key == camp.campaign_key)
-           .join(customer_ltv(m), "customer_key", "left")
+    new = (cust.join(camp, cust.acquisition_campaign_key == camp.campaign_key)
+           .join(customer_profit(m), "customer_key", "left")
            .groupBy(F.trunc("customer_since", "MM").alias("report_month"), "acquisition_channel_name")
            .agg(F.count(F.lit(1)).alias("new_customers"),
                 F.sum(F.coalesce("ltv_amount", F.lit(0))).alias("ltv")))
-    spend = (m.fact_marketing_spend.join(F.broadcast(camp), "campaign_key")
+    spend = (m.fact_marketing_spend.join(camp, "campaign_key")
              .groupBy(F.trunc("spend_date", "MM").alias("report_month"), "acquisition_channel_name")
              .agg(F.sum("spend_amount").alias("spend")))
     j = spend.join(new, ["report_month", "acquisition_channel_name"], "full_outer")

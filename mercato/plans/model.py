@@ -103,7 +103,8 @@ class Model:
     def __init__(self, spark: SparkSession, sf_dir: str | None = None,
                  raw: RawTables | None = None, as_of: dt.date = C.AS_OF,
                  sim_start: dt.date = C.SIM_START, sim_end: dt.date = C.SIM_END,
-                 keep_partial_payments: bool = False, materialize: bool = False):
+                 keep_partial_payments: bool = False, carry_earlier_stock: bool = False,
+                 materialize: bool = False):
         self.spark = spark
         self.materialize = materialize
         self._store: str | None = None
@@ -113,6 +114,9 @@ class Model:
         self.sim_start = sim_start
         self.sim_end = sim_end
         self.keep_partial_payments = keep_partial_payments
+        # Movements before a product's window: by default its first days start
+        # from the offset alone, as the daily fill sees the window only.
+        self.carry_earlier_stock = carry_earlier_stock
 
     def _persist(self, name: str, df: DataFrame, cluster: tuple[str, ...] = ()) -> DataFrame:
         if not self.materialize:
@@ -158,7 +162,7 @@ class Model:
         t = self.raw.t
         dates = (t("orders").select(F.to_date("o_orderdate").alias("d"))
                  .unionByName(t("lineitem").select(F.to_date("l_shipdate").alias("d")))
-                 .unionByName(t("events").select(F.to_date("ts").alias("d"))))
+                 .unionByName(self.raw.contacts.select(F.to_date("ts").alias("d"))))
         return data_calendar(dates)
 
     @mart
@@ -223,7 +227,7 @@ class Model:
         aa = self.stg("stg_acquisition_attribution")
         camp = self.dim_campaign.select("campaign_id", "campaign_key")
         joined = (c.join(aa, "customer_id", "left")
-                  .join(F.broadcast(camp), F.col("acquisition_campaign_id") == F.col("campaign_id"), "left"))
+                  .join(camp, F.col("acquisition_campaign_id") == F.col("campaign_id"), "left"))
         real = joined.select(surrogate_key("customer_id").alias("customer_key"), "customer_id",
                              "first_name", "last_name", "email_address", "phone_number",
                              "customer_country", "gender", "birth_date", "customer_since",
@@ -439,9 +443,11 @@ class Model:
                                F.lit(0).cast("bigint").alias("units_sold_qty"),
                                F.lit(0).cast("bigint").alias("units_returned_qty"),
                                F.lit(0).cast("bigint").alias("units_received_qty"))
-        steps = (changes.join(pairs.select("warehouse_id", "product_id"), ["warehouse_id", "product_id"],
-                              "left_semi")
-                 .unionByName(opening)
+        changes = changes.join(pairs.select("warehouse_id", "product_id", "window_start"),
+                               ["warehouse_id", "product_id"])
+        if not self.carry_earlier_stock:
+            changes = changes.filter(F.col("day") >= F.col("window_start"))
+        steps = (changes.drop("window_start").unionByName(opening)
                  .withColumn("next_day", F.lead("day").over(w)))
         lo = F.greatest(F.coalesce("day", F.col("window_start")), F.col("window_start"))
         hi = F.least(F.coalesce(F.date_sub("next_day", 1), F.col("window_end")), F.col("window_end"))

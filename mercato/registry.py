@@ -159,29 +159,25 @@ register("inventory_daily_summary", Query(
 _CC = O.CHANNEL_CLASS_SQL
 _PERIOD = f"BETWEEN {O.SIM_START} AND {O.SIM_END}"
 
-register("q01_overview", Query(D.q01_overview, """
-SELECT ds.report_date,
-       coalesce(CAST(s.net AS DOUBLE), 0.0) AS net_revenue_amount,
-       coalesce(CAST(s.cogs AS DOUBLE), 0.0) AS cogs_amount,
-       coalesce(s.units, 0) AS sold_units, coalesce(s.completed, 0) AS completed_orders,
-       coalesce(r.units, 0) AS returned_units, coalesce(i.active, 0) AS active_skus,
-       coalesce(i.stockout, 0) AS stockout_skus
-FROM date_spine ds
-LEFT JOIN (SELECT order_date_key, sum(net_revenue_amount) AS net, sum(cogs_amount) AS cogs,
-                  sum(quantity_ordered) AS units,
-                  count(DISTINCT order_number) FILTER (WHERE fulfillment_status <> 'Cancelled') AS completed
-           FROM fact_sales GROUP BY 1) s ON ds.date_key = s.order_date_key
-LEFT JOIN (SELECT return_date_key, sum(returned_quantity) AS units FROM fact_returns GROUP BY 1) r
-       ON ds.date_key = r.return_date_key
-LEFT JOIN (SELECT a.snapshot_date_key, a.active, coalesce(so.stockout, 0) AS stockout
-           FROM (SELECT snapshot_date_key, count(*) AS active
-                 FROM (SELECT DISTINCT snapshot_date_key, product_key, warehouse_key FROM fact_inventory_daily)
-                 GROUP BY 1) a
-           LEFT JOIN (SELECT snapshot_date_key, count(*) AS stockout
-                      FROM (SELECT DISTINCT snapshot_date_key, product_key, warehouse_key
-                            FROM fact_inventory_daily WHERE quantity_on_hand <= 0)
-                      GROUP BY 1) so ON a.snapshot_date_key = so.snapshot_date_key) i
-       ON ds.date_key = i.snapshot_date_key""",
+register("q01_overview", Query(D.q01_overview, f"""
+SELECT report_date, coalesce(CAST(sum(net) AS DOUBLE), 0.0) AS net_revenue_amount,
+       coalesce(CAST(sum(cost) AS DOUBLE), 0.0) AS cogs_amount, coalesce(sum(sold), 0) AS sold_units,
+       coalesce(sum(done), 0) AS completed_orders, coalesce(sum(came_back), 0) AS returned_units,
+       coalesce(sum(stocked), 0) AS active_skus, coalesce(sum(sold_out), 0) AS stockout_skus
+FROM (SELECT full_date AS report_date FROM dim_date
+      UNION ALL BY NAME
+      SELECT order_date AS report_date, sum(net_revenue_amount) AS net, sum(cogs_amount) AS cost,
+             sum(quantity_ordered) AS sold,
+             count(DISTINCT CASE WHEN fulfillment_status <> 'Cancelled' THEN order_number END) AS done
+      FROM fact_sales GROUP BY 1
+      UNION ALL BY NAME
+      SELECT return_date AS report_date, sum(returned_quantity) AS came_back FROM fact_returns GROUP BY 1
+      UNION ALL BY NAME
+      SELECT balance_date AS report_date, count(*) AS stocked, count(*) FILTER (lowest <= 0) AS sold_out
+      FROM (SELECT balance_date, min(quantity_on_hand) AS lowest FROM fact_inventory_daily
+            GROUP BY balance_date, product_key, warehouse_key)
+      GROUP BY 1)
+WHERE report_date {_PERIOD} GROUP BY 1""",
     big=("sold_units", "completed_orders", "returned_units", "active_skus", "stockout_skus"),
     tags=("dashboard",)))
 
@@ -208,32 +204,21 @@ register("q03_top10_skus", Query(D.q03_top10_skus,
                                  tags=("dashboard",)))
 
 register("q04_ltv_cac_by_channel", Query(D.q04_ltv_cac_by_channel, """
-SELECT cl.acquisition_channel_name, cl.marketing_platform,
-       coalesce(CAST(cs.total_spend_amount AS DOUBLE), 0.0) AS total_spend_amount,
-       cl.attributed_customers, CAST(cl.total_ltv_amount AS DOUBLE) AS total_ltv_amount
-FROM (SELECT acquisition_channel_name, marketing_platform, count(DISTINCT customer_key) AS attributed_customers,
-             sum(ltv_amount) AS total_ltv_amount
-      FROM (SELECT dc.customer_key, dcamp.acquisition_channel_name, dcamp.marketing_platform,
-                   coalesce(cl.ltv_amount, 0) AS ltv_amount
-            FROM dim_customer dc JOIN dim_campaign dcamp ON dc.acquisition_campaign_key = dcamp.campaign_key
-            LEFT JOIN customer_ltv cl ON dc.customer_key = cl.customer_key
-            WHERE dc.customer_id <> 'UNKNOWN' AND dcamp.campaign_id <> 'NO_CAMPAIGN')
-      GROUP BY 1, 2) cl
-LEFT JOIN (SELECT dcamp.acquisition_channel_name, dcamp.marketing_platform, sum(fms.spend_amount) AS total_spend_amount
-           FROM fact_marketing_spend fms JOIN dim_campaign dcamp ON fms.campaign_key = dcamp.campaign_key
-           WHERE dcamp.campaign_id <> 'NO_CAMPAIGN' GROUP BY 1, 2) cs
-  ON cl.acquisition_channel_name = cs.acquisition_channel_name AND cl.marketing_platform = cs.marketing_platform""",
-    tags=("dashboard",)))
-
-register("q05_dso", Query(D.q05_dso, """
-SELECT ds.report_date, coalesce(CAST(ar.total AS DOUBLE), 0.0) AS daily_total_ar,
-       coalesce(CAST(cs.net AS DOUBLE), 0.0) AS credit_net_revenue_amount
-FROM date_spine ds
-LEFT JOIN (SELECT snapshot_date_key, sum(open_balance_amount) AS total FROM fact_ar_aging_daily GROUP BY 1) ar
-       ON ds.date_key = ar.snapshot_date_key
-LEFT JOIN (SELECT order_date_key, sum(net_revenue_amount) AS net FROM fact_sales
-           WHERE payment_terms_code <> 'DUE_ON_RECEIPT' GROUP BY 1) cs ON ds.date_key = cs.order_date_key""",
-    tags=("dashboard",)))
+SELECT acquisition_channel_name, marketing_platform, CAST(sum(cost) AS DOUBLE) AS total_spend_amount,
+       CAST(sum(people) AS BIGINT) AS attributed_customers, CAST(sum(profit) AS DOUBLE) AS total_ltv_amount
+FROM campaign_ledger JOIN dim_campaign USING (campaign_key)
+WHERE campaign_id <> 'NO_CAMPAIGN' GROUP BY 1, 2 HAVING sum(people) > 0""", tags=("dashboard",)))
+
+register("q05_dso", Query(D.q05_dso, f"""
+SELECT report_date, coalesce(CAST(sum(owed) AS DOUBLE), 0.0) AS daily_total_ar,
+       coalesce(CAST(sum(on_credit) AS DOUBLE), 0.0) AS credit_net_revenue_amount
+FROM (SELECT full_date AS report_date FROM dim_date
+      UNION ALL BY NAME
+      SELECT snapshot_date AS report_date, open_balance_amount AS owed FROM fact_ar_aging_daily
+      UNION ALL BY NAME
+      SELECT order_date AS report_date, net_revenue_amount AS on_credit FROM fact_sales
+      WHERE payment_terms_code <> 'DUE_ON_RECEIPT')
+WHERE report_date {_PERIOD} GROUP BY 1""", tags=("dashboard",)))
 
 register("q06_margin_category_channel", Query(D.q06_margin_category_channel, f"""
 SELECT dp.category_name, fs.sales_channel_code,
@@ -257,60 +242,39 @@ FROM fact_sales fs JOIN dim_date dd ON fs.order_date_key = dd.date_key
 WHERE dd.full_date {_PERIOD} GROUP BY 1, 2""", tags=("dashboard",)))
 
 register("q09_aov_return_by_class", Query(D.q09_aov_return_by_class, f"""
-SELECT s.channel_class, CAST(s.net AS DOUBLE) AS net_revenue_amount, CAST(s.units AS BIGINT) AS sold_units,
-       s.completed_orders, CAST(coalesce(r.units, 0) AS BIGINT) AS returned_units
-FROM (SELECT oc.channel_class, sum(fs.net_revenue_amount) AS net, sum(fs.quantity_ordered) AS units,
-             count(DISTINCT fs.order_number) FILTER (WHERE fs.fulfillment_status <> 'Cancelled') AS completed_orders
-      FROM fact_sales fs JOIN dim_date dd ON fs.order_date_key = dd.date_key
-      JOIN order_channel oc ON fs.order_number = oc.order_id
-      WHERE dd.full_date {_PERIOD} GROUP BY 1) s
-LEFT JOIN (SELECT oc.channel_class, sum(fr.returned_quantity) AS units
-           FROM fact_returns fr JOIN dim_date dd ON fr.return_date_key = dd.date_key
-           JOIN order_channel oc ON fr.order_number = oc.order_id
-           WHERE dd.full_date {_PERIOD} GROUP BY 1) r ON s.channel_class = r.channel_class""",
-    tags=("dashboard",)))
+SELECT channel_class, CAST(sum(net) AS DOUBLE) AS net_revenue_amount, CAST(sum(sold) AS BIGINT) AS sold_units,
+       count(DISTINCT done) AS completed_orders, CAST(coalesce(sum(came_back), 0) AS BIGINT) AS returned_units
+FROM (SELECT {_CC} AS channel_class, net_revenue_amount AS net, quantity_ordered AS sold,
+             CASE WHEN fulfillment_status <> 'Cancelled' THEN order_number END AS done
+      FROM fact_sales WHERE order_date {_PERIOD}
+      UNION ALL BY NAME
+      SELECT {_CC} AS channel_class, returned_quantity AS came_back
+      FROM fact_returns JOIN (SELECT order_id AS order_number, sales_channel AS sales_channel_code FROM stg_orders)
+           USING (order_number)
+      WHERE return_date {_PERIOD})
+GROUP BY 1 HAVING count(sold) > 0""", tags=("dashboard",)))
 
 register("q10_cac_trend", Query(D.q10_cac_trend, """
-SELECT coalesce(s.report_month, n.report_month) AS report_month,
-       coalesce(s.acquisition_channel_name, n.acquisition_channel_name) AS acquisition_channel_name,
-       coalesce(CAST(s.spend_amount AS DOUBLE), 0.0) AS spend_amount,
-       CAST(coalesce(n.new_customers, 0) AS BIGINT) AS new_customers
-FROM (SELECT CAST(date_trunc('month', dd.full_date) AS DATE) AS report_month, cc.acquisition_channel_name,
-             sum(fms.spend_amount) AS spend_amount
-      FROM fact_marketing_spend fms JOIN dim_date dd ON fms.spend_date_key = dd.date_key
-      JOIN (SELECT * FROM dim_campaign WHERE campaign_id <> 'NO_CAMPAIGN') cc ON fms.campaign_key = cc.campaign_key
-      GROUP BY 1, 2) s
-FULL OUTER JOIN (SELECT CAST(date_trunc('month', dc.customer_since) AS DATE) AS report_month,
-                        cc.acquisition_channel_name, count(DISTINCT dc.customer_key) AS new_customers
-                 FROM dim_customer dc
-                 JOIN (SELECT * FROM dim_campaign WHERE campaign_id <> 'NO_CAMPAIGN') cc
-                   ON dc.acquisition_campaign_key = cc.campaign_key
-                 WHERE dc.customer_id <> 'UNKNOWN' GROUP BY 1, 2) n
-  ON s.report_month = n.report_month AND s.acquisition_channel_name = n.acquisition_channel_name""",
-    tags=("dashboard",)))
+SELECT CAST(date_trunc('month', happened_on) AS DATE) AS report_month, acquisition_channel_name,
+       CAST(sum(cost) AS DOUBLE) AS spend_amount, CAST(sum(people) AS BIGINT) AS new_customers
+FROM (SELECT spend_date AS happened_on, campaign_key, spend_amount AS cost, 0 AS people FROM fact_marketing_spend
+      UNION ALL
+      SELECT customer_since, acquisition_campaign_key, 0, 1 FROM dim_customer WHERE customer_id <> 'UNKNOWN')
+JOIN dim_campaign USING (campaign_key) WHERE campaign_id <> 'NO_CAMPAIGN' GROUP BY 1, 2""", tags=("dashboard",)))
 
 register("q11_ltv_by_cohort", Query(D.q11_ltv_by_cohort, """
-SELECT CAST(date_trunc('month', dc.customer_since) AS DATE) AS cohort_month,
-       count(DISTINCT dc.customer_key) AS customers,
-       CAST(sum(coalesce(cl.ltv_amount, 0)) AS DOUBLE) AS total_ltv_amount
-FROM dim_customer dc LEFT JOIN customer_ltv cl ON dc.customer_key = cl.customer_key
-WHERE dc.customer_id <> 'UNKNOWN' GROUP BY 1""", tags=("dashboard",)))
+SELECT CAST(date_trunc('month', customer_since) AS DATE) AS cohort_month, count(*) AS customers,
+       CAST(sum(coalesce(profit, 0)) AS DOUBLE) AS total_ltv_amount
+FROM dim_customer LEFT JOIN customer_profit USING (customer_key)
+WHERE customer_id <> 'UNKNOWN' GROUP BY 1""", tags=("dashboard",)))
 
 register("q12_campaign_triage", Query(D.q12_campaign_triage, """
-SELECT dcamp.campaign_name, dcamp.acquisition_channel_name, dcamp.marketing_platform,
-       coalesce(CAST(cs.total_spend_amount AS DOUBLE), 0.0) AS total_spend_amount,
-       CAST(coalesce(cc.new_customers, 0) AS BIGINT) AS new_customers,
-       coalesce(CAST(cc.total_ltv_amount AS DOUBLE), 0.0) AS total_ltv_amount,
-       coalesce(CAST(cc.total_ltv_amount AS DOUBLE), 0.0)
-           / nullif(coalesce(CAST(cs.total_spend_amount AS DOUBLE), 0.0), 0.0) AS ltv_to_cac
-FROM dim_campaign dcamp
-LEFT JOIN (SELECT campaign_key, sum(spend_amount) AS total_spend_amount FROM fact_marketing_spend GROUP BY 1) cs
-       ON dcamp.campaign_key = cs.campaign_key
-LEFT JOIN (SELECT dc.acquisition_campaign_key AS campaign_key, count(DISTINCT dc.customer_key) AS new_customers,
-                  sum(coalesce(cl.ltv_amount, 0)) AS total_ltv_amount
-           FROM dim_customer dc LEFT JOIN customer_ltv cl ON dc.customer_key = cl.customer_key
-           WHERE dc.customer_id <> 'UNKNOWN' GROUP BY 1) cc ON dcamp.campaign_key = cc.campaign_key
-WHERE dcamp.campaign_id <> 'NO_CAMPAIGN'""", tags=("dashboard",)))
+SELECT campaign_name, acquisition_channel_name, marketing_platform,
+       coalesce(CAST(cost AS DOUBLE), 0.0) AS total_spend_amount, coalesce(people, 0) AS new_customers,
+       coalesce(CAST(profit AS DOUBLE), 0.0) AS total_ltv_amount,
+       total_ltv_amount / nullif(total_spend_amount, 0.0) AS ltv_to_cac
+FROM dim_campaign LEFT JOIN campaign_ledger USING (campaign_key)
+WHERE campaign_id <> 'NO_CAMPAIGN'""", tags=("dashboard",)))
 
 
 from . import registry_kpis  # noqa: E402,F401  (registers the KPI and mart queries)

@@ -183,7 +183,7 @@ SELECT report_month, avg_daily_ar, credit_net_revenue_amount, days,
 FROM (SELECT {month('ds.report_date')} AS report_month,
              CAST(coalesce(sum(ar.total), 0) AS DOUBLE) / CAST(count(*) AS DOUBLE) AS avg_daily_ar,
              CAST(coalesce(sum(cs.net), 0) AS DOUBLE) AS credit_net_revenue_amount, count(*) AS days
-      FROM date_spine ds
+      FROM period_days ds
       LEFT JOIN (SELECT snapshot_date, sum(open_balance_amount) AS total FROM fact_ar_aging_daily GROUP BY 1) ar
              ON ds.report_date = ar.snapshot_date
       LEFT JOIN (SELECT order_date, sum(net_revenue_amount) AS net FROM fact_sales
@@ -202,7 +202,7 @@ GROUP BY 1 ORDER BY open_ar_amount DESC, customer_id LIMIT 15""", big=("max_days
 _BUCKETS = ("aging_bucket_0_30_amount", "aging_bucket_31_60_amount", "aging_bucket_61_90_amount",
             "aging_bucket_90_plus_amount")
 kpi("kpi_ar_aging_mix_monthly", K.ar_aging_mix_monthly, f"""
-SELECT {month('snapshot_date')} AS report_month, {', '.join(f'CAST(sum({b}) AS DOUBLE) AS {b}' for b in _BUCKETS)},
+SELECT {month('snapshot_date')} AS report_month, {', '.join(f'CAST(sum({b}) AS DOUBLE) / CAST(count(DISTINCT snapshot_date) AS DOUBLE) AS avg_{b}' for b in _BUCKETS)},
        count(DISTINCT snapshot_date) AS days
 FROM fact_ar_aging_daily WHERE snapshot_date {P} GROUP BY 1""")
 
@@ -210,7 +210,7 @@ kpi("mart_ar_monthly_by_customer", K.ar_monthly_by_customer, f"""
 SELECT {month('snapshot_date')} AS report_month, customer_id, CAST(sum(bal) AS DOUBLE) AS balance_day_sum,
        count(*) AS days_open
 FROM (SELECT snapshot_date, customer_id, sum(open_balance_amount) AS bal FROM fact_ar_aging_daily
-      WHERE snapshot_date {P} GROUP BY 1, 2 HAVING sum(open_balance_amount) <> 0)
+      WHERE snapshot_date {P} GROUP BY 1, 2)
 GROUP BY 1, 2""")
 
 _SCORECARD = """
@@ -464,9 +464,9 @@ FROM (SELECT *, spend_amount / CAST(nullif(new_customers, 0) AS DOUBLE) AS cac,
                   FROM fact_marketing_spend f JOIN dim_campaign dc ON f.campaign_key = dc.campaign_key
                   WHERE dc.campaign_id <> 'NO_CAMPAIGN' GROUP BY 1, 2) s
             FULL OUTER JOIN (SELECT {month('cu.customer_since')} AS m, dc.acquisition_channel_name AS ch, count(*) AS new,
-                                    sum(coalesce(cl.ltv_amount, 0)) AS ltv
+                                    sum(coalesce(cl.profit, 0)) AS ltv
                              FROM dim_customer cu JOIN dim_campaign dc ON cu.acquisition_campaign_key = dc.campaign_key
-                             LEFT JOIN customer_ltv cl ON cu.customer_key = cl.customer_key
+                             LEFT JOIN customer_profit cl ON cu.customer_key = cl.customer_key
                              WHERE cu.customer_id <> 'UNKNOWN' AND dc.campaign_id <> 'NO_CAMPAIGN'
                              GROUP BY 1, 2) n
               ON s.m = n.m AND s.ch = n.ch))""")

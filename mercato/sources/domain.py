@@ -24,8 +24,8 @@ Mapping (SURVEY §7.1):
 - inventory_movements = delivered sales (-), returns (+), received POs (+).
 - inventory_snapshot = every stocked pair whose product launched by the
   snapshot day.
-- marketing_spend = view/click events per (day, campaign) while the campaign
-  is live; acquisition_attribution = as-of join of customers to campaigns.
+- marketing_spend = every view/click event per (day, campaign), on the clock
+  of the orders; acquisition_attribution = as-of join of customers to campaigns.
 - ar_invoices = non-cancelled orders of credit-segment customers.
 """
 
@@ -206,12 +206,17 @@ class RawTables:
                         F.concat(F.lit("["), F.array_join("served", ", "), F.lit("]"))
                          .alias("serves_countries")))
 
+    @cached_property
+    def contacts(self) -> DataFrame:
+        """The events on the clock of the orders: one shift for all, no row lost."""
+        return self.t("events").withColumn("ts", F.col("ts") - F.expr(f"INTERVAL {C.EVENT_YEARS_BACK} YEARS"))
+
     @landing
     def customers(self) -> DataFrame:
         c = self.t("customer")
         n = self.t("nation").select("n_nationkey", "n_name")
         first_order = self.t("orders").groupBy("o_custkey").agg(F.min("o_orderdate").alias("first_order"))
-        signup = (self.t("events").filter(F.col("event_type") == "signup")
+        signup = (self.contacts.filter(F.col("event_type") == "signup")
                   .groupBy("user_id").agg(F.min("ts").alias("first_signup")))
         return (c.join(F.broadcast(n), F.col("c_nationkey") == F.col("n_nationkey"), "left")
                 .join(first_order, F.col("c_custkey") == F.col("o_custkey"), "left")
@@ -226,7 +231,7 @@ class RawTables:
                         F.lit("Unspecified").alias("gender"),
                         F.date_add(lit_date(C.CALENDAR_START), -F.col("c_nationkey") * 400)
                          .alias("birth_date"),
-                        F.to_date(F.coalesce("first_signup", "first_order")).alias("customer_since"),
+                        F.least(F.to_date("first_signup"), F.to_date("first_order")).alias("customer_since"),
                         F.when(F.col("c_acctbal") < 0, F.lit(None).cast("string"))
                          .when(F.col("c_acctbal") < 2500, "Bronze")
                          .when(F.col("c_acctbal") < 5000, "Silver")
@@ -405,26 +410,26 @@ class RawTables:
 
     @landing
     def marketing_spend(self) -> DataFrame:
-        e = self.t("events").filter(F.col("event_type").isin("view", "click"))
-        k = F.get_json_object("props", "$.k").cast("int")
-        camp = k % C.N_CAMPAIGNS
+        """Every view and click. The event's k (0 if it has none) picks the
+        channel, its day the campaign that the channel runs then."""
+        e = self.contacts.filter(F.col("event_type").isin("view", "click"))
+        slots = len(C.PAID_CHANNELS)
+        slot = F.coalesce(F.get_json_object("props", "$.k").cast("int"), F.lit(0)) % slots
         day = F.to_date("ts")
-        live = (F.dayofmonth(day) >= camp + 1) & (F.dayofmonth(day) <= camp + C.FLIGHT_DAYS)
-        agg = (e.select(day.alias("date"), camp.alias("campaign_no"), "event_type",
-                        F.col("value").cast(MONEY).alias("value"))
-               .filter(live)
-               .groupBy("date", "campaign_no")
+        block = F.floor(F.datediff(day, F.lit("1970-01-01").cast("date")) / C.CAMPAIGN_DAYS).cast("int")
+        agg = (e.select(day.alias("date"), slot.alias("slot"), (block * slots + slot).alias("campaign_no"),
+                        "event_type", F.col("value").cast(MONEY).alias("value"))
+               .groupBy("date", "slot", "campaign_no")
                .agg(F.sum("value").cast(MONEY).alias("spend_sgd"),
                     F.count(F.when(F.col("event_type") == "view", 1)).alias("impressions"),
                     F.count(F.when(F.col("event_type") == "click", 1)).alias("clicks")))
-        channels = F.array(*[F.lit(c) for c in C.PAID_CHANNELS])
-        channel = F.element_at(channels, (F.col("campaign_no") % len(C.PAID_CHANNELS) + 1).cast("int"))
+        channel = F.element_at(F.array(*[F.lit(c) for c in C.PAID_CHANNELS]), F.col("slot") + 1)
         return agg.select(
-            F.format_string("MS-%03d-%s", F.col("campaign_no"), F.date_format("date", "yyyyMMdd"))
+            F.format_string("MS-%06d-%s", F.col("campaign_no"), F.date_format("date", "yyyyMMdd"))
              .alias("marketing_spend_id"),
             "date",
-            _id("CMP-%03d", "campaign_no").alias("campaign_id"),
-            F.format_string("%s #%02d", channel, F.col("campaign_no")).alias("campaign_name"),
+            _id("CMP-%06d", "campaign_no").alias("campaign_id"),
+            F.format_string("%s #%06d", channel, F.col("campaign_no")).alias("campaign_name"),
             channel.alias("channel"),
             map_values(channel, C.CHANNEL_PLATFORM).alias("platform"),
             "spend_sgd",
