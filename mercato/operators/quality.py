@@ -2,21 +2,29 @@
 
 A check is declarative (model, column, test, parameters, severity). All
 row-level tests of one model (not_null, accepted_values, accepted_range,
-expression) are evaluated in a single aggregate pass; ``unique`` is one
-``groupBy`` per column (partial aggregation before the shuffle, no collect);
-``relationships`` is a ``left_anti`` join on the non-null keys. The result is
-one row per check: failing rows, total rows, and a status that depends on the
-severity (``warn`` never fails the run).
+expression) are one aggregate pass whose single row is unfolded into a row per
+check; all ``relationships`` of one model are one pass over its keys, counted
+per distinct key before they meet the parents; ``unique`` is one ``groupBy`` per
+column (partial aggregation before the shuffle). A periodic snapshot is checked
+on the runs of days it is unfolded from (``Snapshot``), so its dense rows are
+never grouped. The result is one row per check: failing rows, total rows, and a
+status that depends on the severity; ``enforce`` raises where a check of
+severity ``error`` failed.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
+from decimal import Decimal
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions import constants as C
+
+ROW_LEVEL = ("not_null", "accepted_values", "accepted_range", "expression")
+
 
 @dataclass(frozen=True)
 class Check:
@@ -55,53 +63,128 @@ def _failing(c: Check) -> Column:
     raise ValueError(c.test)
 
 
-def _result(df: DataFrame, c: Check, failing: Column, total: Column) -> DataFrame:
-    return df.select(F.lit(c.check_name).alias("check_name"), F.lit(c.model).alias("model_name"),
-                     F.lit(c.column).alias("column_name"), F.lit(c.test).alias("test_type"),
-                     F.lit(c.severity).alias("severity"),
-                     failing.cast("bigint").alias("failing_rows"), total.cast("bigint").alias("total_rows"))
-
-
-def run_checks(resolve: Callable[[str], DataFrame], checks: Sequence[Check]) -> DataFrame:
-    """Evaluate ``checks``; ``resolve(model)`` returns the model's DataFrame."""
+@dataclass(frozen=True)
+class Snapshot:
+    """What stands for a model with one row per entity and day.
+
+    ``spans``: (entity, first_day, last_day) whose unfolding gives the keys
+    ``day_key(entity, day)``. ``rows``: rows that each stand for ``__n`` rows of
+    the model (None: read the model). ``keys``: (value, n) of a key column."""
+
+    spans: DataFrame
+    rows: DataFrame | None = None
+    keys: dict[str, DataFrame] = field(default_factory=dict)
+
+
+def repeated_day_keys(spans: DataFrame) -> DataFrame:
+    """One row, ``__fail``: how many day keys the spans give more than once.
+
+    ``day_key`` adds a fixed odd step a day, so multiplying by the step's
+    inverse puts the days of a span side by side on a circle of 2^60 places:
+    keys repeat exactly where spans overlap there. The circle is cut into
+    buckets, and each one is swept on its own."""
+    ring, cut_at = 1 << 60, 40
+    width = 1 << cut_at
+    inverse = F.lit(Decimal(pow(C.DAY_STEP, -1, ring))).cast("decimal(19,0)")
+    days = F.datediff("first_day", F.lit("1970-01-01").cast("date"))
+    turned = F.pmod(F.col("entity").cast("decimal(19,0)") * inverse, F.lit(Decimal(ring)).cast("decimal(38,0)"))
+    placed = (spans.where("entity IS NOT NULL AND first_day <= last_day")
+              .select(F.pmod(turned.cast("bigint") + days, F.lit(ring)).alias("lo"),
+                      F.datediff("last_day", "first_day").alias("n"))
+              .select("lo", (F.col("lo") + F.col("n") + 1).alias("hi")))
+    bucket = F.sequence(F.shiftright("lo", cut_at), F.shiftright(F.col("hi") - 1, cut_at))
+    cut = (placed.select("lo", "hi", F.explode(bucket).alias("b"))
+           .select(F.pmod("b", F.lit(ring // width)).alias("bucket"),
+                   (F.greatest("lo", F.col("b") * width) - F.col("b") * width).alias("lo"),
+                   (F.least("hi", (F.col("b") + 1) * width) - F.col("b") * width).alias("hi")))
+    steps = (cut.select("bucket", F.explode(F.array(
+                F.struct(F.col("lo").alias("at"), F.lit(1).alias("d")),
+                F.struct(F.col("hi").alias("at"), F.lit(-1).alias("d")))).alias("e"))
+             .groupBy("bucket", F.col("e.at").alias("at")).agg(F.sum("e.d").alias("d")))
+    w = Window.partitionBy("bucket").orderBy("at")
+    level = steps.select(F.sum("d").over(w).alias("level"), (F.lead("at").over(w) - F.col("at")).alias("run"))
+    return level.agg(F.coalesce(F.sum(F.when(F.col("level") > 1, F.col("run"))), F.lit(0)).alias("__fail"))
+
+
+def _orphans(df: DataFrame, n: Column, rel: list[tuple[int, Check]], snap: Snapshot | None,
+             resolve: Callable[[str], DataFrame]) -> list[DataFrame]:
+    """(id, failing) of a model's relationships; the keys of one type share a pass."""
+    types = dict(df.dtypes)
     parts: list[DataFrame] = []
-    by_model: dict[str, list[Check]] = {}
-    for c in checks:
-        by_model.setdefault(c.model, []).append(c)
-    for model, cs in by_model.items():
-        df = resolve(model)
-        row_level = [c for c in cs if c.test in ("not_null", "accepted_values", "accepted_range", "expression")]
-        aggs = [F.count(F.lit(1)).alias("__total")]
-        aggs += [F.count(F.when(_failing(c), 1)).alias(f"__f{i}") for i, c in enumerate(row_level)]
-        one = df.agg(*aggs)
-        for i, c in enumerate(row_level):
-            parts.append(_result(one, c, F.col(f"__f{i}"), F.col("__total")))
-        total = one.select("__total")
-        for c in cs:
+    by_type: dict[str, list[tuple[int, Check]]] = {}
+    for i, c in rel:
+        if snap and c.column in snap.keys:
+            parent = resolve(c.to[0]).select(F.col(c.to[1]).alias("value")).distinct()
+            lost = snap.keys[c.column].where("value IS NOT NULL").join(parent, "value", "left_anti")
+            parts.append(lost.agg(F.lit(i).alias("id"), F.coalesce(F.sum("n"), F.lit(0)).cast("bigint").alias("failing")))
+        else:
+            by_type.setdefault(types[c.column], []).append((i, c))
+    for members in by_type.values():
+        keys = F.explode(F.array(*[F.struct(F.lit(i).alias("id"), F.col(c.column).alias("value")) for i, c in members]))
+        child = (df.select(n.alias("n"), keys.alias("k")).select("k.*", "n").where("value IS NOT NULL")
+                 .groupBy("id", "value").agg(F.sum("n").alias("n")))
+        parents = None
+        for i, c in members:
+            one = resolve(c.to[0]).select(F.lit(i).alias("id"), F.col(c.to[1]).alias("value"))
+            parents = one if parents is None else parents.union(one)
+        lost = child.join(parents.distinct(), ["id", "value"], "left_anti").groupBy("id").agg(F.sum("n").cast("bigint").alias("failing"))
+        parts.append(lost)
+    return parts
+
+
+def run_checks(resolve: Callable[[str], DataFrame], checks: Sequence[Check],
+               snapshots: Mapping[str, Snapshot] | None = None) -> DataFrame:
+    """Evaluate ``checks``; ``resolve(model)`` returns the model's DataFrame."""
+    found: list[DataFrame] = []
+    by_model: dict[str, list[tuple[int, Check]]] = {}
+    for i, c in enumerate(checks):
+        by_model.setdefault(c.model, []).append((i, c))
+    for model, members in by_model.items():
+        snap = (snapshots or {}).get(model)
+        df = snap.rows if snap and snap.rows is not None else resolve(model)
+        n = F.col("__n") if "__n" in df.columns else F.lit(1).cast("bigint")
+        count = lambda cond: F.coalesce(F.sum(F.when(cond, n)), F.lit(0)).cast("bigint")
+        row_level = {i for i, c in members if c.test in ROW_LEVEL}
+        one = df.agg(F.coalesce(F.sum(n), F.lit(0)).cast("bigint").alias("total"),
+                     *[count(_failing(c)).alias(f"f{i}") for i, c in members if i in row_level])
+        found.append(one.select(F.explode(F.array(*[
+            F.struct(F.lit(i).alias("id"), (F.col(f"f{i}") if i in row_level else F.lit(0).cast("bigint")).alias("failing"),
+                     F.col("total")) for i, _ in members])).alias("r")).select("r.*"))
+        no_total = F.lit(None).cast("bigint").alias("total")
+        for i, c in members:
             if c.test == "unique":
-                dup = (df.filter(F.col(c.column).isNotNull()).groupBy(c.column).count()
-                       .filter(F.col("count") > 1).agg(F.count(F.lit(1)).alias("__fail")))
-                parts.append(_result(_pair(dup, total), c, F.col("__fail"), F.col("__total")))
-            elif c.test == "relationships":
-                parent = resolve(c.to[0]).select(F.col(c.to[1]).alias("__pk")).distinct()
-                child = df.filter(F.col(c.column).isNotNull())
-                orphans = child.join(parent, child[c.column] == parent["__pk"], "left_anti") \
-                    .agg(F.count(F.lit(1)).alias("__fail"))
-                parts.append(_result(_pair(orphans, total), c, F.col("__fail"), F.col("__total")))
-    out = parts[0]
-    for p in parts[1:]:
+                if snap:
+                    dup = repeated_day_keys(snap.spans)
+                else:
+                    dup = (df.filter(F.col(c.column).isNotNull()).groupBy(c.column).count()
+                           .filter(F.col("count") > 1).agg(F.count(F.lit(1)).alias("__fail")))
+                found.append(dup.select(F.lit(i).alias("id"), F.col("__fail").cast("bigint").alias("failing"), no_total))
+        rel = [(i, c) for i, c in members if c.test == "relationships"]
+        found += [p.select("id", "failing", no_total) for p in _orphans(df, n, rel, snap, resolve)]
+    out = found[0]
+    for p in found[1:]:
         out = out.unionByName(p)
+    about = F.array(*[F.struct(*[F.lit(v).alias(k) for k, v in (
+        ("check_name", c.check_name), ("model_name", c.model), ("column_name", c.column),
+        ("test_type", c.test), ("severity", c.severity))]) for c in checks])
     status = (F.when(F.col("failing_rows") == 0, "pass")
               .when(F.col("severity") == "warn", "warn").otherwise("fail"))
-    return out.withColumn("status", status)
+    return (out.groupBy("id").agg(F.max("failing").alias("failing_rows"), F.max("total").alias("total_rows"))
+            .select(F.get(about, F.col("id")).alias("c"), "failing_rows", "total_rows")
+            .select("c.*", "failing_rows", "total_rows").withColumn("status", status))
+
+
+class ChecksFailed(Exception):
+    """A check of severity ``error`` found failing rows."""
 
 
-def _pair(fail: DataFrame, total: DataFrame) -> DataFrame:
-    """Combine two single-row aggregates (``__fail``, ``__total``) into one
-    row: a union and a global max, no join."""
-    a = fail.select("__fail", F.lit(None).cast("bigint").alias("__total"))
-    b = total.select(F.lit(None).cast("bigint").alias("__fail"), "__total")
-    return a.unionByName(b).agg(F.max("__fail").alias("__fail"), F.max("__total").alias("__total"))
+def enforce(results: DataFrame) -> DataFrame:
+    """``results`` if no check failed, else raise with the failed ones (one row
+    per check, so what is collected is bounded by the declaration)."""
+    failed = results.filter("status = 'fail'").orderBy("check_name").collect()
+    if failed:
+        raise ChecksFailed("; ".join(f"{r.check_name}: {r.failing_rows} of {r.total_rows}" for r in failed))
+    return results
 
 
 def check_sql(c: Check, table_sql: Callable[[str], str]) -> str:
@@ -134,5 +217,6 @@ def check_sql(c: Check, table_sql: Callable[[str], str]) -> str:
                 f"(SELECT 1 FROM {p} pa WHERE pa.{c.to[1]} = ch.{col}))")
     else:
         raise ValueError(c.test)
-    status = (f"CASE WHEN {fail} = 0 THEN 'pass' WHEN '{c.severity}' = 'warn' THEN 'warn' ELSE 'fail' END")
-    return f"{head}CAST({fail} AS BIGINT) AS failing_rows, CAST({total} AS BIGINT) AS total_rows, {status} AS status"
+    status = f"CASE WHEN failing_rows = 0 THEN 'pass' WHEN '{c.severity}' = 'warn' THEN 'warn' ELSE 'fail' END"
+    counts = f"SELECT CAST({fail} AS BIGINT) AS failing_rows, CAST({total} AS BIGINT) AS total_rows"
+    return f"{head}failing_rows, total_rows, {status} AS status FROM ({counts})"

@@ -7,68 +7,110 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import constants as C
-from ..operators.quality import Check, run_checks
+from ..functions.exprs import date_key, surrogate_key
+from ..operators.quality import Check, Snapshot, run_checks
 from .model import Model
 
 U, NN, AV, AR, REL, EX = "unique", "not_null", "accepted_values", "accepted_range", "relationships", "expression"
 
+
+
+def key(model: str, column: str) -> list[Check]:
+    return [Check(model, column, U), Check(model, column, NN)]
+
+
+def refers(model: str, column: str, parent: str, parent_column: str = "") -> Check:
+    return Check(model, column, REL, to=(parent, parent_column or column))
+
+
 STAGING_CHECKS = [
-    Check("stg_suppliers", "supplier_id", U), Check("stg_suppliers", "supplier_id", NN),
-    Check("stg_products", "product_id", U), Check("stg_products", "product_id", NN),
-    Check("stg_products", "sku_code", U),
-    Check("stg_products", "supplier_id", REL, to=("stg_suppliers", "supplier_id")),
+    *key("stg_suppliers", "supplier_id"),
+    *key("stg_products", "product_id"), *key("stg_products", "sku_code"),
+    refers("stg_products", "supplier_id", "stg_suppliers"),
     Check("stg_products", "lifecycle_status", AV, values=("Active", "Discontinued", "New Launch")),
-    Check("stg_customers", "customer_id", U), Check("stg_customers", "customer_id", NN),
-    Check("stg_customers", "email_address", NN),
-    Check("stg_warehouses", "warehouse_id", U), Check("stg_warehouses", "warehouse_id", NN),
-    Check("stg_orders", "order_id", U), Check("stg_orders", "order_id", NN),
-    Check("stg_orders", "customer_id", REL, to=("stg_customers", "customer_id")),
-    Check("stg_orders", "sales_channel", AV, "warn", values=("Shopify", "Shopee", "Lazada", "Retail")),
+    *key("stg_customers", "customer_id"), Check("stg_customers", "email_address", NN),
+    *key("stg_warehouses", "warehouse_id"),
+    Check("stg_warehouses", "warehouse_type", AV, values=("Distribution Center", "Retail Store", "Returns Center")),
+    refers("stg_warehouse_product_assignment", "warehouse_id", "stg_warehouses"),
+    refers("stg_warehouse_product_assignment", "product_id", "stg_products"),
+    *key("stg_inventory_snapshot", "inventory_snapshot_id"),
+    Check("stg_inventory_snapshot", "quantity_on_hand", AR, "warn", min_value=0),
+    *key("stg_purchase_orders", "purchase_order_id"),
+    Check("stg_purchase_orders", "po_status", AV, "warn", values=("Received", "In Transit")),
+    *key("stg_orders", "order_id"),
+    refers("stg_orders", "customer_id", "stg_customers"),
+    Check("stg_orders", "sales_channel", AV, values=("Shopify", "Shopee", "Lazada", "Retail")),
     Check("stg_orders", "order_status", AV,
           values=("Pending", "Processing", "Shipped", "Delivered", "Cancelled")),
-    Check("stg_order_items", "order_item_id", U), Check("stg_order_items", "order_item_id", NN),
-    Check("stg_order_items", "order_id", REL, to=("stg_orders", "order_id")),
-    Check("stg_order_items", "product_id", REL, to=("stg_products", "product_id")),
-    Check("stg_purchase_orders", "purchase_order_id", U),
-    Check("stg_purchase_orders", "po_status", AV, "warn", values=("Received", "In Transit")),
-    Check("stg_returns", "return_id", U),
-    Check("stg_returns", "order_item_id", REL, to=("stg_order_items", "order_item_id")),
-    Check("stg_inventory_movements", "movement_id", U), Check("stg_inventory_movements", "movement_id", NN),
+    *key("stg_order_items", "order_item_id"),
+    refers("stg_order_items", "order_id", "stg_orders"),
+    refers("stg_order_items", "product_id", "stg_products"),
+    *key("stg_shipments", "shipment_id"),
+    *key("stg_returns", "return_id"),
+    refers("stg_returns", "order_item_id", "stg_order_items"),
+    *key("stg_inventory_movements", "movement_id"),
     Check("stg_inventory_movements", "movement_type", AV,
           values=(C.MOVEMENT_SALE, C.MOVEMENT_RETURN, C.MOVEMENT_PURCHASE)),
-    Check("stg_inventory_snapshot", "inventory_snapshot_id", U),
-    Check("stg_inventory_snapshot", "quantity_on_hand", AR, "warn", min_value=0),
     Check("stg_marketing_spend", "marketing_spend_id", U),
     Check("stg_marketing_spend", "spend_sgd", AR, min_value=0),
-    Check("stg_acquisition_attribution", "customer_id", U),
-    Check("stg_ar_invoices", "invoice_id", U), Check("stg_ar_invoices", "invoice_id", NN),
+    *key("stg_acquisition_attribution", "customer_id"),
+    *key("stg_ar_invoices", "invoice_id"),
+    Check("stg_ar_invoices", "order_id", NN), Check("stg_ar_invoices", "customer_id", NN),
     Check("stg_ar_invoices", "invoice_amount", AR, min_value=0),
     Check("stg_ar_invoices", "amount_paid", AR, min_value=0),
     Check("stg_ar_invoices", "invoice_status", AV, values=("Paid", "Partially Paid", "Open")),
 ]
 
 MART_CHECKS = [
-    Check("dim_date", "date_key", U), Check("dim_date", "date_key", NN),
-    Check("dim_product", "product_key", U), Check("dim_product", "product_id", U),
-    Check("dim_customer", "customer_key", U), Check("dim_customer", "customer_id", U),
-    Check("dim_customer", "acquisition_campaign_key", REL, to=("dim_campaign", "campaign_key")),
-    Check("dim_supplier", "supplier_key", U), Check("dim_warehouse", "warehouse_key", U),
-    Check("dim_campaign", "campaign_key", U), Check("dim_campaign", "campaign_id", NN),
-    Check("fact_sales", "sales_fact_key", U), Check("fact_sales", "sales_fact_key", NN),
-    Check("fact_sales", "order_date_key", REL, to=("dim_date", "date_key")),
-    Check("fact_sales", "customer_key", REL, to=("dim_customer", "customer_key")),
-    Check("fact_sales", "product_key", REL, to=("dim_product", "product_key")),
-    Check("fact_sales", "warehouse_key", REL, to=("dim_warehouse", "warehouse_key")),
+    *key("dim_date", "date_key"),
+    *key("dim_product", "product_key"), *key("dim_product", "product_id"),
+    *key("dim_customer", "customer_key"), *key("dim_customer", "customer_id"),
+    refers("dim_customer", "acquisition_campaign_key", "dim_campaign", "campaign_key"),
+    *key("dim_supplier", "supplier_key"), *key("dim_supplier", "supplier_id"),
+    *key("dim_warehouse", "warehouse_key"), *key("dim_warehouse", "warehouse_id"),
+    *key("dim_campaign", "campaign_key"), *key("dim_campaign", "campaign_id"),
+    Check("dim_campaign", "marketing_platform", NN),
+    Check("dim_campaign", "marketing_platform", AV, values=("Meta", "TikTok", "Klaviyo", "N/A")),
+    Check("dim_campaign", "acquisition_channel_name", NN),
+    Check("dim_campaign", "acquisition_channel_name", AV,
+          values=("Facebook Ads", "Instagram", "TikTok", "Email Campaign", "N/A")),
+    *key("running_totals", "movement_id"),
+    Check("balance_offset", "warehouse_id", NN), Check("balance_offset", "product_id", NN),
+    *key("fact_sales", "sales_fact_key"),
+    refers("fact_sales", "order_date_key", "dim_date", "date_key"),
+    refers("fact_sales", "customer_key", "dim_customer"),
+    refers("fact_sales", "product_key", "dim_product"),
+    refers("fact_sales", "warehouse_key", "dim_warehouse"),
     Check("fact_sales", "payment_terms_code", AV, values=("DUE_ON_RECEIPT", "NET15", "NET30", "NET60")),
-    Check("fact_returns", "return_fact_key", U),
-    Check("fact_returns", "product_key", REL, to=("dim_product", "product_key")),
-    Check("fact_purchase_orders", "purchase_order_fact_key", U),
-    Check("fact_purchase_orders", "supplier_key", REL, to=("dim_supplier", "supplier_key")),
-    Check("fact_marketing_spend", "marketing_spend_key", U),
-    Check("fact_marketing_spend", "campaign_key", REL, to=("dim_campaign", "campaign_key")),
+    *key("fact_returns", "return_fact_key"),
+    refers("fact_returns", "customer_key", "dim_customer"),
+    refers("fact_returns", "product_key", "dim_product"),
+    refers("fact_returns", "warehouse_key", "dim_warehouse"),
+    *key("fact_purchase_orders", "purchase_order_fact_key"),
+    refers("fact_purchase_orders", "supplier_key", "dim_supplier"),
+    refers("fact_purchase_orders", "product_key", "dim_product"),
+    refers("fact_purchase_orders", "destination_warehouse_key", "dim_warehouse", "warehouse_key"),
+    *key("fact_marketing_spend", "marketing_spend_key"),
+    Check("fact_marketing_spend", "campaign_key", NN),
+    refers("fact_marketing_spend", "campaign_key", "dim_campaign"),
+    Check("fact_marketing_spend", "spend_date_key", NN),
+    Check("fact_marketing_spend", "spend_amount", NN),
     Check("fact_marketing_spend", "spend_amount", AR, min_value=0),
-    Check("fact_ar_aging_daily", "ar_snapshot_key", U),
+    *key("fact_ar_aging_daily", "ar_snapshot_key"),
+    Check("fact_ar_aging_daily", "customer_key", NN),
+    refers("fact_ar_aging_daily", "customer_key", "dim_customer"),
+    Check("fact_ar_aging_daily", "snapshot_date_key", NN),
+    Check("fact_ar_aging_daily", "open_balance_amount", NN),
     Check("fact_ar_aging_daily", "open_balance_amount", AR, min_value=0),
+    Check("fact_ar_aging_daily", "days_outstanding", NN),
+    Check("fact_ar_aging_daily", "days_outstanding", AR, min_value=0),
+]
+
+INVENTORY_CHECKS = [
+    *key("fact_inventory_daily", "inventory_fact_key"),
+    refers("fact_inventory_daily", "product_key", "dim_product"),
+    refers("fact_inventory_daily", "warehouse_key", "dim_warehouse"),
+    refers("fact_inventory_daily", "snapshot_date_key", "dim_date", "date_key"),
 ]
 
 RULE_CHECKS = [
@@ -101,7 +143,29 @@ def dq_staging(m: Model) -> DataFrame:
 
 
 def dq_marts(m: Model) -> DataFrame:
-    return run_checks(resolver(m), MART_CHECKS)
+    return run_checks(resolver(m), MART_CHECKS, {"fact_ar_aging_daily": receivables_snapshot(m)})
+
+
+def dq_inventory_daily(m: Model) -> DataFrame:
+    """The daily inventory's tests, on its runs of days."""
+    return run_checks(resolver(m), INVENTORY_CHECKS, {"fact_inventory_daily": inventory_snapshot(m)})
+
+
+def receivables_snapshot(m: Model) -> Snapshot:
+    spans = m.stg("stg_ar_invoices").select(surrogate_key("invoice_id").alias("entity"),
+                                            F.col("invoice_date").alias("first_day"), m._ar_stop().alias("last_day"))
+    return Snapshot(spans)
+
+
+def inventory_snapshot(m: Model) -> Snapshot:
+    runs = m.inventory_intervals.filter("valid_from <= valid_to")
+    days = m.inventory_levels().select(date_key("balance_date").alias("value"), F.col("active_pairs").alias("n"))
+    return Snapshot(
+        spans=runs.select(F.col("pair_hash").alias("entity"), F.col("valid_from").alias("first_day"),
+                          F.col("valid_to").alias("last_day")),
+        rows=runs.select(F.col("pair_hash").alias("inventory_fact_key"), "product_key", "warehouse_key",
+                         (F.datediff("valid_to", "valid_from") + 1).cast("bigint").alias("__n")),
+        keys={"snapshot_date_key": days})
 
 
 def dq_rules(m: Model) -> DataFrame:

@@ -17,6 +17,7 @@ def dq(name: str, fn, sql: str, big=()) -> None:
 
 dq("dq_staging", Q.dq_staging, _suite_sql(Q.STAGING_CHECKS))
 dq("dq_marts", Q.dq_marts, _suite_sql(Q.MART_CHECKS))
+dq("dq_inventory_daily", Q.dq_inventory_daily, _suite_sql(Q.INVENTORY_CHECKS))
 dq("dq_rules", Q.dq_rules, _suite_sql(Q.RULE_CHECKS))
 
 dq("dq_balance_reconciliation", Q.balance_reconciliation, """

@@ -6,8 +6,12 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from mercato.functions import constants as C
+from mercato.functions.exprs import day_key
 from mercato.operators.asof import asof_join
+from mercato.operators.core import explode_days
 from mercato.operators.intervals import daily_levels
+from mercato.operators.quality import repeated_day_keys
 
 D0 = dt.date(2024, 1, 1)
 day = st.integers(min_value=0, max_value=40).map(lambda k: D0 + dt.timedelta(days=k))
@@ -74,3 +78,14 @@ def test_events_table_may_be_a_folder_of_part_files(spark, tmp_path):
          .trigger(availableNow=True).start())
     q.awaitTermination()
     assert spark.table("folder_events").count() == src.count()
+
+
+@SETTINGS
+@given(spans=st.lists(st.tuples(st.integers(0, 3), st.integers(-9, 9), day, st.integers(-1, 30)), max_size=12),
+       base=st.sampled_from([0, 5 << 40, (1 << 60) - 1]))
+def test_repeated_day_keys_equal_the_unfolded_count(spark, spans, base):
+    """Entities whose hashes lie a few steps apart, so that days of different ones do collide."""
+    rows = [((base + e * 3 + shift * C.DAY_STEP) % (1 << 60), d, d + dt.timedelta(days=n)) for e, shift, d, n in spans]
+    df = spark.createDataFrame(rows, "entity bigint, first_day date, last_day date")
+    dense = explode_days(df, "first_day", "last_day", "d").groupBy(day_key("entity", "d").alias("k")).count()
+    assert repeated_day_keys(df).first()[0] == dense.filter("count > 1").count()
