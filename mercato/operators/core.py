@@ -4,7 +4,7 @@
 - ``with_member``: append a literal member row (unknown / no-campaign).
 - ``explode_days``: range join entity-window x calendar, written as a guarded
   ``sequence`` + ``explode`` (no join, no nested-loop plan).
-- ``avg_percent_rank``: pandas-style ``rank(pct=True)`` (average ties).
+- ``avg_percent_rank``: pandas-style ``rank(pct=True)`` (average ties), in slices.
 - ``tier``: right-closed bins over a rank.
 - ``top_n``: ordered limit with a full tie-breaker.
 """
@@ -63,21 +63,32 @@ def explode_days(df: DataFrame, start: str | Column, end: str | Column, name: st
 
 
 def avg_percent_rank(df: DataFrame, value: str, out: str,
-                     partition: Sequence[str] = ()) -> DataFrame:
+                     partition: Sequence[str] = (), slices: int = 256) -> DataFrame:
     """Average rank of ``value`` (ties share the mean of their ranks) / n.
 
-    Computed on the distinct values and their counts, not on the rows: the
-    windows run over one row per distinct value (per partition key), and the
-    result is joined back. Equal to pandas ``rank(method='average', pct=True)``.
+    Computed on the distinct values and their counts, not on the rows, and in
+    ``slices`` of the value range, cut at approximate percentiles of the
+    distinct values: each slice is ranked on its own, and the rows below it come
+    from the slices' totals (at most ``slices`` rows per partition key), so no
+    task holds all values. The cuts choose the plan only; ranks are exact. Equal
+    to pandas ``rank(method='average', pct=True)``. NULL values get no rank but
+    count as rows, below every value.
     """
     parts = list(partition)
     counts = df.groupBy(*parts, value).agg(F.count(F.lit(1)).alias("__ties"))
-    w_all = Window.partitionBy(*parts) if parts else Window.partitionBy()
-    w_ord = w_all.orderBy(F.col(value).asc()).rowsBetween(Window.unboundedPreceding, -1)
-    ranked = (counts
-              .withColumn("__below", F.coalesce(F.sum("__ties").over(w_ord), F.lit(0)))
-              .withColumn("__n", F.sum("__ties").over(w_all))
-              .withColumn(out, (F.col("__below") + (F.col("__ties") + 1) / 2.0) / F.col("__n"))
+    cuts = counts.select(F.percentile_approx(value, [i / slices for i in range(1, slices)])).scalar()
+    place = F.array_position(F.sort_array(F.array_append(cuts, F.col(value))), F.col(value))
+    sliced = counts.withColumn("__slice", F.coalesce(place, F.lit(0)))
+    w_all = Window.partitionBy(*parts)
+    w_slice = w_all.orderBy("__slice").rowsBetween(Window.unboundedPreceding, -1)
+    totals = (sliced.groupBy(*parts, "__slice").agg(F.sum("__ties").alias("__in"))
+              .select(*parts, "__slice", F.coalesce(F.sum("__in").over(w_slice), F.lit(0)).alias("__before"),
+                      F.sum("__in").over(w_all).alias("__n")))
+    w_own = Window.partitionBy(*parts, "__slice").orderBy(F.col(value).asc()) \
+        .rowsBetween(Window.unboundedPreceding, -1)
+    ranked = (sliced.withColumn("__below", F.coalesce(F.sum("__ties").over(w_own), F.lit(0)))
+              .join(totals, [*parts, "__slice"])
+              .withColumn(out, (F.col("__before") + F.col("__below") + (F.col("__ties") + 1) / 2.0) / F.col("__n"))
               .select(*parts, value, out))
     return df.join(ranked, [*parts, value], "left")
 
@@ -96,14 +107,6 @@ def top_n(df: DataFrame, n: int, order: Sequence[Column]) -> DataFrame:
     return df.orderBy(*order).limit(n)
 
 
-def latest_by(df: DataFrame, keys: Sequence[str], order: Sequence[str],
-              values: Sequence[str]) -> DataFrame:
-    """Value of the last row per group by ``order`` (``max_by`` on a struct:
-    a partial aggregate, no sort of the group, no window)."""
-    ordering = F.struct(*[F.col(o) for o in order])
-    return df.groupBy(*keys).agg(*[F.max_by(F.col(v), ordering).alias(v) for v in values])
-
-
 def unique_by(df: DataFrame, key: str, cols: Sequence[str]) -> DataFrame:
     """One row per ``key`` (deterministic ``max`` of each column), so a left
     join on ``key`` cannot fan out and is removable when unused."""

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions import constants as C
 from ..functions.exprs import MONEY, lit_date, status_by_threshold
-from ..operators.core import avg_percent_rank, tier
+from ..operators.core import avg_percent_rank, tier, unique_by
 from ..operators.intervals import daily_levels
 from .dashboards import period_days, q04_ltv_cac_by_channel
 from .model import Model
@@ -554,6 +554,58 @@ def po_summary(m: Model) -> DataFrame:
                  F.sum("purchase_price_variance_amount").cast(DBL).alias("ppv_amount")))
 
 
+def purchase_orders_detail(m: Model) -> DataFrame:
+    """Purchase order x supplier x warehouse: what is still to come, and whether it came late."""
+    ds = m.dim_supplier.select("supplier_key", "supplier_id")
+    dw = m.dim_warehouse.select(F.col("warehouse_key").alias("destination_warehouse_key"), "warehouse_id")
+    late = F.datediff(F.to_date("actual_receipt_date"), "expected_date")
+    return (m.fact_purchase_orders.join(ds, "supplier_key", "left").join(dw, "destination_warehouse_key", "left")
+            .select("po_number", "supplier_id", "warehouse_id", "po_date", "po_status_code",
+                    F.col("ordered_quantity").cast("bigint").alias("ordered_quantity"),
+                    F.coalesce("received_quantity", F.lit(0)).cast("bigint").alias("received_quantity"),
+                    (F.col("ordered_quantity") - F.coalesce("received_quantity", F.lit(0))).cast("bigint").alias("open_quantity"),
+                    F.greatest(late, F.lit(0)).cast("bigint").alias("days_late"),
+                    F.col("total_purchase_cost_amount").cast(DBL).alias("total_purchase_cost_amount")))
+
+
+def finance_daily(m: Model, filters: dict | None = None) -> DataFrame:
+    """Date x category x channel x product: revenue, cost and margin."""
+    dp = m.dim_product.select("product_key", "product_id", "category_name")
+    sold = m.fact_sales.filter(_period(m, "order_date")).groupBy("order_date", "product_key", "sales_channel_code").agg(
+        F.sum("net_revenue_amount").alias("net"), F.sum("cogs_amount").alias("cogs"),
+        F.sum("quantity_ordered").cast("bigint").alias("units"))
+    return (_apply_filters(sold.join(dp, "product_key"), filters)
+            .select(F.col("order_date").alias("report_date"), "category_name", "sales_channel_code", "product_id",
+                    F.col("net").cast(DBL).alias("net_revenue_amount"), F.col("cogs").cast(DBL).alias("cogs_amount"),
+                    (F.col("net") - F.col("cogs")).cast(DBL).alias("gross_margin_amount"), "units"))
+
+
+def returns_by_channel_daily(m: Model) -> DataFrame:
+    """Returns by day and by the channel of the order they belong to; returned
+    orders are summed before they meet their channel."""
+    fr = (m.fact_returns.filter(_period(m, "return_date")).groupBy("return_date", F.col("order_number").alias("order_id"))
+          .agg(F.sum("returned_quantity").alias("units"), F.sum("refunded_amount").alias("refunds")))
+    o = unique_by(m.stg("stg_orders"), "order_id", ["sales_channel"])
+    return (fr.join(o, "order_id", "left").groupBy("return_date", "sales_channel")
+            .agg(F.count(F.lit(1)).alias("returned_orders"), F.sum("units").cast("bigint").alias("returned_units"),
+                 F.sum("refunds").cast(DBL).alias("refunded_amount")))
+
+
+def weekly_spend_and_customers(m: Model) -> DataFrame:
+    """Campaign spend and the customers who signed up, week by week (from Monday)."""
+    spend = (m.fact_marketing_spend.groupBy(F.trunc("spend_date", "WEEK").alias("week_start"))
+             .agg(F.sum("spend_amount").alias("spend")))
+    new = (m.dim_customer.filter((F.col("customer_id") != C.UNKNOWN_ID) & F.col("customer_since").isNotNull())
+           .groupBy(F.trunc("customer_since", "WEEK").alias("week_start"))
+           .agg(F.count(F.lit(1)).alias("all_new"),
+                F.count(F.when(F.col("acquisition_campaign_key") != C.UNKNOWN_KEY, 1)).alias("paid_new")))
+    paid = F.coalesce("paid_new", F.lit(0))
+    return spend.join(new, "week_start", "full_outer").select(
+        "week_start", F.coalesce(F.col("spend").cast(DBL), F.lit(0.0)).alias("spend_amount"),
+        F.coalesce("all_new", F.lit(0)).alias("new_customers"), paid.alias("campaign_customers"),
+        F.try_divide(F.coalesce(F.col("spend").cast(DBL), F.lit(0.0)), paid.cast(DBL)).alias("spend_per_campaign_customer"))
+
+
 def returns_daily(m: Model) -> DataFrame:
     fr = m.fact_returns.filter(_period(m, "return_date"))
     return (fr.groupBy("return_date", "product_key", "warehouse_key")

@@ -322,8 +322,9 @@ class Model:
                        "destination_warehouse_key", bounded=True)
         return j.select(
             surrogate_key("purchase_order_id").alias("purchase_order_fact_key"),
-            date_key(F.to_date("order_date")).alias("po_date_key"),
-            date_key(F.to_date("expected_receipt_date")).alias("expected_delivery_date_key"),
+            F.coalesce(date_key(F.to_date("order_date")), F.lit(C.UNKNOWN_KEY).cast("bigint")).alias("po_date_key"),
+            F.coalesce(date_key(F.to_date("expected_receipt_date")), F.lit(C.UNKNOWN_KEY).cast("bigint"))
+            .alias("expected_delivery_date_key"),
             "supplier_key",
             F.coalesce("product_key", F.lit(C.UNKNOWN_KEY).cast("bigint")).alias("product_key"),
             "destination_warehouse_key",
@@ -412,11 +413,6 @@ class Model:
                                   lit_date(self.sim_end)).alias("window_end")))
         return a.join(p, "product_id")
 
-    @cached_property
-    def inventory_spine(self) -> DataFrame:
-        return explode_days(self.spine_pairs, "window_start", "window_end", "balance_date") \
-            .select("warehouse_id", "product_id", "balance_date")
-
     @mart
     def inventory_intervals(self) -> DataFrame:
         """Piecewise-constant on-hand per pair: one row per change day (plus an

@@ -347,6 +347,37 @@ SELECT ds.supplier_id, dw.warehouse_id, count(*) AS po_count,
 FROM fact_purchase_orders po LEFT JOIN dim_supplier ds ON po.supplier_key = ds.supplier_key
 LEFT JOIN dim_warehouse dw ON po.destination_warehouse_key = dw.warehouse_key GROUP BY 1, 2""")
 
+kpi("mart_purchase_orders_detail", K.purchase_orders_detail, """
+SELECT p.purchase_order_id AS po_number, s.supplier_id, w.warehouse_id, CAST(p.order_date AS DATE) AS po_date,
+       p.po_status AS po_status_code, CAST(p.quantity_ordered AS BIGINT) AS ordered_quantity,
+       CAST(coalesce(p.quantity_received, 0) AS BIGINT) AS received_quantity,
+       CAST(p.quantity_ordered - coalesce(p.quantity_received, 0) AS BIGINT) AS open_quantity,
+       CAST(greatest(coalesce(CAST(p.actual_receipt_date AS DATE) - CAST(p.expected_receipt_date AS DATE), 0), 0) AS BIGINT) AS days_late,
+       CAST(p.total_cost_sgd AS DOUBLE) AS total_purchase_cost_amount
+FROM stg_purchase_orders p LEFT JOIN stg_suppliers s USING (supplier_id) LEFT JOIN stg_warehouses w USING (warehouse_id)""")
+
+kpi("mart_finance_daily", K.finance_daily, f"""
+SELECT order_date AS report_date, category_name, sales_channel_code, product_id,
+       CAST(sum(net_revenue_amount) AS DOUBLE) AS net_revenue_amount, CAST(sum(cogs_amount) AS DOUBLE) AS cogs_amount,
+       CAST(sum(net_revenue_amount - cogs_amount) AS DOUBLE) AS gross_margin_amount,
+       CAST(sum(quantity_ordered) AS BIGINT) AS units
+FROM fact_sales JOIN dim_product USING (product_key) WHERE order_date {P} GROUP BY ALL""")
+
+kpi("mart_returns_by_channel_daily", K.returns_by_channel_daily, f"""
+SELECT r.return_date, o.sales_channel, count(DISTINCT r.order_number) AS returned_orders,
+       CAST(sum(r.returned_quantity) AS BIGINT) AS returned_units, CAST(sum(r.refunded_amount) AS DOUBLE) AS refunded_amount
+FROM fact_returns r LEFT JOIN stg_orders o ON r.order_number = o.order_id WHERE r.return_date {P} GROUP BY 1, 2""")
+
+kpi("kpi_weekly_spend_and_customers", K.weekly_spend_and_customers, """
+SELECT CAST(date_trunc('week', d) AS DATE) AS week_start, CAST(sum(spend) AS DOUBLE) AS spend_amount,
+       CAST(sum(n) AS BIGINT) AS new_customers, CAST(sum(paid) AS BIGINT) AS campaign_customers,
+       CAST(sum(spend) AS DOUBLE) / CAST(nullif(sum(paid), 0) AS DOUBLE) AS spend_per_campaign_customer
+FROM (SELECT spend_date AS d, spend_amount AS spend, 0 AS n, 0 AS paid FROM fact_marketing_spend
+      UNION ALL
+      SELECT customer_since, 0, 1, CASE WHEN acquisition_campaign_key <> -1 THEN 1 ELSE 0 END FROM dim_customer
+      WHERE customer_id <> 'UNKNOWN' AND customer_since IS NOT NULL)
+GROUP BY 1""")
+
 kpi("mart_returns_daily", K.returns_daily, f"""
 SELECT return_date, product_key, warehouse_key, CAST(sum(returned_quantity) AS BIGINT) AS returned_units,
        CAST(sum(refunded_amount) AS DOUBLE) AS refunded_amount,

@@ -104,6 +104,12 @@ SELECT window_start, purchases FROM (
 WHERE window_start + INTERVAL 15 MINUTE <= (SELECT max(ts) FROM events WHERE event_type = 'purchase') - INTERVAL 1 HOUR""",
     tags=("streaming",)))
 
+# the test table is one file and so one batch, in which no row can be late
+register("stream_late_events", Query(_stream(S.late_events), f"""
+SELECT window_start, events, CAST(0 AS BIGINT) AS late_rows FROM (
+  SELECT {_bucket(900)} AS window_start, count(*) AS events FROM events GROUP BY 1)
+WHERE window_start + INTERVAL 15 MINUTE <= (SELECT max(ts) FROM events) - INTERVAL 1 HOUR""", tags=("streaming",)))
+
 register("stream_stock_view_4h", Query(_stream(S.stock_view_4h), f"""
 SELECT {_bucket(14400)} AS window_start, event_type, count(*) AS events, max(ts) AS as_of
 FROM events GROUP BY 1, 2""", tags=("streaming",)))

@@ -161,13 +161,26 @@ def cdc_upsert(spark: SparkSession, sf_dir: str, glob: str = "events.parquet") -
 
 def late_rows_report(spark: SparkSession, events_dir: str, glob: str = "*.parquet",
                      delay: str = WATERMARK) -> tuple[DataFrame, int]:
-    """Append-mode 15-minute totals over the files of ``events_dir`` (one file
-    per micro-batch), returning the emitted windows and the number of rows the
-    watermark dropped as too late (late refunds and cancellations)."""
+    """``late_rows`` over the files of ``events_dir``, one file per micro-batch."""
     schema = spark.read.parquet(events_dir).schema
     e = (spark.readStream.schema(schema).option("pathGlobFilter", glob).option("maxFilesPerTrigger", 1)
-         .parquet(events_dir).withColumn("ts", F.col("ts").cast("timestamp")).withWatermark("ts", delay))
-    agg = e.groupBy(F.window("ts", "15 minutes")).agg(F.count(F.lit(1)).alias("events"))
+         .parquet(events_dir).withColumn("ts", F.col("ts").cast("timestamp")))
+    return late_rows(e, delay)
+
+
+def late_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """15-minute totals of all events that the watermark has closed, with the
+    number of rows of the whole run that came too late for their window."""
+    windows, dropped = late_rows(event_stream(spark, sf_dir))
+    return windows.withColumn("late_rows", F.lit(dropped).cast("bigint"))
+
+
+def late_rows(stream: DataFrame, delay: str = WATERMARK) -> tuple[DataFrame, int]:
+    """Append-mode 15-minute totals of a stream with a ``ts``: the emitted
+    windows and the number of rows the watermark dropped as too late (late
+    refunds and cancellations)."""
+    spark = stream.sparkSession
+    agg = stream.withWatermark("ts", delay).groupBy(F.window("ts", "15 minutes")).agg(F.count(F.lit(1)).alias("events"))
     root = scratch_dir(spark, "stream-late")
     out, ckpt = os.path.join(root, "out"), os.path.join(root, "checkpoint")
     # every batch's progress is kept, so the count below covers all of them

@@ -46,6 +46,22 @@ def test_avg_percent_rank_matches_pandas(spark):
         assert abs(got[i] - w) < 1e-12
 
 
+def test_avg_percent_rank_in_slices(spark):
+    """Slices, partition keys, ties and NULL values: the cuts never show in the ranks."""
+    rows = [(i, "ab"[i % 3 == 0], None if i % 17 == 0 else float((i * 37) % 53)) for i in range(400)]
+    df = spark.createDataFrame(rows, "id int, g string, v double")
+    pdf = pd.DataFrame(rows, columns=["id", "g", "v"]).set_index("id")
+    filled = pdf["v"].fillna(-1.0)
+    for parts, want in (((), filled.rank(pct=True)), (("g",), filled.groupby(pdf["g"]).rank(pct=True))):
+        for slices in (3, 256):
+            for r in avg_percent_rank(df, "v", "p", parts, slices).collect():
+                if r.v is None:
+                    assert r.p is None
+                else:
+                    assert abs(r.p - want[r.id]) < 1e-12
+    assert avg_percent_rank(df.limit(0), "v", "p").count() == 0
+
+
 def test_tier_right_closed(spark):
     df = spark.createDataFrame([(0.5,), (0.5000001,), (0.8,), (0.95,), (1.0,)], "p double")
     got = [r.t for r in df.select(tier("p").alias("t")).collect()]
