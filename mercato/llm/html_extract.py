@@ -7,8 +7,13 @@ text ratio (characters a block) and punctuation ratio (marks a block) are
 smoothed over neighbours in page order and fused by their product; paths at or
 above a share of the best are content paths. The content paths' common
 container (the innermost article or main element of the best one, if there is
-any) then gives the text: all its blocks but those in menus, headers, footers,
-sidebars, notices, adverts, forms, scripts, styles and reader comments.
+any) then gives the text.
+
+Scripts, styles, menus (nav), footers and hidden elements are never read.
+Asides, forms, page headers, and elements whose role, or whose class or id as a
+whole, names a menu, sidebar, advert, comments and the like are *suspect*: they
+are left out unless they hold the best path or most of the score. A weak name
+(discussion, notice, tags) alone doesn't tell against prose in the article.
 
 Defined results: null or empty html, or a page without text -> empty string;
 unclosed and wrongly nested tags are closed as browsers close them as far as
@@ -22,7 +27,7 @@ from __future__ import annotations
 
 import html
 import re
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -32,7 +37,7 @@ from mercato.llm.common import by_batch
 
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|</?[a-zA-Z][^>]*>", re.S)
 ATTRIBUTE = re.compile(r"([\w:-]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))")
-RAW = {"script", "style", "noscript", "template", "textarea", "iframe", "svg", "math", "object", "title", "noframes", "xmp"}
+RAW = {"script", "style", "noscript", "template", "textarea", "iframe", "svg", "annotation", "annotation-xml", "object", "title", "noframes", "xmp"}
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
 BLOCK = {
     "address", "article", "aside", "blockquote", "body", "caption", "center", "dd", "details", "dialog", "dir", "div", "dl", "dt", "fieldset", "figcaption",
@@ -42,15 +47,22 @@ BLOCK = {
 #: An open element of the value's kinds ends where the key begins, inside the nearest of the third.
 CLOSES = {"li": ({"li"}, {"ul", "ol", "menu", "dir"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}), "tr": ({"tr"}, {"table"}),
           "td": ({"td", "th"}, {"tr"}), "th": ({"td", "th"}, {"tr"}), "option": ({"option"}, {"select"})}
-DROPPED = RAW | {"head", "nav", "footer", "aside", "form", "menu", "dialog", "button", "select", "input", "label", "fieldset", "search", "audio", "video", "canvas"}
-NAMES = re.compile(
-    r"(?:^|[\s_-])(?:ads?|adverts?|advertisements?|advertising|adsense|banners?|sponsor(?:ed|s)?|promo(?:s|tion|tions)?|nav|navbar|navigation|menus?|breadcrumbs?|"
-    r"sidebars?|side-?bar|widgets?|footers?|site-?footer|headers?|masthead|toolbar|cookies?|consent|notices?|alerts?|popups?|modal|overlay|newsletter|subscribe|"
-    r"subscription|signup|login|social|share|sharing|related|recommend(?:ed|ations?)|comments?|commentlist|disqus|replies|reply|discussion|pagination|pager|skip|"
-    r"toc|tags|copyright|disclaimer|gdpr)(?:$|[\s_-])", re.I)
+DROPPED = RAW | {"head", "nav", "footer", "select", "input", "audio", "video", "canvas"}
+#: Dropped like the elements of a listed name: unless they hold the content.
+SUSPECT = {"aside", "form", "menu", "dialog", "button", "label", "fieldset", "search"}
+#: Words of names that tell against an element; the weak ones also stand in articles.
+STRONG = re.compile(
+    r"ads?|adverts?|advertisements?|advertising|adsense|sponsor(?:ed|s)?|promo(?:s|tion|tions)?|nav|navbar|navigation|menus?|breadcrumbs?|sidebars?|widgets?|footers?|"
+    r"masthead|toolbar|cookies?|consent|popups?|modal|overlay|newsletter|subscribe|subscription|signup|login|share|sharing|recommend(?:ed|ations?)|comments?|"
+    r"commentlist|disqus|replies|pagination|pager|skip|copyright|gdpr", re.I)
+WEAK = re.compile(r"banners?|headers?|notices?|alerts?|social|related|reply|discussion|toc|tags|disclaimer", re.I)
+#: Say nothing by themselves in a name of several words (site-footer, related-posts).
+BESIDE = re.compile(r"site|page|top|bottom|left|right|primary|secondary|main|side|bar|box|block|list|area|section|links?|posts?|container|wrapper|slot|unit|\d+", re.I)
 ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "form", "alert", "dialog", "menu", "menubar"}
 MARKS = re.compile(r"[.,;:!?…。，！？、]")
-SHARE = 0.2  #: of the best path's fused ratio
+SHARE = 0.2  #: of the best path's fused ratio; for suspects of the mean ratio
+PROSE = 16.0  #: ratio that suffices on any page: about 100 characters and 1.5 marks a block
+SEMANTIC = 4  #: times a block counts inside an article or main element
 
 
 @dataclass
@@ -58,29 +70,58 @@ class Element:
     name: str
     step: str  # name and classes, or "" if no block
     dropped: bool
+    number: int
+    suspect: int  # 0: no, 1: by a weak name, 2: by a strong name, its tag or its role
 
 
 @dataclass
-class Page:
-    blocks: list[tuple[tuple[str, ...], str]] = field(default_factory=list)
+class Block:
+    path: tuple[str, ...]
+    text: str
+    elements: tuple[int, ...]  # numbers of the path's elements
+    suspects: tuple[tuple[int, int], ...]  # (number, strength) of the suspect elements around it
+    semantic: bool
+    raw: str
+    line: int  # blocks of one line are pieces cut by suspect elements inside it
+    linked: bool  # mostly text of links
+
+
+def suspicion(label: str) -> int:
+    """2 or 1 if a class or id consists of strong or weak words."""
+    found = 0
+    for token in label.split():
+        words = [w for w in re.split(r"[-_]+", token) if w]
+        if all(STRONG.fullmatch(w) or WEAK.fullmatch(w) or BESIDE.fullmatch(w) for w in words):
+            found = max(found, 2 * any(STRONG.fullmatch(w) for w in words), int(any(WEAK.fullmatch(w) for w in words)))
+    return found
 
 
-def read_page(source: str) -> list[tuple[tuple[str, ...], str]]:
-    """(path, text) of the blocks that aren't in dropped elements."""
+def read_page(source: str) -> list[Block]:
+    """The blocks that aren't in dropped elements."""
     stack: list[Element] = []
-    blocks: list[tuple[tuple[str, ...], str]] = []
+    blocks: list[Block] = []
     held: list[str] = []
+    opened = lines = linked = 0
 
-    def flush() -> None:
+    def flush(ends: bool = True) -> None:
+        nonlocal lines, linked
         if held:
-            text = " ".join("".join(held).split())
-            held.clear()
+            raw = "".join(held)
+            text = " ".join(raw.split())
+            if text or ends:
+                held.clear()
             if text:
-                blocks.append((tuple(e.step for e in stack if e.step), text))
+                path = [e for e in stack if e.step]
+                blocks.append(Block(tuple(e.step for e in path), text, tuple(e.number for e in path), tuple((e.number, e.suspect) for e in stack if e.suspect),
+                                    any(e.name in ("article", "main") for e in path), raw, lines, 2 * linked > len(text)))
+                linked = 0
+        lines += ends
 
     def close(to: int) -> None:
         if any(e.step for e in stack[to:]):
             flush()
+        elif any(e.suspect for e in stack[to:]):
+            flush(False)
         del stack[to:]
 
     at, end = 0, len(source)
@@ -89,6 +130,8 @@ def read_page(source: str) -> list[tuple[tuple[str, ...], str]]:
         text = source[at:m.start() if m else end]
         if text and not (stack and stack[-1].dropped):
             held.append(html.unescape(text))
+            if any(e.name == "a" for e in stack):
+                linked += len(text.strip())
         if not m:
             break
         at, name = m.end(), (m[2] or "").lower()
@@ -131,9 +174,12 @@ def read_page(source: str) -> list[tuple[tuple[str, ...], str]]:
         attributes = {k.lower(): a or b or c for k, a, b, c in ATTRIBUTE.findall(m[3] or "")}
         label = f"{attributes.get('class', '')} {attributes.get('id', '')}".strip()
         inner = any(e.name in ("article", "main") for e in stack)
-        dropped = (bool(stack) and stack[-1].dropped) or name in DROPPED or (name == "header" and not inner) or "hidden" in attributes
-        if name not in ("html", "body", "article", "main", "h1", "p") or label:
-            dropped = dropped or (name not in ("html", "body") and bool(label and NAMES.search(label))) or attributes.get("role", "").lower() in ROLES
+        dropped = (bool(stack) and stack[-1].dropped) or name in DROPPED or "hidden" in attributes
+        suspect = 0
+        if name in SUSPECT or (name == "header" and not inner):
+            suspect = 2
+        elif name not in ("html", "body"):
+            suspect = 2 if attributes.get("role", "").lower() in ROLES else suspicion(label)
         if (m[3] or "").rstrip().endswith("/") and not block:
             continue
         if name in RAW:
@@ -141,18 +187,69 @@ def read_page(source: str) -> list[tuple[tuple[str, ...], str]]:
             at = stop.end() if stop else end
             continue
         step = (name + "".join("." + c for c in sorted(attributes.get("class", "").split()))) if block else ""
-        stack.append(Element(name, step, dropped))
+        opened += 1
+        if suspect and not block:
+            flush(False)
+        stack.append(Element(name, step, dropped, opened, suspect))
     flush()
     return blocks
 
 
-def content_paths(blocks: list[tuple[tuple[str, ...], str]]) -> list[tuple[str, ...]]:
+def path_ratios(blocks: list[Block]) -> dict[tuple[str, ...], float]:
+    """Smoothed and fused ratio of every path, in page order. A path's size
+    doesn't enter: both ratios are means over its blocks."""
+    paths: dict[tuple[str, ...], list[float]] = {}
+    for b in blocks:
+        sums = paths.setdefault(b.path, [0, 0, 0])
+        sums[0] += len(b.text)
+        sums[1] += len(MARKS.findall(b.text))
+        sums[2] += 1
+
+    def smooth(values: list[float]) -> list[float]:
+        return [0.15 * values[max(0, i - 1)] + 0.7 * v + 0.15 * values[min(len(values) - 1, i + 1)] for i, v in enumerate(values)]
+
+    ratios = zip(smooth([n / k for n, _, k in paths.values()]), smooth([(k + marks) / k for _, marks, k in paths.values()]), strict=True)
+    return {path: (a * b) ** 0.5 for path, (a, b) in zip(paths, ratios, strict=True)}
+
+
+def threshold(blocks: list[Block], ratio: dict[tuple[str, ...], float]) -> float:
+    """``SHARE`` of the mean ratio, every character counted once; a ratio of
+    prose suffices however long other blocks are."""
+    return min(PROSE, SHARE * sum(ratio[b.path] * len(b.text) for b in blocks) / max(1, sum(len(b.text) for b in blocks)))
+
+
+def without_suspects(blocks: list[Block]) -> list[Block]:
+    """The blocks outside suspect elements; an element that holds the best path
+    or most of the score isn't one, nor one by a weak name whose paths are
+    content paths of the article."""
+    if not any(b.suspects for b in blocks):
+        return blocks
+    ratio = path_ratios(blocks)
+    least, semantic = threshold(blocks, ratio), any(b.semantic for b in blocks)
+    score, total, inside = {}, 0.0, {}
+    for b in blocks:
+        weight = ratio[b.path] * len(b.text) * (SEMANTIC if b.semantic else 1)
+        score[b.path] = score.get(b.path, 0) + weight
+        total += weight
+        for number, _ in b.suspects:
+            sums = inside.setdefault(number, [0.0, 0, 0, {}])
+            sums[0] += weight
+            sums[1] += len(b.text)
+            sums[2] += len(b.text) * (ratio[b.path] >= least and (b.semantic or not semantic))
+            sums[3][b.path] = sums[3].get(b.path, 0) + weight
+    best = max(score, key=score.__getitem__)
+    held = {n for n, (weight, _, _, paths) in inside.items() if 2 * weight > total or 2 * paths.get(best, 0) > score[best]}
+    prose = {n for n, (_, size, passing, _) in inside.items() if 2 * passing > size}
+    return [b for b in blocks if all(n in held or (strength == 1 and n in prose) for n, strength in b.suspects)]
+
+
+def content_paths(blocks: list[Block]) -> list[tuple[str, ...]]:
     """Paths whose smoothed and fused ratios reach the threshold, best first."""
     paths: dict[tuple[str, ...], list[float]] = {}
-    for path, text in blocks:
-        sums = paths.setdefault(path, [0, 0, 0])
-        sums[0] += len(text)
-        sums[1] += len(MARKS.findall(text))
+    for b in blocks:
+        sums = paths.setdefault(b.path, [0, 0, 0])
+        sums[0] += len(b.text)
+        sums[1] += len(MARKS.findall(b.text))
         sums[2] += 1
     order = list(paths)
     ratios = [(n / k * n, (1 + marks) / k * (1 + marks)) for n, marks, k in paths.values()]
@@ -166,11 +263,11 @@ def content_paths(blocks: list[tuple[tuple[str, ...], str]]) -> list[tuple[str,
     return [order[i] for i in sorted(chosen, key=lambda i: (-fused[i], i))]
 
 
-def main_text(source: str | None) -> str:
-    blocks = read_page(source or "")
+def content(blocks: list[Block]) -> list[Block]:
+    """The blocks of the content paths' common container."""
     chosen = content_paths(blocks)
     if not chosen:
-        return ""
+        return []
     best = chosen[0]
     semantic = [i + 1 for i, step in enumerate(best) if step.split(".")[0] in ("article", "main")]
     if semantic:
@@ -182,7 +279,14 @@ def main_text(source: str | None) -> str:
         container = best[:shared]
         if len(container) == len(best) and container and container[-1].split(".")[0] in ("p", "li", "td", "h1", "h2", "h3", "blockquote", "pre", "dd"):
             container = container[:-1]  # a leaf: its siblings belong to the same text
-    return "\n".join(text for path, text in blocks if path[:len(container)] == container)
+    return [b for b in blocks if b.path[:len(container)] == container]
+
+
+def main_text(source: str | None) -> str:
+    lines: dict[int, list[str]] = {}
+    for b in content(without_suspects(read_page(source or ""))):
+        lines.setdefault(b.line, []).append(b.raw)
+    return "\n".join(" ".join("".join(raws).split()) for raws in lines.values())
 
 
 def extract(df: DataFrame, source: str = "html", target: str = "text") -> DataFrame:

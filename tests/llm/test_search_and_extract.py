@@ -88,6 +88,24 @@ def test_main_text():
     assert html_extract.main_text("<body><div><p>Alone, but long enough.</p><p>Two.</p></div>") == "Alone, but long enough.\nTwo."
 
 
+PROSE = [f"Paragraph {i} has some words, and then it goes on for a while; this is how prose of an article reads, sentence {i} after sentence." for i in range(12)]
+PARAGRAPHS = "".join(f"<p>{p}</p>" for p in PROSE)
+AROUND = '<div class="sidebar"><ul><li><a href="/a">Other, page</a></li></ul></div><div id="comments"><p>I disagree, sir.</p></div><div class="cookie-notice"><p>We use cookies.</p></div>'
+
+
+@pytest.mark.parametrize(("begin", "end"), [
+    ('<div class="layout has-sidebar"><article>', "</article></div>"), ('<div id="page" class="with-header"><article>', "</article></div>"), ('<article class="post comments-open">', "</article>"),
+    ('<div class="sidebar"><div class="text">', "</div></div>"), ('<form id="form"><main class="header">', "</main></form>"), ('<div role="dialog"><div>', "</div></div>"), ('<span class="widget"><div>', "</div></span>")])
+def test_wrappers_with_listed_names_keep_the_article(begin, end):
+    assert html_extract.main_text(f"<body>{AROUND if 'sidebar' not in begin else ''}{begin}{PARAGRAPHS}{end}</body>") == "\n".join(PROSE)
+
+
+def test_sections_with_listed_names_and_formulas():
+    page = f'<body>{AROUND}<article>{PARAGRAPHS}<div class="related-work"><p>Others did it, too.</p></div><section id="discussion"><h2>Discussion</h2><p>{PROSE[0]}</p></section>' \
+           f'<p>As <math><mi>a</mi><mo>=</mo><mn>2</mn></math> <span class="share">Share!</span>shows.</p><div class="comments"><p>{PROSE[1]}</p></div></article></body>'
+    assert html_extract.main_text(page) == "\n".join([*PROSE, "Others did it, too.", "Discussion", PROSE[0], "As a=2 shows."])
+
+
 def test_pages_query(llm, folder):
     rows = op8_html(llm, SMALL).collect()
     assert len(rows) == llm.read.parquet(f"{SMALL}/pages.parquet").count() and all(r.n_chars == len(r.text) for r in rows) and any(r.text for r in rows)
