@@ -2,12 +2,12 @@
 
 A page is read into blocks: runs of text between block-level tags, each with
 its root-to-leaf path of block-level tags (with their classes). Per path the
-text length, the punctuation and the number of blocks are added up; the paths'
-text ratio (characters a block) and punctuation ratio (marks a block) are
-smoothed over neighbours in page order and fused by their product; paths at or
-above a share of the best are content paths. The content paths' common
-container (the innermost article or main element of the best one, if there is
-any) then gives the text.
+text ratio (characters a block) and the punctuation ratio (marks a block) are
+smoothed over neighbours in page order and fused by their geometric mean.
+Blocks whose path reaches a share of the page's mean ratio are content; so are
+the headings and short blocks between them and those that stand beside them in
+one element. Where article and main elements hold most of the page's score
+(ratio times characters), only blocks in these count.
 
 Scripts, styles, menus (nav), footers and hidden elements are never read.
 Asides, forms, page headers, and elements whose role, or whose class or id as a
@@ -60,8 +60,11 @@ WEAK = re.compile(r"banners?|headers?|notices?|alerts?|social|related|reply|disc
 BESIDE = re.compile(r"site|page|top|bottom|left|right|primary|secondary|main|side|bar|box|block|list|area|section|links?|posts?|container|wrapper|slot|unit|\d+", re.I)
 ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "form", "alert", "dialog", "menu", "menubar"}
 MARKS = re.compile(r"[.,;:!?…。，！？、]")
-SHARE = 0.2  #: of the best path's fused ratio; for suspects of the mean ratio
+SHARE = 0.2  #: of the page's mean ratio
 PROSE = 16.0  #: ratio that suffices on any page: about 100 characters and 1.5 marks a block
+HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6", "hgroup"}
+#: Elements of a text, as against the containers they stand in.
+PARTS = HEADINGS | {"p", "ul", "ol", "li", "dl", "dt", "dd", "table", "caption", "thead", "tbody", "tfoot", "tr", "td", "th", "blockquote", "pre", "figure", "figcaption", "header"}
 SEMANTIC = 4  #: times a block counts inside an article or main element
 
 
@@ -243,43 +246,40 @@ def without_suspects(blocks: list[Block]) -> list[Block]:
     return [b for b in blocks if all(n in held or (strength == 1 and n in prose) for n, strength in b.suspects)]
 
 
-def content_paths(blocks: list[Block]) -> list[tuple[str, ...]]:
-    """Paths whose smoothed and fused ratios reach the threshold, best first."""
-    paths: dict[tuple[str, ...], list[float]] = {}
-    for b in blocks:
-        sums = paths.setdefault(b.path, [0, 0, 0])
-        sums[0] += len(b.text)
-        sums[1] += len(MARKS.findall(b.text))
-        sums[2] += 1
-    order = list(paths)
-    ratios = [(n / k * n, (1 + marks) / k * (1 + marks)) for n, marks, k in paths.values()]
-
-    def smooth(values: list[float]) -> list[float]:
-        return [0.15 * values[max(0, i - 1)] + 0.7 * v + 0.15 * values[min(len(values) - 1, i + 1)] for i, v in enumerate(values)]
-
-    fused = [a * b for a, b in zip(*map(smooth, zip(*ratios, strict=True)), strict=True)] if ratios else []
-    best = max(fused, default=0)
-    chosen = [i for i, f in enumerate(fused) if f >= SHARE * best]
-    return [order[i] for i in sorted(chosen, key=lambda i: (-fused[i], i))]
-
-
 def content(blocks: list[Block]) -> list[Block]:
-    """The blocks of the content paths' common container."""
-    chosen = content_paths(blocks)
-    if not chosen:
+    """Blocks whose path's ratio reaches the threshold, with the headings and
+    short blocks between and beside them (blocks of links: in the same element)."""
+    ratio = path_ratios(blocks)
+    least = threshold(blocks, ratio)
+    weight = [ratio[b.path] * len(b.text) for b in blocks]
+    if 2 * sum(w for w, b in zip(weight, blocks, strict=True) if b.semantic) > sum(weight):
+        blocks = [b for b in blocks if b.semantic]
+    plain = [ratio[b.path] >= least and not b.linked for b in blocks]
+    passing = plain if any(plain) else [ratio[b.path] >= least for b in blocks]  # else a page of links
+    if not any(passing):
         return []
-    best = chosen[0]
-    semantic = [i + 1 for i, step in enumerate(best) if step.split(".")[0] in ("article", "main")]
-    if semantic:
-        container = best[:semantic[-1]]
-    else:
-        shared = len(best)
-        for path in chosen:
-            shared = min(shared, next((i for i, (a, b) in enumerate(zip(best, path, strict=False)) if a != b), min(len(best), len(path))))
-        container = best[:shared]
-        if len(container) == len(best) and container and container[-1].split(".")[0] in ("p", "li", "td", "h1", "h2", "h3", "blockquote", "pre", "dd"):
-            container = container[:-1]  # a leaf: its siblings belong to the same text
-    return [b for b in blocks if b.path[:len(container)] == container]
+    first, last = passing.index(True), len(passing) - 1 - passing[::-1].index(True)
+    around, parents = set(), set()
+    for b, yes in zip(blocks, passing, strict=True):
+        if yes:
+            around.update(n for n, step in zip(b.elements, b.path, strict=True) if step.split(".")[0] not in ("html", "body"))
+            parents.add(parent(b))
+
+    def kept(at: int, b: Block) -> bool:
+        heading = any(step.split(".")[0] in HEADINGS for step in b.path[-1:])
+        if passing[at] or parent(b) in parents or (heading and at < last):
+            return True
+        return (heading or not b.linked) and (first < at < last or parent(b) in around)
+
+    return [b for at, b in enumerate(blocks) if kept(at, b)]
+
+
+def parent(b: Block) -> int:
+    """The element that the block's paragraph, heading, list or table stands in."""
+    at = len(b.path)
+    while at and b.path[at - 1].split(".")[0] in PARTS:
+        at -= 1
+    return b.elements[at - 1] if at else 0
 
 
 def main_text(source: str | None) -> str:

@@ -106,6 +106,17 @@ def test_sections_with_listed_names_and_formulas():
     assert html_extract.main_text(page) == "\n".join([*PROSE, "Others did it, too.", "Discussion", PROSE[0], "As a=2 shows."])
 
 
+def test_ratios_choose_nodes_of_several_sections():
+    lead = "A lead of some length, with a comma; it tells what the text is about, and why one might want to read all of it now."
+    links = '<div class="x"><a href="/1">One</a> <a href="/2">Two</a></div>'
+    page = f"<body><div class='top'>Site</div><div id='content'><h1>Title</h1><div class='intro'><p>{lead}</p></div>{links}<div class='body'>{PARAGRAPHS}</div><div class='more'><h2>End</h2><ul><li>a<li>b</ul><p>{lead}</p></div></div>{links}</body>"
+    assert html_extract.main_text(page) == "\n".join(["Title", lead, *PROSE, "End", "a", "b", lead])
+    page = f"<body><div>Site</div><main><h1>Title</h1><p>{lead}</p><article class='one'>{PARAGRAPHS}</article><article class='two'><h2>More</h2><p>{lead}</p></article>{links}</main><div>Imprint</div></body>"
+    assert html_extract.main_text(page) == "\n".join(["Title", lead, *PROSE, "More", lead])
+    page = f"<body><section><p>{lead}</p></section><section><pre>{'code(x, y); ' * 5000}</pre></section><section><h2>After</h2><p>{lead}</p></section></body>"
+    assert html_extract.main_text(page) == "\n".join([lead, ("code(x, y); " * 5000).strip(), "After", lead])
+
+
 def test_pages_query(llm, folder):
     rows = op8_html(llm, SMALL).collect()
     assert len(rows) == llm.read.parquet(f"{SMALL}/pages.parquet").count() and all(r.n_chars == len(r.text) for r in rows) and any(r.text for r in rows)
