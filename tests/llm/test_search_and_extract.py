@@ -67,6 +67,24 @@ def test_templates_and_slots(llm, make_docs, most):
     assert decontaminate.find_leaks(make_docs([]), items).count() == 0 and decontaminate.find_leaks(docs, items.limit(0)).count() == 0
 
 
+def marked(llm, make_docs, item, docs, **options):
+    """Which of ``docs`` count as contaminated by ``item``, both ways of joining."""
+    items = llm.createDataFrame([(1, item)], "item_id long, text string")
+    out = [sorted(r.doc_id for r in decontaminate.find_leaks(make_docs(docs), items, most_broadcast=most).where("contaminated").collect()) for most in (decontaminate.BROADCAST_WINDOWS, 0)]
+    assert out[0] == out[1]
+    return out[0]
+
+
+def test_shifted_copies(llm, make_docs):
+    """Words added and left out, and values of another number of words."""
+    words = ITEM.split()
+    docs = [" ".join(["x.", *words[:8], "really", *words[8:16], "quite", *words[16:]]), " ".join([*words[:8], *words[9:14], *words[15:]]),
+            ITEM.replace("30", "twenty five").replace("Anna", "Boris Ivan"), ITEM.replace("120", "two hundred").replace("30", "forty one"), " ".join(words[:8])]
+    assert marked(llm, make_docs, ITEM, docs) == [0, 1, 2, 3]
+    place = "In New York there are 20 shops and a few large halls where people from Boston buy their bread and milk."
+    assert marked(llm, make_docs, place, [place.replace("New York", "Rome").replace("Boston", "Los Angeles").replace("20", "thirty five")]) == [0]
+
+
 def test_every_copied_item_is_found(llm):
     sf = "/root/testdata/sf0.01"
     items = {r.item_id: r.text for r in llm.read.parquet(f"{sf}/benchmark.parquet").collect()}
