@@ -349,7 +349,10 @@ def rate(words: int, length: int, diagonals: list[list[tuple]], coverage: float)
     equal = owner.keys() - {place for a, b in moved for place in range(a, b)}
     covered = len(owner)
     begin = min(h[0] for hits in diagonals for h in hits)
-    contaminated = consistent and covered >= coverage * words
+    if 2 * len(moved) <= len(met):
+        contaminated = len(equal) >= coverage * words
+    else:
+        contaminated = consistent and covered >= coverage * words
     return begin, len(starts), covered, covered / words, len(stands), sum(x != {was} for was, x in stands.items()), consistent, contaminated
 
 

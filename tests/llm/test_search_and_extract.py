@@ -85,6 +85,13 @@ def test_shifted_copies(llm, make_docs):
     assert marked(llm, make_docs, place, [place.replace("New York", "Rome").replace("Boston", "Los Angeles").replace("20", "thirty five")]) == [0]
 
 
+def test_copies_with_one_value_changed(llm, make_docs):
+    names = "On the way home Anna met an old friend and later that day Anna wrote a long letter to the whole family."
+    numbers = "A box holds 5 red pens and also 5 blue caps so that both kinds match in number on each table."
+    assert marked(llm, make_docs, names, [names.replace("later that day Anna", "later that day Ana")]) == [0]
+    assert marked(llm, make_docs, numbers, [numbers.replace("5 blue", "6 blue"), numbers.replace("5 blue", "6 blue").replace("5 red", "8 red")]) == [0]
+
+
 def test_every_copied_item_is_found(llm):
     sf = "/root/testdata/sf0.01"
     items = {r.item_id: r.text for r in llm.read.parquet(f"{sf}/benchmark.parquet").collect()}
