@@ -246,8 +246,14 @@ def template_windows(words: Words, kind: np.ndarray, width: int | None = None) -
 
 
 def readings(words: Words, item: bool) -> list[np.ndarray]:
-    """Kinds with sentence openers as plain words."""
-    return [np.where((words.kind == NAME) & words.opens, LITERAL, words.kind)]
+    """Kinds with sentence openers as names and as plain words; of an item, also without names."""
+    name = words.kind == NAME
+    out = [words.kind]
+    if (name & words.opens).any():
+        out.append(np.where(name & words.opens, LITERAL, words.kind))
+    if item and name.any():
+        out.append(np.where(name, LITERAL, words.kind))
+    return out
 
 
 ITEM_WINDOWS = pa.schema([("key", pa.int64()), ("item_id", pa.int64()), ("item", pa.int64()), ("words", pa.int32()), ("template", pa.bool_()), ("width", pa.int32()), ("at", pa.int32()), ("to", pa.int32()),

@@ -92,6 +92,19 @@ def test_copies_with_one_value_changed(llm, make_docs):
     assert marked(llm, make_docs, numbers, [numbers.replace("5 blue", "6 blue"), numbers.replace("5 blue", "6 blue").replace("5 red", "8 red")]) == [0]
 
 
+def test_dense_and_lower_case_shapes(llm, make_docs):
+    tom = "Tom has 5 apples. Tom buys 3 more. Tom eats 2."
+    assert marked(llm, make_docs, tom, [tom.replace("Tom", "Sam"), tom.replace("Tom", "Sam").replace("5", "9").replace("3", "4").replace("2", "6"), tom.lower(), tom.upper(), "Tom has 5 pears."]) == [0, 1, 2, 3]
+    dense = "Add 4, 8, 15, 16, 23, 42 and then subtract 7, 9, 11, 13 from the total that came out"
+    assert marked(llm, make_docs, dense, [dense.replace("15", "18").replace("9", "6"), dense.lower()]) == [0, 1]
+    people = "Anna met Boris in Rome and Clara met David in Paris before Emil saw them all near the river"
+    assert marked(llm, make_docs, people, [people.lower(), people.replace("Boris", "Igor").replace("Rome", "Oslo").replace("Emil", "Otto")]) == [0, 1]
+    first = "Trains leave the old station at 7 and reach the far end of the valley at 9 each day"
+    assert marked(llm, make_docs, first, ["we saw that " + first.lower().replace("7", "8").replace("9", "10")]) == [0]
+    short = "Anna Maria has five red apples and pears"
+    assert marked(llm, make_docs, short, [short.replace("Anna Maria", "Otto").replace("five", "twenty two")]) == [0]
+
+
 def test_every_copied_item_is_found(llm):
     sf = "/root/testdata/sf0.01"
     items = {r.item_id: r.text for r in llm.read.parquet(f"{sf}/benchmark.parquet").collect()}
