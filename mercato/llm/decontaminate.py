@@ -355,10 +355,13 @@ def rate(words: int, length: int, diagonals: list[list[tuple]], coverage: float)
     equal = owner.keys() - {place for a, b in moved for place in range(a, b)}
     covered = len(owner)
     begin = min(h[0] for hits in diagonals for h in hits)
-    if 2 * len(moved) <= len(met):
-        contaminated = len(equal) >= coverage * words
+    plain = owner.keys() - marked
+    if words < WINDOW:
+        contaminated = len(plain) >= SHORT_PLAIN or length == words
+    elif 2 * len(moved) <= len(met) and len(equal) >= coverage * words and (len(equal & plain) >= LITERALS or len(equal) == words):
+        contaminated = True
     else:
-        contaminated = consistent and covered >= coverage * words
+        contaminated = bool(moved) and consistent and covered >= coverage * words and len(plain) >= PLAIN and (len(starts) > 1 or covered == words)
     return begin, len(starts), covered, covered / words, len(stands), sum(x != {was} for was, x in stands.items()), consistent, contaminated
 
 

@@ -105,6 +105,17 @@ def test_dense_and_lower_case_shapes(llm, make_docs):
     assert marked(llm, make_docs, short, [short.replace("Anna Maria", "Otto").replace("five", "twenty two")]) == [0]
 
 
+def test_short_items_need_more_evidence(llm, make_docs):
+    assert marked(llm, make_docs, "Yes.", ["Yes, they said, and yes again.", "yes"]) == [1]
+    assert marked(llm, make_docs, "12", ["At 12 they had 12 of 12 cups.", "twelve"]) == []
+    assert marked(llm, make_docs, "Tom has 5 apples", ["Here Sam has 7 apples left.", "Here Tom has 5 apples left."]) == [1]
+    item = "When Anna had 5 of 9 cups and Otto 7, they went to the lake to swim."  # 16 words
+    assert marked(llm, make_docs, item, ["When Igor had 6 of 8 cups and nothing else came.", item.replace("5", "6").replace("Otto", "Emil")]) == [1]
+    items = llm.createDataFrame([(1, "12")], "item_id long, text string")
+    rows = decontaminate.find_leaks(make_docs(["12 12 12 " * 300, "none"]), items).collect()
+    assert [(r.doc_id, r.windows, r.contaminated) for r in rows] == [(0, 1, False)]
+
+
 def test_every_copied_item_is_found(llm):
     sf = "/root/testdata/sf0.01"
     items = {r.item_id: r.text for r in llm.read.parquet(f"{sf}/benchmark.parquet").collect()}
