@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from mercato.llm import byte_bpe, decontaminate, simhash, suffix_dedup, toxicity
-from mercato.llm.common import prepare, table, written
+from mercato.llm.common import prepare, row_key, table, written
 from mercato.llm.queries import RANKS, digests
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -26,13 +26,14 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each SimHash component the document with the smallest id (of rows
-    that share it, the smallest row); rows in components without any id stay."""
+    """Of each SimHash component the row with the smallest id (null: after all
+    others), of rows that share it the one with the smallest key of its content;
+    of equal texts with one id the smallest row."""
     prepare(spark)
-    keep = simhash.near_duplicates(docs).where("doc_id <=> component_id").select(F.col("doc_id").alias("_id")).distinct()
-    kept = docs.select(*COLUMNS).join(keep, F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
-    one = kept.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.min(F.struct(*COLUMNS[1:])).alias("row")).select("doc_id", "row.*")
-    return one.union(kept.where("doc_id IS NULL")).select(*COLUMNS)
+    keep = simhash.first_rows(docs).select(F.col("doc_id").alias("_id"), F.col("key").alias("_key"))
+    keyed = docs.select(*COLUMNS, row_key("doc_id", "text").alias("key"))
+    kept = keyed.join(keep, (F.col("key") == F.col("_key")) & F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
+    return kept.groupBy("doc_id", "key").agg(F.min(F.struct(*COLUMNS[1:])).alias("row")).select("doc_id", "row.*").select(*COLUMNS)
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

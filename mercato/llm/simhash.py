@@ -38,7 +38,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from mercato.llm.common import by_batch, utf8, written
+from mercato.llm.common import by_batch, row_key, utf8, written
 from mercato.llm.graph import components
 
 #: Fingerprints a unit of the search holds at most on either side.
@@ -72,15 +72,16 @@ def fingerprints(texts: list[bytes], width: int) -> np.ndarray:
     return out
 
 
-def with_fingerprint(df: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int = 3) -> DataFrame:
-    """(doc_id, fp): the fingerprint as a signed 64-bit integer."""
+def with_fingerprint(df: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int = 3, keyed: bool = False) -> DataFrame:
+    """(doc_id, fp): the fingerprint as a signed 64-bit integer; if ``keyed``, also the row's key."""
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         texts = utf8(batch.column(1))
         made = np.concatenate([fingerprints(texts[i:i + 64], width) for i in range(0, len(texts), 64)])
-        return pa.RecordBatch.from_arrays([batch.column(0), pa.array(made.view(np.int64))], ["doc_id", "fp"])
+        return pa.RecordBatch.from_arrays([batch.column(0), pa.array(made.view(np.int64)), *batch.columns[2:]], ["doc_id", "fp", *["key"] * keyed])
 
-    return df.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")).mapInArrow(by_batch(run), "doc_id long, fp long")
+    key = [row_key(doc_id, text).alias("key")] * keyed
+    return df.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"), *key).mapInArrow(by_batch(run), "doc_id long, fp long" + ", key long" * keyed)
 
 
 class BKTree:
@@ -211,3 +212,13 @@ def near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text", w
     of_root = labelled.groupBy("root").agg(F.min("first_id").alias("component_id"))
     classes = labelled.join(of_root, "root").select("fp", "component_id")
     return prints.join(classes, "fp").select("doc_id", "fp", "component_id")
+
+
+def first_rows(df: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int = 3, radius: int = 3) -> DataFrame:
+    """(doc_id, key) of one row of every component: the smallest id (null: after
+    all others), then the smallest ``row_key``."""
+    prints = written(with_fingerprint(df, doc_id, text, width, keyed=True), "simhash")
+    least = prints.groupBy("fp").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "key")).alias("first"))
+    roots = components(links(prints, radius))
+    labelled = least.join(roots, least.fp == roots.node, "left").select(F.coalesce("root", "fp").alias("root"), "first")
+    return labelled.groupBy("root").agg(F.min("first").alias("first")).select("first.doc_id", "first.key")

@@ -173,6 +173,17 @@ def test_pages_query(llm, folder):
     assert op8_html(llm, folder(pages=odd)).count() == 5 and op8_html(llm, folder(pages=odd.limit(0))).count() == 0
 
 
+def test_one_row_of_each_component(llm, make_docs):
+    """Unlike texts that share an id stay, rows without ids are deduplicated, too."""
+    draw = np.random.default_rng(8)
+    a, b, c, d, e = (" ".join(f"w{n}" for n in draw.integers(0, 10_000, 80)) for _ in range(5))
+    docs = make_docs([a, b, b, c, c, a, d, d, e, e], [5, 5, 3, None, None, None, 9, 9, None, 4])
+    rows = corpus_pipeline.drop_near_duplicates(llm, docs, SMALL).collect()
+    assert sorted((str(r.doc_id), r.text) for r in rows) == sorted([("5", a), ("3", b), ("None", c), ("9", d), ("4", e)])
+    both = corpus_pipeline.drop_near_duplicates(llm, make_docs([a, b], [5, 5]), SMALL).collect()
+    assert sorted(r.text for r in both) == sorted([a, b])
+
+
 def test_pipeline_stages(llm):
     """Every stage against its own input; the chain equals the stages in turn."""
     from test_byte_bpe import expected, library
