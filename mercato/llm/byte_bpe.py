@@ -9,7 +9,10 @@ character follows. Every alternative of the pattern stops at white space and
 takes at most one space in front, so a match always ends at such a boundary
 and the pieces encode to exactly the ids of the whole text. This keeps the
 regex engine and the merge loop off megabyte strings, and lets repeated pieces
-be looked up. Pieces without such a boundary are encoded whole.
+be looked up. Pieces without such a boundary are encoded whole, but for long
+runs of white space, on which the library's regex engine would overflow its
+stack: by the pattern a run is one match without its last character, or as a
+whole where the text ends, so that match goes to the library's merge directly.
 
 Defined results: null or empty text -> no ids, empty bytes; ids of any column
 may be null and are passed on; repeated rows give repeated results; other
@@ -33,6 +36,9 @@ from mercato.llm.common import Memo, by_batch
 #: Between "x" and " y": no match of the pattern spans this point.
 SAFE = re.compile(r"(?<=\S)(?= \S)")
 
+#: A run of white space (as the pattern's engine knows it) too long to be left to that engine.
+BLANKS = re.compile("[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]{1000,}")
+
 #: Entries of the piece memo of one Python worker (about 30 MB).
 MEMO_ENTRIES = 100_000
 
@@ -49,9 +55,18 @@ class Codec:
         with open(rank_file, "rb") as lines:
             ranks = {base64.b64decode(token): int(rank) for token, rank in (x.split() for x in lines if x.strip())}
         self.library = tiktoken.Encoding("local-ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+        self.whole = tiktoken.Encoding("local-ranks-whole", pat_str=r"[\s\S]+", mergeable_ranks=ranks, special_tokens={})  # one match
         self.memo = Memo(self.library.encode_ordinary, MEMO_ENTRIES)
 
     def encode(self, text: str) -> list[int]:
+        ids, at = [], 0
+        for run in BLANKS.finditer(text):
+            end = run.end() - (run.end() < len(text))  # the last blank goes with what follows
+            ids += chain(self.encode_words(text[at:run.start()]), self.whole.encode_ordinary(text[run.start():end]))
+            at = end
+        return [*ids, *self.encode_words(text[at:])] if ids else self.encode_words(text)
+
+    def encode_words(self, text: str) -> list[int]:
         return list(chain.from_iterable(map(self.memo.__getitem__, safe_pieces(text)))) if text else []
 
     def decode(self, ids: list[int]) -> bytes:

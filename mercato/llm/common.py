@@ -57,6 +57,14 @@ def written(df: DataFrame, name: str, codec: str = "zstd") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, lengthened until no column of ``df`` bears it in any case."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def utf8(column: pa.Array) -> list[bytes]:
     """The UTF-8 bytes of a string column; null counts as the empty text."""
     return [x or b"" for x in column.cast(pa.binary()).to_pylist()]

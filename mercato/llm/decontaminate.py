@@ -58,7 +58,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from mercato.llm.common import row_key, utf8
+from mercato.llm.common import free_name, row_key, utf8
 
 WINDOW = 8
 LITERALS = 4
@@ -417,5 +417,6 @@ def find_leaks(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", item_i
 
 def without_leaks(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
     """``docs`` without the contaminated rows; all columns are kept."""
-    bad = find_leaks(docs, items, doc_id, text=text, **options).where("contaminated").select(F.col("rid").alias("_rid")).distinct()
-    return docs.withColumn("_rid", row_key(doc_id, text)).join(bad, "_rid", "left_anti").drop("_rid")
+    own = free_name(docs, "_rid")
+    bad = find_leaks(docs, items, doc_id, text=text, **options).where("contaminated").select(F.col("rid").alias(own)).distinct()
+    return docs.withColumn(own, row_key(doc_id, text)).join(bad, own, "left_anti").drop(own)

@@ -291,7 +291,7 @@ def main_text(source: str | None) -> str:
 
 def extract(df: DataFrame, source: str = "html", target: str = "text") -> DataFrame:
     """``df`` without ``source``, with the main text of each page."""
-    plain = df.select(*(f"`{c}`" for c in df.columns if c != target or c == source))
+    plain = df.select(*(f"`{c}`" for c in df.columns if c.lower() != target.lower() or c == source))
     kept = [f for f in plain.schema.fields if f.name != source]
     out = T.StructType([*kept, T.StructField(target, T.StringType())])
 

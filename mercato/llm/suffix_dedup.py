@@ -380,7 +380,7 @@ def remove_repeats(df: DataFrame, doc_id: str = "doc_id", text: str = "text", le
     bytes) and ``removed`` (maximal removed runs, [begin, end) in bytes). With
     ``as_text``, ``kept`` is a string without the characters that a run cuts."""
     parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    others = [c for c in df.columns if c not in (text, "rid", "text", "kept", "removed", "at")]
+    others = [c for c in df.columns if c.lower() not in (text.lower(), "rid", "text", "_text", "kept", "removed", "at")]
     plain = df.select(row_key(doc_id, text).alias("rid"), F.coalesce(F.col(text), F.lit("")).alias("text"), *(f"`{c}`" for c in others))
     found = find_anchors(plain, length)
     # written, so that both sides of the join are plain exchanges and Spark may split a hot anchor

@@ -68,8 +68,9 @@ class ChunkCodec(Memo):
     """White-space chunk (UTF-8 bytes) -> its ids as uint32 little endian.
 
     The library encodes whole chunks. Two cuts spare most of that work, as new
-    words are costly: ASCII marks after a letter or digit are always a piece of
-    their own for its splitter, so word and marks are looked up apart; and a
+    words are costly: ASCII marks after an ASCII letter or digit are always a
+    piece of their own for its splitter (other letters may change in number
+    when its normaliser lowers them), so word and marks are looked up apart; and a
     word of letters that its normaliser leaves as it is is one piece, so it
     goes to the library's merge model directly.
     """
@@ -83,7 +84,7 @@ class ChunkCodec(Memo):
 
     def encode(self, chunk: bytes) -> bytes:
         word = chunk.decode()
-        if (marks := MARKS.search(word)) and marks.start() and word[marks.start() - 1].isalnum():
+        if (marks := MARKS.search(word)) and marks.start() and (before := word[marks.start() - 1]).isascii() and before.isalnum():
             return self[word[:marks.start()].encode()] + self[marks[0].encode()]
         if word.isalpha() and word == word.lower() and is_normalized("NFC", word):
             ids = [t.id for t in self.library.model.tokenize("".join(map(self.symbols.__getitem__, word)))]

@@ -159,7 +159,7 @@ def score(df: DataFrame, model: Model, text: str = "text", threshold: float = 0.
     """``df`` with ``toxicity`` (0 to 1) and ``offending``: the sentences whose
     own probability reaches ``threshold``, or the likeliest one of a document
     that reaches it, as [begin, end) bytes with their probability."""
-    kept = [c for c in df.columns if c not in ("toxicity", "offending")]
+    kept = [c for c in df.columns if c.lower() not in ("toxicity", "offending")]
     plain = df.select(*(f"`{c}`" for c in kept))
     span = T.StructType([T.StructField("begin", T.LongType()), T.StructField("end", T.LongType()), T.StructField("p", T.DoubleType())])
     out = T.StructType([*plain.schema.fields, T.StructField("toxicity", T.DoubleType()), T.StructField("offending", T.ArrayType(span))])

@@ -52,3 +52,23 @@ def test_odd_rows_and_clashing_columns(llm, make_docs, odd_texts):
     assert byte_bpe.encode(make_docs([]), FILE, P.PATTERN).count() == 0
     null = digests(byte_bpe.round_trip(make_docs([None]), FILE, P.PATTERN)).first()
     assert null.n_tokens == 0 and null.ids_sha256 == hashlib.sha256(b"").hexdigest() == null.decoded_sha256
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.sampled_from(["ab", "1", "'s", ".", " ", "  ", "\n", "\t", " ", "\x1c", "　", " " * 1001, "\n" * 1000, " \t" * 700]), max_size=12))
+def test_long_blanks_encode_like_the_whole(parts):
+    own = byte_bpe.codec(FILE, P.PATTERN)
+    assert own.encode("".join(parts)) == own.library.encode_ordinary("".join(parts))
+
+
+def test_two_million_blanks(llm, make_docs):
+    """Longer than the library's regex engine takes: the run is one match, but
+    for its last character where a text goes on."""
+    own = byte_bpe.codec(FILE, P.PATTERN)
+    for unit in (" ", "\n", "\t", " \n\t "):
+        run = unit * (2_000_000 // len(unit))
+        assert own.encode(run) == own.whole.encode_ordinary(run)
+        assert own.encode(f"x{run}y") == own.library.encode_ordinary("x") + own.whole.encode_ordinary(run[:-1]) + own.library.encode_ordinary(run[-1] + "y")
+    texts = [" " * 2_000_000, "x" + "\n" * 2_000_000 + "y"]
+    rows = byte_bpe.round_trip(make_docs(texts), FILE, P.PATTERN).select("text", F.col("decoded").cast("string").alias("back"))
+    assert rows.where("text = back").count() == 2
