@@ -7,9 +7,6 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from mercato.session import build_session  # noqa: E402
 
-SF_SMALL = "/root/testdata/sf0.001"
-
-
 @pytest.fixture(scope="session")
 def spark():
     s = build_session("local[4]", shuffle_partitions=4, app="mercato-tests")

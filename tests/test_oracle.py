@@ -6,7 +6,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
-from conftest import SF_SMALL
+from paths import SF_SMALL
 from mercato.sources.tables import TEST_TABLES
 
 QUERIES = E.queries()

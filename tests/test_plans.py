@@ -5,8 +5,8 @@ import io
 
 import __spark_entry__ as E
 from mercato.registry import REGISTRY
-from conftest import SF_SMALL
 from mercato.plans.model import Model
+from paths import SF_SMALL
 
 
 def _plan(df) -> str:
