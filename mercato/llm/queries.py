@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mercato.llm import byte_bpe, decontaminate, html_extract, interpolated_lm, kdtree, quality, simhash, suffix_dedup, token_output, toxicity
+from mercato.llm import byte_bpe, decontaminate, html_extract, interpolated_lm, kdtree, line_dedup, quality, simhash, suffix_dedup, token_output, toxicity
 from mercato.llm.common import prepare, remainder, table
 
 RANKS, WORDS = "byte_bpe_multi_50k.tiktoken", "word_bpe_49k.json"
@@ -86,8 +86,22 @@ def op10_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_output.with_starts(read, segments).select("doc_id", "start", "n_tokens", "ids_crc32")
 
 
+def op12_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    left = line_dedup.drop_repeated_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return left.select("doc_id", "n_lines", F.size("dropped").cast("long").alias("n_dropped"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 QUERIES = {f.__name__: f for f in (
-    op1_toxicity, op2_byte_bpe, op3_simhash, op4_decontamination, op5_quality, op6_top_k, op7_suffix_dedup, op8_html, op9_interpolated_lm, op10_token_output)}
+    op1_toxicity, op2_byte_bpe, op3_simhash, op4_decontamination, op5_quality, op6_top_k, op7_suffix_dedup, op8_html, op9_interpolated_lm, op10_token_output,
+    op12_line_dedup)}
+
+
+
+def lowered(x: str) -> str:
+    """SQL that lowers A-Z only."""
+    return f"translate({x}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
 
 ORACLES = {
     "op6_top_k": """
@@ -103,5 +117,19 @@ WITH v AS (
     SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank, vec_id, score FROM s
 )
 SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
+""",
+    "op12_line_dedup": f"""
+WITH cut AS (
+    SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line, generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS n FROM documents
+), keyed AS (
+    SELECT *, {lowered("trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13))")} AS key FROM cut
+), shared AS (
+    SELECT key, max(doc_id) AS keeper FROM keyed WHERE length(key) >= 40 GROUP BY key HAVING count(DISTINCT doc_id) >= 5
+), judged AS (
+    SELECT k.*, s.key IS NOT NULL AND k.doc_id <> s.keeper AS gone FROM keyed k LEFT JOIN shared s ON k.key = s.key
+)
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY n) FILTER (WHERE NOT gone), '')) AS kept_sha256
+FROM judged GROUP BY doc_id
 """,
 }
