@@ -3,12 +3,15 @@ columns that are compared."""
 
 from __future__ import annotations
 
+import zlib
+
 import public_tokenizers
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mercato.llm import byte_bpe, decontaminate, html_extract, interpolated_lm, kdtree, line_dedup, quality, simhash, suffix_dedup, token_output, toxicity
-from mercato.llm.common import prepare, remainder, table
+from mercato.llm import byte_bpe, decontaminate, html_extract, interpolated_lm, kdtree, line_dedup, periodic_runs, quality, simhash, suffix_dedup, token_output, toxicity
+from mercato.llm.common import by_batch, prepare, remainder, table, utf8
 
 RANKS, WORDS = "byte_bpe_multi_50k.tiktoken", "word_bpe_49k.json"
 END_ID = 2
@@ -92,9 +95,39 @@ def op12_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return left.select("doc_id", "n_lines", F.size("dropped").cast("long").alias("n_dropped"), F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def with_tails(docs: DataFrame) -> DataFrame:
+    """(doc_id, text): a tenth of the texts get a periodic tail, word a + (i - a) % p
+    at every place i >= a, where h = crc32 of the id, g = h // 10, a = g % n and
+    p = 1 + (n - a) // (3 + g % 8); the others stay as they are."""
+
+    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        texts = []
+        for key, data in zip(batch.column(0).to_pylist(), utf8(batch.column(1)), strict=True):
+            h = zlib.crc32(b"" if key is None else str(key).encode())
+            if h % 10 == 0 and (words := data.split()):
+                g, n = h // 10, len(words)
+                a = g % n
+                p = 1 + (n - a) // (3 + g % 8)
+                data = b" ".join(words[:a] + [words[a + i % p] for i in range(n - a)])
+            texts.append(data)
+        return pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.binary()).cast(pa.string())], ["doc_id", "text"])
+
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(by_batch(run), "doc_id long, text string")
+
+
+def op13_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    found = periodic_runs.find_runs(with_tails(table(spark, sf_dir, "documents").select("doc_id", "text")))
+    longest = F.expr("array_max(transform(runs, x -> named_struct('length', x.length, 'start', -x.start, 'period', -x.period)))")
+    return found.withColumn("_best", longest).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), (-F.col("_best.start")).alias("start"), F.col("_best.length").alias("length"), (-F.col("_best.period")).alias("period"),
+        F.expr("1000 * _best.length div -_best.period").alias("exponent_milli"),
+        F.sha2(F.expr("array_join(transform(runs, x -> concat(x.start, ',', x.length, ',', x.period, '\n')), '')"), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_toxicity, op2_byte_bpe, op3_simhash, op4_decontamination, op5_quality, op6_top_k, op7_suffix_dedup, op8_html, op9_interpolated_lm, op10_token_output,
-    op12_line_dedup)}
+    op12_line_dedup, op13_runs)}
 
 
 
@@ -103,6 +136,20 @@ def lowered(x: str) -> str:
     return f"translate({x}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 
+#: crc32 of the id's decimal digits: a table by byte, then one step a digit.
+CRC32 = """
+steps(b, k, v) AS (
+    SELECT b, 0, b FROM range(256) t(b)
+    UNION ALL
+    SELECT b, k + 1, CASE WHEN v % 2 = 1 THEN xor(v // 2, 3988292384) ELSE v // 2 END FROM steps WHERE k < 8
+), digits(id, s, k, c) AS (
+    SELECT DISTINCT {id}, CAST({id} AS VARCHAR), 0, CAST(4294967295 AS BIGINT) FROM {table}
+    UNION ALL
+    SELECT d.id, d.s, d.k + 1, xor(d.c // 256, t.v)
+    FROM digits d JOIN steps t ON t.k = 8 AND t.b = xor(d.c % 256, ascii(substr(d.s, d.k + 1, 1))) WHERE d.k < length(d.s)
+), crc AS (SELECT id, xor(c, 4294967295) AS h FROM digits WHERE k = length(s))"""
+
+
 ORACLES = {
     "op6_top_k": """
 WITH v AS (
@@ -131,5 +178,34 @@ WITH cut AS (
 SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_dropped,
        sha256(coalesce(string_agg(line, chr(10) ORDER BY n) FILTER (WHERE NOT gone), '')) AS kept_sha256
 FROM judged GROUP BY doc_id
+""",
+    "op13_runs": f"""
+WITH RECURSIVE {CRC32.format(id="doc_id", table="documents")}, split AS (
+    SELECT doc_id, h % 10 = 0 AS tail, h // 10 AS g, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w FROM documents JOIN crc ON doc_id = id
+), cut AS (
+    SELECT *, len(w) AS n, CASE WHEN tail AND len(w) > 0 THEN g % len(w) END AS a FROM split
+), periods AS (
+    SELECT *, 1 + (n - a) // (3 + g % 8) AS p FROM cut
+), words AS (
+    SELECT doc_id, n, i, w[1 + CASE WHEN i >= a THEN a + (i - a) % p ELSE i END] AS word FROM (SELECT *, unnest(range(n)) AS i FROM periods)
+), equal AS (
+    SELECT x.doc_id, x.i, y.i - x.i AS q FROM words x JOIN words y ON x.doc_id = y.doc_id AND x.word = y.word AND y.i > x.i AND 4 * (y.i - x.i) <= x.n
+), stretches AS (
+    SELECT doc_id, q, min(i) AS start, count(*) + q AS length
+    FROM (SELECT *, i - row_number() OVER (PARTITION BY doc_id, q ORDER BY i) AS island FROM equal) GROUP BY doc_id, q, island HAVING count(*) + q >= greatest(6, 4 * q)
+), runs AS (
+    SELECT doc_id, start, length, min(q) AS period FROM stretches GROUP BY ALL
+), gone AS (
+    SELECT DISTINCT doc_id, unnest(range(start + period, start + length)) AS i FROM runs
+), kept AS (
+    SELECT doc_id, string_agg(word, ' ' ORDER BY i) AS collapsed FROM words ANTI JOIN gone USING (doc_id, i) GROUP BY doc_id
+), listed AS (
+    SELECT doc_id, count(*) AS n_runs, string_agg(start || ',' || length || ',' || period || chr(10), '' ORDER BY start, period) AS runs FROM runs GROUP BY doc_id
+), best AS (
+    SELECT * FROM runs QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY length DESC, start, period) = 1
+)
+SELECT doc_id, coalesce(n_runs, 0) AS n_runs, start, length, period, 1000 * length // period AS exponent_milli,
+       sha256(coalesce(runs, '')) AS runs_sha256, sha256(coalesce(collapsed, '')) AS collapsed_sha256
+FROM documents LEFT JOIN listed USING (doc_id) LEFT JOIN best USING (doc_id) LEFT JOIN kept USING (doc_id)
 """,
 }
