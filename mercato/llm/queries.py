@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mercato.llm import byte_bpe, decontaminate, html_extract, interpolated_lm, kdtree, line_dedup, periodic_runs, quality, simhash, suffix_dedup, token_output, toxicity
+from mercato.llm import byte_bpe, decontaminate, html_extract, interpolated_lm, kdtree, line_dedup, periodic_runs, prefix_trie, quality, simhash, suffix_dedup, token_output, toxicity
 from mercato.llm.common import by_batch, prepare, remainder, table, utf8
 
 RANKS, WORDS = "byte_bpe_multi_50k.tiktoken", "word_bpe_49k.json"
@@ -89,6 +89,20 @@ def op10_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_output.with_starts(read, segments).select("doc_id", "start", "n_tokens", "ids_crc32")
 
 
+def rebuilt(seqs: DataFrame) -> DataFrame:
+    """Every conversation c with its first h = crc32(c) % 9 turns exchanged for
+    those of conversation c - c % 5 (all if it has fewer, none if it is absent)."""
+    head = seqs.where("conv_id % 5 = 0").select(F.col("conv_id").alias("_base"), F.slice("turns", 1, 8).alias("_head"))
+    own = seqs.withColumn("_h", (F.crc32(F.col("conv_id").cast("string").cast("binary")) % 9).cast("int"))
+    return own.join(head, F.expr("conv_id - conv_id % 5 = _base"), "left").select(
+        "conv_id", F.expr("concat(slice(coalesce(_head, slice(turns, 1, 0)), 1, _h), slice(turns, _h + 1, size(turns)))").alias("turns"))
+
+
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    return prefix_trie.prefix_trie(rebuilt(prefix_trie.sequences(table(spark, sf_dir, "conversations"))))
+
+
 def op12_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepare(spark)
     left = line_dedup.drop_repeated_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
@@ -127,7 +141,7 @@ def op13_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op1_toxicity, op2_byte_bpe, op3_simhash, op4_decontamination, op5_quality, op6_top_k, op7_suffix_dedup, op8_html, op9_interpolated_lm, op10_token_output,
-    op12_line_dedup, op13_runs)}
+    op11_prefix_trie, op12_line_dedup, op13_runs)}
 
 
 
@@ -164,6 +178,36 @@ WITH v AS (
     SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank, vec_id, score FROM s
 )
 SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
+""",
+    "op11_prefix_trie": f"""
+WITH RECURSIVE {CRC32.format(id="conv_id", table="conversations")}, told AS (
+    SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST) AS k, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+), held AS (
+    SELECT conv_id, count(*) AS turns FROM told GROUP BY conv_id
+), convs AS (
+    SELECT c.id, c.id - c.id % 5 AS base, h % 9 AS h, least(h % 9, coalesce(turns, 0)) AS taken FROM crc c LEFT JOIN held ON conv_id = c.id - c.id % 5
+), rebuilt AS (
+    SELECT id, k AS d, role, text FROM convs JOIN told ON conv_id = base AND k <= h
+    UNION ALL
+    SELECT id, taken + k - h, role, text FROM convs JOIN told ON conv_id = id AND k > h
+), paths AS (
+    SELECT id, d, strlen(text) AS bytes, string_agg(sha256(strlen(role) || ':' || role || text), '') OVER (PARTITION BY id ORDER BY d ROWS UNBOUNDED PRECEDING) AS path FROM rebuilt
+    UNION ALL
+    SELECT id, 0, 0, '' FROM convs
+), nodes AS (
+    SELECT path, d, min(id) AS conv_id, count(*) AS n_convs, any_value(bytes) AS bytes FROM paths GROUP BY path, d
+), ends AS (
+    SELECT path, string_agg(CAST(id AS VARCHAR), ',' ORDER BY id) AS ids FROM (SELECT * FROM paths QUALIFY row_number() OVER (PARTITION BY id ORDER BY d DESC) = 1) GROUP BY path
+), children AS (
+    SELECT left(path, 64 * (d - 1)) AS path, count(*) AS n FROM nodes WHERE d > 0 GROUP BY 1
+), below AS (
+    SELECT left(path, 64 * up) AS path, count(*) FILTER (WHERE n IS NULL) AS n_leaves, sum((n_convs - 1) * bytes) AS saved_tokens
+    FROM (SELECT nodes.*, n, unnest(range(d + 1)) AS up FROM nodes LEFT JOIN children USING (path)) GROUP BY 1
+)
+SELECT x.conv_id, x.d AS depth, p.conv_id AS parent_conv_id, x.n_convs, coalesce(n, 0) AS n_children, n_leaves, CAST(saved_tokens AS BIGINT) AS saved_tokens,
+       sha256(coalesce(ids, '')) AS ends_sha256
+FROM nodes x JOIN below ON below.path = x.path LEFT JOIN children c ON c.path = x.path LEFT JOIN ends e ON e.path = x.path
+LEFT JOIN nodes p ON p.d = x.d - 1 AND p.path = left(x.path, 64 * (x.d - 1))
 """,
     "op12_line_dedup": f"""
 WITH cut AS (
