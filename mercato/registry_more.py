@@ -14,6 +14,7 @@ from .plans import scd
 from .plans.model import Model
 from .registry import Query, register
 from .sources import ingest
+from .sources.versioned import VersionedTable, load_snapshot
 from .streaming import events as S
 
 # -- type-2 history -----------------------------------------------------------------
@@ -82,6 +83,52 @@ SELECT product_id, CASE WHEN launch_date > {O._d(CUTOFF)} THEN 'insert' ELSE 'up
 FROM stg_products
 WHERE launch_date > {O._d(CUTOFF)} OR discontinued_date > {O._d(CUTOFF)}""", tags=("ingest",)))
 
+# A feed as it stood at three loads; a product leaves it a year after its end.
+LOADS = [dt.date(1995, 2, 28), dt.date(2001, 11, 15), dt.date(2002, 10, 31)]
+
+
+def _loaded(m: Model):
+    products = m.stg("stg_products").select("product_id", *_PRODUCT_ATTRS)
+    table = VersionedTable(m.spark, ingest.scratch_dir(m.spark, "products"), products.schema, ["product_id"])
+    audits = [load_snapshot(table, ingest.catalog_feed(products, cutoff)).withColumn("load_number", F.lit(n).cast("bigint"))
+              for n, cutoff in enumerate(LOADS, 1)]
+    return table, audits
+
+
+def _applied(m: Model):
+    return _loaded(m)[0].read(changed_in="load_number").select("product_id", "lifecycle_status", "discontinued_date", "is_currently_sellable", "load_number")
+
+
+def _apply_audit(m: Model):
+    _, audits = _loaded(m)
+    return audits[0].unionByName(audits[1]).unionByName(audits[2]).select("load_number", "change_type", "rows")
+
+
+_FEEDS = f"""
+WITH loads(load_number, cutoff) AS (VALUES {", ".join(f"({n}, {O._d(c)})" for n, c in enumerate(LOADS, 1))}),
+feeds AS (
+  SELECT product_id, load_number,
+         coalesce(launch_date <= cutoff, true) AND coalesce(discontinued_date + 365 > cutoff, true) AS present,
+         CASE WHEN discontinued_date > cutoff THEN 'Active' ELSE lifecycle_status END AS lifecycle_status,
+         CASE WHEN discontinued_date <= cutoff THEN discontinued_date END AS discontinued_date,
+         coalesce(discontinued_date > cutoff, false) OR is_currently_sellable AS is_currently_sellable
+  FROM stg_products, loads),
+steps AS (
+  SELECT *, coalesce(lag(present) OVER w, false) AS was,
+         (lifecycle_status, discontinued_date, is_currently_sellable) IS DISTINCT FROM
+         lag((lifecycle_status, discontinued_date, is_currently_sellable)) OVER w AS differs
+  FROM feeds WINDOW w AS (PARTITION BY product_id ORDER BY load_number)),
+changes AS (
+  SELECT *, CASE WHEN present AND NOT was THEN 'insert' WHEN was AND NOT present THEN 'delete' WHEN present AND differs THEN 'update' END AS change_type FROM steps)"""
+
+register("incremental_apply_products", Query(_applied, f"""{_FEEDS}
+SELECT product_id, lifecycle_status, discontinued_date, is_currently_sellable, load_number
+FROM (SELECT product_id, max(load_number) FILTER (WHERE change_type IS NOT NULL) AS load_number FROM changes GROUP BY 1)
+JOIN (SELECT * EXCLUDE (load_number) FROM feeds WHERE load_number = {len(LOADS)} AND present) USING (product_id)""", big=("load_number",), tags=("ingest",)))
+
+register("incremental_apply_audit", Query(_apply_audit, f"""{_FEEDS}
+SELECT load_number, change_type, count(*) AS rows FROM changes WHERE change_type IS NOT NULL GROUP BY 1, 2""", big=("load_number",), tags=("ingest",)))
+
 # -- streaming --------------------------------------------------------------------------
 
 
@@ -104,11 +151,22 @@ SELECT window_start, purchases FROM (
 WHERE window_start + INTERVAL 15 MINUTE <= (SELECT max(ts) FROM events WHERE event_type = 'purchase') - INTERVAL 1 HOUR""",
     tags=("streaming",)))
 
-# the test table is one file and so one batch, in which no row can be late
-register("stream_late_events", Query(_stream(S.late_events), f"""
-SELECT window_start, events, CAST(0 AS BIGINT) AS late_rows FROM (
-  SELECT {_bucket(900)} AS window_start, count(*) AS events FROM events GROUP BY 1)
-WHERE window_start + INTERVAL 15 MINUTE <= (SELECT max(ts) FROM events) - INTERVAL 1 HOUR""", tags=("streaming",)))
+_LATE = f"""
+WITH arrived AS (
+  SELECT *, {_bucket(900)} + INTERVAL 15 MINUTE AS window_end,
+         CAST(floor((epoch_us(ts) / 1000000.0 + CAST(json_extract_string(props, '$.k') AS INTEGER) // {S.ARRIVAL_STEP} * {S.ARRIVAL_HOURS} * 3600) / {86400 * S.RUN_DAYS}) AS BIGINT) AS slot
+  FROM events),
+runs AS (SELECT slot, row_number() OVER (ORDER BY slot) - 1 AS batch,
+                max(max(ts)) OVER (ORDER BY slot ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) - INTERVAL 1 HOUR AS watermark
+         FROM arrived GROUP BY slot),
+judged AS (SELECT arrived.*, batch, coalesce(window_end <= watermark, false) AS late FROM arrived JOIN runs USING (slot))"""
+
+register("stream_late_events", Query(_stream(S.late_events), f"""{_LATE}
+SELECT window_end - INTERVAL 15 MINUTE AS window_start, count(*) FILTER (WHERE NOT late) AS events, count(*) FILTER (WHERE late) AS late_rows
+FROM judged WHERE window_end <= (SELECT max(ts) FROM events) - INTERVAL 1 HOUR GROUP BY 1""", tags=("streaming",)))
+
+register("stream_late_rows", Query(_stream(S.late_event_rows), f"""{_LATE}
+SELECT event_id, user_id, event_type, ts, value, batch FROM judged WHERE late""", tags=("streaming",)))
 
 register("stream_stock_view_4h", Query(_stream(S.stock_view_4h), f"""
 SELECT {_bucket(14400)} AS window_start, event_type, count(*) AS events, max(ts) AS as_of
@@ -140,6 +198,11 @@ FROM events WHERE event_type = 'signup'
 QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1""",
     big=("tier_code",), tags=("streaming",)))
 
+register("stream_cdc_with_deletes", Query(_stream(S.cdc_with_deletes), """
+SELECT user_id, ts AS changed_at, event_id, CAST(json_extract_string(props, '$.k') AS INTEGER) AS tier_code
+FROM (SELECT * FROM events WHERE event_type IN ('signup', 'error')
+      QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1)
+WHERE event_type = 'signup'""", big=("tier_code",), tags=("streaming",)))
 
 
 # -- dictionary cleaning rules and PII masking --------------------------------------------

@@ -120,3 +120,11 @@ def catalog_as_of(products: DataFrame, cutoff) -> DataFrame:
                         F.when(later, F.lit(True)).otherwise(F.col("is_currently_sellable")))
             .withColumn("discontinued_date", F.when(later, F.lit(None).cast("date"))
                         .otherwise(F.col("discontinued_date"))))
+
+
+def catalog_feed(products: DataFrame, cutoff) -> DataFrame:
+    """What the source system delivers on ``cutoff``: the catalog as of that day
+    without the products that ended a year ago or earlier."""
+    from ..functions.exprs import lit_date
+    ended = F.coalesce(F.date_add("discontinued_date", 365) <= lit_date(cutoff), F.lit(False))
+    return catalog_as_of(products.where(~ended), cutoff)
