@@ -4,10 +4,11 @@ time is <= the left time (ties broken by the right tie columns, greatest wins).
 Two exact plans:
 
 * **bounded right side** (a campaign calendar, a price list): the right rows of
-  each key are packed into one sorted array and broadcast; each left row picks
-  the last element not after its time. Narrow: no shuffle of the left side.
-  The right side is counted first and this plan is used only below
-  ``max_broadcast_rows``.
+  each key are packed into one sorted array and broadcast; each left row finds
+  the last element not after its time by binary search, so its work grows with
+  the logarithm of the key's rows. Narrow: no shuffle of the left side. The
+  right side's bytes are summed first; the plan is used only below the session's
+  broadcast threshold (``max_broadcast_bytes`` overrides it).
 * **large right side**: both sides are cut into (key, month) buckets. Inside a
   bucket a running ``max`` over the union of both sides finds the latest right
   row; the latest right row of all earlier months is carried in from a small
@@ -18,7 +19,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .ranking import running_within
@@ -26,21 +27,56 @@ from .ranking import running_within
 
 def asof_join(left: DataFrame, right: DataFrame, by: Sequence[str],
               left_time: str, right_time: str, values: Sequence[str],
-              tie: Sequence[str] = (), max_broadcast_rows: int = 200_000,
+              tie: Sequence[str] = (), max_broadcast_bytes: int | None = None,
               force: str | None = None, max_group_rows: int = 2_000_000,
               sample_fraction: float = 0.01) -> DataFrame:
     """Left rows plus ``values`` of the matched right row (NULL when none)."""
     by = list(by)
     plan = force
     if plan is None:
-        n = right.select(*by).limit(max_broadcast_rows + 1).count()
-        plan = "broadcast" if n <= max_broadcast_rows else "bucketed"
+        limit = broadcast_limit(right.sparkSession) if max_broadcast_bytes is None else max_broadcast_bytes
+        size = right.agg(F.sum(row_bytes(right, [*by, right_time, *tie, *values]))).first()[0] or 0
+        plan = "broadcast" if size <= limit else "bucketed"
     if plan == "broadcast":
         return _asof_broadcast(left, right, by, left_time, right_time, values, tie)
     return _asof_bucketed(left, right, by, left_time, right_time, values, tie, max_group_rows,
                           sample_fraction)
 
 
+def broadcast_limit(spark: SparkSession) -> int:
+    """``spark.sql.autoBroadcastJoinThreshold`` in bytes; 0 if it is off."""
+    said = spark.conf.get("spark.sql.autoBroadcastJoinThreshold").strip().lower()
+    unit = {"k": 10, "m": 20, "g": 30, "t": 40}
+    number = said.rstrip("b")
+    return max(0, int(number[:-1]) << unit[number[-1]] if number[-1:] in unit else int(number))
+
+
+def row_bytes(df: DataFrame, columns: Sequence[str]) -> Column:
+    """About the bytes of a row of ``columns`` as Spark holds it: eight a column
+    and the text itself."""
+    texts = [c for c in columns if df.schema[c].dataType.simpleString() in ("string", "binary")]
+    size = F.lit(8 * len(columns) + 16).cast("long")
+    for c in texts:
+        size = size + F.coalesce(F.octet_length(F.col(c)), F.lit(0))
+    return size
+
+
+def last_not_after(cands: Column, time: Column) -> Column:
+    """The last element of a sorted array of structs whose ``__t`` is not after
+    ``time``, by binary search (NULL if there is none)."""
+    steps = F.ceil(F.log2(F.size(cands) + 1)).cast("int")
+
+    def halve(s, _):
+        middle = F.floor((s["lo"] + s["hi"]) / 2).cast("int")
+        fits = F.try_element_at(cands, middle + 1)["__t"] <= time
+        low = F.when((s["lo"] < s["hi"]) & fits, middle + 1).otherwise(s["lo"])
+        high = F.when((s["lo"] < s["hi"]) & ~F.coalesce(fits, F.lit(False)), middle).otherwise(s["hi"])
+        return F.struct(low.alias("lo"), high.alias("hi"))
+
+    found = F.aggregate(F.sequence(F.lit(1), steps), F.struct(F.lit(0).alias("lo"), F.size(cands).alias("hi")), halve)["lo"]
+    return F.when(found > 0, F.try_element_at(cands, found))
+
+
 def _cand_struct(right_time: str, tie: Sequence[str], values: Sequence[str]):
     # Field order = comparison order: time, then tie-breakers, then payload.
     fields = [F.col(right_time).alias("__t")]
@@ -55,9 +91,7 @@ def _asof_broadcast(left, right, by, left_time, right_time, values, tie):
              .agg(F.array_sort(F.collect_list(_cand_struct(right_time, tie, values)))
                   .alias("__cands")))
     joined = left.join(F.broadcast(cands), by, "left")
-    lt = F.col(left_time)
-    hit = F.try_element_at(F.filter("__cands", lambda x: x["__t"] <= lt), F.lit(-1))
-    out = joined.withColumn("__hit", hit)
+    out = joined.withColumn("__hit", last_not_after(F.col("__cands"), F.col(left_time)))
     for v in values:
         out = out.withColumn(v, F.col("__hit")[f"__v_{v}"])
     return out.drop("__cands", "__hit")

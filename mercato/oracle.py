@@ -616,8 +616,9 @@ FROM (SELECT customer_id, loyalty_tier, year_start AS valid_from,
             WHERE prev IS NULL OR prev <> loyalty_tier)
       WINDOW w AS (PARTITION BY customer_id ORDER BY year_start))"""
 
-CTE["product_lifecycle_history"] = """
-SELECT product_id, lifecycle_status, change_date AS valid_from,
+CTE["product_lifecycle_history"] = f"""
+SELECT {skey("product_id || '|' || CAST(change_date AS VARCHAR)")} AS product_version_key,
+       product_id, lifecycle_status, change_date AS valid_from,
        coalesce(CAST(lead(change_date) OVER w - 1 AS DATE), DATE '9999-12-31') AS valid_to,
        lead(change_date) OVER w IS NULL AS is_current, row_number() OVER w AS version_number
 FROM (SELECT product_id, d AS change_date, s AS lifecycle_status,
@@ -635,6 +636,16 @@ FROM (SELECT product_id, d AS change_date, s AS lifecycle_status,
 WHERE prev IS NULL OR prev <> lifecycle_status
 WINDOW w AS (PARTITION BY product_id ORDER BY change_date)"""
 
+CTE["campaign_mix_history"] = f"""
+SELECT {skey("campaign_id || '|' || CAST(min(day) AS VARCHAR)")} AS campaign_version_key, campaign_id, campaign_mix,
+       min(day) AS valid_from, max(day) AS valid_to, false AS is_current,
+       row_number() OVER (PARTITION BY campaign_id ORDER BY min(day)) AS version_number
+FROM (SELECT *, day - CAST(row_number() OVER (PARTITION BY campaign_id, campaign_mix ORDER BY day) AS INTEGER) AS island
+      FROM (SELECT campaign_id, CAST(date AS DATE) AS day,
+                   CASE sign(clicks - impressions) WHEN 1 THEN 'Click-led' WHEN -1 THEN 'View-led' ELSE 'Balanced' END AS campaign_mix
+            FROM stg_marketing_spend))
+GROUP BY campaign_id, campaign_mix, island"""
+
 # --- dashboard helpers --------------------------------------------------------
 
 CTE["period_days"] = f"""

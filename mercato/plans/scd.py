@@ -1,13 +1,15 @@
-"""Slowly changing dimension, type 2, and point-in-time lookups.
+"""Slowly changing dimensions, type 2, and point-in-time lookups.
 
-The customer loyalty tier is re-derived every calendar year from that year's
-net spend; consecutive years with the same tier collapse into one version
-(``lag`` drops no-op changes), ``lead`` closes a version the day before the
-next one starts. Windows run per customer over at most one row per year.
+:func:`interval_versions` builds a history from dated observations, :func:`as_of`
+looks facts up in it. Three dimensions have one: the customer's loyalty tier
+(re-derived every calendar year from that year's net spend), the product's
+lifecycle and what a campaign lives on.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -29,20 +31,67 @@ def tier_of(spend: Column) -> Column:
     return expr.otherwise(TIER_ELSE)
 
 
-def scd2_versions(changes: DataFrame, key: str, start: str, attrs: list[str]) -> DataFrame:
-    """Type-2 versions from dated attribute observations: drop observations
-    equal to the previous one, then valid_to = next start - 1 (open-ended for
-    the current version)."""
-    w = Window.partitionBy(key).orderBy(start)
-    h = F.sha2(F.concat_ws("\u0001", *[F.coalesce(F.col(a).cast("string"), F.lit("\u0000")) for a in attrs]), 256)
-    v = (changes.withColumn("__h", h).withColumn("__prev", F.lag("__h").over(w))
-         .filter(F.col("__prev").isNull() | (F.col("__prev") != F.col("__h"))))
-    nxt = F.lead(start).over(w)
-    return (v.withColumn("valid_from", F.col(start))
-            .withColumn("valid_to", F.coalesce(F.date_sub(nxt, 1), F.lit(OPEN_END).cast("date")))
-            .withColumn("is_current", nxt.isNull())
-            .withColumn("version_number", F.row_number().over(w).cast("bigint"))
-            .drop("__h", "__prev"))
+def interval_versions(obs: DataFrame, keys: Sequence[str], attrs: Sequence[str], start: str, end: str | None = None,
+                      sequence: str | None = None, version_key: str = "version_key") -> DataFrame:
+    """Type-2 versions from dated observations, by gaps and islands.
+
+    An observation holds from ``start`` to ``end``, both days included; without
+    an end (or with a NULL one) until the next observation of its key, or for
+    ever. Neighbours that adjoin and say the same become one version, gaps stay
+    gaps. Of several observations of one key that start on one day the highest
+    ``sequence`` counts. What cannot be a history fails with its key: an end
+    before the start or inside the next observation, and unlike observations of
+    one day that no sequence orders.
+
+    Columns: the keys and attributes, ``version_key``, ``valid_from``,
+    ``valid_to``, ``is_current``, ``version_number``. A key has at most one
+    observation a day after the first step (combined before the shuffle), so the
+    windows hold at most the calendar's days.
+    """
+    keys, attrs = list(keys), list(attrs)
+    name = F.to_json(F.struct(*keys))
+    last = F.col(end) if end else F.lit(None).cast("date")
+    rows = obs.select(*keys, F.col(start).alias("__from"), last.alias("__to"), F.struct(*attrs).alias("__what"),
+                      (F.col(sequence) if sequence else F.lit(0)).alias("__seq")).where(F.col("__from").isNotNull())
+    rank = F.struct("__seq", "__to", "__what")
+    day = rows.groupBy(*keys, "__from").agg(
+        F.max_by(F.struct("__to", "__what"), rank).alias("__r"), F.max("__seq").alias("__top"), *(
+            [] if sequence else [F.min(F.struct("__to", "__what")).alias("__least"), F.max(F.struct("__to", "__what")).alias("__most")]))
+    if not sequence:
+        unlike = F.raise_error(F.concat(F.lit("unlike observations of one day: "), name))
+        day = day.withColumn("__r", F.when(F.col("__least").eqNullSafe(F.col("__most")), F.col("__r")).otherwise(unlike))
+    w = Window.partitionBy(*keys).orderBy("__from")
+    following = F.lead("__from").over(w)
+    bounded = day.select(*keys, "__from", "__r.*", following.alias("__next"))
+    bad = (F.col("__to") < F.col("__from")) | (F.col("__to") >= F.col("__next"))
+    closed = bounded.withColumn("__to", F.when(bad, F.raise_error(F.concat(F.lit("overlapping or reversed interval: "), name)))
+                                .otherwise(F.coalesce("__to", F.date_sub("__next", 1), F.lit(OPEN_END).cast("date"))))
+    goes_on = F.lag("__what").over(w).eqNullSafe(F.col("__what")) & (F.lag("__to").over(w) == F.date_sub("__from", 1))
+    islands = (closed.withColumn("__new", F.when(goes_on, 0).otherwise(1))
+               .withColumn("__island", F.sum("__new").over(w.rowsBetween(Window.unboundedPreceding, 0))))
+    merged = islands.groupBy(*keys, F.col("__island").alias("version_number")).agg(
+        F.first("__what").alias("__what"), F.min("__from").alias("valid_from"), F.max("__to").alias("valid_to"))
+    return merged.select(
+        surrogate_key(composite(*keys, F.col("valid_from").cast("string"))).alias(version_key), *keys, "__what.*",
+        "valid_from", "valid_to", (F.col("valid_to") == F.lit(OPEN_END).cast("date")).alias("is_current"), "version_number")
+
+
+def as_of(fact: DataFrame, versions: DataFrame, keys: Sequence[str], date: str, values: Sequence[str], calendar: DataFrame) -> DataFrame:
+    """``fact`` with ``values`` of the version that held on ``date`` (NULL in a
+    gap). Versions are cut into calendar years, so that a row meets the versions
+    of its key and year only, by an equi-join that spreads a key with a long
+    history; ``calendar`` (full_date) bounds the years of open versions."""
+    limit = calendar.agg(F.year(F.max("full_date")).alias("__last"))       # one row
+    parts = (versions.select(*keys, *values, "valid_from", "valid_to").crossJoin(F.broadcast(limit))
+             .where(F.year("valid_from") <= F.col("__last"))
+             .withColumn("__year", F.explode(F.sequence(F.year("valid_from"), F.least(F.year("valid_to"), F.col("__last"))))).drop("__last"))
+    v = parts.select(*[F.col(k).alias(f"__{k}") for k in keys], "__year", *[F.col(c).alias(f"__v_{c}") for c in values], "valid_from", "valid_to")
+    on = F.year(fact[date]) == v["__year"]
+    for k in keys:
+        on = on & (fact[k] == v[f"__{k}"])
+    on = on & fact[date].between(v["valid_from"], v["valid_to"])
+    joined = fact.join(v, on, "left")
+    return joined.select(*[fact[c] for c in fact.columns], *[v[f"__v_{c}"].alias(c) for c in values])
 
 
 def customer_tier_history(m: Model) -> DataFrame:
@@ -52,21 +101,13 @@ def customer_tier_history(m: Model) -> DataFrame:
               .select("customer_key", F.make_date("year", F.lit(1), F.lit(1)).alias("year_start"),
                       tier_of(F.col("spend")).alias("loyalty_tier")))
     dc = m.dim_customer.select("customer_key", "customer_id")
-    v = scd2_versions(yearly.join(dc, "customer_key"), "customer_id", "year_start", ["loyalty_tier"])
-    return v.select(surrogate_key(composite("customer_id", F.col("valid_from").cast("string")))
-                    .alias("customer_version_key"),
-                    "customer_id", "loyalty_tier", "valid_from", "valid_to", "is_current", "version_number")
+    return interval_versions(yearly.join(dc, "customer_key"), ["customer_id"], ["loyalty_tier"], "year_start", version_key="customer_version_key")
 
 
 def sales_by_tier_at_order(m: Model) -> DataFrame:
-    """Point-in-time lookup: each sale takes the tier valid on its order date
-    (equi-join on the customer + range condition; one customer has at most one
-    version per year, so the candidate set per sale is bounded)."""
-    h = customer_tier_history(m).select("customer_id", "loyalty_tier", "valid_from", "valid_to")
-    dc = m.dim_customer.select("customer_key", "customer_id")
-    fs = m.fact_sales.join(dc, "customer_key")
-    j = fs.join(h, (fs.customer_id == h.customer_id)
-                & fs.order_date.between(h.valid_from, h.valid_to), "left")
+    """Point-in-time lookup: each sale takes the tier valid on its order date."""
+    fs = m.fact_sales.join(m.dim_customer.select("customer_key", "customer_id"), "customer_key")
+    j = as_of(fs.select("customer_id", "order_date", "net_revenue_amount"), customer_tier_history(m), ["customer_id"], "order_date", ["loyalty_tier"], m.dim_date)
     return (j.groupBy(F.year("order_date").alias("order_year"),
                       F.coalesce("loyalty_tier", F.lit("Unranked")).alias("loyalty_tier"))
             .agg(F.count(F.lit(1)).alias("lines"),
@@ -80,6 +121,42 @@ def one_current_version(m: Model) -> DataFrame:
                    F.count(F.when(F.col("current_versions") != 1, 1)).alias("violations"))
 
 
+def campaign_mix_history(m: Model) -> DataFrame:
+    """Type-2 history of what a campaign lives on, from its days: clicks, views
+    or both alike. Days without spend are gaps."""
+    days = m.stg("stg_marketing_spend").select("campaign_id", "date", F.when(F.col("clicks") > F.col("impressions"), "Click-led")
+                                               .when(F.col("clicks") < F.col("impressions"), "View-led").otherwise("Balanced").alias("campaign_mix"))
+    return interval_versions(days.withColumn("until", F.col("date")), ["campaign_id"], ["campaign_mix"], "date", "until", version_key="campaign_version_key")
+
+
+def spend_by_mix(m: Model) -> DataFrame:
+    """Campaign spend by the mix that held on the day before (point in time)."""
+    spend = m.stg("stg_marketing_spend").select("campaign_id", F.date_sub("date", 1).alias("day_before"), "spend_sgd")
+    j = as_of(spend, campaign_mix_history(m), ["campaign_id"], "day_before", ["campaign_mix"], m.dim_date)
+    return (j.groupBy(F.coalesce("campaign_mix", F.lit("No Spend")).alias("mix_of_the_day_before"))
+            .agg(F.count(F.lit(1)).alias("days"), F.sum("spend_sgd").cast("double").alias("spend_amount")))
+
+
+def history_checks(m: Model) -> DataFrame:
+    """Per history: versions, keys, overlaps, adjoining versions that say the
+    same, repeated version keys and keys with more than one current version."""
+    parts = []
+    for label, history, key, attr, version in (("customer", customer_tier_history(m), "customer_id", "loyalty_tier", "customer_version_key"),
+                                               ("product", product_lifecycle_history(m), "product_id", "lifecycle_status", "product_version_key"),
+                                               ("campaign", campaign_mix_history(m), "campaign_id", "campaign_mix", "campaign_version_key")):
+        w = Window.partitionBy(key).orderBy("valid_from")
+        before = history.withColumn("_to", F.lag("valid_to").over(w)).withColumn("_what", F.lag(attr).over(w))
+        per = before.groupBy(key).agg(
+            F.count(F.lit(1)).alias("n"), F.count_if(F.col("valid_from") <= F.col("_to")).alias("overlaps"),
+            F.count_if((F.col("valid_from") == F.date_add("_to", 1)) & F.col("_what").eqNullSafe(F.col(attr))).alias("unmerged"),
+            F.count_if(F.col("valid_from") > F.date_add("_to", 1)).alias("gaps"), F.count_if("is_current").alias("current"))
+        keys = history.groupBy(version).count().agg(F.count_if(F.col("count") > 1).alias("repeated_keys"))
+        parts.append(per.agg(F.lit(label).alias("dimension"), F.sum("n").alias("versions"), F.count(F.lit(1)).alias("members"), F.sum("gaps").alias("gaps"),
+                             F.sum("overlaps").alias("overlaps"), F.sum("unmerged").alias("unmerged"), F.count_if(F.col("current") > 1).alias("several_current"))
+                     .crossJoin(F.broadcast(keys)))
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
 def product_lifecycle_history(m: Model) -> DataFrame:
     """Type-2 history of the product lifecycle: 'New Launch' from the launch
     date, 'Active' one year later, 'Discontinued' from the discontinuation
@@ -94,17 +171,13 @@ def product_lifecycle_history(m: Model) -> DataFrame:
     obs = (obs.withColumn("__later_min", F.min("d").over(
         Window.partitionBy("product_id").orderBy(F.desc("o")).rowsBetween(Window.unboundedPreceding, -1)))
         .filter(F.col("__later_min").isNull() | (F.col("d") < F.col("__later_min"))))
-    v = scd2_versions(obs.select("product_id", F.col("d").alias("change_date"),
-                                 F.col("s").alias("lifecycle_status")),
-                      "product_id", "change_date", ["lifecycle_status"])
-    return v.select("product_id", "lifecycle_status", "valid_from", "valid_to", "is_current", "version_number")
+    return interval_versions(obs.select("product_id", F.col("d").alias("change_date"), F.col("s").alias("lifecycle_status")),
+                             ["product_id"], ["lifecycle_status"], "change_date", version_key="product_version_key")
 
 
 def sales_by_lifecycle_at_order(m: Model) -> DataFrame:
-    h = product_lifecycle_history(m).select("product_id", "lifecycle_status", "valid_from", "valid_to")
-    dp = m.dim_product.select("product_key", "product_id")
-    fs = m.fact_sales.join(dp, "product_key")
-    j = fs.join(h, (fs.product_id == h.product_id) & fs.order_date.between(h.valid_from, h.valid_to), "left")
+    fs = m.fact_sales.join(m.dim_product.select("product_key", "product_id"), "product_key")
+    j = as_of(fs.select("product_id", "order_date", "net_revenue_amount"), product_lifecycle_history(m), ["product_id"], "order_date", ["lifecycle_status"], m.dim_date)
     return (j.groupBy(F.coalesce("lifecycle_status", F.lit("Before Launch")).alias("lifecycle_status_at_order"))
             .agg(F.count(F.lit(1)).alias("lines"),
                  F.sum("net_revenue_amount").cast("double").alias("net_revenue_amount")))

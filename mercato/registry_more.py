@@ -33,6 +33,22 @@ SELECT count(*) AS customers, count(*) FILTER (WHERE cv <> 1) AS violations
 FROM (SELECT customer_id, count(*) FILTER (WHERE is_current) AS cv FROM customer_tier_history GROUP BY 1)""",
     tags=("scd", "quality")))
 
+register("scd2_campaign_mix_history", Query(scd.campaign_mix_history, "SELECT * FROM campaign_mix_history", big=("version_number",), tags=("scd",)))
+register("scd2_spend_by_mix_of_the_day_before", Query(scd.spend_by_mix, """
+SELECT coalesce(h.campaign_mix, 'No Spend') AS mix_of_the_day_before, count(*) AS days, CAST(sum(s.spend_sgd) AS DOUBLE) AS spend_amount
+FROM stg_marketing_spend s LEFT JOIN campaign_mix_history h
+  ON h.campaign_id = s.campaign_id AND CAST(s.date AS DATE) - 1 >= h.valid_from AND CAST(s.date AS DATE) - 1 <= h.valid_to
+GROUP BY 1""", tags=("scd",)))
+register("dq_scd2_histories", Query(scd.history_checks, " UNION ALL ".join(f"""
+SELECT '{label}' AS dimension, count(*) AS versions, count(DISTINCT {key}) AS members, count(*) FILTER (WHERE valid_from > before + 1) AS gaps,
+       count(*) FILTER (WHERE valid_from <= before) AS overlaps, count(*) FILTER (WHERE valid_from = before + 1 AND {attr} IS NOT DISTINCT FROM said) AS unmerged,
+       (SELECT count(*) FROM (SELECT {key} FROM {cte} WHERE is_current GROUP BY 1 HAVING count(*) > 1)) AS several_current,
+       count(*) - count(DISTINCT {label}_version_key) AS repeated_keys
+FROM (SELECT *, lag(valid_to) OVER w AS before, lag({attr}) OVER w AS said FROM {cte} WINDOW w AS (PARTITION BY {key} ORDER BY valid_from))"""
+    for label, cte, key, attr in (("customer", "customer_tier_history", "customer_id", "loyalty_tier"),
+                                  ("product", "product_lifecycle_history", "product_id", "lifecycle_status"),
+                                  ("campaign", "campaign_mix_history", "campaign_id", "campaign_mix"))), tags=("scd", "quality")))
+
 # -- ingest, sinks, incremental ---------------------------------------------------------
 
 _LANDING_CTE = {"suppliers": "suppliers", "products": "products", "customers": "customers",

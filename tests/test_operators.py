@@ -193,3 +193,21 @@ def test_sampled_hot_detection_finds_hot_group_and_stays_exact(spark):
     got = running_within(df, ["k"], ["o"], rank="rn", max_group_rows=1000, sample_fraction=0.05)
     want = df.withColumn("rn", F.row_number().over(Window.partitionBy("k").orderBy("o")))
     assert got.exceptAll(want.select(*got.columns)).count() == 0 and got.count() == want.count()
+
+
+def test_asof_binary_search_over_many_candidates(spark):
+    """Thousands of candidates of one key, ties, times before the first and NULL."""
+    from mercato.operators.asof import asof_join, broadcast_limit
+    rdf = spark.range(5000).selectExpr("'k' AS ch", "DATE'2000-01-01' + CAST(3 * (id div 2) AS INT) AS s", "format_string('R%05d', id) AS cid")
+    ldf = spark.range(0, 8000, 7).selectExpr("id", "'k' AS ch", "CASE WHEN id % 5 = 0 THEN NULL ELSE DATE'1999-12-30' + CAST(id AS INT) END AS t")
+    got = {p: {r.id: r.cid for r in asof_join(ldf, rdf, ["ch"], "t", "s", ["cid"], tie=["cid"], force=p).collect()} for p in ("broadcast", "bucketed")}
+    want = {i: None if i % 5 == 0 or i < 2 else f"R{min(4999, 2 * ((i - 2) // 3) + 1):05d}" for i in range(0, 8000, 7)}
+    assert got["broadcast"] == got["bucketed"] == want
+    assert broadcast_limit(spark) == 10 << 20
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert broadcast_limit(spark) == 0
+        plan = asof_join(ldf, rdf, ["ch"], "t", "s", ["cid"], tie=["cid"])
+        assert {r.id: r.cid for r in plan.collect()} == want
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
