@@ -25,7 +25,7 @@ def lookup_key(fact: DataFrame, dim: DataFrame, fact_col: str, dim_col: str,
     """Left join ``fact`` to ``dim`` on a natural key; missing -> -1.
 
     ``bounded=True`` marks dimensions whose size is fixed by construction
-    (calendar, warehouses, campaigns): those are broadcast explicitly. All
+    (warehouses): those are broadcast explicitly. All
     others are left to the planner, whose broadcast decision is checked against
     ``spark.sql.autoBroadcastJoinThreshold`` (and re-checked at runtime by AQE),
     falling back to a shuffle join when the dimension is large.
@@ -33,7 +33,7 @@ def lookup_key(fact: DataFrame, dim: DataFrame, fact_col: str, dim_col: str,
     # Grouping by the natural key makes the dimension side provably unique:
     # the lookup can never fan the fact out, and Catalyst drops the whole join
     # from plans that never read the looked-up key.
-    d = dim.groupBy(F.col(dim_col).alias("__nk")).agg(F.max(key_col).alias("__sk"))
+    d = unique_by(dim.select(F.col(dim_col).alias("__nk"), F.col(key_col).alias("__sk")), "__nk", ["__sk"])
     if bounded:
         d = F.broadcast(d)
     out = fact.join(d, fact[fact_col] == d["__nk"], "left")
@@ -108,6 +108,10 @@ def top_n(df: DataFrame, n: int, order: Sequence[Column]) -> DataFrame:
 
 
 def unique_by(df: DataFrame, key: str, cols: Sequence[str]) -> DataFrame:
-    """One row per ``key`` (deterministic ``max`` of each column), so a left
-    join on ``key`` cannot fan out and is removable when unused."""
-    return df.groupBy(key).agg(*[F.max(c).alias(c) for c in cols])
+    """The row of each ``key``, so a left join on ``key`` cannot fan out and is
+    removable when unused. That a key has one row is asserted, lazily: a second
+    one fails the query that reads the columns, with the key. Rows without a key
+    match nothing and are left out."""
+    rows = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("__rows"), *[F.max(c).alias(c) for c in cols])
+    twice = F.raise_error(F.concat(F.lit(f"more than one row for {key} "), F.col(key).cast("string")))
+    return rows.select(key, *[F.when(F.col("__rows") == 1, F.col(c)).otherwise(twice).alias(c) for c in cols])

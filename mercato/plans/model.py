@@ -343,8 +343,7 @@ class Model:
     @mart
     def fact_marketing_spend(self) -> DataFrame:
         s = self.stg("stg_marketing_spend")
-        j = lookup_key(s, self.dim_campaign, "campaign_id", "campaign_id", "campaign_key",
-                       "campaign_key", bounded=True)
+        j = lookup_key(s, self.dim_campaign, "campaign_id", "campaign_id", "campaign_key", "campaign_key")
         return j.select(
             surrogate_key(F.coalesce("marketing_spend_id", F.lit("-1"))).alias("marketing_spend_key"),
             date_key("date").alias("spend_date_key"), "campaign_key",

@@ -221,25 +221,25 @@ FROM (SELECT full_date AS report_date FROM dim_date
 WHERE report_date {_PERIOD} GROUP BY 1""", tags=("dashboard",)))
 
 register("q06_margin_category_channel", Query(D.q06_margin_category_channel, f"""
-SELECT dp.category_name, fs.sales_channel_code,
-       CAST(sum(fs.net_revenue_amount) AS DOUBLE) AS net_revenue_amount,
-       CAST(sum(fs.cogs_amount) AS DOUBLE) AS cogs_amount
-FROM fact_sales fs JOIN dim_date dd ON fs.order_date_key = dd.date_key
-JOIN dim_product dp ON fs.product_key = dp.product_key
-WHERE dd.full_date {_PERIOD} AND dp.product_id <> 'UNKNOWN' GROUP BY 1, 2""", tags=("dashboard",)))
+SELECT category_name, sales_channel_code, CAST(sum(net) AS DOUBLE) AS net_revenue_amount, CAST(sum(cost) AS DOUBLE) AS cogs_amount
+FROM (SELECT product_key, sales_channel_code, sum(net_revenue_amount) AS net, sum(cogs_amount) AS cost
+      FROM fact_sales WHERE order_date {_PERIOD} GROUP BY ALL)
+JOIN (SELECT product_key, category_name FROM dim_product WHERE product_key <> -1) USING (product_key)
+GROUP BY ALL""", tags=("dashboard",)))
 
 register("q07_margin_country", Query(D.q07_margin_country, f"""
-SELECT dc.customer_country, CAST(sum(fs.net_revenue_amount) AS DOUBLE) AS net_revenue_amount,
-       CAST(sum(fs.cogs_amount) AS DOUBLE) AS cogs_amount
-FROM fact_sales fs JOIN dim_date dd ON fs.order_date_key = dd.date_key
-JOIN dim_customer dc ON fs.customer_key = dc.customer_key
-WHERE dd.full_date {_PERIOD} AND dc.customer_id <> 'UNKNOWN' GROUP BY 1""", tags=("dashboard",)))
+WITH per_customer AS (
+  SELECT customer_key, sum(net_revenue_amount) AS net, sum(cogs_amount) AS cost FROM fact_sales
+  WHERE customer_key <> -1 AND order_date {_PERIOD} GROUP BY customer_key)
+SELECT (SELECT any_value(customer_country) FROM dim_customer known WHERE known.customer_key = per_customer.customer_key) AS customer_country,
+       CAST(sum(net) AS DOUBLE) AS net_revenue_amount, CAST(sum(cost) AS DOUBLE) AS cogs_amount
+FROM per_customer GROUP BY ALL""", dbl=("net_revenue_amount", "cogs_amount"), tags=("dashboard",)))
 
 register("q08_channel_class_mix", Query(D.q08_channel_class_mix, f"""
-SELECT CAST(date_trunc('month', dd.full_date) AS DATE) AS report_month, {_CC} AS channel_class,
-       CAST(sum(fs.net_revenue_amount) AS DOUBLE) AS net_revenue_amount
-FROM fact_sales fs JOIN dim_date dd ON fs.order_date_key = dd.date_key
-WHERE dd.full_date {_PERIOD} GROUP BY 1, 2""", tags=("dashboard",)))
+SELECT make_date(any_value(year(order_date)), any_value(month(order_date)), 1) AS report_month, channel_class,
+       CAST(sum(net_revenue_amount) AS DOUBLE) AS net_revenue_amount
+FROM (SELECT order_date, net_revenue_amount, {_CC} AS channel_class FROM fact_sales WHERE order_date {_PERIOD})
+GROUP BY strftime(order_date, '%Y%m'), channel_class""", tags=("dashboard",)))
 
 register("q09_aov_return_by_class", Query(D.q09_aov_return_by_class, f"""
 SELECT channel_class, CAST(sum(net) AS DOUBLE) AS net_revenue_amount, CAST(sum(sold) AS BIGINT) AS sold_units,

@@ -84,15 +84,18 @@ def round_trip_landing(raw, names: Sequence[str], threads: int = 4) -> DataFrame
     return load_tables(spark, sources, os.path.join(root, "parquet"), threads)
 
 
-def write_partitioned_by_month(df: DataFrame, date_col: str, path: str) -> None:
-    """Facts partitioned by month of their business date. Range partitioning
-    on the date gives each task a contiguous slice (few month folders per
-    task, balanced sizes even when one month is hot), and rows sorted by the
-    date inside each file let min/max statistics prune row groups."""
+def write_partitioned_by_month(df: DataFrame, date_col: str, path: str, keys: Sequence[str] = (),
+                               rows_per_file: int = 5_000_000) -> None:
+    """Facts partitioned by month of their business date. Range partitioning on
+    (date, ``keys``) gives each task a contiguous slice: few month folders per
+    task, balanced sizes even when one month or one day is hot (with ``keys``
+    that tell its rows apart). Rows sorted by the date inside each file let
+    min/max statistics prune row groups, and no file outgrows ``rows_per_file``.
+    Rows without a date go to the partition of that name."""
     n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     (df.withColumn("month", F.date_format(date_col, "yyyy-MM"))
-       .repartitionByRange(n, date_col).sortWithinPartitions(date_col)
-       .write.mode("overwrite").partitionBy("month").parquet(path))
+       .repartitionByRange(n, date_col, *keys).sortWithinPartitions(date_col, *keys)
+       .write.mode("overwrite").option("maxRecordsPerFile", rows_per_file).partitionBy("month").parquet(path))
 
 
 def incremental_changes(old: DataFrame, new: DataFrame, key: str, attrs: Sequence[str]) -> DataFrame:
