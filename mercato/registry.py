@@ -280,3 +280,4 @@ WHERE campaign_id <> 'NO_CAMPAIGN'""", tags=("dashboard",)))
 from . import registry_kpis  # noqa: E402,F401  (registers the KPI and mart queries)
 from . import registry_quality  # noqa: E402,F401  (registers the data-quality queries)
 from . import registry_more  # noqa: E402,F401  (history, ingest, incremental, streaming)
+from . import registry_reports  # noqa: E402,F401  (filtered reports, cubes, fulfilment)
