@@ -7,6 +7,7 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from . import oracle as O
+from .plans import fulfilment as FU
 from .plans import reports as R
 from .plans.model import Model
 from .registry import Query, register
@@ -43,8 +44,8 @@ _PURCHASES = {"purchase_orders": "count(*)", "units_ordered": "sum(ordered_quant
 _SPEND = {"spend": "sum(spend_amount)", "impressions": "sum(impressions_count)", "clicks": "sum(clicks_count)"}
 _CUSTOMERS = {"new_customers": "count(*)", "attributed_customers": "count(*) FILTER (WHERE acquisition_campaign_key <> -1)"}
 
-EXECUTIVE = {"channel": ["Shopify", "Shopee", "Retail"], "country": lambda c: c.startswith("I") | c.startswith("C"), "category": lambda c: c.startswith("S")}
-_IN_COUNTRY = "SELECT customer_key FROM dim_customer WHERE customer_country SIMILAR TO '[IC].*'"
+EXECUTIVE = {"channel": ["Shopify", "Shopee", "Retail"], "country": lambda c: c.startswith("NATION_1"), "category": lambda c: c.startswith("S")}
+_IN_COUNTRY = "SELECT customer_key FROM dim_customer WHERE customer_country LIKE 'NATION@_1%' ESCAPE '@'"
 _IN_CATEGORY = "SELECT product_key FROM dim_product WHERE category_name LIKE 'S%'"
 
 
@@ -101,3 +102,41 @@ SELECT category_name, sales_channel_code, order_month, grouping(category_name, s
 FROM (SELECT category_name, sales_channel_code, CAST(date_trunc('month', order_date) AS DATE) AS order_month, net_revenue_amount, cogs_amount, quantity_ordered
       FROM fact_sales JOIN dim_product USING (product_key) WHERE order_date BETWEEN {O.SIM_START} AND {O.SIM_END})
 GROUP BY GROUPING SETS ({", ".join("(" + ", ".join(s) + ")" for s in SETS)})""", big=("grouping_level",), tags=("kpi",)))
+
+# -- fulfilment -----------------------------------------------------------------------
+
+_PLACES = """
+WITH ends AS (SELECT n_regionkey, min(n_nationkey) AS lowest, max(n_nationkey) AS highest FROM nation GROUP BY 1),
+places AS (
+  SELECT format('LOC-{:02d}', n_nationkey) AS location_id, n_name AS country, r_name AS region, n_regionkey, CAST((5 + n_nationkey % 5) / 100.0 AS DECIMAL(4, 2)) AS tax_rate,
+         CASE n_nationkey WHEN lowest THEN 'Distribution Center' WHEN highest THEN 'Returns Center' ELSE 'Retail Store' END AS location_type
+  FROM nation JOIN ends USING (n_regionkey) LEFT JOIN region ON r_regionkey = n_regionkey),
+located AS (
+  SELECT order_id, sales_channel, c.customer_country, coalesce(
+           (SELECT min(location_id) FROM places p WHERE sales_channel = 'Retail' AND location_type = 'Retail Store' AND p.country = c.customer_country),
+           (SELECT min(p.location_id) FROM places p JOIN places home ON home.country = c.customer_country AND home.location_type <> 'Returns Center'
+            WHERE p.location_type = 'Distribution Center' AND p.n_regionkey = home.n_regionkey OR p.location_type = 'Retail Store' AND p.country = home.country),
+           (SELECT min(location_id) FROM places WHERE location_type <> 'Returns Center')) AS location_id,
+         CASE WHEN sales_channel = 'Retail' AND c.customer_country IN (SELECT country FROM places WHERE location_type = 'Retail Store') THEN 1
+              WHEN c.customer_country IN (SELECT country FROM places WHERE location_type <> 'Returns Center') THEN 2 ELSE 3 END AS tier
+  FROM stg_orders LEFT JOIN (SELECT customer_id, customer_country FROM stg_customers) c USING (customer_id))"""
+
+register("dim_store", Query(FU.dim_store, f"""{_PLACES}
+SELECT {O.skey("location_id")} AS store_key, location_id AS store_code, upper(country[1]) || lower(country[2:]) || ' Store' AS store_name, 'Retail Boutique' AS channel_class,
+       region AS region_name, country AS country_code, 'SGD' AS local_currency_code, 'Open' AS operating_status
+FROM places WHERE location_type = 'Retail Store'
+UNION ALL SELECT -1, 'UNKNOWN', 'Unknown Store', 'Unknown', 'Unknown', 'Unknown', NULL, 'Unknown'""", big=("store_key",), tags=("dimension",)))
+
+register("order_fulfilment_locations", Query(FU.order_locations, f"""{_PLACES}
+SELECT order_id, sales_channel, customer_country, location_id, tier, tax_rate FROM located JOIN (SELECT location_id, tax_rate FROM places) USING (location_id)""",
+    dbl=("tax_rate",), big=("tier",), tags=("fulfilment",)))
+
+register("kpi_fulfilment_tiers", Query(FU.fulfilment_tiers, f"""{_PLACES}
+SELECT tier, location_type, sales_channel, count(DISTINCT order_id) AS orders, count(*) AS lines, sum(net_sales) AS net_sales, sum(round(net_sales * tax_rate, 2)) AS tax_amount
+FROM stg_order_items JOIN located USING (order_id) JOIN places USING (location_id) GROUP BY 1, 2, 3""", dbl=("net_sales", "tax_amount"), big=("tier",), tags=("fulfilment",)))
+
+register("returns_enriched", Query(FU.returns_enriched, """
+SELECT return_id, order_id, s.shipment_id, carrier, service_level, is_cross_border,
+       date_diff('day', CAST(delivered_date AS DATE), CAST(return_date AS DATE)) AS days_after_delivery, returned_quantity, return_rate AS product_return_rate
+FROM stg_returns r JOIN (SELECT * FROM stg_shipments WHERE shipment_status = 'Delivered') s USING (order_id) LEFT JOIN stg_products USING (product_id)""",
+    big=("returned_quantity",), tags=("fulfilment",)))

@@ -13,10 +13,10 @@ from mercato.sources.tables import TEST_TABLES
 from paths import SF_SMALL
 
 NOW, BEFORE = (dt.date(1997, 1, 1), dt.date(1997, 12, 31)), (dt.date(1996, 1, 1), dt.date(1996, 12, 31))
-WANTED = {"channel": ["Shopify", "Retail"], "country": ["INDIA", "CHINA", "FRANCE", "KENYA"], "cohort": [dt.date(1995, 1, 1)], "warehouse": ["WH-01", "WH-03"],
+WANTED = {"channel": ["Shopify", "Retail"], "country": ["NATION_1", "NATION_7", "NATION_12", "NATION_20"], "cohort": [dt.date(1995, 1, 1)], "warehouse": ["WH-01", "WH-03"],
           "category": lambda c: c.startswith("S"), "supplier": lambda c: F.right(c, F.lit(1)) == "3", "acquisition_channel": ["Instagram", "TikTok"], "platform": ["Meta"],
           "campaign": lambda c: F.right(c, F.lit(1)).isin("1", "2")}
-CUSTOMER = {"country": "customer_country IN ('INDIA', 'CHINA', 'FRANCE', 'KENYA')", "cohort": "date_trunc('month', customer_since) = DATE '1995-01-01'"}
+CUSTOMER = {"country": "customer_country IN ('NATION_1', 'NATION_7', 'NATION_12', 'NATION_20')", "cohort": "date_trunc('month', customer_since) = DATE '1995-01-01'"}
 CAMPAIGN = {"acquisition_channel": "acquisition_channel_name IN ('Instagram', 'TikTok')", "platform": "marketing_platform = 'Meta'", "campaign": "regexp_matches(campaign_id, '[12]$')"}
 GOODS = {"category": "product_key IN (SELECT product_key FROM dim_product WHERE category_name LIKE 'S%')",
          "supplier": "product_key IN (SELECT product_key FROM dim_product JOIN stg_products USING (product_id) WHERE supplier_id LIKE '%3')",
