@@ -294,22 +294,25 @@ def ar_position_at(m: Model, day=None) -> DataFrame:
     paid_before = F.col("payment_date").isNull() | (day < F.col("payment_date"))
     bal = F.when(paid_before, F.col("invoice_amount")).otherwise(F.col("invoice_amount") - F.col("amount_paid"))
     age = F.datediff(day, F.col("invoice_date"))
-    return inv.filter(covered).select("invoice_id", "customer_id", bal.cast(MONEY).alias("open_balance_amount"),
+    return inv.filter(covered).select("invoice_id", "customer_id", "payment_terms_code", bal.cast(MONEY).alias("open_balance_amount"),
                                       age.alias("days_outstanding"),
                                       F.when(age > 90, "90+").when(age > 60, "61-90").otherwise("Current")
                                       .alias("ar_status"))
 
 
 def ar_accounts_top15(m: Model, n: int = 15) -> DataFrame:
+    """Accounts by open balance, for collection: the age and the payment terms
+    are those of the oldest open invoice."""
     pos = ar_position_at(m)
     agg = pos.groupBy("customer_id").agg(
         F.sum("open_balance_amount").alias("open_ar"), F.count(F.lit(1)).alias("open_invoices"),
         F.count(F.when(F.col("days_outstanding") > 90, 1)).alias("invoices_90_plus"),
-        F.max("days_outstanding").alias("max_days_outstanding"))
+        F.max("days_outstanding").alias("max_days_outstanding"),
+        F.min_by("payment_terms_code", F.struct(-F.col("days_outstanding"), F.col("invoice_id"))).alias("payment_terms_code"))
     agg = agg.withColumn("account_status", F.when(F.col("max_days_outstanding") > 90, "90+")
                          .when(F.col("max_days_outstanding") > 60, "61-90").otherwise("Current"))
     return (agg.select("customer_id", F.col("open_ar").cast(DBL).alias("open_ar_amount"), "open_invoices",
-                       "invoices_90_plus", "max_days_outstanding", "account_status")
+                       "invoices_90_plus", "max_days_outstanding", "payment_terms_code", "account_status")
             .orderBy(F.desc("open_ar_amount"), "customer_id").limit(n))
 
 

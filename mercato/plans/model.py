@@ -13,7 +13,7 @@ import os
 import threading
 from functools import cached_property
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import constants as C
@@ -102,7 +102,7 @@ class Model:
 
     def __init__(self, spark: SparkSession, sf_dir: str | None = None,
                  raw: RawTables | None = None, as_of: dt.date = C.AS_OF,
-                 sim_start: dt.date = C.SIM_START, sim_end: dt.date = C.SIM_END,
+                 sim_start: dt.date | None = None, sim_end: dt.date | None = None,
                  keep_partial_payments: bool = False, carry_earlier_stock: bool = False,
                  materialize: bool = False):
         self.spark = spark
@@ -111,8 +111,7 @@ class Model:
         self._store_lock = threading.Lock()
         self.raw = raw if raw is not None else RawTables(spark, sf_dir, materialize=materialize)
         self.as_of = as_of
-        self.sim_start = sim_start
-        self.sim_end = sim_end
+        self._period = sim_start, sim_end
         self.keep_partial_payments = keep_partial_payments
         # Movements before a product's window: by default its first days start
         # from the offset alone, as the daily fill sees the window only.
@@ -132,6 +131,10 @@ class Model:
         df.write.mode("overwrite").parquet(path)
         return self.spark.read.parquet(path)
 
+    def table_path(self, name: str) -> str | None:
+        """Where a mart is written; None if the model doesn't write it."""
+        return os.path.join(self._store, name) if self._store and any(name in names for layer, names in BUILD_WAVES if layer == "mart") else None
+
     def build(self, threads: int = 4) -> None:
         """Materialise the landing tables, then every mart, wave by wave with
         up to ``threads`` tables written at once (like a model runner with
@@ -143,6 +146,31 @@ class Model:
                 owner = self.raw if layer == "raw" else self
                 list(pool.map(lambda n, o=owner: getattr(o, n), names))
 
+    @cached_property
+    def _order_years(self) -> tuple[dt.date, dt.date]:
+        """Whole years around the orders' dates; fixtures without driver tables
+        use the fixed period."""
+        if not hasattr(self.raw, "t"):
+            return C.SIM_START, C.SIM_END
+        lo, hi = self.raw.t("orders").agg(F.year(F.min("o_orderdate")), F.year(F.max("o_orderdate"))).first()
+        return (dt.date(lo, 1, 1), dt.date(hi, 12, 31)) if lo else (C.SIM_START, C.SIM_END)
+
+    @property
+    def sim_start(self) -> dt.date:
+        """First day of the reporting period (default: of the orders' first year)."""
+        return self._period[0] or self._order_years[0]
+
+    @property
+    def sim_end(self) -> dt.date:
+        return self._period[1] or self._order_years[1]
+
+    def calendar_key(self, c: str | Column) -> Column:
+        """Key of a date that the calendar holds, else the unknown member. The
+        calendar has every day between its first and its last."""
+        first, last = (self.dim_date.select(f("full_date")).scalar() for f in (F.min, F.max))
+        d = F.col(c) if isinstance(c, str) else c
+        return F.when(d.between(first, last), date_key(d)).otherwise(F.lit(C.UNKNOWN_KEY).cast("bigint"))
+
     # -- staging -------------------------------------------------------------
 
     def stg(self, name: str) -> DataFrame:
@@ -265,7 +293,7 @@ class Model:
                        "warehouse_key", bounded=True)
         return j.select(
             surrogate_key("order_item_id").alias("sales_fact_key"),
-            F.coalesce(date_key("order_date"), F.lit(C.UNKNOWN_KEY).cast("bigint")).alias("order_date_key"),
+            self.calendar_key("order_date").alias("order_date_key"),
             "customer_key",
             F.coalesce("product_key", F.lit(C.UNKNOWN_KEY).cast("bigint")).alias("product_key"),
             "warehouse_key",
@@ -302,8 +330,8 @@ class Model:
                .otherwise(F.lit(0).cast(MONEY)))
         return j.select(
             surrogate_key("return_id").alias("return_fact_key"),
-            F.coalesce(date_key(F.to_date("return_date")), F.lit(C.UNKNOWN_KEY).cast("bigint")).alias("return_date_key"),
-            F.coalesce(date_key(F.to_date("original_order_date")), F.lit(C.UNKNOWN_KEY).cast("bigint")).alias("original_order_date_key"),
+            self.calendar_key(F.to_date("return_date")).alias("return_date_key"),
+            self.calendar_key(F.to_date("original_order_date")).alias("original_order_date_key"),
             "customer_key", "product_key", "warehouse_key",
             F.col("return_id").alias("return_authorization_number"),
             F.col("order_id").alias("order_number"), "disposition_code",
@@ -322,9 +350,8 @@ class Model:
                        "destination_warehouse_key", bounded=True)
         return j.select(
             surrogate_key("purchase_order_id").alias("purchase_order_fact_key"),
-            F.coalesce(date_key(F.to_date("order_date")), F.lit(C.UNKNOWN_KEY).cast("bigint")).alias("po_date_key"),
-            F.coalesce(date_key(F.to_date("expected_receipt_date")), F.lit(C.UNKNOWN_KEY).cast("bigint"))
-            .alias("expected_delivery_date_key"),
+            self.calendar_key(F.to_date("order_date")).alias("po_date_key"),
+            self.calendar_key(F.to_date("expected_receipt_date")).alias("expected_delivery_date_key"),
             "supplier_key",
             F.coalesce("product_key", F.lit(C.UNKNOWN_KEY).cast("bigint")).alias("product_key"),
             "destination_warehouse_key",

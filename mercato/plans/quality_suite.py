@@ -3,11 +3,13 @@ plausibility checks the reference ran by hand."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import contextlib
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import constants as C
-from ..functions.exprs import date_key, surrogate_key
+from ..functions.exprs import date_key, lit_date, surrogate_key
 from ..operators.quality import Check, Snapshot, run_checks
 from .model import Model
 
@@ -195,6 +197,87 @@ def orders_before_signup(m: Model) -> DataFrame:
                  F.count(F.lit(1)).alias("total_lines"))
 
 
+def orders_before_first_signup(m: Model) -> DataFrame:
+    """Customers whose first order lies before their first sign-up event, as the
+    events say (the dimension takes the earlier of the two)."""
+    signup = (m.raw.contacts.where(F.col("event_type") == "signup").groupBy(F.format_string("CUST-%06d", "user_id").alias("customer_id"))
+              .agg(F.to_date(F.min("ts")).alias("first_signup")))
+    first = m.stg("stg_orders").groupBy("customer_id").agg(F.to_date(F.min("order_date")).alias("first_order"))
+    return first.join(signup, "customer_id", "left").agg(
+        F.count(F.lit(1)).alias("customers"), F.count("first_signup").alias("signed_up"), F.count_if(F.col("first_order") < F.col("first_signup")).alias("ordered_before"),
+        F.max(F.datediff("first_signup", "first_order")).alias("longest_gap_days"))
+
+
+#: Table -> its business date; None: no date. The daily facts are read from the intervals that they unfold from.
+DATES = {
+    "stg_suppliers": "supplier_created_at", "stg_products": "launch_date", "stg_customers": "customer_since", "stg_warehouses": None, "stg_warehouse_product_assignment": None,
+    "stg_inventory_snapshot": "snapshot_date", "stg_purchase_orders": "order_date", "stg_orders": "order_date", "stg_order_items": None, "stg_shipments": "shipped_date",
+    "stg_returns": "return_date", "stg_inventory_movements": "movement_date", "stg_marketing_spend": "date", "stg_acquisition_attribution": None, "stg_ar_invoices": "invoice_date",
+    "dim_date": "full_date", "dim_product": "launch_date", "dim_supplier": None, "dim_warehouse": None, "dim_customer": "customer_since", "dim_campaign": "start_date",
+    "fact_sales": "order_date", "fact_returns": "return_date", "fact_purchase_orders": "po_date", "fact_marketing_spend": "spend_date",
+}
+PUSHDOWN = {"spark.sql.sources.useV1SourceList": "avro,csv,json,kafka,orc,text", "spark.sql.parquet.aggregatePushdown": "true"}
+
+
+@contextlib.contextmanager
+def footers(spark: SparkSession):
+    """Within it, Parquet tables are read so that counts and the bounds of dates
+    come from the files' footers (the scan shows ``PushedAggregation``)."""
+    usual = {c: spark.conf.get(c) for c in PUSHDOWN}
+    try:
+        for c, v in PUSHDOWN.items():
+            spark.conf.set(c, v)
+        yield
+    finally:
+        for c, v in usual.items():
+            spark.conf.set(c, v)
+
+
+def span(df: DataFrame, date: str | None) -> DataFrame:
+    """One row: rows, earliest, latest. Timestamps have no bounds in the footers;
+    such a column is read."""
+    bounds = [f(date) if date else F.lit(None) for f in (F.min, F.max)]
+    return df.agg(F.count(F.lit(1)).alias("rows"), bounds[0].alias("earliest"), bounds[1].alias("latest"))
+
+
+def footer_span(spark: SparkSession, path: str, date: str | None) -> tuple:
+    """:func:`span` of a written table from its footers. A file whose dates are
+    all NULL (that of an unknown member) has no bounds: then the column is read."""
+    try:
+        with footers(spark):
+            return tuple(span(spark.read.parquet(path), date).first())
+    except Exception as e:
+        if "No min/max found" not in str(e):
+            raise
+        return tuple(span(spark.read.parquet(path), date).first())
+
+
+def freshness_of_all(m: Model) -> DataFrame:
+    """Rows and the first and last business date of every model."""
+    parts = []
+    for name, date in DATES.items():
+        df = m.stg(name) if name.startswith("stg_") else getattr(m, name)
+        path = m.table_path(name)
+        if path:
+            parts.append((name, m.spark.createDataFrame([footer_span(m.spark, path, date)], "rows long, earliest date, latest date")))
+        else:
+            parts.append((name, span(df, date)))
+    rows = F.sum(F.datediff("valid_to", "valid_from") + 1)
+    iv = m.inventory_intervals.where("valid_from <= valid_to")
+    parts += [("running_totals", m.stg("stg_inventory_movements").agg(F.count(F.lit(1)).alias("rows"), F.min(F.to_date("movement_date")).alias("earliest"), F.max(F.to_date("movement_date")).alias("latest"))),
+              ("balance_offset", m.stg("stg_inventory_snapshot").agg(F.count(F.lit(1)).alias("rows"), F.min("snapshot_date").alias("earliest"), F.max("snapshot_date").alias("latest"))),
+              ("inventory_spine", iv.agg(rows.alias("rows"), F.min("valid_from").alias("earliest"), F.max("valid_to").alias("latest"))),
+              ("fact_inventory_daily", iv.agg(rows.alias("rows"), F.min("valid_from").alias("earliest"), F.max("valid_to").alias("latest")))]
+    last = F.least(F.coalesce("payment_date", lit_date(m.sim_end)), lit_date(m.sim_end))
+    ar = m.stg("stg_ar_invoices").select(F.greatest("invoice_date", F.lit(None).cast("date")).alias("valid_from"), last.alias("valid_to")).where("valid_from <= valid_to")
+    parts += [(name, ar.agg(rows.alias("rows"), F.min("valid_from").alias("earliest"), F.max("valid_to").alias("latest"))) for name in ("ar_spine", "fact_ar_aging_daily")]
+    out = None
+    for name, one in parts:
+        row = one.select(F.lit(name).alias("table_name"), F.col("rows").cast("long").alias("rows"), F.to_date("earliest").alias("earliest"), F.to_date("latest").alias("latest"))
+        out = row if out is None else out.unionByName(row)
+    return out
+
+
 def shared_order_quantity(m: Model) -> DataFrame:
     """How many products share each purchase-order quantity."""
     po = m.stg("stg_purchase_orders")

@@ -193,7 +193,7 @@ FROM (SELECT {month('ds.report_date')} AS report_month,
 kpi("kpi_ar_accounts_top15", K.ar_accounts_top15, f"""
 SELECT customer_id, CAST(sum(open_balance_amount) AS DOUBLE) AS open_ar_amount, count(*) AS open_invoices,
        count(*) FILTER (WHERE days_outstanding > 90) AS invoices_90_plus,
-       max(days_outstanding) AS max_days_outstanding,
+       max(days_outstanding) AS max_days_outstanding, first(payment_terms_code ORDER BY days_outstanding DESC, invoice_number) AS payment_terms_code,
        CASE WHEN max(days_outstanding) > 90 THEN '90+' WHEN max(days_outstanding) > 60 THEN '61-90'
             ELSE 'Current' END AS account_status
 FROM fact_ar_aging_daily WHERE snapshot_date = {END}

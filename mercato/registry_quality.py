@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from .functions import constants as C
 from .operators.quality import check_sql
 from .plans import quality_suite as Q
 from .registry import Query, register
@@ -34,6 +35,17 @@ dq("dq_orders_before_signup", Q.orders_before_signup, """
 SELECT count(*) FILTER (WHERE fs.order_date < dc.customer_since) AS lines_before_signup, count(*) AS total_lines
 FROM fact_sales fs LEFT JOIN dim_customer dc ON fs.customer_key = dc.customer_key""")
 
+dq("dq_orders_before_first_signup", Q.orders_before_first_signup, f"""
+SELECT count(*) AS customers, count(first_signup) AS signed_up, count(*) FILTER (WHERE first_order < first_signup) AS ordered_before,
+       max(date_diff('day', first_order, first_signup)) AS longest_gap_days
+FROM (SELECT customer_id, CAST(min(order_date) AS DATE) AS first_order FROM stg_orders GROUP BY 1)
+LEFT JOIN (SELECT format('CUST-{{:06d}}', user_id) AS customer_id, CAST(min(ts) - INTERVAL {C.EVENT_YEARS_BACK} YEAR AS DATE) AS first_signup
+           FROM events WHERE event_type = 'signup' GROUP BY user_id) USING (customer_id)""", big=("longest_gap_days",))
+
+dq("dq_freshness_all", Q.freshness_of_all, " UNION ALL ".join(
+    f"SELECT '{name}' AS table_name, count(*) AS rows, " + (f"CAST(min({date}) AS DATE) AS earliest, CAST(max({date}) AS DATE) AS latest" if date else "CAST(NULL AS DATE) AS earliest, CAST(NULL AS DATE) AS latest") + f" FROM {name}"
+    for name, date in {**Q.DATES, "running_totals": "movement_date", "balance_offset": "snapshot_date", "inventory_spine": "balance_date", "ar_spine": "snapshot_date", "fact_inventory_daily": "balance_date", "fact_ar_aging_daily": "snapshot_date"}.items()))
+
 dq("dq_shared_order_quantity", Q.shared_order_quantity, """
 SELECT quantity_ordered, count(DISTINCT product_id) AS products, count(*) AS purchase_orders
 FROM stg_purchase_orders GROUP BY 1""", big=("quantity_ordered",))

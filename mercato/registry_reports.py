@@ -140,3 +140,40 @@ SELECT return_id, order_id, s.shipment_id, carrier, service_level, is_cross_bord
        date_diff('day', CAST(delivered_date AS DATE), CAST(return_date AS DATE)) AS days_after_delivery, returned_quantity, return_rate AS product_return_rate
 FROM stg_returns r JOIN (SELECT * FROM stg_shipments WHERE shipment_status = 'Delivered') s USING (order_id) LEFT JOIN stg_products USING (product_id)""",
     big=("returned_quantity",), tags=("fulfilment",)))
+
+# -- the daily inventory by month -------------------------------------------------------
+
+
+def inventory_monthly(m: Model):
+    """The dense fact per warehouse and month: sums and a checksum of its keys."""
+    f = m.fact_inventory_daily
+    return f.groupBy("warehouse_id", F.trunc("balance_date", "MM").alias("balance_month")).agg(
+        F.count(F.lit(1)).alias("rows"), F.min("balance_date").alias("first_day"), F.max("balance_date").alias("last_day"), F.sum("quantity_on_hand").alias("quantity_on_hand"),
+        F.sum("units_sold_qty").alias("units_sold_qty"), F.sum("units_returned_qty").alias("units_returned_qty"), F.sum("units_received_qty").alias("units_received_qty"),
+        F.sum(F.col("inventory_fact_key") % 1000003).alias("key_checksum"), F.sum(F.col("product_key") % 10007 + F.col("warehouse_key") % 10007 + F.col("snapshot_date_key")).alias("dimension_checksum"))
+
+
+_SUMS = ("quantity_on_hand", "units_sold_qty", "units_returned_qty", "units_received_qty")
+register("fact_inventory_daily", Query(inventory_monthly, f"""
+SELECT warehouse_id, CAST(date_trunc('month', balance_date) AS DATE) AS balance_month, count(*) AS rows, min(balance_date) AS first_day, max(balance_date) AS last_day,
+       {", ".join(f"sum({c}) AS {c}" for c in _SUMS)}, sum(inventory_fact_key % 1000003) AS key_checksum,
+       sum(product_key % 10007 + warehouse_key % 10007 + snapshot_date_key) AS dimension_checksum
+FROM fact_inventory_daily GROUP BY 1, 2""", big=(*_SUMS, "key_checksum", "dimension_checksum"), tags=("fact",)))
+
+
+def stockouts_by_product(m: Model):
+    """Months in which a stocked pair ran out: days out of stock and days stocked,
+    per warehouse and product, from the intervals cut into months."""
+    iv = m.inventory_intervals.where("valid_from <= valid_to")
+    months = iv.withColumn("report_month", F.explode(F.sequence(F.trunc("valid_from", "MM"), F.trunc("valid_to", "MM"), F.expr("INTERVAL 1 MONTH"))))
+    days = (F.datediff(F.least("valid_to", F.last_day("report_month")), F.greatest("valid_from", "report_month")) + 1).cast("bigint")
+    agg = months.groupBy("report_month", "warehouse_id", "product_id").agg(
+        F.sum(days).alias("stocked_days"), F.sum(F.when(F.col("quantity_on_hand") <= 0, days).otherwise(0)).alias("stockout_days"),
+        F.sum(days * F.col("quantity_on_hand")).alias("unit_days"))
+    return agg.where("stockout_days > 0")
+
+
+register("mart_stockouts_by_product_monthly", Query(stockouts_by_product, """
+SELECT CAST(date_trunc('month', balance_date) AS DATE) AS report_month, warehouse_id, product_id, count(*) AS stocked_days,
+       count(*) FILTER (WHERE quantity_on_hand <= 0) AS stockout_days, sum(quantity_on_hand) AS unit_days
+FROM fact_inventory_daily GROUP BY 1, 2, 3 HAVING stockout_days > 0""", big=("unit_days",), tags=("mart",)))

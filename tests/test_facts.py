@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from mercato.operators.core import lookup_key, unique_by
 from mercato.sources.ingest import write_partitioned_by_month
+from paths import SF_SMALL
 
 
 def _plan(df):
@@ -53,3 +54,28 @@ def test_a_hot_day_spreads_and_months_prune(spark):
     assert back.count() == 40_301
     march = back.where("month = '2024-03'")
     assert march.count() == 40_031 and "PartitionFilters: [isnotnull(month" in _plan(march)
+
+
+def test_dates_outside_the_calendar_get_the_unknown_member(spark):
+    import datetime as dt
+    from mercato.plans.model import Model
+    m = Model(spark, SF_SMALL)
+    df = spark.createDataFrame([(dt.date(1980, 5, 1),), (dt.date(1997, 5, 1),), (None,), (dt.date(2150, 1, 1),)], "d date")
+    assert [r.k for r in df.select(m.calendar_key("d").alias("k")).collect()] == [-1, 19970501, -1, -1]
+    assert (m.sim_start, m.sim_end) == (dt.date(1995, 1, 1), dt.date(2001, 12, 31))      # the orders' years
+    assert Model(spark, SF_SMALL, sim_end=dt.date(1999, 6, 30)).sim_end == dt.date(1999, 6, 30)
+
+
+def test_spans_come_from_the_footers(spark):
+    from mercato.plans.quality_suite import footers, span
+    path = os.path.join(tempfile.mkdtemp(prefix="mercato-footer-"), "t")
+    spark.range(1000).selectExpr("DATE'2024-01-01' + CAST(id % 90 AS INT) AS d", "id").write.parquet(path)
+    with footers(spark):
+        df = span(spark.read.parquet(path), "d")
+        assert "PushedAggregation: [COUNT(*), MIN(d), MAX(d)]" in _plan(df)
+        row = df.first()
+    assert (row["rows"], str(row.earliest), str(row.latest)) == (1000, "2024-01-01", "2024-03-30")
+    from mercato.plans.quality_suite import footer_span
+    spark.sql("SELECT CAST(NULL AS DATE) AS d, 1L AS id").write.mode("append").parquet(path)
+    assert tuple(map(str, footer_span(spark, path, "d"))) == ("1001", "2024-01-01", "2024-03-30")
+    assert "PushedAggregation" not in _plan(span(spark.read.parquet(path), "d"))
