@@ -25,13 +25,16 @@ def got(df):
     return sorted(tuple(r[c] for c in ("query_id", "rank", "vec_id", "score")) for r in df.collect())
 
 
-def test_top_k_equals_brute_force(llm, folder, monkeypatch):
+def test_top_k_equals_brute_force(llm):
     rows = [(r.vec_id, r.embedding) for r in llm.read.parquet(f"{SMALL}/embeddings.parquet").collect()]
     assert got(op6_top_k(llm, SMALL)) == plain_top(rows)
 
 
-def test_top_k_odd_rows(llm, folder, monkeypatch):
-    monkeypatch.setattr(kdtree, "SHARD", 40)
+@pytest.mark.parametrize(("cell", "piece", "block"), [(40, 1000, 1000), (10, 7, 2), (1000, 30, 1)])
+def test_top_k_odd_rows(llm, folder, monkeypatch, cell, piece, block):
+    """Few and many cells, cells cut into pieces (the repeated vector's is), queries cut into blocks."""
+    for name, value in (("CELL", cell), ("PIECE", piece), ("BLOCK", block), ("LEAF", 8)):
+        monkeypatch.setattr(kdtree, name, value)
     draw = np.random.default_rng(3)
     rows = [(i, draw.integers(-3, 4, 4).astype(float).tolist()) for i in range(150)]
     rows += [(i, [1.0, 2.0, -1.0, 0.5]) for i in range(150, 260)]  # one vector many times: ties
@@ -41,6 +44,43 @@ def test_top_k_odd_rows(llm, folder, monkeypatch):
     assert op6_top_k(llm, folder(embeddings=df.limit(0))).count() == 0
 
 
+def test_cells_and_bounds_prune_on_clustered_vectors(llm, monkeypatch):
+    """Copies of queries and visited points stay well under all of them; uniform
+    vectors in many dimensions can't be pruned by any box and stay exact."""
+    monkeypatch.setattr(kdtree, "CELL", 64)
+    draw = np.random.default_rng(6)
+    centres = draw.normal(0, 1, (40, 16)) * 3
+    rows = [(i, (centres[i % 40] + draw.normal(0, 0.15, 16)).tolist()) for i in range(4000)]
+    df = llm.createDataFrame(rows, "vec_id long, embedding array<double>")
+    assert got(kdtree.top_k(df)) == plain_top(rows)
+    dealt = kdtree.deal(kdtree.usable(df, "vec_id", "embedding"), kdtree.choose_cells(kdtree.usable(df, "vec_id", "embedding")))
+    cells = dealt.select("cell").distinct().count()
+    found = kdtree.all_candidates(df, 50, 5).groupBy("rid").count()
+    met = found.agg(F.sum("count")).first()[0] / (80 * 5)     # pieces that held candidates of a query
+    assert cells > 30 and met < 0.25 * cells
+    box = kdtree.boxes(dealt)[16]
+    sizes = {r.cell: r["count"] for r in dealt.groupBy("cell").count().collect()}
+    best = {}
+    for q, _, _, score in got(kdtree.top_k(df)):
+        best[q] = min(score, best.get(q, score))
+    vectors = np.floor(256 * np.array([v for i, v in rows if i % 50 == 0]))
+    reached = kdtree.box_bounds(vectors, box[1], box[2]) >= np.array([best[i] for i, _ in rows if i % 50 == 0])[:, None]
+    share = (reached * np.array([sizes[c] for c in box[0].tolist()])).sum() / (len(vectors) * len(rows))
+    assert share < 0.3, share
+
+
+def test_cells_part_points_and_ties():
+    draw = np.random.default_rng(4)
+    for points in (draw.normal(0, 1, (1000, 5)), np.ones((50, 3)), np.zeros((0, 3)), np.repeat([[0.0, 1.0], [0.0, 2.0]], [90, 10], 0)):
+        cells = kdtree.Cells(points, 4)
+        of = cells.of(points)
+        assert ((of >= 0) & (of < 16)).all()
+        if len(points) == 1000:
+            assert np.bincount(of, minlength=16).min() > 40
+        if points.shape == (100, 2):
+            assert len(np.unique(of)) == 2
+
+
 def test_bounds_hold_for_every_point():
     draw = np.random.default_rng(4)
     tree = kdtree.Tree(np.arange(500), draw.integers(-50, 50, (500, 6)).astype(float), 8)
