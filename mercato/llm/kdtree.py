@@ -161,10 +161,11 @@ def matrix(column: pa.Array, dim: int) -> np.ndarray:
     return np.asarray(column.flatten(), np.float64).reshape(-1, dim)
 
 
-def choose_cells(rows: DataFrame) -> dict[int, Cells]:
+def choose_cells(rows: DataFrame, total: int) -> dict[int, Cells]:
     """Cells for each length of vectors that the sample holds."""
-    total = rows.count()
     depth = max(0, min(CELLS.bit_length() - 1, (-(-total // CELL) - 1).bit_length()))
+    if not depth:
+        return {}
     sample = rows.orderBy(F.xxhash64("id"), "id").limit(SAMPLE).select("dim", "v").collect()
     return {dim: Cells(np.array([r.v for r in sample if r.dim == dim]), depth) for dim in {r.dim for r in sample}}
 
@@ -186,7 +187,7 @@ def deal(rows: DataFrame, cells: dict[int, Cells]) -> DataFrame:
     return written(numbered.mapInArrow(run, "rid long, id long, dim int, v array<double>, cell int"), "kd-cells")
 
 
-def pieces(dealt: DataFrame, every: int) -> DataFrame:
+def pieces(dealt: DataFrame) -> DataFrame:
     """(dim, cell, parts): into how many pieces each cell is cut."""
     return dealt.groupBy("dim", "cell").agg(F.ceil(F.count("*") / PIECE).cast("int").alias("parts"))
 
@@ -307,8 +308,13 @@ def all_candidates(df: DataFrame, every: int, k: int, vec_id: str = "vec_id", ve
     """At most ``k`` candidates of each query from each piece that can hold one of its best."""
     spark = df.sparkSession
     rows = usable(df, vec_id, vector)
-    dealt = deal(rows, choose_cells(rows))
-    cut = pieces(dealt, every)
+    total = rows.count()
+    cells = choose_cells(rows, total)
+    dealt = deal(rows, cells)
+    if not cells and total <= PIECE:  # all in one piece
+        whole = dealt.select("rid", "id", "dim", "v", "cell", F.lit(0).alias("piece"), F.lit(0).alias("block"))
+        return search_pieces(whole, whole.where(F.col("id") % every == 0).withColumn("least", F.lit(None).cast("long")), k)
+    cut = pieces(dealt)
     of_row = F.pmod(F.xxhash64("rid"), F.col("parts")).cast("int")
     points = dealt.join(cut, ["dim", "cell"]).withColumn("piece", of_row).drop("parts")
     asked = points.where(F.col("id") % every == 0).withColumn("least", F.lit(None).cast("long"))

@@ -53,7 +53,7 @@ def test_cells_and_bounds_prune_on_clustered_vectors(llm, monkeypatch):
     rows = [(i, (centres[i % 40] + draw.normal(0, 0.15, 16)).tolist()) for i in range(4000)]
     df = llm.createDataFrame(rows, "vec_id long, embedding array<double>")
     assert got(kdtree.top_k(df)) == plain_top(rows)
-    dealt = kdtree.deal(kdtree.usable(df, "vec_id", "embedding"), kdtree.choose_cells(kdtree.usable(df, "vec_id", "embedding")))
+    dealt = kdtree.deal(kdtree.usable(df, "vec_id", "embedding"), kdtree.choose_cells(kdtree.usable(df, "vec_id", "embedding"), len(rows)))
     cells = dealt.select("cell").distinct().count()
     found = kdtree.all_candidates(df, 50, 5).groupBy("rid").count()
     met = found.agg(F.sum("count")).first()[0] / (80 * 5)     # pieces that held candidates of a query
