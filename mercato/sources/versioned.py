@@ -58,6 +58,7 @@ class VersionedTable:
         self.spark, self.root = spark, root.rstrip("/")
         self.schema = schema if isinstance(schema, T.StructType) else T.StructType.fromDDL(schema)
         self.keys, self.order, self.bucket_rows = list(keys), list(order), bucket_rows
+        self._read: dict[int, Version] = {}  # versions never change
         self.spread = list(spread) or [f"`{k}`" for k in keys]
         self.stored = T.StructType([*self.schema.fields, T.StructField("_deleted", T.BooleanType()), T.StructField("_seq", T.LongType())])
 
@@ -85,10 +86,13 @@ class VersionedTable:
             number = known[-1]
         elif number not in known:
             raise ValueError(f"{self.root} has no version {number}")
+        if number in self._read:
+            return self._read[number]
         rows = self.spark.read.schema(MANIFEST).parquet(f"{self.root}/manifest/version={number}").collect()
         if rows[0].schema != self._signature():
             raise ValueError(f"{self.root} holds {rows[0].schema}, not {self._signature()}")
-        return Version(number, rows[0].batch, tuple(Bucket(r.modulus, r.remainder, r.folder, r["rows"]) for r in rows))
+        self._read[number] = Version(number, rows[0].batch, tuple(Bucket(r.modulus, r.remainder, r.folder, r["rows"]) for r in rows))
+        return self._read[number]
 
     def _signature(self) -> str:
         return ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in self.schema.fields)
@@ -113,6 +117,8 @@ class VersionedTable:
         """``df`` with the bucket of each row. The buckets part the hash's range,
         so of the moduli in use exactly one names a bucket that exists."""
         moduli = sorted({b.modulus for b in buckets})
+        if moduli == [1]:
+            return df.withColumns({"modulus": F.lit(1).cast("long"), "remainder": F.lit(0).cast("long")})
         known = self.spark.createDataFrame([(b.modulus, b.remainder) for b in buckets], "modulus long, remainder long")
         hashed = df.withColumn("_hash", F.xxhash64(*[F.expr(e) for e in self.spread]))
         tried = hashed.withColumn("modulus", F.explode(F.array(*[F.lit(m).cast("long") for m in moduli])))
