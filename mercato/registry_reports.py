@@ -7,6 +7,7 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from . import oracle as O
+from .functions.exprs import date_key
 from .plans import fulfilment as FU
 from .plans import reports as R
 from .plans.model import Model
@@ -145,12 +146,15 @@ FROM stg_returns r JOIN (SELECT * FROM stg_shipments WHERE shipment_status = 'De
 
 
 def inventory_monthly(m: Model):
-    """The dense fact per warehouse and month: sums and a checksum of its keys."""
-    f = m.fact_inventory_daily
-    return f.groupBy("warehouse_id", F.trunc("balance_date", "MM").alias("balance_month")).agg(
-        F.count(F.lit(1)).alias("rows"), F.min("balance_date").alias("first_day"), F.max("balance_date").alias("last_day"), F.sum("quantity_on_hand").alias("quantity_on_hand"),
-        F.sum("units_sold_qty").alias("units_sold_qty"), F.sum("units_returned_qty").alias("units_returned_qty"), F.sum("units_received_qty").alias("units_received_qty"),
-        F.sum(F.col("inventory_fact_key") % 1000003).alias("key_checksum"), F.sum(F.col("product_key") % 10007 + F.col("warehouse_key") % 10007 + F.col("snapshot_date_key")).alias("dimension_checksum"))
+    """The dense fact per warehouse and month: sums and a checksum of its keys.
+    The dense rows are summed by day, the days by month."""
+    sums = ["quantity_on_hand", "units_sold_qty", "units_returned_qty", "units_received_qty", "key_checksum", "dimension_checksum"]
+    f = m.fact_inventory_daily.withColumn("key_checksum", F.col("inventory_fact_key") % 1000003).withColumn(
+        "dimension_checksum", F.col("product_key") % 10007 + F.col("warehouse_key") % 10007)
+    days = f.groupBy("warehouse_id", "balance_date").agg(F.count(F.lit(1)).alias("rows"), *[F.sum(c).alias(c) for c in sums])
+    days = days.withColumn("dimension_checksum", F.col("dimension_checksum") + F.col("rows") * date_key("balance_date"))
+    return days.groupBy("warehouse_id", F.trunc("balance_date", "MM").alias("balance_month")).agg(
+        F.sum("rows").alias("rows"), F.min("balance_date").alias("first_day"), F.max("balance_date").alias("last_day"), *[F.sum(c).alias(c) for c in sums])
 
 
 _SUMS = ("quantity_on_hand", "units_sold_qty", "units_returned_qty", "units_received_qty")

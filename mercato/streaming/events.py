@@ -192,8 +192,8 @@ def dedup_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # -- arrivals: the events in the order in which they come in ----------------------------
 
-# Chosen values: an event is up to 12 hours under way (by its ``k``), and the job runs every eight days.
-ARRIVAL_HOURS, ARRIVAL_STEP, RUN_DAYS = 3, 20, 8
+# Chosen values: an event is up to 12 hours under way (by its ``k``), and the job runs every fifteen days.
+ARRIVAL_HOURS, ARRIVAL_STEP, RUN_DAYS = 3, 20, 15
 
 
 def arrivals(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
