@@ -12,12 +12,19 @@ bits name a *shard*, and every link lies inside some shard. A shard's distinct
 fingerprints form a BK-tree (children keyed by their integer Hamming distance
 to the parent); a search follows only edges whose key is within the radius of
 the distance to the parent. The trees of all shards grow with the corpus, so
-they are not broadcast whole: fingerprints and trees meet by shard key. A
-shard above ``TILE`` fingerprints is cut into tiles, and a pair of tiles is a
-unit of work (the tree of one, searched by the other), so no task holds an
-unbounded group. What leaves a unit is a star per local component, never all
-pairs. ``blocks`` grows with the number of fingerprints to keep shards small;
-any choice gives the same links.
+they are not broadcast whole: fingerprints and trees meet by shard key. What
+leaves a shard is a star per local component, never all pairs. ``blocks`` grows
+with the number of fingerprints to keep shards small; any choice gives the same
+links.
+
+A shard above ``TILE`` fingerprints (many texts that lie near each other) is
+split by further bits: its members agree in the shard's bits, so linked ones
+differ in at most ``radius`` of the free bits. These are dealt into blocks
+again, and each choice of them names a smaller shard, for the same reason. This
+is done ``DEEPER`` times at most, each time only for the shards still above
+``TILE``. A shard that is large even then is cut into tiles, and a pair of
+tiles is a unit of work (the tree of one, searched by the other), so no task
+holds an unbounded group.
 
 Exact copies share a fingerprint and are collapsed before the search.
 
@@ -37,6 +44,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from mercato.llm.common import by_batch, row_key, utf8, written
 from mercato.llm.graph import components
@@ -47,6 +55,10 @@ TILE = 4096
 #: Mean fingerprints of a shard beyond which more blocks are used.
 MEAN_SHARD = 256
 
+#: Times that a large shard is split by further bits, and the blocks its free
+#: bits are dealt into beyond the radius.
+DEEPER, SPARE = 2, 3
+
 
 def shingle_hashes(text: bytes, width: int) -> list[int]:
     words = text.lower().split()
@@ -140,11 +152,17 @@ def star_edges(tree_of: list[int], searched_by: list[int] | None, radius: int) -
     return [(x, root) for x in parent if (root := find(x)) != x]
 
 
-def shard_masks(blocks: int, radius: int) -> list[int]:
-    """A bit mask for every choice of ``blocks - radius`` blocks."""
-    edges = [round(64 * i / blocks) for i in range(blocks + 1)]
-    each = [(1 << hi) - (1 << lo) for lo, hi in zip(edges, edges[1:], strict=False)]
-    return [sum(choice) for choice in combinations(each, blocks - radius)]
+def shard_masks(blocks: int, radius: int, within: int = 0) -> list[int]:
+    """A bit mask for every choice of ``blocks - radius`` blocks of the bits
+    that are free in ``within``, each with the bits of ``within``."""
+    free = [1 << i for i in range(64) if not within >> i & 1]
+    edges = [round(len(free) * i / blocks) for i in range(blocks + 1)]
+    each = [sum(free[lo:hi]) for lo, hi in zip(edges, edges[1:], strict=False)]
+    return [within | sum(choice) for choice in combinations(each, blocks - radius)]
+
+
+def signed(mask: int) -> int:
+    return mask - (1 << 64) if mask >> 63 else mask
 
 
 def block_count(n: int, radius: int) -> int:
@@ -155,23 +173,38 @@ def block_count(n: int, radius: int) -> int:
     return radius + 4
 
 
+FINER = T.StructType([T.StructField("mask", T.LongType()), T.StructField("finer", T.LongType())])
+
+
 def links(prints: DataFrame, radius: int = 3, fp: str = "fp") -> DataFrame:
     """(a, b): star edges whose components are those of all links between the
     distinct fingerprints of ``prints``."""
     spark = prints.sparkSession
     distinct = written(prints.select(F.col(fp).alias("fp")).distinct(), "fingerprints")
     masks = shard_masks(block_count(distinct.count(), radius), radius)
-    keyed = distinct.select("fp", F.explode(F.array(*(
-        F.struct(F.lit(i).alias("choice"), F.col("fp").bitwiseAND(F.lit(mask - (1 << 64) if mask >> 63 else mask)).alias("bits"))
-        for i, mask in enumerate(masks)))).alias("s")).select("fp", "s.choice", "s.bits")
-    large = (keyed.groupBy("choice", "bits").count().where(F.col("count") > TILE)
-             .select("choice", "bits", F.ceil(F.col("count") * 1.25 / TILE).cast("int").alias("tiles")))
-    tiled = keyed.join(large, ["choice", "bits"], "left").select(
-        "choice", "bits", "fp", F.coalesce("tiles", F.lit(1)).alias("tiles"),
-        F.pmod(F.xxhash64("fp"), F.coalesce("tiles", F.lit(1))).cast("int").alias("tile"))
-    units = tiled.select("choice", "bits", "fp", "tile", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)).alias("other")).select(
-        "choice", "bits", F.least("tile", "other").alias("t"), F.greatest("tile", "other").alias("u"), "tile", "fp")
-    key = ["choice", "bits", "t", "u"]
+    shards = distinct.select("fp", F.explode(F.array(*(F.lit(signed(m)) for m in masks))).alias("mask"))
+    shards = shards.select("mask", F.col("fp").bitwiseAND(F.col("mask")).alias("bits"), "fp")
+    small = []
+    for _ in range(DEEPER + 1):
+        large = written(shards.groupBy("mask", "bits").count().where(F.col("count") > TILE), "large-shards")
+        if large.isEmpty() or len(small) == DEEPER:
+            break
+        small.append(shards.join(large, ["mask", "bits"], "left_anti"))
+        # the masks follow from the blocks alone, so their number is bounded whatever the data
+        finer = {m: shard_masks(radius + SPARE, radius, m) for m in masks if m.bit_count() < 64}
+        masks = sorted({f for each in finer.values() for f in each})
+        table = spark.createDataFrame([(signed(m), signed(f)) for m, each in finer.items() for f in each], FINER)
+        shards = (shards.join(large.select("mask", "bits"), ["mask", "bits"]).join(F.broadcast(table), "mask")
+                  .select(F.col("finer").alias("mask"), F.col("fp").bitwiseAND(F.col("finer")).alias("bits"), "fp").distinct())
+        shards = written(shards, "finer-shards")
+    tiles = large.select("mask", "bits", F.ceil(F.col("count") * 1.25 / TILE).cast("int").alias("tiles"))
+    tiled = shards.join(tiles, ["mask", "bits"], "left").select("mask", "bits", "fp", F.coalesce("tiles", F.lit(1)).alias("tiles"))
+    for part in small:
+        tiled = tiled.union(part.select("mask", "bits", "fp", F.lit(1).alias("tiles")))
+    tiled = tiled.withColumn("tile", F.pmod(F.xxhash64("fp"), F.col("tiles")).cast("int"))
+    units = tiled.select("mask", "bits", "fp", "tile", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)).alias("other")).select(
+        "mask", "bits", F.least("tile", "other").alias("t"), F.greatest("tile", "other").alias("u"), "tile", "fp")
+    key = ["mask", "bits", "t", "u"]
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -1,6 +1,7 @@
 from itertools import combinations
 
 import numpy as np
+import pytest
 import xxhash
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -85,8 +86,26 @@ def test_shards_hold_every_link():
             assert any(x & m == y & m for m in masks)
 
 
-def test_large_shards_are_tiled_without_losing_links(llm, monkeypatch):
+def test_finer_shards_hold_every_link_of_their_shard():
+    """Also where fewer free bits are left than there are blocks."""
+    draw = np.random.default_rng(4)
+    for within in (simhash.shard_masks(4, 3)[1], simhash.shard_masks(7, 3)[5], (1 << 64) - 1 - (1 << 63 | 1 << 20 | 7), (1 << 64) - 1):
+        masks = simhash.shard_masks(6, 3, within)
+        free = [i for i in range(64) if not within >> i & 1]
+        assert all(m & within == within for m in masks)
+        for _ in range(200):
+            x = int(draw.integers(0, 2**63))
+            y = x
+            for b in draw.choice(free, min(3, len(free)), replace=False).tolist() if free else []:
+                y ^= 1 << b
+            assert any(x & m == y & m for m in masks)
+
+
+@pytest.mark.parametrize("deeper", [0, 1, 2])
+def test_large_shards_lose_no_links(llm, monkeypatch, deeper):
+    """Tiles alone, and tiles of what one or two splits leave large."""
     monkeypatch.setattr(simhash, "TILE", 8)
+    monkeypatch.setattr(simhash, "DEEPER", deeper)
     draw = np.random.default_rng(2)
     values = {0}
     while len(values) < 120:  # one dense cluster: most share a block of bits
