@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import threading
 import uuid
 import zipfile
 from collections.abc import Callable, Iterator
@@ -21,6 +22,16 @@ BATCH_ROWS = 512
 _SHIPPED: set[str] = set()
 
 
+class Made(threading.local):
+    """Folders that ``written`` made in this thread and ``discard`` has not removed."""
+
+    def __init__(self):
+        self.paths: list[str] = []
+
+
+_MADE = Made()
+
+
 def prepare(spark: SparkSession) -> SparkSession:
     """Make this package importable on the executors and bound Arrow batches."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
@@ -53,10 +64,28 @@ def written(df: DataFrame, name: str, codec: str = "zstd") -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    _MADE.paths.append(path)
     df.write.option("compression", codec).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def intermediates() -> list[str]:
+    """The tables that operators wrote in this thread and that still exist, oldest first."""
+    return list(_MADE.paths)
+
+
+def discard(spark: SparkSession, paths: list[str]) -> None:
+    """Remove tables that ``written`` made, once nothing reads them any more.
+
+    Results of the operators are lazy, so write them first. Paths that are not
+    among ``intermediates()`` are left alone.
+    """
+    for path in set(paths) & set(_MADE.paths):
+        where = spark._jvm.org.apache.hadoop.fs.Path(path)
+        where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+        _MADE.paths.remove(path)
+
+
 def free_name(df: DataFrame, name: str) -> str:
     """``name``, lengthened until no column of ``df`` bears it in any case."""
     taken = {c.lower() for c in df.columns}

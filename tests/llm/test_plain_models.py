@@ -2,6 +2,7 @@
 against a join of windows without hashes; the pipeline's stages on odd rows."""
 
 import math
+import os
 from collections import Counter
 
 import corpus_pipeline
@@ -11,6 +12,7 @@ import pytest
 from mercato.llm import decontaminate as dc
 from mercato.llm import interpolated_lm as lm
 from mercato.llm import quality, toxicity
+from mercato.llm.common import discard, intermediates
 from test_scores import crc
 
 RNG = np.random.default_rng(11)
@@ -213,7 +215,13 @@ def test_stages_on_odd_rows_and_empty_tables(llm, make_docs, odd_texts, folder):
         left = [r.text or "" for r in frame.collect()]
         assert any(not t.strip() for t in left), name
     assert len(left) < len(texts) and texts[-1] not in left and odd_texts[6] in left
-    done = corpus_pipeline.run(llm, place).collect()
+    before = intermediates()
+    result = corpus_pipeline.run(llm, place)
+    *kept, last = intermediates()  # of all that the run wrote only what its last stage reads is left
+    assert kept == before and "pipeline-benchmark_decontamination" in last
+    done = result.collect()
     assert len(done) == len(left) and min(r.n_tokens for r in done) == 0
+    discard(llm, [last, place])
+    assert intermediates() == before and not os.path.exists(last) and os.path.exists(place)
     empty = folder(documents=make_docs([]), labels=labels, benchmark=items.limit(0))
     assert corpus_pipeline.run(llm, empty).count() == 0
