@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from mercato.llm import byte_bpe, decontaminate, simhash, suffix_dedup, toxicity
-from mercato.llm.common import prepare, row_key, table, written
+from mercato.llm.common import discard, intermediates, prepare, row_key, table, written
 from mercato.llm.queries import RANKS, digests
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -70,9 +70,15 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages; what each returns is written as Parquet and read again."""
+    """All stages; what each returns is written as Parquet and read again. Once
+    that is done the tables that the stage worked with are removed, the one it
+    read included, so the shared folder holds one stage's tables at a time. What
+    the last stage reads stays; ``intermediates()`` names it."""
     prepare(spark)
     docs = table(spark, sf_dir, "documents")
+    others = set(intermediates())
     for name, stage in STAGES[:-1]:
         docs = written(stage(spark, docs, sf_dir), f"pipeline-{name}", "snappy")
+        *worked_with, _ = intermediates()
+        discard(spark, [path for path in worked_with if path not in others])
     return STAGES[-1][1](spark, docs, sf_dir)
