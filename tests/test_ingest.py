@@ -43,3 +43,25 @@ def test_incremental_changes_inserts_and_updates(spark):
     got = {r.product_id: r.change_type for r in incremental_changes(
         old, new, "product_id", ["lifecycle_status", "discontinued_date", "is_currently_sellable"]).collect()}
     assert got == {"P2": "update", "P3": "insert"}
+
+
+def test_round_trip_compresses_the_csv_and_keeps_none(spark, monkeypatch):
+    from mercato.sources import ingest
+
+    class Raw:
+        def __init__(self):
+            self.spark = spark
+
+        def raw(self, name):
+            return spark.createDataFrame([(f"{name}-{i}", i) for i in range(5)], SCHEMA)
+
+    root, seen = tempfile.mkdtemp(prefix="mercato-landing-"), []
+    load = ingest._load_one
+    monkeypatch.setattr(ingest, "scratch_dir", lambda *_: root)
+    monkeypatch.setattr(ingest, "_load_one", lambda s, table, path, *a: (seen.extend(os.listdir(path) if os.path.isdir(path) else []), load(s, table, path, *a))[1])
+    audit = {r.table_name: (r.status, r.rows) for r in ingest.round_trip_landing(Raw(), ["a", "b"]).collect()}
+    assert audit == {"a": ("loaded", 5), "b": ("loaded", 5), "missing_example": ("missing", None)}
+    data = [f for f in seen if f.startswith("part-")]
+    assert data and all(f.endswith(".csv.gz") for f in data)
+    assert not os.path.isdir(os.path.join(root, "csv")) or os.listdir(os.path.join(root, "csv")) == []
+    assert spark.read.parquet(os.path.join(root, "parquet", "a")).count() == 5
