@@ -93,3 +93,29 @@ def test_language_model_odd_rows(llm, make_docs, odd_texts, folder):
     one = next(i for i in range(99) if crc(i, 5) == 1)
     row = op9_interpolated_lm(llm, folder(documents=make_docs(["only held out"], [one]))).first()
     assert row.n_known == 0 and row.train_tokens == 0 and math.isfinite(row.score)
+
+
+def test_models_learn_from_every_labelled_document(llm, make_docs, monkeypatch):
+    """The telling word is only in documents past the 12,000 smallest id hashes."""
+    order = [r.id for r in llm.range(12_400).orderBy(F.xxhash64("id")).collect()]
+    late = set(order[12_000:])
+    docs = make_docs([f"a plain text {i % 7}. " + ("you vile thing." if i in late else "all is well.") for i in range(12_400)])
+    labels = llm.createDataFrame([(i, int(i in late)) for i in range(12_400)], "doc_id long, toxic int")
+    monkeypatch.setattr(toxicity, "GROUP", 4_000)  # three groups
+    model = toxicity.train(docs, labels, lambda _: F.lit(True))
+    assert model.weight(b"vile") > 1
+    assert {r.doc_id for r in toxicity.score(docs, model).where("toxicity >= 0.5").select("doc_id").collect()} == late
+
+
+def test_quality_groups_hold_every_labelled_document(llm, make_docs, monkeypatch):
+    texts = ["Good prose, with marks. " * (2 + i % 5) if i % 40 else "zzz 111 !!! " * (3 + i % 7) for i in range(400)]
+    docs, labels = make_docs(texts), llm.createDataFrame([(i, int(i % 40 > 0)) for i in range(400)], "doc_id long, quality int")
+    monkeypatch.setattr(quality, "GROUP", 100)
+    monkeypatch.setattr(quality, "RARE", 4)
+    groups, real = [], quality.dealt
+    monkeypatch.setattr(quality, "dealt", lambda *a: (groups.extend(real(*a).collect()), real(*a))[1])
+    model = quality.train(docs, labels, lambda _: F.lit(True))
+    held = [np.frombuffer(r["rows"], "<f8").reshape(r.n, -1)[:, 0] for r in groups]
+    assert len(held) == 4 and sum((y == 1).sum() for y in held) == 390 and all(2 <= (y == 0).sum() <= 10 for y in held)
+    predicted = {r.doc_id for r in quality.score(docs, model).where("quality_score < 0.5").select("doc_id").collect()}
+    assert predicted == set(range(0, 400, 40))
