@@ -79,3 +79,21 @@ def test_spans_come_from_the_footers(spark):
     spark.sql("SELECT CAST(NULL AS DATE) AS d, 1L AS id").write.mode("append").parquet(path)
     assert tuple(map(str, footer_span(spark, path, "d"))) == ("1001", "2024-01-01", "2024-03-30")
     assert "PushedAggregation" not in _plan(span(spark.read.parquet(path), "d"))
+
+
+def test_materialised_facts_are_sorted_files_without_a_range_shuffle(spark, monkeypatch):
+    """Each file of a fact is sorted by its date, and no range partitioning moves its rows."""
+    import pyarrow.parquet as pq
+    from pyspark.sql import DataFrame
+
+    from mercato.plans.model import Model
+
+    monkeypatch.setattr(DataFrame, "repartitionByRange", lambda *a, **k: (_ for _ in ()).throw(AssertionError("range shuffle")))
+    m = Model(spark, SF_SMALL, materialize=True)
+    assert m.fact_sales.count() == spark.read.parquet(f"{SF_SMALL}/lineitem.parquet").count()
+    files = glob.glob(os.path.join(m.table_path("fact_sales"), "*.parquet"))
+    assert files
+    for f in files:
+        dates = pq.read_table(f, columns=["order_date"])["order_date"].to_pylist()
+        assert dates == sorted(dates)
+        assert {pq.ParquetFile(f).metadata.row_group(0).column(0).compression} == {"ZSTD"}
