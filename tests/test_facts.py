@@ -97,3 +97,37 @@ def test_materialised_facts_are_sorted_files_without_a_range_shuffle(spark, monk
         dates = pq.read_table(f, columns=["order_date"])["order_date"].to_pylist()
         assert dates == sorted(dates)
         assert {pq.ParquetFile(f).metadata.row_group(0).column(0).compression} == {"ZSTD"}
+
+
+def test_ids_are_those_of_the_formatter(spark):
+    from mercato.sources.domain import _id, line_id
+    df = spark.createDataFrame([(7, 1, 2, 3, "1997-03-04"), (1_000_000, 1, 2, 3, None), (-5, None, None, 0, "2001-12-31"), (None, 1, 2, 3, "1997-03-04")],
+                               "l_orderkey long, l_linenumber int, l_partkey long, l_suppkey long, d string").withColumn("l_shipdate", F.to_date("d"))
+    old = F.format_string("OI-%d-%d-%d-%d-%s", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", F.date_format("l_shipdate", "yyyyMMdd"))
+    for r in df.select(_id("PRD-%06d", "l_orderkey").alias("a"), F.format_string("PRD-%06d", "l_orderkey").alias("b"), line_id("OI").alias("c"), old.alias("d")).collect():
+        assert (r.a, r.c) == (r.b, r.d)
+    assert df.select(_id("+65-%08d", "l_orderkey").alias("a")).first().a == "+65-00000007"
+    assert "format_string" not in _plan(df.select(line_id("OI")))
+
+
+def test_columns_of_lines_are_not_written_again(spark):
+    from mercato.plans.model import Model
+    m = Model(spark, SF_SMALL, materialize=True)
+    n = spark.read.parquet(f"{SF_SMALL}/lineitem.parquet").count()
+    assert m.stg("stg_order_items").count() == n and m.stg("stg_inventory_movements").count() > 0
+    written = set(os.listdir(m.raw._store.removeprefix("file://").removeprefix("file:")))
+    assert {"lines", "purchase_orders"} <= written and not {"order_items", "returns", "inventory_movements"} & written
+
+
+def test_a_measured_lookup_is_broadcast(spark):
+    from mercato.operators.core import broadcast_if_small
+    usual = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        facts, dim = spark.range(100).select(F.col("id").cast("string").alias("nk")), spark.range(50).select(F.col("id").cast("string").alias("k"), "id")
+        assert "BroadcastHashJoin" in _plan(lookup_key(facts, dim, "nk", "k", "id", "key", measured=True))
+        assert "SortMergeJoin" in _plan(lookup_key(facts, dim, "nk", "k", "id", "key"))
+        assert "BroadcastHashJoin" in _plan(facts.join(broadcast_if_small(dim), facts.nk == dim.k, "left"))
+        assert "SortMergeJoin" in _plan(facts.join(broadcast_if_small(dim, limit=100), facts.nk == dim.k, "left"))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", usual)
