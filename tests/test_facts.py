@@ -119,6 +119,29 @@ def test_columns_of_lines_are_not_written_again(spark):
     assert {"lines", "purchase_orders"} <= written and not {"order_items", "returns", "inventory_movements"} & written
 
 
+def test_intervals_shuffle_their_days_once(spark):
+    from mercato.plans.model import Model
+    usual = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = Model(spark, SF_SMALL, materialize=True)
+        plan.movement_days, plan.balance_offset, plan.dim_product
+        plan.materialize = False
+        text = plan.inventory_intervals._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", usual)
+    lines = text.splitlines()
+    at = [i for i, line in enumerate(lines) if "- Window [" in line]
+    assert len(at) == 2                                         # next day above running sum
+    depth = [len(line) - len(line.lstrip(" :+-")) for line in lines]
+    path, low = [], depth[at[1]]                                # the operators from the lower window up
+    for i in range(at[1] - 1, at[0], -1):
+        if depth[i] < low:
+            path.append(lines[i])
+            low = depth[i]
+    assert not [line for line in path if "Exchange" in line]
+
+
 def test_a_measured_lookup_is_broadcast(spark):
     from mercato.operators.core import broadcast_if_small
     usual = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
