@@ -119,6 +119,12 @@ def test_columns_of_lines_are_not_written_again(spark):
     assert {"lines", "purchase_orders"} <= written and not {"order_items", "returns", "inventory_movements"} & written
 
 
+def test_receivables_find_their_customer_before_they_unfold(spark):
+    from mercato.plans.model import Model
+    plan = Model(spark, SF_SMALL).fact_ar_aging_daily._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Generate") < plan.index("Join")          # the join lies below the unfolding
+
+
 def test_intervals_shuffle_their_days_once(spark):
     from mercato.plans.model import Model
     usual = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
