@@ -49,9 +49,10 @@ GRAM = 32
 #: Occurrences of one anchor that a task sorts at most.
 HOT = 20_000
 
-#: Bytes of text hashed at once; longer texts are hashed in overlapping pieces.
-BUFFER_BITS = 21
-PIECE = 1 << 20
+#: Bytes of text hashed at once, few enough that the arrays over them stay in a
+#: core's cache; longer texts are hashed in overlapping pieces.
+BUFFER_BITS = 17
+PIECE = 1 << 16
 
 #: Contexts sorted at once (groups are never cut).
 CHUNK = 4096
@@ -63,23 +64,30 @@ BASE = 0x9E3779B97F4A7C15
 _POWERS: list[np.ndarray] = []
 
 
-def powers() -> tuple[np.ndarray, np.ndarray]:
-    """BASE**i and BASE**-i modulo 2**64."""
-    if not _POWERS:
+def powers(size: int) -> tuple[np.ndarray, np.ndarray]:
+    """BASE**i and BASE**-i modulo 2**64, for i up to ``size`` at least."""
+    if not _POWERS or len(_POWERS[0]) <= size:
+        made = []
         for base in (BASE, pow(BASE, -1, 1 << 64)):
-            table = np.full((1 << BUFFER_BITS) + 1, base, np.uint64)
+            table = np.full((1 << max(BUFFER_BITS, size.bit_length())) + 1, base, np.uint64)
             table[0] = 1
-            _POWERS.append(np.multiply.accumulate(table))
+            made.append(np.multiply.accumulate(table))
+        _POWERS[:] = made
     return _POWERS[0], _POWERS[1]
 
 
+def buffer_bits(length: int) -> int:
+    """A buffer has room for one piece at least."""
+    return max(BUFFER_BITS, (PIECE + length).bit_length())
+
+
 class Hashes:
     """Polynomial hashes of every substring of a buffer in constant time.
     ``place``: where each byte is in its own string, if the buffer holds
     several; substrings lie within one."""
 
     def __init__(self, data: np.ndarray, place: np.ndarray | None = None):
-        up, self.down = powers()
+        up, self.down = powers(len(data) if place is None else int(place.max(initial=0)))
         self.place = place
         self.prefix = np.zeros(len(data) + 1, np.uint64)
         np.cumsum((data.astype(np.uint64) + np.uint64(1)) * (up[:len(data)] if place is None else up[place[:-1]]), out=self.prefix[1:])
@@ -104,11 +112,11 @@ def sliding_least(values: np.ndarray, width: int) -> np.ndarray:
 
 def pieces(texts: list[bytes], length: int) -> Iterator[list[tuple[int, int, bytes]]]:
     """Buffers of (row, offset, bytes); pieces of one text share length - 1 bytes."""
-    held, size = [], 0
+    held, size, most = [], 0, 1 << buffer_bits(length)
     for row, text in enumerate(texts):
         for at in range(0, len(text) - length + 1, PIECE):
             part = text[at:at + PIECE + length - 1]
-            if size + len(part) >= 1 << BUFFER_BITS:
+            if held and size + len(part) >= most:
                 yield held
                 held, size = [], 0
             held.append((row, at, part))
@@ -128,7 +136,7 @@ def anchors(texts: list[bytes], length: int) -> dict[str, np.ndarray]:
         starts = np.cumsum(sizes) - sizes
         hashes = Hashes(data)
         grams = mixed((hashes.prefix[GRAM:] - hashes.prefix[:-GRAM]) * hashes.down[:len(data) - GRAM + 1])
-        low = np.uint64((1 << BUFFER_BITS) - 1)
+        low = np.uint64((1 << buffer_bits(length)) - 1)
         keys = (grams & ~low) | np.arange(len(grams), dtype=np.uint64)
         least = (sliding_least(keys, width) & low).astype(np.int64)  # anchor of the window at each start
         inside = np.ones(len(least), bool)
@@ -172,6 +180,15 @@ def suffix_order(first: np.ndarray, size: np.ndarray, less) -> np.ndarray:
     return order
 
 
+def distinct(rows: np.ndarray) -> np.ndarray:
+    """The distinct rows in order (``np.unique`` sorts rows as raw bytes, many
+    times slower than by their columns)."""
+    if not len(rows):
+        return rows
+    rows = rows[np.lexsort(rows.T[::-1])]
+    return rows[np.concatenate([[True], (rows[1:] != rows[:-1]).any(1)])]
+
+
 class Contexts:
     """Contexts of a few anchors, side by side. ``group`` is non-decreasing."""
 
@@ -184,21 +201,30 @@ class Contexts:
         place[:-1] = np.arange(len(self.data)) - np.repeat(self.start, self.size)
         self.hashes = Hashes(self.data, place)
         self.at, self.left, self.right = self.start + anchor, anchor, self.size - anchor
+        self.before, self.scale = self.hashes.prefix[self.at], self.hashes.down[anchor]
         new = np.flatnonzero(np.concatenate([[True], group[1:] != group[:-1]]))
         counts = np.diff(np.concatenate([new, [len(group)]]))
         self.first, self.count = np.repeat(new, counts), np.repeat(counts, counts)
 
     def extension(self, i: np.ndarray, j: np.ndarray, back: bool) -> np.ndarray:
-        """Common bytes of contexts i and j from the anchor on, or before it."""
-        x, y = self.at[i], self.at[j]
+        """Common bytes of contexts i and j from the anchor on, or before it.
+        Many agree as far as they go. For the others, hashes of strings that
+        start or end at the anchors are compared as if they started there: both
+        differ from ``Hashes.of`` by one odd factor, so they are equal alike."""
         side = self.left if back else self.right
-        lo, hi = np.zeros(len(i), np.int64), np.minimum(side[i], side[j])
+        out = np.minimum(side[i], side[j])
+        shift = out if back else 0
+        less = np.flatnonzero(self.hashes.of(self.at[i] - shift, out) != self.hashes.of(self.at[j] - shift, out))
+        i, j, prefix = i[less], j[less], self.hashes.prefix
+        x, y, x0, y0, sx, sy = self.at[i], self.at[j], self.before[i], self.before[j], self.scale[i], self.scale[j]
+        lo, hi = np.zeros(len(less), np.int64), out[less] - 1
         while (lo < hi).any():
-            mid = (lo + hi + 1) // 2
-            shift = mid if back else 0
-            same = self.hashes.of(x - shift, mid) == self.hashes.of(y - shift, mid)
+            mid = (lo + hi + 1) >> 1
+            step = -mid if back else mid
+            same = (prefix[x + step] - x0) * sx == (prefix[y + step] - y0) * sy
             lo, hi = np.where(same, mid, lo), np.where(same, hi, mid - 1)
-        return lo
+        out[less] = lo
+        return out
 
     def less(self, back: bool):
         side = self.left if back else self.right
@@ -258,7 +284,7 @@ class Contexts:
             for w, a, b in zip(*(v[index[who] >= 0] for v in (who, lo, hi)), strict=True):
                 left_open[index[w], a:b + 1] = False
             row, offset = np.nonzero(left_open)
-            wanted = np.unique(np.stack([self.first[part[row]], offset], 1), axis=0)
+            wanted = distinct(np.stack([self.first[part[row]], offset], 1))
             for piece in np.array_split(wanted, max(1, int(self.count[wanted[:, 0]].sum()) // 200_000)) if len(wanted) else []:
                 found, bad = self.equal_windows(piece)
                 spans.append(found)
@@ -267,7 +293,7 @@ class Contexts:
         if wrong:
             again = np.isin(self.group, list(wrong))
             out = np.concatenate([out[~again[out[:, 0]]], self.by_bytes(np.flatnonzero(again))])
-        return np.unique(out, axis=0)
+        return distinct(out)
 
     def equal_windows(self, wanted: np.ndarray) -> tuple[np.ndarray, set]:
         """Repeated windows among (group start, offset) pairs, and the groups

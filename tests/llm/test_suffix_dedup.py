@@ -91,3 +91,40 @@ def test_hash_collisions_are_caught(llm, make_docs, monkeypatch):
     want = {(m, b) for m, t in enumerate(texts) for i in range(len(t) - 199) for b in range(i, i + 200) if any(t[i:i + 200] == u[i:i + 200] for n, u in enumerate(texts) if n != m)
             } | {(m, b) for m, t in enumerate(texts) for i in range(len(t) - 199) if sum(t[i:i + 200] in u for u in texts) > 1 for b in range(i, i + 200)}
     assert gone == want
+
+
+def test_extensions_equal_the_common_bytes():
+    draw = random.Random(4)
+    contexts = [bytes(draw.choice(b"ab") for _ in range(draw.randint(0, 9))) + b"|" + bytes(draw.choice(b"ab") for _ in range(draw.randint(0, 9))) for _ in range(200)]
+    anchor = np.array([c.index(b"|") for c in contexts])
+    c = s.Contexts(np.zeros(len(contexts), np.int64), anchor, contexts, 200)
+    i, j = (np.array([draw.randrange(len(contexts)) for _ in range(2000)]) for _ in range(2))
+    common = lambda x, y: next((k for k, (p, q) in enumerate(zip(x, y, strict=False)) if p != q), min(len(x), len(y)))
+    assert c.extension(i, j, False).tolist() == [common(contexts[x][anchor[x]:], contexts[y][anchor[y]:]) for x, y in zip(i, j, strict=True)]
+    assert c.extension(i, j, True).tolist() == [common(contexts[x][:anchor[x]][::-1], contexts[y][:anchor[y]][::-1]) for x, y in zip(i, j, strict=True)]
+
+
+def test_anchors_take_little_memory():
+    """Whatever the texts' lengths, some 16 MB (220 MB with buffers of 2 MB)."""
+    import tracemalloc
+
+    draw = np.random.default_rng(2)
+    texts = [draw.integers(97, 123, n, np.uint8).tobytes() for n in (3_000_000, 500_000, 500_000, 199, 0)]
+    s.powers(1)
+    tracemalloc.start()
+    try:
+        found = s.anchors(texts, 200)
+        peak = tracemalloc.get_traced_memory()[1] / 1e6
+    finally:
+        tracemalloc.stop()
+    assert peak < 40
+    windows = found["first"] - found["last"] + 1
+    assert int(windows.sum()) == sum(max(0, len(t) - 199) for t in texts)
+
+
+def test_lengths_above_a_buffer():
+    """Strings longer than a usual buffer have an anchor too."""
+    text = np.random.default_rng(3).integers(97, 123, 400_000, np.uint8).tobytes()
+    found = s.anchors([text, text], 150_000)
+    assert int((found["first"] - found["last"] + 1).sum()) == 2 * (400_000 - 150_000 + 1)
+    assert {(a, c) for r, a, c in zip(found["row"], found["a"], found["c"], strict=True) if r == 0} == {(a, c) for r, a, c in zip(found["row"], found["a"], found["c"], strict=True) if r == 1}
