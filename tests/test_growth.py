@@ -2,6 +2,8 @@
 
 import datetime as dt
 
+from fixture_raw import FixtureRaw
+from mercato.plans.model import Model
 from mercato.session import ROWS_PER_TASK, start_partitions
 from mercato.sources.domain import RawTables
 
@@ -41,3 +43,15 @@ def test_shuffles_start_with_more_partitions_for_more_rows(spark):
         assert spark.conf.get(INITIAL) == "1001"
     finally:
         spark.conf.unset(INITIAL) if usual is None else spark.conf.set(INITIAL, usual)
+
+
+def test_sales_lines_meet_their_header_and_invoice_in_one_join(spark):
+    plan = Model(spark, raw=FixtureRaw(spark, {})).fact_sales._jdf.queryExecution().optimizedPlan().toString().split("\n")
+    depth = lambda line: len(line) - len(line.lstrip(" :+-"))
+    at = next(i for i, line in enumerate(plan) if line.lstrip(" :+-").startswith("Window"))
+    joins, level = [], depth(plan[at])
+    for line in reversed(plan[:at]):
+        if depth(line) < level:
+            level = depth(line)
+            joins += [line] if line.lstrip(" :+-").startswith("Join") else []
+    assert len(joins) == 3, joins  # header, product, warehouse
