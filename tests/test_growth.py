@@ -1,8 +1,12 @@
 """Steps of the shared tables that must not grow faster than the input."""
 
 import datetime as dt
+from types import SimpleNamespace
+
+import pytest
 
 from fixture_raw import FixtureRaw
+from mercato.plans import quality_suite as Q
 from mercato.plans.model import Model
 from mercato.session import ROWS_PER_TASK, start_partitions
 from mercato.sources.domain import RawTables
@@ -55,3 +59,19 @@ def test_sales_lines_meet_their_header_and_invoice_in_one_join(spark):
             level = depth(line)
             joins += [line] if line.lstrip(" :+-").startswith("Join") else []
     assert len(joins) == 3, joins  # header, product, warehouse
+
+
+def test_freshness_writes_its_tables_together():
+    class Built(Exception):
+        pass
+
+    def build():
+        raise Built
+    with pytest.raises(Built):
+        Q.freshness_of_all(SimpleNamespace(materialize=True, raw=SimpleNamespace(t=None), build=build))
+
+
+def test_dimensions_with_an_undated_member_are_not_read_by_footers():
+    m = SimpleNamespace(table_path=lambda name: f"/marts/{name}")
+    assert {n for n in Q.DATES if not n.startswith("stg_") and not Q.footer_path(m, n)} == {
+        "dim_product", "dim_supplier", "dim_warehouse", "dim_customer", "dim_campaign"}
