@@ -1,15 +1,23 @@
 """Steps of the shared tables that must not grow faster than the input."""
 
 import datetime as dt
+import os
+import tempfile
+import threading
+import time
 from types import SimpleNamespace
 
 import pytest
+from pyspark.sql import functions as F
 
 from fixture_raw import FixtureRaw
-from mercato.plans import quality_suite as Q
+from mercato import registry_reports
+from mercato.plans import model, quality_suite as Q
 from mercato.plans.model import Model
-from mercato.session import ROWS_PER_TASK, start_partitions
+from mercato.session import REMOVE_SHUFFLES, ROWS_PER_TASK, start_partitions
+from mercato.sources import domain
 from mercato.sources.domain import RawTables
+from mercato.sources.ingest import write_partitioned_by_month
 
 INITIAL = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
 
@@ -75,3 +83,71 @@ def test_dimensions_with_an_undated_member_are_not_read_by_footers():
     m = SimpleNamespace(table_path=lambda name: f"/marts/{name}")
     assert {n for n in Q.DATES if not n.startswith("stg_") and not Q.footer_path(m, n)} == {
         "dim_product", "dim_supplier", "dim_warehouse", "dim_customer", "dim_campaign"}
+
+
+def shuffle_files(spark):
+    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return {n for n in (files.apply(i).getName() for i in range(files.size())) if n.startswith("shuffle_")}
+
+
+def left_over(spark, before, seconds=10):
+    until = time.time() + seconds
+    while (rest := shuffle_files(spark) - before) and time.time() < until:
+        time.sleep(0.2)
+    return rest
+
+
+def test_shuffles_of_written_tables_are_removed(spark):
+    usual = spark.conf.get(REMOVE_SHUFFLES, None)
+    df = spark.range(1000).groupBy((F.col("id") % 7).alias("k")).agg(F.sum("id").alias("s"), F.max(F.lit(dt.date(2024, 1, 5))).alias("d"))
+    m = Model(spark, raw=FixtureRaw(spark, {}), materialize=True)
+    before = shuffle_files(spark)
+    assert m._persist("t", df).count() == 7
+    write_partitioned_by_month(df, "d", os.path.join(tempfile.mkdtemp(prefix="mercato-month-"), "t"), ["k"])
+    assert not left_over(spark, before)
+    assert spark.conf.get(REMOVE_SHUFFLES, None) == (usual or "false")
+
+
+def odd_lines(spark, monkeypatch):
+    """Own rows with a line and a header without a key, an order that comes twice and one longer than its padding."""
+    tables, day = own_tables(spark), dt.datetime(2024, 1, 2)
+    header, line = tables["orders"], tables["lineitem"]
+    tables["orders"] = header.unionByName(spark.createDataFrame(
+        [(2, 5, "O", 1.0, day, "5-LOW"), (None, 5, "F", 1.0, day, "5-LOW"), (123456789, 5, "P", 1.0, day, "2-HIGH")], header.schema))
+    tables["lineitem"] = line.unionByName(spark.createDataFrame(
+        [(None, 1, 10, 1, 2.0, 20.0, 0.1, 0.0, "N", "O", day), (123456789, 1, 10, 1, 2.0, 20.0, 0.1, 0.0, "R", "O", day)], line.schema))
+    monkeypatch.setattr(RawTables, "t", lambda self, name: tables[name])
+
+
+def test_lines_in_buckets_are_the_same_rows(spark, monkeypatch):
+    odd_lines(spark, monkeypatch)
+    items = []
+    for fits in (lambda df, columns, limit=0: True, lambda df, columns, limit=0: False):
+        monkeypatch.setattr(domain, "fits", fits)
+        raw = RawTables(spark, "unused", materialize=True)
+        items.append(raw.order_items)
+        stored = spark.read.parquet(os.path.join(raw._store, "lines"))
+        assert "l_extendedprice" in stored.columns and not {"gross_sales", "net_sales", "sales_channel"} & set(stored.columns)
+    assert items[0].count() == 5 and items[0].exceptAll(items[1]).count() == items[1].exceptAll(items[0]).count() == 0
+    usual = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for rows, moved in zip(items, (True, False)):
+            plan = rows.groupBy("order_id").count()._jdf.queryExecution().executedPlan().toString()
+            assert ("Exchange" in plan) == moved, plan
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", usual)
+    assert not [t for t in spark.catalog.listTables() if t.name.startswith("mercato_lines")]
+
+
+def test_lines_carry_a_key_and_no_long_id_to_their_product(spark):
+    plan = Model(spark, raw=FixtureRaw(spark, {})).fact_sales._jdf.queryExecution().optimizedPlan().toString().split("\n")
+    product = next(i for i, line in enumerate(plan) if "Join" in line and "product_id" in line)
+    assert next(i for i, line in enumerate(plan) if "AS sales_fact_key" in line) > product
+
+
+def test_long_ids_are_not_left_to_the_formatter(spark):
+    df = spark.createDataFrame([(999_999,), (1_000_000,), (7_200_000,), (-5,), (None,)], "k long")
+    assert [r.a for r in df.select(domain._id("PRD-%06d", "k").alias("a")).collect()] == \
+        [r.a for r in df.select(F.format_string("PRD-%06d", "k").alias("a")).collect()]
+    assert ">= 1000000" in df.select(domain._id("PRD-%06d", "k"))._jdf.queryExecution().optimizedPlan().toString()
