@@ -151,3 +151,24 @@ def test_long_ids_are_not_left_to_the_formatter(spark):
     assert [r.a for r in df.select(domain._id("PRD-%06d", "k").alias("a")).collect()] == \
         [r.a for r in df.select(F.format_string("PRD-%06d", "k").alias("a")).collect()]
     assert ">= 1000000" in df.select(domain._id("PRD-%06d", "k"))._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_the_dense_inventory_is_summed_by_one_number(spark):
+    D = dt.date
+    rows = [("A", 1, 11, 101, D(1969, 12, 30), D(1969, 12, 30), D(1970, 1, 2), 5, 1, 0, 2), ("B", 1, 12, 102, D(1970, 1, 1), D(1970, 1, 1), D(1970, 2, 1), -3, 0, 1, 0),
+            ("A", 2, 11, 103, None, D(1970, 1, 2), D(1970, 1, 2), 7, 0, 0, 0), (None, 3, 13, 104, None, D(1970, 1, 2), D(1970, 1, 3), 1, 0, 0, 0), ("B", 4, 12, 105, None, D(1970, 1, 5), D(1970, 1, 4), 9, 9, 9, 9)]
+    iv = spark.createDataFrame(rows, "warehouse_id string, product_key long, warehouse_key long, pair_hash long, day date, valid_from date, valid_to date, quantity_on_hand long, "
+                                     "units_sold_qty long, units_returned_qty long, units_received_qty long").withColumn("product_id", F.lit("P"))
+    m = Model(spark, raw=FixtureRaw(spark, {}))
+    m.__dict__["inventory_intervals"] = iv
+    found = registry_reports.inventory_monthly(m)
+    dense = m.fact_inventory_daily.groupBy("warehouse_id", F.trunc("balance_date", "MM").alias("balance_month")).agg(
+        F.count(F.lit(1)).alias("rows"), F.min("balance_date").alias("first_day"), F.max("balance_date").alias("last_day"),
+        *[F.sum(c).alias(c) for c in registry_reports._SUMS], F.sum(F.col("inventory_fact_key") % 1000003).alias("key_checksum"),
+        F.sum(F.col("product_key") % 10007 + F.col("warehouse_key") % 10007 + F.col("snapshot_date_key")).alias("dimension_checksum"))
+    assert found.count() == 5 and found.columns == dense.columns
+    assert found.exceptAll(dense).count() == dense.exceptAll(found).count() == 0
+    plan = found._jdf.queryExecution().executedPlan().toString().split("\n")
+    lowest = [line for line in plan[:next(i for i, line in enumerate(plan) if "Generate explode" in line)] if "HashAggregate" in line][-1]
+    keys = lowest.split("keys=[")[1].split("]")[0]
+    assert "," not in keys and "warehouse_id" not in keys, lowest
