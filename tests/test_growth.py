@@ -146,6 +146,19 @@ def test_lines_carry_a_key_and_no_long_id_to_their_product(spark):
     assert next(i for i, line in enumerate(plan) if "AS sales_fact_key" in line) > product
 
 
+def test_purchases_meet_their_tier_before_their_texts(spark, monkeypatch):
+    odd_lines(spark, monkeypatch)
+    tiers = spark.createDataFrame([("PRD-000001", "High")], "product_id string, demand_tier string")
+    monkeypatch.setattr(RawTables, "demand_tiers", tiers)
+    monkeypatch.setattr(RawTables, "_persist", lambda self, name, df: df)
+    df = RawTables(spark, "unused").purchase_orders
+    plan = df._jdf.queryExecution().optimizedPlan().toString().split("\n")
+    join = next(i for i, line in enumerate(plan) if "Join LeftOuter" in line and "product_id" in line)
+    assert next(i for i, line in enumerate(plan) if "AS purchase_order_id" in line) < join
+    assert sorted((r.purchase_order_id, r.demand_tier, r.quantity_ordered) for r in df.collect()) == [
+        ("PO-1-1-1-10-20240102", "High", 2), ("PO-123456789-1-1-10-20240102", "High", 2)]
+
+
 def test_long_ids_are_not_left_to_the_formatter(spark):
     df = spark.createDataFrame([(999_999,), (1_000_000,), (7_200_000,), (-5,), (None,)], "k long")
     assert [r.a for r in df.select(domain._id("PRD-%06d", "k").alias("a")).collect()] == \
