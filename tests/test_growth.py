@@ -166,6 +166,26 @@ def test_long_ids_are_not_left_to_the_formatter(spark):
     assert ">= 1000000" in df.select(domain._id("PRD-%06d", "k"))._jdf.queryExecution().optimizedPlan().toString()
 
 
+def test_a_large_build_writes_its_heavy_tables_one_at_a_time():
+    class Tables:
+        lock, now, most, seen = threading.Lock(), 0, 0, []
+
+        def __getattr__(self, name):
+            if name in model.HEAVY:
+                with self.lock:
+                    Tables.now += 1
+                    Tables.most = max(Tables.most, Tables.now)
+                time.sleep(0.02)
+                with self.lock:
+                    Tables.now -= 1
+            self.seen.append(name)
+
+    tables = Tables()
+    tables.raw, tables._lines = tables, model.LARGE_LINES + 1
+    Model.build(tables)
+    assert Tables.most == 1 and set(tables.seen) == {n for _, names in model.BUILD_WAVES for n in names}
+
+
 def test_the_dense_inventory_is_summed_by_one_number(spark):
     D = dt.date
     rows = [("A", 1, 11, 101, D(1969, 12, 30), D(1969, 12, 30), D(1970, 1, 2), 5, 1, 0, 2), ("B", 1, 12, 102, D(1970, 1, 1), D(1970, 1, 1), D(1970, 2, 1), -3, 0, 1, 0),
