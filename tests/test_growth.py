@@ -102,9 +102,10 @@ def test_shuffles_of_written_tables_are_removed(spark):
     df = spark.range(1000).groupBy((F.col("id") % 7).alias("k")).agg(F.sum("id").alias("s"), F.max(F.lit(dt.date(2024, 1, 5))).alias("d"))
     m = Model(spark, raw=FixtureRaw(spark, {}), materialize=True)
     before = shuffle_files(spark)
-    assert m._persist("t", df).count() == 7
+    written = m._persist("t", df)
     write_partitioned_by_month(df, "d", os.path.join(tempfile.mkdtemp(prefix="mercato-month-"), "t"), ["k"])
     assert not left_over(spark, before)
+    assert written.count() == 7
     assert spark.conf.get(REMOVE_SHUFFLES, None) == (usual or "false")
 
 
@@ -205,3 +206,18 @@ def test_the_dense_inventory_is_summed_by_one_number(spark):
     lowest = [line for line in plan[:next(i for i, line in enumerate(plan) if "Generate explode" in line)] if "HashAggregate" in line][-1]
     keys = lowest.split("keys=[")[1].split("]")[0]
     assert "," not in keys and "warehouse_id" not in keys, lowest
+
+
+def test_only_months_without_stock_are_cut_out(spark):
+    D = dt.date
+    rows = [("A", "P", D(2024, 1, 10), D(2024, 6, 9), 4), ("A", "P", D(2024, 6, 10), D(2024, 7, 5), 0), ("A", "P", D(2024, 7, 6), D(2024, 12, 31), 9),
+            ("A", "Q", D(2024, 1, 1), D(2024, 12, 31), 3), ("B", "P", D(2024, 2, 1), D(2024, 3, 31), 5), ("B", "P", D(2024, 3, 30), D(2024, 4, 2), -2),
+            ("B", "P", D(2024, 5, 2), D(2024, 5, 1), 0), (None, "P", D(2024, 2, 1), D(2024, 2, 2), 0), ("B", "R", D(2024, 1, 1), D(2024, 1, 2), None)]
+    m = SimpleNamespace(inventory_intervals=spark.createDataFrame(rows, "warehouse_id string, product_id string, valid_from date, valid_to date, quantity_on_hand long"))
+    found = registry_reports.stockouts_by_product(m)
+    assert sorted(map(tuple, found.collect()), key=str) == sorted([
+        (D(2024, 6, 1), "A", "P", 30, 21, 36), (D(2024, 7, 1), "A", "P", 31, 5, 234), (D(2024, 3, 1), "B", "P", 33, 2, 151),
+        (D(2024, 4, 1), "B", "P", 2, 2, -4), (D(2024, 2, 1), None, "P", 2, 2, 0)], key=str)
+    plan = found._jdf.queryExecution().executedPlan().toString().split("\n")
+    shuffles = [line for line in plan if "Exchange" in line]
+    assert shuffles and not [line for line in shuffles if "report_month" in line], plan
