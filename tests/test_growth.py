@@ -14,6 +14,7 @@ from fixture_raw import FixtureRaw
 from mercato import registry_reports
 from mercato.plans import model, quality_suite as Q
 from mercato.plans.model import Model
+from mercato.plans.reports import margin_cube
 from mercato.session import REMOVE_SHUFFLES, ROWS_PER_TASK, start_partitions
 from mercato.sources import domain
 from mercato.sources.domain import RawTables
@@ -221,3 +222,15 @@ def test_only_months_without_stock_are_cut_out(spark):
     plan = found._jdf.queryExecution().executedPlan().toString().split("\n")
     shuffles = [line for line in plan if "Exchange" in line]
     assert shuffles and not [line for line in shuffles if "report_month" in line], plan
+
+
+def test_the_cube_shuffles_no_cells_by_product(spark):
+    tables = {"fact_sales": spark.createDataFrame([(1, "Shopee", dt.date(1996, 5, 3), 10, 4, 2), (1, "Shopee", dt.date(1996, 5, 9), 1, 1, 1), (2, "Retail", dt.date(1996, 6, 1), 5, 2, 1),
+                                                   (1, "Shopee", dt.date(1990, 5, 9), 1, 1, 1), (9, "Shopee", dt.date(1996, 5, 9), 1, 1, 1)],
+                                                  "product_key long, sales_channel_code string, order_date date, net_revenue_amount int, cogs_amount int, quantity_ordered int"),
+              "dim_product": spark.createDataFrame([(1, "S"), (2, "S")], "product_key long, category_name string")}
+    cube = margin_cube(SimpleNamespace(**tables, sim_start=dt.date(1995, 1, 1), sim_end=dt.date(2001, 12, 31)), [["category_name"], ["order_month"]])
+    assert {tuple(r) for r in cube.collect()} == {("S", None, None, 3, 16.0, 7.0, 4), (None, None, dt.date(1996, 5, 1), 6, 11.0, 5.0, 3), (None, None, dt.date(1996, 6, 1), 6, 5.0, 2.0, 1)}
+    plan = cube._jdf.queryExecution().optimizedPlan().toString().split("\n")
+    join = next(i for i, line in enumerate(plan) if "Join" in line)
+    assert not [line for line in plan[join:] if "Aggregate" in line], plan
